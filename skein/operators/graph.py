@@ -10,7 +10,7 @@ from skein.storage import materialize
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.union(edges.select(F.col("dst"), F.col("src")))
-    low = both.groupBy("src").agg(F.least(F.min("dst"), F.first("src")).alias("m"))
+    low = both.groupBy("src").agg(F.least(F.min("dst"), F.col("src")).alias("m"))
     return both.filter("dst > src").join(low, "src").filter("dst > m").select(F.col("dst").alias("src"), F.col("m").alias("dst"))
 
 
