@@ -11,6 +11,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 
 _OWN: dict[str, str] = {}
+_QUALIFIED: dict[str, str] = {}
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -23,7 +24,17 @@ def shared_root(spark: SparkSession) -> str:
             atexit.register(shutil.rmtree, _OWN[key], ignore_errors=True)
             spark.sparkContext.setCheckpointDir(f"file://{_OWN[key]}")
         root = f"file://{_OWN[key]}"
-    return root.rstrip("/")
+    if root not in _QUALIFIED:
+        jvm = spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(root)
+        _QUALIFIED[root] = str(path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString())
+    return _QUALIFIED[root].rstrip("/")
+
+
+def make_dir(spark: SparkSession, uri: str) -> str:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(uri)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(path)
+    return uri
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -41,7 +52,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 def plan_bytes(df: DataFrame) -> int:
     """Catalyst's estimate of df's size, from file sizes; no job runs."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
@@ -55,8 +66,3 @@ def open_fs(uri: str) -> tuple[pafs.FileSystem, str]:
     if "://" not in uri:
         return pafs.LocalFileSystem(), uri
     return pafs.FileSystem.from_uri(uri)
-
-
-def ensure_dir(uri: str) -> None:
-    fs, path = open_fs(uri)
-    fs.create_dir(path, recursive=True)
