@@ -8,6 +8,7 @@ from decimal import Decimal, localcontext
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 EXACT = "decimal(38,18)"
 
@@ -24,7 +25,7 @@ def fold_decimals(operation: str, operands: Column) -> Column:
     return F.when(F.size(operands) >= 2, F.aggregate(rest, F.try_element_at(operands, F.lit(1)).try_cast(EXACT), lambda a, x: step(a, x).cast(EXACT)))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def divide_decimals(operands: pd.Series) -> pd.Series:
     """Left-to-right division with 28 digits, as plain text without trailing zeros; null where it can't be done."""
 

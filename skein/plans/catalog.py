@@ -2,5 +2,334 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from skein.functions import identity, numeric, text
+from skein.operators import decisions, dedup, graph, joins, recipes, reports, sft, splits, trajectory
+from skein.session import table
+from skein.sources import generators
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _labelled(spark: SparkSession, sf: str) -> DataFrame:
+    """documents with labels as verified outcomes."""
+    d, lab = table(spark, sf, "documents").select("doc_id", "source"), table(spark, sf, "labels")
+    outcome = F.when(F.col("toxic") == 1, "FAIL").when(F.col("quality") == 1, "PASS").otherwise("UNKNOWN")
+    return d.join(lab, "doc_id", "left").withColumn("outcome", F.when(F.col("quality").isNotNull(), outcome))
+
+
+_LABELLED = "(SELECT d.doc_id, d.source, quality, toxic, CASE WHEN quality IS NOT NULL THEN CASE WHEN toxic = 1 THEN 'FAIL' WHEN quality = 1 THEN 'PASS' ELSE 'UNKNOWN' END END AS outcome FROM documents d LEFT JOIN labels USING (doc_id))"
+
+
+@query("""
+    WITH r AS (SELECT doc_id::VARCHAR AS attempt_id, outcome, min(doc_id) OVER (PARTITION BY source, outcome)::VARCHAR AS representative FROM """ + _LABELLED + """),
+    a AS (SELECT attempt_id, CASE WHEN outcome IS NULL THEN 'MISSING_VERIFICATION' WHEN outcome = 'UNKNOWN' THEN 'VERIFICATION_UNKNOWN' WHEN outcome = 'FAIL' THEN 'VERIFICATION_FAIL'
+          WHEN representative IS DISTINCT FROM attempt_id THEN 'DUPLICATE_NON_REPRESENTATIVE' ELSE 'VERIFIED_PASS' END AS reason_code FROM r),
+    b AS (SELECT *, CASE WHEN reason_code LIKE '%VERIFICATION' OR reason_code LIKE '%UNKNOWN' THEN 'QUARANTINE' WHEN reason_code = 'VERIFIED_PASS' THEN 'ACCEPT' ELSE 'REJECT' END AS action FROM a)
+    SELECT attempt_id, action, reason_code, 'decision-' || sha256('{"action":"' || action || '","attempt_id":"' || attempt_id || '","policy_version":"q1","reason_code":"' || reason_code || '"}')[1:16] AS decision_id FROM b""")
+def quality_decisions(spark, sf):
+    rows = _labelled(spark, sf).withColumn("attempt_id", F.col("doc_id").cast("string"))
+    checks = rows.filter("outcome is not null").select("attempt_id", F.lit("VERIFIED").alias("status"), "outcome", F.lit(0).alias("position"))
+    least = rows.groupBy("source", "outcome").agg(F.min("doc_id").cast("string").alias("representative"))
+    reps = rows.join(least, rows["source"].eqNullSafe(least["source"]) & rows["outcome"].eqNullSafe(least["outcome"])).select("attempt_id", "representative")
+    return decisions.decide_quality(rows.select("attempt_id"), checks, reps, "q1").select("attempt_id", "action", "reason_code", "decision_id")
+
+
+_MEMBERS = "(SELECT o_orderkey AS attempt_id, o_custkey AS task_id, CASE o_orderstatus WHEN 'F' THEN 'ACCEPT' WHEN 'O' THEN 'REJECT' ELSE 'QUARANTINE' END AS decision, CASE o_orderstatus WHEN 'F' THEN 'PASS' WHEN 'O' THEN 'UNKNOWN' END AS outcome, CASE o_custkey % 3 WHEN 0 THEN 'TRAIN' WHEN 1 THEN 'DEVELOPMENT' ELSE 'TEST' END AS usage_scope FROM orders)"
+
+
+@query("SELECT count(DISTINCT task_id) AS tasks, count(DISTINCT attempt_id) AS attempts, count(*) FILTER (decision = 'ACCEPT') AS accepted, count(*) FILTER (decision = 'REJECT') AS rejected, count(*) FILTER (decision = 'QUARANTINE') AS quarantined, count(*) FILTER (outcome = 'PASS') AS passed, count(*) FILTER (outcome IS NULL OR outcome = 'UNKNOWN') AS unknown_outcomes, count(*) FILTER (usage_scope = 'TRAIN') AS train, count(*) FILTER (usage_scope = 'DEVELOPMENT') AS development, count(*) FILTER (usage_scope = 'TEST') AS test, NULL::BIGINT AS cost_cny_fen FROM " + _MEMBERS)
+def quality_report_exec(spark, sf):
+    table(spark, sf, "orders").createOrReplaceTempView("orders_for_report")
+    return reports.execution_quality(spark.sql("SELECT * FROM " + _MEMBERS.replace("FROM orders", "FROM orders_for_report")))
+
+
+@query("SELECT count(DISTINCT s_suppkey) AS demonstrations, count(DISTINCT s_nationkey) AS sources, count(*) FILTER (s_acctbal > 0) AS accepted, count(*) FILTER (s_nationkey % 2 = 1) AS derived, count(*) FILTER (s_suppkey % 3 = 0) AS replayable, count(*) FILTER (s_suppkey % 3 <> 0) AS not_replayable FROM supplier")
+def quality_report_external(spark, sf):
+    s = table(spark, sf, "supplier")
+    return reports.external_quality(s.select(F.col("s_suppkey").alias("demonstration_id"), F.col("s_nationkey").alias("source_record_id"), F.when(F.col("s_acctbal") > 0, "ACCEPT").otherwise("REJECT").alias("eligibility_action"), F.when(F.col("s_nationkey") % 2 == 1, "DERIVED").otherwise("PUBLIC_ORIGINAL").alias("source_origin"), F.when(F.col("s_suppkey") % 3 == 0, "SUPPORTED").otherwise("UNSUPPORTED").alias("replay_capability")))
+
+
+@query("SELECT doc_id, CASE WHEN strlen(text) > 4096 THEN NULL ELSE text END AS payload, CASE WHEN strlen(text) > 4096 THEN sha256(text) END AS sha256, CASE WHEN strlen(text) > 4096 THEN strlen(text)::BIGINT END AS byte_size FROM documents")
+def externalise_large_payload(spark, sf):
+    e = table(spark, sf, "documents").select("doc_id", F.lit("OBSERVATION").alias("event_type"), F.col("text").alias("payload"))
+    return decisions.externalise(e).select("doc_id", "payload", "payload_ref.sha256", "payload_ref.byte_size")
+
+
+@query("SELECT event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS place FROM events")
+def event_total_order(spark, sf):
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    return table(spark, sf, "events").select("event_id", F.row_number().over(w).alias("place"))
+
+
+@query("WITH h AS (SELECT doc_id, sha256('{\"tokens\":[' || array_to_string(list_transform(regexp_extract_all(lower(text), '[a-z0-9]+'), lambda x: '\"' || x || '\"'), ',') || ']}') AS projection_sha256 FROM documents) SELECT doc_id, projection_sha256, min(doc_id) OVER (PARTITION BY projection_sha256) AS representative FROM h")
+def dedup_representatives(spark, sf):
+    return dedup.representatives(table(spark, sf, "documents"), "doc_id", [text.word_tokens(F.col("text")).alias("tokens")])
+
+
+@query("""
+    WITH s AS (SELECT doc_id AS id, list_sort(list_distinct(regexp_extract_all(lower(text), '[a-z0-9]+'))) AS t FROM documents),
+    g AS (SELECT t, min(id) AS g FROM s WHERE len(t) > 0 GROUP BY t),
+    p AS (SELECT a.g AS a, b.g AS b, len(list_intersect(a.t, b.t)) AS i, len(a.t) + len(b.t) AS n FROM g a JOIN g b ON a.g < b.g AND len(a.t) >= 0.8 * len(b.t) AND len(b.t) >= 0.8 * len(a.t)),
+    k AS (SELECT a, b, i / (n - i) AS jaccard FROM p WHERE i / (n - i) >= 0.8 - 1e-9 UNION ALL SELECT g, g, 1.0 FROM g),
+    m AS (SELECT id, g FROM s JOIN g USING (t))
+    SELECT least(x.id, y.id) AS "left", greatest(x.id, y.id) AS "right", round(jaccard, 9) AS jaccard FROM k JOIN m x ON x.g = a JOIN m y ON y.g = b WHERE a <> b OR x.id < y.id""")
+def dedup_candidates_jaccard(spark, sf):
+    return dedup.jaccard_pairs(dedup.token_sets(table(spark, sf, "documents"), "doc_id", "text"), 0.8).withColumn("jaccard", F.round("jaccard", 9))
+
+
+@query()
+def dedup_candidates_minhash(spark, sf):
+    return dedup.minhash_candidates(dedup.token_sets(table(spark, sf, "documents"), "doc_id", "text"))
+
+
+@query("WITH n AS (SELECT n_nationkey AS k, n_regionkey AS r FROM nation) SELECT a.k AS \"left\", b.k AS \"right\" FROM n a JOIN n b ON a.k < b.k AND a.r <> b.r")
+def non_candidate_pairs(spark, sf):
+    n = table(spark, sf, "nation")
+    a, b = n.select(F.col("n_nationkey").alias("left"), "n_regionkey"), n.select(F.col("n_nationkey").alias("right"), "n_regionkey")
+    return dedup.non_candidates(n.select("n_nationkey"), a.join(b, "n_regionkey").filter(F.col("left") < F.col("right")))
+
+
+@query("SELECT c_custkey, ['TRAIN', 'DEVELOPMENT', 'TEST'][(list_sum(list_transform(string_split(sha256(c_custkey::VARCHAR), ''), lambda d: strpos('0123456789abcdef', d) - 1)) % 3 + 1)::INT] AS scope FROM customer")
+def split_assignment(spark, sf):
+    return table(spark, sf, "customer").select("c_custkey", identity.hash_scope(F.col("c_custkey")).alias("scope"))
+
+
+@query("""
+    WITH RECURSIVE e AS (SELECT DISTINCT s_suppkey AS a, s_nationkey * 1000003 + 7 AS b FROM supplier), sym AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+    r AS (SELECT a AS n, a AS m FROM sym UNION SELECT r.n, sym.b FROM r JOIN sym ON sym.a = r.m)
+    SELECT n AS node, min(m) AS component FROM r GROUP BY n""")
+def split_components(spark, sf):
+    s = table(spark, sf, "supplier")
+    return graph.connected_components(s.select(F.col("s_suppkey").alias("src"), (F.col("s_nationkey").cast("long") * 1000003 + 7).alias("dst")))
+
+
+@query("SELECT l_partkey AS g, count(DISTINCT l_returnflag) AS scopes FROM lineitem GROUP BY 1 HAVING count(DISTINCT l_returnflag) > 1")
+def split_leakage(spark, sf):
+    return splits.leaks(table(spark, sf, "lineitem").select(F.col("l_partkey").alias("g"), "l_returnflag"), "g", "l_returnflag")
+
+
+@query("""
+    WITH c AS (SELECT user_id, event_id AS call, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events WHERE event_type = 'click'),
+    r AS (SELECT user_id, event_id AS result, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events WHERE event_type = 'purchase')
+    SELECT user_id, n, call, result FROM c LEFT JOIN r USING (user_id, n)""")
+def call_result_pairing(spark, sf):
+    e = table(spark, sf, "events").withColumn("at", F.struct("ts", "event_id"))
+    return trajectory.pair_in_order(e.filter("event_type = 'click'"), e.filter("event_type = 'purchase'"), ["user_id"], "at", "event_id")
+
+
+@query("WITH b AS (SELECT l_orderkey, l_partkey, lag(l_partkey) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS before FROM lineitem) SELECT l_orderkey, l_partkey, before FROM b WHERE l_partkey <= before")
+def sequence_integrity(spark, sf):
+    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey")
+    return table(spark, sf, "lineitem").withColumn("before", F.lag("l_partkey").over(w)).filter("l_partkey <= before").select("l_orderkey", "l_partkey", "before")
+
+
+@query("SELECT conv_id, arg_max(text, turn) AS answer FROM conversations WHERE role = 'assistant' GROUP BY conv_id")
+def last_assistant_answer(spark, sf):
+    return table(spark, sf, "conversations").filter("role = 'assistant'").groupBy("conv_id").agg(F.max_by("text", "turn").alias("answer"))
+
+
+@query("SELECT conv_id, sha256(string_agg(role || ':' || text, chr(10) ORDER BY turn, role, text)) AS digest FROM conversations GROUP BY conv_id")
+def conversation_digest(spark, sf):
+    parts = F.array_sort(F.collect_list(F.struct("turn", "role", "text")))
+    return table(spark, sf, "conversations").groupBy("conv_id").agg(F.sha2(F.array_join(F.transform(parts, lambda p: F.concat(p.role, F.lit(":"), p.text)), "\n"), 256).alias("digest"))
+
+
+@query("SELECT sha256(string_agg('{\"n_name\":\"' || n_name || '\",\"n_nationkey\":' || n_nationkey || ',\"n_regionkey\":' || n_regionkey || '}', chr(10) ORDER BY n_nationkey::VARCHAR)) AS digest FROM nation")
+def dataset_digest(spark, sf):
+    return identity.table_digest(table(spark, sf, "nation"), "n_nationkey")
+
+
+_RECORDS = "(SELECT event_id::VARCHAR AS task_id, event_type AS family, value > 20 AS ok, event_id % 3 <> 0 AS eff, event_id % 5 = 0 AS rec, event_id % 7 = 0 AS unseen, CASE WHEN event_type = 'error' OR event_id % 2 = 0 THEN 'down' END AS infra, event_id % 4 AS calls, CASE WHEN event_id % 9 <> 0 THEN event_id % 11 END AS cost FROM events)"
+
+
+def _records(spark, sf):
+    i = F.col("event_id")
+    return table(spark, sf, "events").select(i.cast("string").alias("task_id"), F.col("event_type").alias("family"), (F.col("value") > 20).alias("task_success"), (i % 3 != 0).alias("effective_execution"), (i % 5 == 0).alias("recovery_condition"), (i % 7 == 0).alias("unseen_combination"), F.when((F.col("event_type") == "error") | (i % 2 == 0), "down").alias("unresolved_infrastructure"), (i % 4).alias("model_calls"), (i % 4).alias("completion_tokens"), F.when(i % 9 != 0, i % 11).alias("provider_cost_cny"))
+
+
+@query("SELECT family, count(*) FILTER (NOT ok) AS failures, count(*) FILTER (ok) AS successes, sha256(string_agg(task_id, ',' ORDER BY task_id) FILTER (NOT ok)) AS failed_tasks, CASE WHEN bool_and(infra IS NOT NULL) FILTER (NOT ok) THEN 'INFRASTRUCTURE' ELSE 'CONSTRAINT_FAILURE' END AS category, CASE WHEN count(*) FILTER (ok) > 0 THEN 'LOW' ELSE 'HIGH' END AS confidence FROM " + _RECORDS + " GROUP BY family HAVING count(*) FILTER (NOT ok) > 0")
+def findings_by_family(spark, sf):
+    return reports.findings(_records(spark, sf)).withColumn("failed_tasks", F.sha2(F.array_join("failed_tasks", ","), 256))
+
+
+@query("SELECT count(*) AS tasks, count(*) FILTER (ok) / count(*) AS task_success_at_1, count(*) FILTER (eff) / count(*) AS effective_coverage, count(*) FILTER (ok AND eff) / nullif(count(*) FILTER (eff), 0) AS conditional_success, count(*) FILTER (ok AND rec) / greatest(1, count(*) FILTER (rec)) AS recovery_success, count(*) FILTER (ok AND unseen) / greatest(1, count(*) FILTER (unseen)) AS unseen_success, sum(calls)::BIGINT AS model_calls, sum(calls)::BIGINT AS completion_tokens, sum(cost)::BIGINT AS provider_cost_cny FROM " + _RECORDS)
+def evaluation_metrics(spark, sf):
+    return reports.evaluation_metrics(_records(spark, sf))
+
+
+@query("WITH r AS (SELECT CASE WHEN doc_id % 11 = 0 THEN 'truncated' WHEN outcome = 'PASS' THEN 'success' WHEN outcome = 'FAIL' THEN 'known_zero' ELSE 'unknown' END AS terminal_class, CASE WHEN outcome = 'PASS' THEN 1.0 WHEN outcome = 'FAIL' THEN 0.0 END AS new_reward, CASE WHEN quality = 1 THEN 1.0 WHEN quality = 0 AND toxic = 1 THEN 0.0 END AS total_reward FROM " + _LABELLED + ") SELECT terminal_class, count(*) AS records, count(*) FILTER (new_reward IS NOT DISTINCT FROM total_reward) AS same, count(*) FILTER (new_reward IS DISTINCT FROM total_reward) AS changed FROM r GROUP BY 1")
+def reward_rescore(spark, sf):
+    r = _labelled(spark, sf).withColumn("outcome", F.coalesce("outcome", F.lit("UNKNOWN")))
+    status = F.when(F.col("outcome") == "UNKNOWN", "INSUFFICIENT").otherwise("VERIFIED")
+    return reports.rescore(r.select(decisions.terminal_class(F.when(F.col("doc_id") % 11 == 0, "BUDGET_TRUNCATED").otherwise("FINAL"), status, F.col("outcome")).alias("terminal_class"), decisions.reward(status, F.col("outcome")).alias("new_reward"), F.when(F.col("quality") == 1, 1.0).when((F.col("quality") == 0) & (F.col("toxic") == 1), 0.0).alias("total_reward")))
+
+
+@query("SELECT attempt_id, CASE WHEN decision <> 'ACCEPT' THEN 'NOT_ACCEPTED' WHEN usage_scope = 'TRAIN' THEN 'TRAIN_FORBIDDEN' END AS violation FROM " + _MEMBERS + " WHERE decision <> 'ACCEPT' OR usage_scope = 'TRAIN'")
+def publication_violations(spark, sf):
+    o = table(spark, sf, "orders")
+    m = o.select(F.col("o_orderkey").alias("attempt_id"), F.col("o_custkey").alias("task_id"), F.array(F.col("o_custkey").cast("string")).alias("source_record_ids"), F.lit("d").alias("quality_decision_id"), F.when(F.col("o_orderstatus") == "F", "ACCEPT").otherwise("REJECT").alias("decision"), F.lit("VERIFIED").alias("verification_status"), F.lit("PASS").alias("outcome"), F.when(F.col("o_custkey") % 3 == 0, "TRAIN").otherwise("TEST").alias("usage_scope"))
+    return decisions.execution_violations(m).select("attempt_id", "violation")
+
+
+@query("SELECT o_orderkey, o_totalprice FROM orders o WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_returnflag = 'R')")
+def orphans_anti_join(spark, sf):
+    line = table(spark, sf, "lineitem").filter("l_returnflag = 'R'").select(F.col("l_orderkey").alias("o_orderkey"))
+    return joins.missing(table(spark, sf, "orders").select("o_orderkey", "o_totalprice"), line, ["o_orderkey"])
+
+
+@query("SELECT p_partkey, p_name FROM part WHERE p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_quantity > 49)")
+def semi_join_selection(spark, sf):
+    line = table(spark, sf, "lineitem").filter("l_quantity > 49").select(F.col("l_partkey").alias("p_partkey"))
+    return table(spark, sf, "part").select("p_partkey", "p_name").join(line, "p_partkey", "left_semi")
+
+
+@query("""
+    WITH s AS (SELECT s_suppkey AS id FROM supplier WHERE s_nationkey = 3), o AS (SELECT DISTINCT l_orderkey AS id FROM lineitem WHERE l_suppkey IN (SELECT id FROM s)),
+    c AS (SELECT DISTINCT o_custkey AS id FROM orders WHERE o_orderkey IN (SELECT id FROM o))
+    SELECT 'nation' AS kind, '3' AS id UNION ALL SELECT 'supplier', id::VARCHAR FROM s UNION ALL SELECT 'order', id::VARCHAR FROM o UNION ALL SELECT 'customer', id::VARCHAR FROM c""")
+def revocation_impact(spark, sf):
+    link = lambda t, a, b: table(spark, sf, t).select(F.col(a).alias("src"), F.col(b).alias("dst"))
+    start = table(spark, sf, "nation").filter("n_nationkey = 3").select(F.col("n_nationkey").alias("id"))
+    return joins.revocation_closure(start, [(link("supplier", "s_nationkey", "s_suppkey"), "nation", "supplier"), (link("lineitem", "l_suppkey", "l_orderkey"), "supplier", "order"), (link("orders", "o_orderkey", "o_custkey"), "order", "customer")])
+
+
+@query("SELECT o_orderkey, o_orderstatus FROM orders")
+def incremental_merge(spark, sf):
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    return joins.merge(o.filter("o_orderkey % 2 = 0 or o_orderkey % 3 = 0"), o.filter("o_orderkey % 2 = 1 or o_orderkey % 3 = 0"), "o_orderkey")
+
+
+@query("WITH p AS (SELECT p_brand, p_size // 10 AS size, p_partkey, p_partkey % 2 = 0 AS t, row_number() OVER (PARTITION BY p_brand, p_size // 10, p_partkey % 2 ORDER BY p_partkey) AS n FROM part) SELECT a.p_brand, a.size, a.p_partkey AS target, b.p_partkey AS control FROM p a JOIN p b ON a.p_brand = b.p_brand AND a.size = b.size AND a.n = b.n AND a.t AND NOT b.t")
+def matched_pairs(spark, sf):
+    p = table(spark, sf, "part").select("p_brand", F.expr("cast(p_size div 10 as int)").alias("size"), "p_partkey")
+    return joins.matched_pairs(p, ["p_brand", "size"], F.col("p_partkey") % 2 == 0, "p_partkey")
+
+
+@query("WITH e AS (SELECT n_nationkey AS id, row_number() OVER (ORDER BY n_nationkey) - 1 AS i FROM nation) SELECT s.slot, e.id FROM range(200) s(slot) JOIN e ON s.slot % (SELECT count(*) FROM e) = e.i")
+def batch_schedule_cycle(spark, sf):
+    return recipes.cycle(table(spark, sf, "nation").select(F.col("n_nationkey").alias("id")), "id", 200)
+
+
+@query("SELECT event_id, sum((value * 100)::BIGINT) OVER w <= 10000 AND count(*) OVER w <= 8 AS allowed FROM (SELECT event_id, user_id, ts, round(value) / 100 AS value FROM events) WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)")
+def running_budget(spark, sf):
+    e = table(spark, sf, "events").select("event_id", "user_id", "ts", F.round("value").cast("long").alias("cost"), F.lit(1).alias("calls"))
+    return trajectory.within_budget(e, "user_id", ["ts", "event_id"], {"cost": 10000, "calls": 8}).select("event_id", "allowed")
+
+
+@query("SELECT conv_id, CASE WHEN count(*) <= 9 THEN 'short' WHEN count(*) <= 15 THEN 'medium' ELSE 'long' END AS length_bin, least(count(*) FILTER (role = 'assistant'), 3) AS depth, bool_or(text LIKE '%the%') AS tagged FROM conversations GROUP BY conv_id")
+def recipe_profile(spark, sf):
+    c = table(spark, sf, "conversations").groupBy("conv_id").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("role") == "assistant").alias("a"), F.array_join(F.collect_list("text"), "\n").alias("t"))
+    return c.select("conv_id", text.length_bin(F.col("n")).alias("length_bin"), F.least("a", F.lit(3)).alias("depth"), (F.size(text.tags(F.col("t"), {"the": "CONSTRAINT_FAILURE"})) > 0).alias("tagged"))
+
+
+@query("SELECT doc_id FROM documents WHERE lower(text) LIKE '%license%' OR lower(text) LIKE '%token%'")
+def keyword_search(spark, sf):
+    return table(spark, sf, "documents").filter(text.matches_any_word(F.col("text"), "License token no-such")).select("doc_id")
+
+
+@query("SELECT event_id, (props->>'$.k')::BIGINT AS k FROM events")
+def json_field_extract(spark, sf):
+    return table(spark, sf, "events").select("event_id", text.json_or_null(F.col("props"), "k bigint")["k"].alias("k"))
+
+
+@query("SELECT l_orderkey, l_linenumber, (l_quantity::DECIMAL(18,2) * l_extendedprice::DECIMAL(18,2))::DOUBLE AS product, (l_quantity::DECIMAL(18,2) + l_extendedprice::DECIMAL(18,2) + 1)::DOUBLE AS total, l_quantity::DECIMAL(18,2) = l_extendedprice::DECIMAL(18,2) AS same FROM lineitem")
+def tool_arithmetic(spark, sf):
+    q, p = (F.col(c).cast("decimal(18,2)").cast("string") for c in ("l_quantity", "l_extendedprice"))
+    return table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", numeric.fold_decimals("MULTIPLY", F.array(q, p)).cast("double").alias("product"), numeric.fold_decimals("ADD", F.array(q, p, F.lit("1"))).cast("double").alias("total"), numeric.decimal_equal(q, p).alias("same"))
+
+
+@query("SELECT p_partkey, (p_size * 1000.0)::DOUBLE AS metres, NULL::DOUBLE AS none FROM part")
+def tool_conversion(spark, sf):
+    s = F.col("p_size").cast("string")
+    return table(spark, sf, "part").select("p_partkey", numeric.convert_units(s, F.lit("km"), F.lit("m")).cast("double").alias("metres"), numeric.convert_units(s, F.lit("km"), F.lit("kg")).cast("double").alias("none"))
+
+
+@query("SELECT conv_id AS example_id, role, sum(strlen(text))::BIGINT AS content_tokens, sum(CASE WHEN role = 'assistant' THEN strlen(text) + 1 ELSE 0 END)::BIGINT AS loss_tokens FROM conversations GROUP BY 1, 2")
+def sft_mask_counts(spark, sf):
+    return sft.role_counts(table(spark, sf, "conversations").select(F.col("conv_id").alias("example_id"), "role", F.col("text").alias("content")))
+
+
+@query("SELECT conv_id AS example_id, sum(strlen(role) + strlen(text) + 3)::BIGINT AS tokens, coalesce(sum(strlen(text) + 1) FILTER (role = 'assistant'), 0)::BIGINT AS loss FROM conversations WHERE role <> 'system' GROUP BY 1")
+def sft_rendered(spark, sf):
+    m = table(spark, sf, "conversations").filter("role <> 'system'").select(F.col("conv_id").alias("example_id"), F.col("turn").alias("seq"), "role", F.col("text").alias("content"))
+    return sft.render(m).select("example_id", F.size("input_ids").cast("long").alias("tokens"), F.size(F.filter("loss_mask", lambda x: x)).cast("long").alias("loss"))
+
+
+@query("SELECT p_partkey, CASE WHEN p_size % 5 <> 0 THEN p_size % 5 END AS start FROM part")
+def subsequence_span(spark, sf):
+    k = F.col("p_size") % 5
+    hay = F.when(k == 0, F.array(*map(F.lit, (1, 2, 1, 2, 0, 0)))).otherwise(F.concat(F.array_repeat(F.lit(0), k), F.array(F.lit(1), F.lit(2)), F.array(F.lit(0))))
+    return table(spark, sf, "part").select("p_partkey", text.span_start(hay, F.array(F.lit(1), F.lit(2))).alias("start"))
+
+
+@query()
+def bootstrap_ci(spark, sf):
+    groups = _labelled(spark, sf).filter("quality is not null").groupBy(F.col("source").alias("group")).agg((F.avg("quality") - F.avg("toxic")).alias("difference"))
+    return numeric.bootstrap_interval(spark, groups)
+
+
+@query("SELECT 'dev-' || lpad(i::VARCHAR, 3, '0') AS task_id, ['lookup', 'conversion', 'comparison'][i % 3 + 1] AS family, 'dev-group-' || lpad((i % 20)::VARCHAR, 3, '0') AS group_id, i % 19 + 2 AS operand, i % 7 = 0 AS recovery_condition, ((i % 19 + 2) * (i % 5 + 1))::VARCHAR AS expected_value FROM range(200) t(i)")
+def generated_suite(spark, sf):
+    return generators.tool_suite(spark, "dev").drop("split")
+
+
+@query("SELECT p_partkey FROM part ORDER BY sha256('7|' || p_partkey), p_partkey LIMIT 100")
+def topk_review_queue(spark, sf):
+    return dedup.seeded_sample(table(spark, sf, "part").select("p_partkey"), 100, 7, "p_partkey").select("p_partkey")
+
+
+@query("SELECT 'orders' AS name, count(*) AS n FROM orders UNION ALL SELECT 'lineitem', count(*) FROM lineitem UNION ALL SELECT 'documents', count(*) FROM documents UNION ALL SELECT 'events', count(*) FROM events")
+def source_audit_profile(spark, sf):
+    rows = [table(spark, sf, t).agg(F.lit(t).alias("name"), F.count(F.lit(1)).alias("n")) for t in ("orders", "lineitem", "documents", "events")]
+    return rows[0].union(rows[1]).union(rows[2]).union(rows[3])
+
+
+@query("WITH t AS (SELECT source, count(*) AS n, count(quality) AS k, max(quality) AS best FROM " + _LABELLED + " GROUP BY source) SELECT sum(k) / sum(n) AS computable_rate, count(*) FILTER (n = k AND best = 0) / nullif(count(*) FILTER (n = k), 0) AS all_zero_rate FROM t")
+def reward_accounting(spark, sf):
+    return reports.reward_accounting(_labelled(spark, sf).select(F.col("source").alias("task_id"), F.col("quality").cast("double").alias("total_reward")))
+
+
+@query("SELECT o_orderpriority AS resource_kind, sum(o_custkey)::BIGINT AS spent, max(o_orderkey)::BIGINT AS stop, sum(o_custkey) < max(o_orderkey) AS allowed FROM orders GROUP BY 1")
+def resource_spend(spark, sf):
+    o = table(spark, sf, "orders").withColumn("resource_kind", F.col("o_orderpriority"))
+    return reports.spend(o.select("resource_kind", F.col("o_custkey").alias("cost_cny_fen")), o.select("resource_kind", F.col("o_orderkey").alias("stop_limit_fen")))
+
+
+@query("SELECT bool_and(o_totalprice > 0) AS positive, bool_and(o_orderstatus IN ('F', 'O', 'P')) AS status, bool_and(o_custkey % 2 = 0) AS even, bool_and(o_totalprice > 0) AND bool_and(o_orderstatus IN ('F', 'O', 'P')) AND bool_and(o_custkey % 2 = 0) AS passed FROM orders")
+def assertion_suite(spark, sf):
+    return reports.assertions(table(spark, sf, "orders"), positive=F.col("o_totalprice") > 0, status=F.col("o_orderstatus").isin("F", "O", "P"), even=F.col("o_custkey") % 2 == 0)
+
+
+@query("SELECT e.event_id, 'known_iff_value' AS rule FROM events e WHERE (event_id % 4 = 0) <> (event_id % 3 = 0)")
+def record_violations(spark, sf):
+    e = table(spark, sf, "events").select("event_id", F.when(F.col("event_id") % 4 == 0, "KNOWN").otherwise("UNKNOWN").alias("availability"), F.when(F.col("event_id") % 3 == 0, 1.0).alias("total_reward"))
+    return decisions.violations(e, "rewards").select("event_id", "rule")
+
+
+@query("SELECT (date_trunc('hour', ts)) AS start, event_type, count(*) AS events FROM events GROUP BY 1, 2")
+def windowed_event_counts(spark, sf):
+    e = table(spark, sf, "events")
+    return e.groupBy(F.window("ts", "1 hour").alias("w"), "event_type").agg(F.count(F.lit(1)).alias("events")).select(F.col("w.start").alias("start"), "event_type", "events")
+
+
+@query("SELECT source, count(*) AS imported, count(quality) AS reviewed, count(*) FILTER (outcome = 'PASS') AS accepted, count(*) FILTER (outcome = 'PASS') / count(*) AS retention FROM " + _LABELLED + " GROUP BY source")
+def stage_retention(spark, sf):
+    n = F.count(F.lit(1))
+    return _labelled(spark, sf).groupBy("source").agg(n.alias("imported"), F.count("quality").alias("reviewed"), F.count_if(F.col("outcome") == "PASS").alias("accepted"), (F.count_if(F.col("outcome") == "PASS") / n).alias("retention"))

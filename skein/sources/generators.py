@@ -17,13 +17,23 @@ def public_tasks(suite: DataFrame) -> DataFrame:
     return suite.drop("expected_value", "expected_unit")
 
 
-def pilot_tasks(spark: SparkSession, facts: DataFrame, count: int = 100) -> DataFrame:
-    """Pilot tasks in three families: the n-th of a family takes fact n modulo the facts and template n modulo 5."""
+#: The pilot's families in order, and how many tasks each has.
+PILOT_FAMILIES = (("lookup", 34), ("calculation_conversion", 33), ("cross_document_comparison", 33))
+
+
+def pilot_tasks(spark: SparkSession, facts: DataFrame) -> DataFrame:
+    """The pilot's tasks, family after family: task i takes fact i modulo the facts, the n-th of a family template n modulo 5.
+
+    Comparisons belong to the source groups of both facts, the companion's too where facts has it.
+    """
     ranked = facts.selectExpr("*", "row_number() over (order by document_id) - 1 as f")  # a config's facts
-    n = facts.count()
-    i = F.col("id")
-    base = spark.range(count).select(F.concat(F.lit("pilot-"), F.lpad(i.cast("string"), 3, "0")).alias("task_id"), F.element_at(F.array(*map(F.lit, ("lookup", "conversion", "comparison"))), (i % 3 + 1).cast("int")).alias("task_family"), F.floor(i / 3).alias("occurrence"), (i % n).alias("f"))
-    return base.join(F.broadcast(ranked), "f").select("task_id", "task_family", F.concat_ws("-", "task_family", (F.col("occurrence") % 5).cast("string")).alias("template_root"), F.array("source_group_id").alias("source_groups"), F.array().cast("array<string>").alias("related_task_ids"), "document_id")
+    starts = [sum(n for _, n in PILOT_FAMILIES[:k]) for k in range(len(PILOT_FAMILIES))]
+    family, first = F.lit(PILOT_FAMILIES[0][0]), F.lit(0)
+    for (name, _), at in zip(PILOT_FAMILIES[1:], starts[1:], strict=True):
+        family, first = F.when(F.col("id") >= at, name).otherwise(family), F.when(F.col("id") >= at, at).otherwise(first)
+    base = spark.range(sum(n for _, n in PILOT_FAMILIES)).select(F.concat(F.lit("pilot-"), F.lpad((F.col("id") + 1).cast("string"), 3, "0")).alias("task_id"), family.alias("task_family"), (F.col("id") - first).alias("occurrence"), (F.col("id") % facts.count()).alias("f"))
+    other = F.when(F.col("task_family") == PILOT_FAMILIES[-1][0], F.col("companion_source_group_id") if "companion_source_group_id" in facts.columns else F.lit(None).cast("string"))
+    return base.join(F.broadcast(ranked), "f").select("task_id", "task_family", F.concat(F.col("task_family"), F.lit("-template-"), (F.col("occurrence") % 5).cast("string")).alias("template_root"), F.array_compact(F.array(F.col("source_group_id"), other)).alias("source_groups"), F.array().cast("array<string>").alias("related_task_ids"), "document_id")
 
 
 def fixed_attempts(tasks: DataFrame, repetitions: int = 2) -> DataFrame:
