@@ -23,6 +23,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skein.llm.chunks import arrow_map
+
 VOCABULARY = "byte_bpe_50k.tiktoken"
 #: For texts below U+0180 the built-in engine gives the same pieces, faster: the letters and numbers there.
 _LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ſ"
@@ -204,4 +206,4 @@ def bpe_encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             cols = [b.column(0), pa.array(n, pa.int64()), pa.array(ids_sum, pa.string()), pa.array(text_sum, pa.string())]
             yield pa.RecordBatch.from_arrays(cols + [pa.array(lists, pa.list_(pa.int32()))] * keep_ids, ["k", "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * keep_ids)
 
-    return docs.select(F.col(f"`{id_col}`").alias("k"), F.col(f"`{text_col}`").cast("string").alias("t")).mapInArrow(run, f"k {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * keep_ids).withColumnRenamed("k", id_col)
+    return arrow_map(docs.select(F.col(f"`{id_col}`").alias("k"), F.col(f"`{text_col}`").cast("string").alias("t")), run, f"k {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * keep_ids).withColumnRenamed("k", id_col)

@@ -15,6 +15,17 @@ from pyspark.sql import DataFrame
 from skein.storage import make_dir, materialize, open_fs, scratch
 
 CHUNK_BYTES = 8 << 20
+BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "4m"
+
+Batches = Iterator[pa.RecordBatch]
+
+
+def arrow_map(df: DataFrame, f: Callable[[Batches], Batches], schema: str) -> DataFrame:
+    """df.mapInArrow in batches of at most BATCH_BYTES (or one longer row), unless the session sets a size of its own."""
+    conf = df.sparkSession.conf
+    if BATCH not in conf.getAll:
+        conf.set(BATCH, BATCH_BYTES)
+    return df.mapInArrow(f, schema)
 
 
 def write_chunks(df: DataFrame, name: str, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
@@ -45,7 +56,7 @@ def write_chunks(df: DataFrame, name: str, chunk_bytes: int = CHUNK_BYTES) -> Da
         if size or held:
             yield flush()
 
-    return materialize(df.mapInArrow(dump, "chunk string, rows long"), f"{name}-manifest")
+    return materialize(arrow_map(df, dump, "chunk string, rows long"), f"{name}-manifest")
 
 
 def spread(manifest: DataFrame, most: int = 100_000) -> DataFrame:
@@ -83,4 +94,4 @@ def map_chunks(manifest: DataFrame, f: Callable[[str], Iterator[pa.RecordBatch]]
             for uri in b.column("chunk").to_pylist():
                 yield from f(uri)
 
-    return spread(manifest).mapInArrow(run, schema)
+    return arrow_map(spread(manifest), run, schema)

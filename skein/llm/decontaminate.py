@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skein.llm.chunks import arrow_map
 from skein.llm.words import LOWER, PUNCT, all_words, gram_hashes, gram_mask
 
 WIDTH, THRESHOLD, MISS = 5, 0.8, 1e-7
@@ -133,7 +134,7 @@ def contained_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", t
             sets = shingle_sets(texts, width, True)
             counts = all_words(texts, PUNCT, LOWER)[1]
         shared = spark.sparkContext.broadcast([(r["i"], r["t"], int(min(width, max(c, 1))), u) for r, u, c in zip(got, sets, counts, strict=True)])
-        found.append(rows.mapInArrow(search(shared), f"k {kind}, i {item_kind}, n_item long, n_shared long, containment double"))
+        found.append(arrow_map(rows, search(shared), f"k {kind}, i {item_kind}, n_item long, n_shared long, containment double"))
     return reduce(DataFrame.union, found).toDF(id_col, item_col, "n_item", "n_shared", "containment")
 
 

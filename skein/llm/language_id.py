@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skein.llm.chunks import arrow_map
+
 #: The bound of the training sample: about this many rows of each language; at most LANGUAGES languages, the most frequent.
 SAMPLE, LANGUAGES, WIDTH = 500, 200, 1 << 12
 UND = "und"
@@ -129,7 +131,7 @@ def train(docs: DataFrame, predicate: str, text_col: str = "text", lang_col: str
                 places = [np.flatnonzero(r).astype(np.int32) for r in x[ok]]
                 yield pa.RecordBatch.from_arrays([part.column(0).filter(pa.array(ok)), pa.array([p.tobytes() for p in places], pa.binary()), pa.array([r[p].tobytes() for r, p in zip(x[ok], places, strict=True)], pa.binary())], ["lang", "places", "values"])
 
-    found = picked.mapInArrow(run, "lang string, places binary, values binary").collect()
+    found = arrow_map(picked, run, "lang string, places binary, values binary").collect()
     found.sort(key=lambda r: (r["lang"], r["places"], r["values"]))
     x = np.zeros((len(found), WIDTH), np.float32)
     for i, r in enumerate(found):
@@ -159,5 +161,5 @@ def identify(docs: DataFrame, model: EcocModel | None, text_col: str = "text", a
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array(pred, pa.string()), pa.array(score.astype(float)), pa.array(doubt)], [*(n for n, _ in fields), "lang_pred", "score", "lang_ambiguous"])
 
     schema = ", ".join([*(f"{n} {t}" for n, t in fields), "lang_pred string, score double, lang_ambiguous boolean"])
-    out = docs.toDF(*(n for n, _ in fields)).mapInArrow(run, schema)
+    out = arrow_map(docs.toDF(*(n for n, _ in fields)), run, schema)
     return out.toDF(*names, *(c if c not in names else f"{c}_id" for c in ("lang_pred", "score", "lang_ambiguous")))

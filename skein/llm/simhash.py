@@ -19,6 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skein.llm.chunks import arrow_map
 from skein.operators.graph import connected_components
 from skein.storage import materialize
 
@@ -161,7 +162,7 @@ def link_fingerprints(fps: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS
     part = F.pmod(F.xxhash64("fp"), F.col("n")).cast("int")
     meets = F.when(F.col("n").isNull(), F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j")))).otherwise(F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda x: F.struct(F.least(x, part).alias("i"), F.greatest(x, part).alias("j"))))
     grouped = spread.select("fp", "table", "key", F.explode(meets).alias("m")).groupBy("table", "key", "m.i", "m.j").agg(F.collect_list("fp").alias("fps"))
-    return grouped.filter(F.size("fps") > 1).select("fps").mapInArrow(_bucket_links(radius), "src long, dst long")
+    return arrow_map(grouped.filter(F.size("fps") > 1).select("fps"), _bucket_links(radius), "src long, dst long")
 
 
 def simhash_near_dups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS) -> DataFrame:
@@ -178,7 +179,7 @@ def simhash_near_dups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
             fps = np.fromiter((fingerprint(x.as_py()) for x in b.column(1)), np.uint64, b.num_rows)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], ["k", "fp"])
 
-    prints = materialize(docs.select(F.col(f"`{id_col}`").alias("k"), F.col(f"`{text_col}`").cast("string").alias("t")).mapInArrow(run, f"k {kind}, fp long"), "simhash")
+    prints = materialize(arrow_map(docs.select(F.col(f"`{id_col}`").alias("k"), F.col(f"`{text_col}`").cast("string").alias("t")), run, f"k {kind}, fp long"), "simhash")
     distinct = materialize(prints.groupBy("fp").agg(F.min("k").alias("least")), "simhash-distinct")
     components = connected_components(link_fingerprints(distinct.select("fp"), radius))
     named = distinct.join(components.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("component", "fp").alias("c"))

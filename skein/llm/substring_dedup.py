@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skein.llm.chunks import groups, map_chunks, read_chunk, write_chunks
+from skein.llm.chunks import arrow_map, groups, map_chunks, read_chunk, write_chunks
 from skein.llm.words import all_words, gram_hashes, gram_mask, pieces, scan, shard
 from skein.storage import materialize, plan_bytes, shuffle_partitions
 
@@ -99,7 +99,7 @@ def relative_lz_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
             yield pa.RecordBatch.from_pydict({"chunk": [r["chunk"] for r in found], "block": pa.array([k] * len(found), pa.int32()), "hits": [np.packbits(hit[a:b]).tobytes() for a, b in zip(ends, ends[1:], strict=False)]})
 
     looked = map_chunks(manifest, look_up, "chunk string, block int, hashes binary, places binary, ids binary")
-    hits = materialize(looked.repartition(shuffle_partitions(spark), "block").sortWithinPartitions("block").mapInArrow(in_block, "chunk string, block int, hits binary"), "rlz-hits")
+    hits = materialize(arrow_map(looked.repartition(shuffle_partitions(spark), "block").sortWithinPartitions("block"), in_block, "chunk string, block int, hits binary"), "rlz-hits")
 
     kinds = {f.name: f.dataType for f in docs.schema.fields}
     schema = ", ".join([*(f"{n} {kinds[c].simpleString()}" for c, n in names.items() if c != text_col), "n_words long, n_removed long, spans array<struct<start: int, end: int>>, kept_text string"])
@@ -160,7 +160,7 @@ def relative_lz_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     every = manifest.select("chunk", F.lit(None).cast("int").alias("block"), F.lit(None).cast("binary").alias("hits"))
     ready = hits.unionByName(every)  # a chunk without any window is parsed as well
-    parsed = ready.repartition(max(1, min(100_000, max(manifest.count(), shuffle_partitions(spark)))), "chunk").sortWithinPartitions("chunk").mapInArrow(parse, schema)
+    parsed = arrow_map(ready.repartition(max(1, min(100_000, max(manifest.count(), shuffle_partitions(spark)))), "chunk").sortWithinPartitions("chunk"), parse, schema)
     result = ["n_words", "n_removed", "spans", "kept_text"]
     free = {c: c + "_" * sum(x.rstrip("_") == c for x in carry) for c in result}
     return parsed.select(*((F.col("kept_text").alias(c) if c == text_col else F.col(names[c]).alias(c)) for c in carry), *(F.col(c).alias(f) for c, f in free.items()))

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skein.llm.bpe import encoder
+from skein.llm.chunks import arrow_map
 from skein.storage import make_dir, materialize, open_fs, scratch
 
 SEPARATOR, BLOCK_BYTES, FILE_BYTES, GROUP = 50_256, 4 << 20, 256 << 20, 1024
@@ -53,7 +54,7 @@ def write_token_files(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         if out is not None:
             out.close()
 
-    rows = docs.select(F.col(f"`{id_col}`").alias("k"), F.col(f"`{text_col}`").cast("string").alias("t")).mapInArrow(run, f"file string, ordinal long, k {kind}")
+    rows = arrow_map(docs.select(F.col(f"`{id_col}`").alias("k"), F.col(f"`{text_col}`").cast("string").alias("t")), run, f"file string, ordinal long, k {kind}")
     return materialize(rows, "token-manifest").withColumnRenamed("k", id_col)
 
 
