@@ -6,8 +6,10 @@ new name in each task attempt; the manifest, written once, names the files of th
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -20,12 +22,36 @@ BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "4m"
 Batches = Iterator[pa.RecordBatch]
 
 
+@lru_cache(maxsize=1)
+def _libc() -> ctypes.CDLL | None:
+    """The C library, told to hand blocks of 1 MB or more back as soon as they are free; None where it isn't glibc."""
+    try:
+        libc = ctypes.CDLL("libc.so.6")
+        libc.mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD
+    except (OSError, AttributeError):
+        return None
+    return libc
+
+
+def give_back() -> None:
+    """Return freed memory to the system, as Python workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    if (libc := _libc()) is not None:
+        libc.malloc_trim(0)
+
+
 def arrow_map(df: DataFrame, f: Callable[[Batches], Batches], schema: str) -> DataFrame:
-    """df.mapInArrow in batches of at most BATCH_BYTES (or one longer row), unless the session sets a size of its own."""
+    """df.mapInArrow in batches of at most BATCH_BYTES (or one longer row), unless the session sets a size of its own. Memory is given back after each task."""
     conf = df.sparkSession.conf
     if BATCH not in conf.getAll:
         conf.set(BATCH, BATCH_BYTES)
-    return df.mapInArrow(f, schema)
+
+    def run(batches: Batches) -> Batches:
+        give_back()
+        yield from f(batches)
+        give_back()
+
+    return df.mapInArrow(run, schema)
 
 
 def write_chunks(df: DataFrame, name: str, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
@@ -93,5 +119,6 @@ def map_chunks(manifest: DataFrame, f: Callable[[str], Iterator[pa.RecordBatch]]
         for b in batches:
             for uri in b.column("chunk").to_pylist():
                 yield from f(uri)
+                give_back()
 
     return arrow_map(spread(manifest), run, schema)
