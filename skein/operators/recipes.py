@@ -53,7 +53,8 @@ def equal_schedule(examples: DataFrame, batch: int, steps: int, most: int) -> Da
     fit = examples.filter(F.size("input_ids") <= most).select("recipe", "demonstration_id", F.size(F.filter("loss_mask", lambda m: m)).alias("loss_tokens"))
     w = Window.partitionBy("recipe")
     ranked = fit.withColumn("i", F.row_number().over(w.orderBy("demonstration_id")) - 1).withColumn("n", F.count(F.lit(1)).over(w))
-    return ranked.withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(batch * steps - 1)))).filter(F.col("slot") % F.col("n") == F.col("i")).select("recipe", "slot", "demonstration_id", "loss_tokens")
+    total = F.lit(batch * steps)  # an example's slots are i, i + n, i + 2n ..., made without the slots of others
+    return ranked.filter(F.col("i") < total).withColumn("slot", F.explode(F.sequence(F.col("i").cast("long"), total.cast("long") - 1, F.col("n")))).select("recipe", "slot", "demonstration_id", "loss_tokens")
 
 
 def schedule_totals(schedule: DataFrame) -> DataFrame:

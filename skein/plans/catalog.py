@@ -333,3 +333,24 @@ def windowed_event_counts(spark, sf):
 def stage_retention(spark, sf):
     n = F.count(F.lit(1))
     return _labelled(spark, sf).groupBy("source").agg(n.alias("imported"), F.count("quality").alias("reviewed"), F.count_if(F.col("outcome") == "PASS").alias("accepted"), (F.count_if(F.col("outcome") == "PASS") / n).alias("retention"))
+
+
+@query("SELECT conv_id::VARCHAR AS record_id, CASE WHEN count(*) FILTER (role = 'assistant') = 0 THEN 'MISSING_ANSWER' END AS reason, count(*) AS events, count(*) FILTER (role = 'assistant') AS outputs, sha256(arg_max(text, turn) FILTER (role = 'assistant')) AS answer_sha256 FROM conversations GROUP BY conv_id")
+def history_import(spark, sf):
+    turns = F.array_sort(F.collect_list(F.struct("turn", "role", "text")))
+    message = lambda m: F.struct(m.role.alias("role"), m.text.alias("content"), F.lit(None).alias("tool_calls"), F.lit(None).alias("tool_call_id")).cast(trajectory.MESSAGE)
+    h = table(spark, sf, "conversations").groupBy(F.col("conv_id").cast("string").alias("id")).agg(F.transform(turns, message).alias("messages"))
+    done = trajectory.import_histories(h.select("id", F.lit(None).cast("string").alias("uuid"), "messages", F.lit("[]").alias("tools")))
+    return done.select("record_id", "reason", F.size("events").cast("long").alias("events"), F.size(F.filter("events", lambda e: e.event_type == "MODEL_OUTPUT")).cast("long").alias("outputs"), F.sha2(F.col("answer.content"), 256).alias("answer_sha256"))
+
+
+@query("WITH e AS (SELECT p_brand AS recipe, p_size, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) - 1 AS i, count(*) OVER (PARTITION BY p_brand) AS n FROM part WHERE p_size <= 40) SELECT recipe, sum(p_size)::BIGINT AS loss_tokens, count(*) AS slots FROM e JOIN range(64) t(slot) ON slot % n = i GROUP BY recipe")
+def equal_schedule_totals(spark, sf):
+    e = table(spark, sf, "part").select(F.col("p_brand").alias("recipe"), F.col("p_partkey").alias("demonstration_id"), F.array_repeat(F.lit(1), F.col("p_size")).alias("input_ids"), F.array_repeat(F.lit(True), F.col("p_size")).alias("loss_mask"))
+    return recipes.schedule_totals(recipes.equal_schedule(e, 8, 8, 40))
+
+
+@query("SELECT r.event_id FROM events r WHERE r.event_type = 'purchase' AND NOT EXISTS (SELECT 1 FROM events c WHERE c.event_type = 'click' AND c.user_id = r.user_id AND c.event_id % 7 = r.event_id % 7)")
+def orphan_tool_results(spark, sf):
+    e = table(spark, sf, "events").select("event_id", F.col("user_id").alias("attempt_id"), (F.col("event_id") % 7).alias("tool_call_id"), F.when(F.col("event_type") == "click", "TOOL_CALL").when(F.col("event_type") == "purchase", "TOOL_RESULT").alias("event_type"))
+    return trajectory.orphan_links(e).select("event_id")
