@@ -1,13 +1,14 @@
-"""LM scoring: a smoothed bigram model whose counts sit in a log-frequency Bloom filter that is broadcast to workers.
+"""LM scoring: a smoothed bigram model whose counts sit in a log-frequency Bloom filter, a segment a bucket of bigrams.
 
 Counts are quantised to levels, level = 1 + floor(log_BASE(count)); a bigram of level L is put into the filter as the keys
-(bigram, 1) .. (bigram, L). A worker probes level after level until one is missing and takes the least count of the last
-level found. The filter has FILTER_BITS bits whatever the corpus: it holds the bigrams of the HOT most frequent words, and
-of these the levels from the lowest cut-off on at which the false positive rate stays low. All words, however rare, have
-their exact counts: those are summed over the whole corpus in hash buckets and sent back to the chunks that asked.
+(bigram, 1) .. (bigram, L). A reader probes level after level until one is missing and takes the least count of the last
+level found. Every bigram of the training rows is in the filter, from level 1 on: bigrams are 64-bit hashes of both words,
+dealt to buckets, and a bucket's segment has BITS_A_KEY bits for each of its measured keys. Chunks send their bigrams to the
+buckets and get levels back, so that a task holds one segment at a time. Words have their exact counts, which are summed over the
+whole corpus in hash buckets and sent back in the same way.
 
 log10 P(w | h) = log10((c'(h, w) + T(h) P0(w)) / (c(h) + T(h))), with T(h) the number of different successors of h (Witten
-and Bell) and P0 the additive unigram estimate; a word after a rare word has P0 alone.
+and Bell) and P0 the additive unigram estimate; a word after a word that was never learned has P0 alone.
 """
 
 from __future__ import annotations
@@ -25,12 +26,12 @@ from skein.llm.chunks import groups, map_chunks, read_chunk, spread, write_chunk
 from skein.llm.words import LOWER, SPACE, all_words, mix, shard
 from skein.storage import materialize, plan_bytes, shuffle_partitions
 
-HOT = 65_534
 BASE = 1.5
-FILTER_BITS = 1 << 27
+FILTER_BITS = 1 << 27  # of a filter whose size isn't given
 PROBES = 5
 BITS_A_KEY = 8
 END = np.uint64(0x0A)  # no word has this hash but by chance
+_SECOND = np.uint64(0x9E3779B97F4A7C1B)  # what the second word of a bigram counts in its key
 ADD = 0.1
 #: Text a task holds at a time; its tokens take some thirty times as much while they are scored.
 CHUNK_BYTES = 8 << 20
@@ -92,14 +93,14 @@ def _tokens(uri: str):
     return table, out, counts + 1
 
 
-def lm_score(docs: DataFrame, train: DataFrame | str = "true", id_col: str = "doc_id", text_col: str = "text", hot: int = HOT, filter_bits: int = FILTER_BITS) -> DataFrame:
+def lm_score(docs: DataFrame, train: DataFrame | str = "true", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id_col, held_out, n_tokens, n_known, train_tokens, base_score, score) of each row.
 
     train: a SQL predicate; rows for which it is true are learned from, all others (also where it is null) are held out. A
     null text is empty and has the one token END. Rows repeated in the table count as often as they stand there. With no
     training rows, train_tokens is 0 and both scores are those of a vocabulary of the one unknown word. Other columns take
-    no part. Learning gathers counts of all words and of all bigrams of frequent words; at most `hot` words, one filter
-    and two counts for each hot word come to the driver.
+    no part. Learning gathers counts of all words and of all bigrams. Bigrams are dealt by their first word, those of a word
+    with more than a bucket's share of the tokens by both words; at most 64 words a bucket come to the driver for that.
     """
     spark = docs.sparkSession
     parts = shuffle_partitions(spark)
@@ -110,18 +111,16 @@ def lm_score(docs: DataFrame, train: DataFrame | str = "true", id_col: str = "do
     def sorted_words(uri: str):
         table, tok, counts = _tokens(uri)
         u, inverse = np.unique(tok, return_inverse=True)
-        return table, tok, counts, u, inverse, np.searchsorted(shard(u, buckets), np.arange(buckets + 1))
+        return table, counts, u, inverse, np.searchsorted(shard(u, buckets), np.arange(buckets + 1))
 
     def count_words(uri: str) -> Iterator[pa.RecordBatch]:
-        table, _, counts, u, inverse, ends = sorted_words(uri)
+        table, counts, u, inverse, ends = sorted_words(uri)
         train_row = np.repeat(table.column("train").to_numpy(zero_copy_only=False), counts)
         c = np.bincount(inverse[train_row], minlength=len(u)).astype(np.int64)
         for b in np.flatnonzero(np.diff(ends)):
             s = slice(ends[b], ends[b + 1])
             yield pa.RecordBatch.from_pydict({"chunk": [uri], "bucket": pa.array([int(b)], pa.int32()), "hashes": [u[s].tobytes()], "counts": [zlib.compress(c[s].tobytes(), 1)]})
 
-    quota = max(1, hot // buckets)
-
     def sum_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b, found in groups(batches, "bucket"):
             h = [np.frombuffer(r["hashes"], np.uint64) for r in found]
@@ -129,8 +128,7 @@ def lm_score(docs: DataFrame, train: DataFrame | str = "true", id_col: str = "do
             c = np.zeros(len(u), np.int64)
             np.add.at(c, inverse, np.concatenate([np.frombuffer(zlib.decompress(r["counts"]), np.int64) for r in found]))
             ends = np.cumsum([0, *map(len, h)])
-            top = np.lexsort((u, -c))[:quota]
-            top = top[c[top] > 0]
+            top = np.lexsort((u, -c))[:64]
             chunk = [r["chunk"] for r in found] + [None]
             sums = [zlib.compress(c[inverse[x:y]].tobytes(), 1) for x, y in zip(ends, ends[1:], strict=False)] + [None]
             last = lambda x: [None] * len(found) + [x]
@@ -141,99 +139,98 @@ def lm_score(docs: DataFrame, train: DataFrame | str = "true", id_col: str = "do
 
     words = map_chunks(manifest, count_words, "chunk string, bucket int, hashes binary, counts binary")
     sums = materialize(dealt(words, "bucket", parts).mapInArrow(sum_words, "chunk string, bucket int, sums binary, tokens long, words long, hot binary, hot_counts binary"), "lm-words")
-    per_bucket = sums.filter("chunk is null").select("tokens", "words", "hot", "hot_counts").collect()  # at most `hot` words in all, or one a bucket
+    per_bucket = sums.filter("chunk is null").select("tokens", "words", "hot", "hot_counts").collect()  # at most 64 words a bucket
     N, V = sum(r["tokens"] for r in per_bucket), sum(r["words"] for r in per_bucket)
-    hot_hash = np.frombuffer(b"".join(r["hot"] for r in per_bucket), np.uint64)
     hot_count = np.frombuffer(b"".join(r["hot_counts"] for r in per_bucket), np.int64)
-    by = np.argsort(hot_hash)
-    vocabulary = spark.sparkContext.broadcast((hot_hash[by], hot_count[by]))
-
-    def hot_numbers(tok: np.ndarray) -> np.ndarray:
-        """Number of each token among the hot words, -1 for others."""
-        h, _ = vocabulary.value
-        if not len(h):
-            return np.full(len(tok), -1, np.int64)
-        at = np.minimum(np.searchsorted(h, tok), len(h) - 1)
-        return np.where(h[at] == tok, at, -1)
-
-    def pairs(tok: np.ndarray, counts: np.ndarray, number_of: np.ndarray):
-        """Bigram key of each token with the one before it (END before the first of a text); where both are hot."""
-        end = hot_numbers(np.array([END]))[0]
-        before = np.r_[end, number_of[:-1]]
-        before[np.r_[0, np.cumsum(counts)[:-1]]] = end
-        ok = (before >= 0) & (number_of >= 0)
-        return before, (before.astype(np.uint64) << np.uint64(32)) | np.maximum(number_of, 0).astype(np.uint64), ok
-
-    segments = int(min(buckets, 4096))
+    #: Words whose bigrams are dealt by both words; this settles the bucket alone, not what is counted.
+    hot = np.sort(np.frombuffer(b"".join(r["hot"] for r in per_bucket), np.uint64)[hot_count * buckets > N])
+    shared_hot = spark.sparkContext.broadcast(hot)
+
+    def sorted_pairs(counts: np.ndarray, u: np.ndarray, inverse: np.ndarray):
+        """Distinct bigrams of a chunk (END is before the first word of a text), sorted by bucket and first word: their
+        keys, number of the first word in u, where each bucket ends; and the bigram of each token."""
+        head = np.r_[0, inverse[:-1]]
+        head[np.r_[0, np.cumsum(counts)[:-1]]] = np.searchsorted(u, END)
+        keys, first, pair = np.unique(mix(u[head] + u[inverse] * _SECOND), return_index=True, return_inverse=True)
+        head = head[first]
+        bucket = np.where(np.isin(u[head], shared_hot.value), shard(keys, buckets), shard(u[head], buckets))
+        by = np.lexsort((head, bucket))
+        place = np.empty(len(by), np.int64)
+        place[by] = np.arange(len(by))
+        return keys[by], head[by], np.searchsorted(bucket[by], np.arange(buckets + 1)), place[pair]
+
+    def runs(head: np.ndarray) -> np.ndarray:
+        """Where each run of equal numbers begins."""
+        return np.flatnonzero(np.r_[True, head[1:] != head[:-1]])
 
     def count_pairs(uri: str) -> Iterator[pa.RecordBatch]:
-        table, tok, counts = _tokens(uri)
-        u, inverse = np.unique(tok, return_inverse=True)
-        _, key, ok = pairs(tok, counts, hot_numbers(u)[inverse])
-        ok &= np.repeat(table.column("train").to_numpy(zero_copy_only=False), counts)
-        keys, c = np.unique(key[ok], return_counts=True)
-        seg = ((keys >> np.uint64(32)) % np.uint64(segments)).astype(np.uint16)
-        by = np.argsort(seg, kind="stable")
-        ends = np.searchsorted(seg[by], np.arange(segments + 1))
+        table, counts, u, inverse, _ = sorted_words(uri)
+        keys, head, ends, pair = sorted_pairs(counts, u, inverse)
+        c = np.bincount(pair[np.repeat(table.column("train").to_numpy(zero_copy_only=False), counts)], minlength=len(keys)).astype(np.int64)
         for b in np.flatnonzero(np.diff(ends)):
-            s = by[ends[b] : ends[b + 1]]
-            yield pa.RecordBatch.from_pydict({"bucket": pa.array([int(b)], pa.int32()), "keys": [zlib.compress(np.diff(keys[s], prepend=np.uint64(0)).tobytes(), 1)], "counts": [zlib.compress(c[s].astype(np.int64).tobytes(), 1)]})
+            s = slice(ends[b], ends[b + 1])
+            at = runs(head[s])
+            yield pa.RecordBatch.from_pydict({"chunk": [uri], "bucket": pa.array([int(b)], pa.int32()), "heads": [u[head[s][at]].tobytes()], "runs": [zlib.compress(np.diff(np.r_[at, ends[b + 1] - ends[b]]).tobytes(), 1)], "keys": [keys[s].tobytes()], "counts": [zlib.compress(c[s].tobytes(), 1)]})
 
-    def sum_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def answer_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b, found in groups(batches, "bucket"):
-            k = np.concatenate([np.cumsum(np.frombuffer(zlib.decompress(r["keys"]), np.uint64), dtype=np.uint64) for r in found])
-            u, inverse = np.unique(k, return_inverse=True)
+            heads = [np.frombuffer(r["heads"], np.uint64) for r in found]
+            keys = [np.frombuffer(r["keys"], np.uint64) for r in found]
+            ends = np.cumsum([0, *map(len, keys)])
+            u, first, inverse = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
+            head = np.concatenate([np.repeat(h, np.frombuffer(zlib.decompress(r["runs"]), np.int64)) for h, r in zip(heads, found, strict=True)])[first]
             c = np.zeros(len(u), np.int64)
             np.add.at(c, inverse, np.concatenate([np.frombuffer(zlib.decompress(r["counts"]), np.int64) for r in found]))
-            level = levels(c)
-            heads, kinds = np.unique(u >> np.uint64(32), return_counts=True)
-            yield pa.RecordBatch.from_pydict({"bucket": pa.array([b], pa.int32()), "keys": [u.tobytes()], "level": [level.astype(np.uint8).tobytes()], "sizes": [np.bincount(level, minlength=256).astype(np.int64).tobytes()], "heads": [heads.tobytes()], "kinds": [kinds.astype(np.int64).tobytes()]})
-
-    bigrams = materialize(dealt(map_chunks(manifest, count_pairs, "bucket int, keys binary, counts binary"), "bucket", parts).mapInArrow(sum_pairs, "bucket int, keys binary, level binary, sizes binary, heads binary, kinds binary"), "lm-bigrams")
-    size, kinds = np.zeros(256, np.int64), np.zeros(len(hot_hash), np.int64)
-    for r in bigrams.select("sizes", "heads", "kinds").collect():  # two numbers a hot word, 256 a segment
-        size += np.frombuffer(r["sizes"], np.int64)
-        kinds[np.frombuffer(r["heads"], np.uint64).astype(np.int64)] = np.frombuffer(r["kinds"], np.int64)
-    low, above = 1, np.cumsum(size[::-1])[::-1]  # above[j]: bigrams of level j or more
-    while above[low:].sum() * BITS_A_KEY > filter_bits:
-        low += 1
-
-    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for r in batch.to_pylist():
-                one = LogFrequencyBloom(segments, filter_bits, np.zeros((1, max(64, filter_bits // segments // 8 * 8) // 8), np.uint8))
-                one.add(0, np.frombuffer(r["keys"], np.uint64), np.frombuffer(r["level"], np.uint8).astype(np.int64), low)
-                yield pa.RecordBatch.from_pydict({"bucket": pa.array([r["bucket"]], pa.int32()), "bits": [one.data.tobytes()]})
-
-    bloom = LogFrequencyBloom(segments, filter_bits)
-    for r in bigrams.select("bucket", "keys", "level").mapInArrow(fill, "bucket int, bits binary").toLocalIterator():  # filter_bits in all
-        bloom.data[r["bucket"]] = np.frombuffer(r["bits"], np.uint8)
-    model = spark.sparkContext.broadcast((bloom.data, kinds))
+            learned = c > 0
+            level = levels(c[learned])
+            segment = LogFrequencyBloom(1, BITS_A_KEY * int(level.sum()))
+            segment.add(0, u[learned], level, 1)
+            level = segment.level(np.zeros(len(u), np.int64), u, 1).astype(np.uint8)
+            names, kinds = np.unique(head[learned], return_counts=True)
+
+            def kinds_of(h: np.ndarray) -> np.ndarray:
+                if not len(names):
+                    return np.zeros(len(h), np.int64)
+                at = np.minimum(np.searchsorted(names, h), len(names) - 1)
+                return np.where(names[at] == h, kinds[at], 0)
+
+            for r, h, x, y in zip(found, heads, ends, ends[1:], strict=False):
+                yield pa.RecordBatch.from_pydict({"chunk": [r["chunk"]], "bucket": pa.array([b], pa.int32()), "levels": [zlib.compress(level[inverse[x:y]].tobytes(), 1)], "kinds": [zlib.compress(kinds_of(h).tobytes(), 1)], "hot_kinds": pa.array([None], pa.list_(pa.int64()))})
+            yield pa.RecordBatch.from_pydict({"chunk": pa.array([None], pa.string()), "bucket": pa.array([b], pa.int32()), "levels": pa.array([None], pa.binary()), "kinds": pa.array([None], pa.binary()), "hot_kinds": pa.array([kinds_of(shared_hot.value).tolist()], pa.list_(pa.int64()))})
+
+    pairs = map_chunks(manifest, count_pairs, "chunk string, bucket int, heads binary, runs binary, keys binary, counts binary")
+    answers = materialize(dealt(pairs, "bucket", parts).mapInArrow(answer_pairs, "chunk string, bucket int, levels binary, kinds binary, hot_kinds array<long>"), "lm-bigrams")
+    #: Fewer hot words than buckets, as each has more than a bucket's share.
+    hot_kinds = np.zeros(len(hot), np.int64)
+    for r in answers.filter("chunk is null").select(F.posexplode("hot_kinds")).groupBy("pos").agg(F.sum("col").alias("n")).collect():
+        hot_kinds[r["pos"]] = r["n"]
+    shared_kinds = spark.sparkContext.broadcast(hot_kinds)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        data, kinds = model.value
-        bloom = LogFrequencyBloom(segments, filter_bits, data)
         for uri, found in groups(batches, "chunk"):
-            table, tok, counts, u, inverse, ends = sorted_words(uri)
-            c = np.zeros(len(u), np.int64)
+            table, counts, u, inverse, ends = sorted_words(uri)
+            keys, head, pair_ends, pair = sorted_pairs(counts, u, inverse)
+            c, kinds, level = np.zeros(len(u), np.int64), np.zeros(len(u), np.int64), np.zeros(len(keys), np.uint8)
             for r in found:
-                c[ends[r["bucket"]] : ends[r["bucket"] + 1]] = np.frombuffer(zlib.decompress(r["sums"]), np.int64)
-            p0 = (c + ADD) / (N + ADD * (V + 1))
-            before, key, ok = pairs(tok, counts, hot_numbers(u)[inverse])
-            p, pc = p0[inverse], np.zeros(len(tok))
-            k, at = np.unique(key[ok], return_inverse=True)
-            pc[ok] = least_count(bloom.level(((k >> np.uint64(32)) % np.uint64(segments)).astype(np.int64), k, low))[at]
-            known = before >= 0
-            h = before[known]
-            total = vocabulary.value[1][h].astype(float)
-            kind = np.maximum(kinds[h], 1).astype(float)
-            q = p.copy()
-            q[known] = (np.minimum(pc[known], total) + kind * p[known]) / (total + kind)
+                b = r["bucket"]
+                if r["sums"] is not None:
+                    c[ends[b] : ends[b + 1]] = np.frombuffer(zlib.decompress(r["sums"]), np.int64)
+                else:
+                    s = slice(pair_ends[b], pair_ends[b + 1])
+                    level[s] = np.frombuffer(zlib.decompress(r["levels"]), np.uint8)
+                    kinds[head[s][runs(head[s])]] = np.frombuffer(zlib.decompress(r["kinds"]), np.int64)
+            _, at, of = np.intersect1d(u, shared_hot.value, assume_unique=True, return_indices=True)
+            kinds[at] = shared_kinds.value[of]
+            p = ((c + ADD) / (N + ADD * (V + 1)))[inverse]
+            h = head[pair]
+            total, kind = c[h].astype(float), kinds[h].astype(float)
+            q = np.where(total > 0, (np.minimum(least_count(level.astype(np.int64))[pair], total) + kind * p) / np.maximum(total + kind, 1), p)
             at = np.r_[0, np.cumsum(counts)[:-1]]
             train_row = table.column("train").to_numpy(zero_copy_only=False)
             yield pa.RecordBatch.from_arrays([table.column("k").combine_chunks(), pa.array(~train_row), pa.array(counts, pa.int64()), pa.array(np.add.reduceat((c > 0)[inverse].astype(np.int64), at)), pa.array(np.full(len(counts), N), pa.int64()), pa.array(np.add.reduceat(np.log10(p), at)), pa.array(np.add.reduceat(np.log10(q), at))], ["k", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     kind = rows.schema["k"].dataType.simpleString()
-    answers = sums.filter("chunk is not null").select("chunk", "bucket", "sums")
+    none = F.lit(None).cast("binary")
+    replies = sums.filter("chunk is not null").select("chunk", "bucket", "sums", none.alias("levels"), none.alias("kinds")).union(answers.filter("chunk is not null").select("chunk", "bucket", none.alias("sums"), "levels", "kinds"))
     n = max(1, min(100_000, max(manifest.count(), parts)))
-    return dealt(answers, "chunk", n).mapInArrow(score, f"k {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double").withColumnRenamed("k", id_col)
+    return dealt(replies, "chunk", n).mapInArrow(score, f"k {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double").withColumnRenamed("k", id_col)

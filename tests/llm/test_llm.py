@@ -288,6 +288,39 @@ def test_lm(docs):
     assert lm_scoring.lm_score(empty(docs)).count() == 0 and lm_scoring.lm_score(docs, "false").first().train_tokens == 0
 
 
+def brute_lm(rows, held):
+    """Witten-Bell score of each row with every bigram's exact count, quantised to its level."""
+    tok = lambda t: [*(t or "").encode().lower().split(), None]
+    c, pair, after = Counter(), Counter(), defaultdict(set)
+    for i, t in rows:
+        if not held(i):
+            w = tok(t)
+            c.update(w)
+            pair.update(zip([None, *w], w, strict=False))
+            for a, b in zip([None, *w], w, strict=False):
+                after[a].add(b)
+    n, v, least = sum(c.values()), len(c), {}
+    for k in set(pair.values()) | {0}:
+        least[k] = float(lm_scoring.least_count(lm_scoring.levels(np.array([k])))[0]) if k else 0.0
+
+    def p(a, b):
+        p0 = (c[b] + 0.1) / (n + 0.1 * (v + 1))
+        return (min(least[pair[a, b]], c[a]) + len(after[a]) * p0) / (c[a] + len(after[a])) if c[a] else p0
+
+    return {i: sum(log10(p(a, b)) for a, b in zip([None, *tok(t)], tok(t), strict=False)) for i, t in rows}
+
+
+@pytest.mark.parametrize("distinct", [False, True])
+def test_lm_counts_every_bigram(spark, monkeypatch, distinct):
+    monkeypatch.setattr(lm_scoring, "BITS_A_KEY", 64)  # hardly a false positive, so that scores can be compared
+    rnd = random.Random(8)
+    rows = [(i, " ".join(f"a{j} b{j}" for j in range(i % 500 * 80, (i % 500 + 1) * 80)) if distinct else " ".join(f"w{int(rnd.paretovariate(0.6))}" for _ in range(rnd.randint(0, 60)))) for i in range(1000)]
+    want = brute_lm(rows, lambda i: zlib.crc32(str(i).encode()) % 10 == 0)
+    got = {r.doc_id: r.score for r in lm_scoring.lm_score(spark.createDataFrame(rows, "doc_id long, text string"), "crc32(cast(doc_id as string)) % 10 <> 0").collect()}
+    off = [abs(got[i] - want[i]) > 1e-6 for i in want]
+    assert len(got) == len(rows) and sum(off) < 0.02 * len(rows)
+
+
 def test_bloom_holds_its_levels():
     b = lm_scoring.LogFrequencyBloom(4, 1 << 16)
     keys, level = np.arange(500, dtype=np.uint64), np.arange(500) % 5 + 1
