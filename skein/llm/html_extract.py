@@ -115,21 +115,25 @@ def _dropped(node: Node) -> bool:
     return "hidden" in node.attrs.lower().split() or a.get("aria-hidden") == "true" or a.get("role") in _DROP_ROLE or any(_DROP_NAME.search(a[k]) for k in ("class", "id") if k in a)
 
 
-def _walk(node: Node, inside: bool, out: dict[int, int]) -> int:
-    """Hash of a subtree; out gets id(element) -> hash of those that may be template."""
-    inside |= node.tag in ("article", "main")
-    parts = [node.tag, node.attrs]
-    for x in node.items:
-        parts.append(x if isinstance(x, str) else f"{_walk(x, inside, out):x}")
-    h = xxhash.xxh64_intdigest("\x00".join(parts)) - (1 << 63)
-    if node.tag[0] != "#" and node.tag not in ("html", "head", "body", "article", "main") and not (inside and node.tag in _PROSE and not node.attrs) and node.items:
-        out[id(node)] = h
-    return h
+def _walk(root: Node, out: dict[int, int]) -> None:
+    """out gets id(element) -> hash of its subtree, for those that may be template."""
+    order, todo = [], [(root, False)]
+    while todo:
+        node, inside = todo.pop()
+        inside = inside or node.tag in ("article", "main")
+        order.append((node, inside))
+        todo += [(x, inside) for x in node.items if not isinstance(x, str)]
+    hashes: dict[int, int] = {}
+    for node, inside in reversed(order):  # an element comes after all it contains
+        parts = [node.tag, node.attrs, *(x if isinstance(x, str) else f"{hashes[id(x)]:x}" for x in node.items)]
+        h = hashes[id(node)] = xxhash.xxh64_intdigest("\x00".join(parts)) - (1 << 63)
+        if node.tag[0] != "#" and node.tag not in ("html", "head", "body", "article", "main") and not (inside and node.tag in _PROSE and not node.attrs) and node.items:
+            out[id(node)] = h
 
 
 def subtree_hashes(root: Node) -> dict[int, int]:
     out: dict[int, int] = {}
-    _walk(root, False, out)
+    _walk(root, out)
     return out
 
 
@@ -137,10 +141,14 @@ def main_text(root: Node, template: frozenset[int] | set[int] = frozenset()) ->
     """Text of what is left when template subtrees and elements that are not main text go."""
     hashes = subtree_hashes(root) if template else {}
 
-    def find(node: Node, out: list[Node]) -> list[Node]:
-        for x in node.items:
-            if not isinstance(x, str) and not _dropped(x) and hashes.get(id(x)) not in template:
-                out.append(x) if x.tag in ("article", "main") else find(x, out)
+    def find() -> list[Node]:
+        out, todo = [], [root]
+        while todo:
+            node = todo.pop()
+            if node.tag in ("article", "main"):
+                out.append(node)
+            else:
+                todo += [x for x in reversed(node.items) if not isinstance(x, str) and not _dropped(x) and hashes.get(id(x)) not in template]
         return out
 
     blocks: list[str] = []
@@ -153,46 +161,27 @@ def main_text(root: Node, template: frozenset[int] | set[int] = frozenset()) ->
             blocks.append(line)
 
     def gather(node: Node) -> None:
-        for x in node.items:
-            if isinstance(x, str):
+        todo: list[Node | str | None] = list(reversed(node.items))  # None ends a block
+        while todo:
+            x = todo.pop()
+            if x is None:
+                flush()
+            elif isinstance(x, str):
                 buffer.append(x)
             elif x.tag == "br":
                 buffer.append(" ")
             elif not _dropped(x) and hashes.get(id(x)) not in template:
                 if x.tag in _BLOCK:
                     flush()
-                    gather(x)
-                    flush()
-                else:
-                    gather(x)
+                    todo.append(None)
+                todo += reversed(x.items)
 
-    for node in find(root, []) or [root]:
+    for node in find() or [root]:
         gather(node)
         flush()
     return "\n".join(blocks)
 
 
-def _depth_safe(text: str) -> Node:
-    """Nesting is cut at 200: deeper elements lie flat inside the last, so that no page exhausts the stack."""
-    root = parse(text)
-    work = [(root, 0)]
-    while work:
-        node, depth = work.pop()
-        if depth >= 200:
-            flat: list = []
-            todo = list(reversed(node.items))
-            while todo:
-                x = todo.pop()
-                if isinstance(x, str) or _dropped(x):
-                    flat.append(x if isinstance(x, str) else " ")
-                else:
-                    todo += [" ", *reversed(x.items), " "] if x.tag in _BLOCK or x.tag == "br" else list(reversed(x.items))
-            node.items = flat
-        else:
-            work += [(x, depth + 1) for x in node.items if not isinstance(x, str)]
-    return root
-
-
 def host_of(url):
     """Host of a URL column in lower case; the empty string for null and for what is no URL."""
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
@@ -216,7 +205,7 @@ def site_templates(pages: DataFrame, url_col: str = "url", html_col: str = "html
                 h = host.as_py()
                 seen[h, None] += 1
                 if text.is_valid:
-                    seen.update((h, x) for x in set(subtree_hashes(_depth_safe(text.as_py())).values()))
+                    seen.update((h, x) for x in set(subtree_hashes(parse(text.as_py())).values()))
                 if len(seen) > 200_000:
                     yield out()
         yield out()
@@ -242,7 +231,7 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = [main_text(_depth_safe(h.as_py()), frozenset(t.as_py() or ())) if h.is_valid else "" for h, t in zip(b.column(2), b.column(3), strict=True)]
+            texts = [main_text(parse(h.as_py()), frozenset(t.as_py() or ())) if h.is_valid else "" for h, t in zip(b.column(2), b.column(3), strict=True)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], ["k", "u", "text", "n_chars"])
 
     return joined.mapInArrow(run, f"k {kind}, u {url_kind}, text string, n_chars long").toDF(id_col, url_col, "text", "n_chars")

@@ -171,6 +171,15 @@ def test_copied_articles_are_no_template(spark):
     assert {r.text for r in html_extract.extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()} == {"the same words"}
 
 
+def test_html_below_depth_200():
+    deep, end = "<div>" * 300, "</div>" * 300
+    assert html_extract.main_text(html_extract.parse(f"{deep}<p>one<p>two <b>and</b><br>half</p>{end}<p>three")) == "one\ntwo and half\nthree"
+    root = html_extract.parse(f"before{deep}<article><h1>a</h1><p>b</p></article>{end}after" + "<i>" * 5000)
+    assert html_extract.main_text(root) == html_extract.main_text(root, {1}) == "a\nb"
+    box = html_extract.parse(f"{deep}<article><p>b</p><section x=1>box</section></article>")
+    assert html_extract.main_text(box, set(html_extract.subtree_hashes(html_extract.parse("<article><section x=1>box</section></article>")).values())) == "b"
+
+
 def test_warc(spark):
     big, other = "é" * 600, "x" * 1000
     rows = [(1, "u", big), (2, "u v\r\nw", big), (3, None, other), (4, "u", other), (5, "u", other), (6, "u", "small"), (7, "u", "small"), (8, "u", None), (None, "u", big), (9, "u", "x" * 999), (10, "u", "x" * 999)]
