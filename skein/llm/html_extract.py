@@ -1,7 +1,7 @@
 """HTML extraction by site template removal.
 
 A page is parsed into elements; each element's subtree gets a hash of its tags, attributes and text. Spark counts for each
-host on how many pages a subtree occurs; those on at least MIN_PAGES pages and SHARE of the host's pages are the site's
+host on how many pages a subtree occurs, pages of the same text being one; those on at least MIN_PAGES pages and SHARE of the host's pages are the site's
 template and are deleted, together with elements whose tag, role or class says that they are not main text. What is left
 of the article (or the body, where a page marks no article) is the text, a line a block.
 
@@ -13,7 +13,6 @@ from __future__ import annotations
 
 import html as entities
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -21,6 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skein.llm.chunks import arrow_map
 from skein.storage import materialize
 
 MIN_PAGES, SHARE = 5, 0.2
@@ -188,29 +188,22 @@ def host_of(url):
 
 
 def site_templates(pages: DataFrame, url_col: str = "url", html_col: str = "html", min_pages: int = MIN_PAGES, share: float = SHARE) -> DataFrame:
-    """(host, hashes array<long>): a host's template. As each takes a share of the pages, a host has at most subtrees a page / share of them."""
+    """(host, hashes array<long>): a host's template. As each takes a share of the pages, a host has at most subtrees a page / share of them. Pages of a host that have the same text without templates count once."""
     rows = pages.select(host_of(F.col(f"`{url_col}`")).alias("host"), F.col(f"`{html_col}`").cast("string").alias("html"))
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
-
-        def out() -> pa.RecordBatch:
-            keys = list(seen)
-            r = pa.RecordBatch.from_arrays([pa.array([h for h, _ in keys], pa.string()), pa.array([x for _, x in keys], pa.int64()), pa.array(list(seen.values()), pa.int64())], ["host", "hash", "n"])
-            seen.clear()
-            return r
-
+    def contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for host, text in zip(b.column(0), b.column(1), strict=True):
-                h = host.as_py()
-                seen[h, None] += 1
-                if text.is_valid:
-                    seen.update((h, x) for x in set(subtree_hashes(parse(text.as_py())).values()))
-                if len(seen) > 200_000:
-                    yield out()
-        yield out()
-
-    counts = materialize(rows.mapInArrow(count, "host string, hash long, n long").groupBy("host", "hash").agg(F.sum("n").alias("n")).filter((F.col("n") >= min_pages) | F.col("hash").isNull()), "subtrees")
+            text, found = [], []
+            for x in b.column(1):
+                root = parse(x.as_py() or "")
+                text.append(xxhash.xxh64_intdigest(main_text(root)) - (1 << 63))
+                found.append(sorted(set(subtree_hashes(root).values())))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(text, pa.int64()), pa.array(found, pa.list_(pa.int64()))], ["host", "content", "hashes"])
+
+    # Copies differ at most in what is dropped anyway; the one whose subtrees come first in order stands for them.
+    distinct = arrow_map(rows, contents, "host string, content long, hashes array<long>").groupBy("host", "content").agg(F.min("hashes").alias("hashes"))
+    hashes = F.explode(F.concat(F.array(F.lit(None).cast("long")), "hashes"))  # null stands for the page
+    counts = materialize(distinct.select("host", hashes.alias("hash")).groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n")).filter((F.col("n") >= min_pages) | F.col("hash").isNull()), "subtrees")
     total = counts.filter("hash is null").select("host", F.col("n").alias("pages"))
     often = counts.filter("hash is not null").join(total, "host").filter(F.col("n") >= share * F.col("pages"))
     return often.groupBy("host").agg(F.sort_array(F.collect_list("hash")).alias("hashes"))
@@ -219,7 +212,7 @@ def site_templates(pages: DataFrame, url_col: str = "url", html_col: str = "html
 def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_pages: int = MIN_PAGES, share: float = SHARE) -> DataFrame:
     """(id_col, url_col, text, n_chars) of each page; the text is empty if there is none.
 
-    A null html is empty; pages without a host (or a null url) are one site. Repeated pages count as pages each. White space
+    A null html is empty; pages without a host (or a null url) are one site. Copies of a page count once for the template. White space
     in a block becomes one space, blocks are joined by a newline. Other columns take no part. Templates are broadcast if
     they are measured to be below BROADCAST_BYTES, else joined by host, where AQE splits a hot host's pages.
     """

@@ -171,6 +171,15 @@ def test_copied_articles_are_no_template(spark):
     assert {r.text for r in html_extract.extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()} == {"the same words"}
 
 
+def test_copied_pages_without_article_are_no_template(spark):
+    page = '<body><div class="box">site</div><div class="text">{0}</div></body>'
+    copy = '<p>the same words</p><p class="x">and more</p>'
+    rows = [(i, "http://h.example/", page.format(copy if i < 20 else f"<p>page {i}</p>")) for i in range(40)]
+    rows += [(i, "http://c.example/", f'<body><div class="text">{copy}</div></body>') for i in range(40, 48)]
+    got = {r.page_id: r.text for r in html_extract.extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: "the same words\nand more" if i < 20 or i >= 40 else f"page {i}" for i in range(48)}
+
+
 def test_html_below_depth_200():
     deep, end = "<div>" * 300, "</div>" * 300
     assert html_extract.main_text(html_extract.parse(f"{deep}<p>one<p>two <b>and</b><br>half</p>{end}<p>three")) == "one\ntwo and half\nthree"
