@@ -55,10 +55,18 @@ def minhash_bands(sets: DataFrame, bands: int = 5, rows: int = 11, seed: int = 7
 
 
 def minhash_candidates(sets: DataFrame, bands: int = 5, rows: int = 11, seed: int = 7) -> DataFrame:
-    """(left, right): each member of a bucket with the bucket's smallest id; hot buckets make stars, not all pairs."""
-    keyed = minhash_bands(sets, bands, rows, seed)
-    least = keyed.groupBy("band", "key").agg(F.min("id").alias("left"))
-    return keyed.join(least, ["band", "key"]).filter("id > left").select("left", F.col("id").alias("right")).distinct()
+    """(left, right): all pairs of different sets that meet in a bucket, and each equal set with the first id that has it.
+
+    Equal sets meet in all buckets, so the smallest id stands for them in all other pairs, and a large group of copies is a
+    star. The pairs of different sets are as many as the buckets hold.
+    """
+    sets = sets.filter(F.size("tokens") > 0)
+    groups = sets.groupBy("tokens").agg(F.min("id").alias("g"))
+    keyed = minhash_bands(groups.select(F.col("g").alias("id"), "tokens"), bands, rows, seed)
+    a, b = keyed.withColumnRenamed("id", "left"), keyed.withColumnRenamed("id", "right")
+    near = a.join(b, ["band", "key"]).filter("left < right").select("left", "right")
+    copies = sets.join(groups, "tokens").filter("id > g").select(F.col("g").alias("left"), F.col("id").alias("right"))
+    return near.union(copies).distinct()
 
 
 def non_candidates(ids: DataFrame, candidates: DataFrame) -> DataFrame:

@@ -127,6 +127,17 @@ def test_jaccard_and_minhash(spark):
     assert {(i, 160 + i) for i in range(20)} <= near | {(j, 160 + i) for i in range(20) for j in range(160) if (j, 160 + i) in near}
 
 
+def test_minhash_links_all_different_sets_of_a_bucket(spark):
+    rows = [(i, [f"w{j}" for j in range(400)] + [f"x{i % 6}"]) for i in range(9)]
+    s = spark.createDataFrame(rows + [(20, []), (21, [])], "id int, tokens array<string>")
+    bands = {}
+    for r in dedup.minhash_bands(s, 5, 2).collect():
+        bands.setdefault((r.band, r.key), set()).add(r.id)
+    want = {(a, b) for ids in bands.values() for a in ids for b in ids if a < b < 6} | {(i, i + 6) for i in range(3)}
+    got = [(r.left, r.right) for r in dedup.minhash_candidates(s, 5, 2).collect()]
+    assert len(got) == len(set(got)) and set(got) == want and any(a > 0 and b < 6 for a, b in want)
+
+
 def test_review_queue(spark):
     c = spark.createDataFrame([(1, 2), (3, 4)], "left int, right int")
     p = dedup.non_candidates(spark.range(6).select(F.col("id").cast("int")), c)
