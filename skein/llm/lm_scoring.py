@@ -172,6 +172,8 @@ def lm_score(docs: DataFrame, train: DataFrame | str = "true", id_col: str = "do
             at = runs(head[s])
             yield pa.RecordBatch.from_pydict({"chunk": [uri], "bucket": pa.array([int(b)], pa.int32()), "heads": [u[head[s][at]].tobytes()], "runs": [zlib.compress(np.diff(np.r_[at, ends[b + 1] - ends[b]]).tobytes(), 1)], "keys": [keys[s].tobytes()], "counts": [zlib.compress(c[s].tobytes(), 1)]})
 
+    of_hot = pa.map_(pa.int32(), pa.int64())
+
     def answer_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b, found in groups(batches, "bucket"):
             heads = [np.frombuffer(r["heads"], np.uint64) for r in found]
@@ -195,15 +197,16 @@ def lm_score(docs: DataFrame, train: DataFrame | str = "true", id_col: str = "do
                 return np.where(names[at] == h, kinds[at], 0)
 
             for r, h, x, y in zip(found, heads, ends, ends[1:], strict=False):
-                yield pa.RecordBatch.from_pydict({"chunk": [r["chunk"]], "bucket": pa.array([b], pa.int32()), "levels": [zlib.compress(level[inverse[x:y]].tobytes(), 1)], "kinds": [zlib.compress(kinds_of(h).tobytes(), 1)], "hot_kinds": pa.array([None], pa.list_(pa.int64()))})
-            yield pa.RecordBatch.from_pydict({"chunk": pa.array([None], pa.string()), "bucket": pa.array([b], pa.int32()), "levels": pa.array([None], pa.binary()), "kinds": pa.array([None], pa.binary()), "hot_kinds": pa.array([kinds_of(shared_hot.value).tolist()], pa.list_(pa.int64()))})
+                yield pa.RecordBatch.from_pydict({"chunk": [r["chunk"]], "bucket": pa.array([b], pa.int32()), "levels": [zlib.compress(level[inverse[x:y]].tobytes(), 1)], "kinds": [zlib.compress(kinds_of(h).tobytes(), 1)], "hot_kinds": pa.array([None], of_hot)})
+            n = kinds_of(shared_hot.value)
+            yield pa.RecordBatch.from_pydict({"chunk": pa.array([None], pa.string()), "bucket": pa.array([b], pa.int32()), "levels": pa.array([None], pa.binary()), "kinds": pa.array([None], pa.binary()), "hot_kinds": pa.array([[(int(i), int(n[i])) for i in np.flatnonzero(n)]], of_hot)})
 
     pairs = map_chunks(manifest, count_pairs, "chunk string, bucket int, heads binary, runs binary, keys binary, counts binary")
-    answers = materialize(dealt(pairs, "bucket", parts).mapInArrow(answer_pairs, "chunk string, bucket int, levels binary, kinds binary, hot_kinds array<long>"), "lm-bigrams")
+    answers = materialize(dealt(pairs, "bucket", parts).mapInArrow(answer_pairs, "chunk string, bucket int, levels binary, kinds binary, hot_kinds map<int,long>"), "lm-bigrams")
     #: Fewer hot words than buckets, as each has more than a bucket's share.
     hot_kinds = np.zeros(len(hot), np.int64)
-    for r in answers.filter("chunk is null").select(F.posexplode("hot_kinds")).groupBy("pos").agg(F.sum("col").alias("n")).collect():
-        hot_kinds[r["pos"]] = r["n"]
+    for r in answers.filter("chunk is null").select(F.explode("hot_kinds").alias("hot", "kinds")).groupBy("hot").agg(F.sum("kinds").alias("n")).collect():
+        hot_kinds[r["hot"]] = r["n"]
     shared_kinds = spark.sparkContext.broadcast(hot_kinds)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

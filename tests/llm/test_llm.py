@@ -329,12 +329,13 @@ def brute_lm(rows, held):
 
 
 @pytest.mark.parametrize("distinct", [False, True])
-def test_lm_counts_every_bigram(spark, monkeypatch, distinct):
+def test_lm_counts_every_bigram(spark, monkeypatch, tmp_path, distinct):
     monkeypatch.setattr(lm_scoring, "BITS_A_KEY", 64)  # hardly a false positive, so that scores can be compared
     rnd = random.Random(8)
     rows = [(i, " ".join(f"a{j} b{j}" for j in range(i % 500 * 80, (i % 500 + 1) * 80)) if distinct else " ".join(f"w{int(rnd.paretovariate(0.6))}" for _ in range(rnd.randint(0, 60)))) for i in range(1000)]
     want = brute_lm(rows, lambda i: zlib.crc32(str(i).encode()) % 10 == 0)
-    got = {r.doc_id: r.score for r in lm_scoring.lm_score(spark.createDataFrame(rows, "doc_id long, text string"), "crc32(cast(doc_id as string)) % 10 <> 0").collect()}
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents")  # of known size, for few buckets
+    got = {r.doc_id: r.score for r in lm_scoring.lm_score(spark.read.parquet(f"{tmp_path}/documents"), "crc32(cast(doc_id as string)) % 10 <> 0").collect()}
     off = [abs(got[i] - want[i]) > 1e-6 for i in want]
     assert len(got) == len(rows) and sum(off) < 0.02 * len(rows)
 
