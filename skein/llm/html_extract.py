@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -26,9 +27,13 @@ from skein.storage import materialize
 MIN_PAGES, SHARE = 5, 0.2
 BROADCAST_BYTES = 8 << 20
 
-_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?/][^>]*>""", re.S)
-_ATTR = re.compile(r"""([^\s=/>"']+)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""")
-_RAW = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*>", re.I) for t in ("script", "style", "textarea", "title", "noscript", "iframe", "xmp", "noembed", "noframes")}
+# No pattern below can go back over what it has read (possessive repeats), so that broken markup costs linear time.
+_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<[!?/][^>]*+>""", re.S)
+#: After a quote that never ends: a tag ends at the next `>`, quoted or not.
+_TAG_UNQUOTED = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|<[!?/][^>]*+>", re.S)
+_OPENS = re.compile(r"<[a-zA-Z/!?]")
+_ATTR = re.compile(r"""([^\s=/>"']++)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>]++))?+""")
+_RAW = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*+>", re.I) for t in ("script", "style", "textarea", "title", "noscript", "iframe", "xmp", "noembed", "noframes")}
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCK = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table tbody td tfoot th thead tr ul".split())
 _DROP = frozenset("head script style noscript template nav header footer aside form button select option textarea input iframe object svg canvas audio video dialog menu title".split())
@@ -49,55 +54,62 @@ class Node:
 
 
 def parse(text: str) -> Node:
-    """Tree of elements and raw strings; broken, truncated and wrongly nested markup gives the nearest tree."""
+    """Tree of elements and raw strings; broken, truncated and wrongly nested markup gives the nearest tree.
+
+    A tag that the text's end cuts off is markup and goes. A tag whose quote never ends stops at its first `>`, as all after
+    it do. Time is linear in the text, however it is broken: places of open elements are kept by tag.
+    """
     root = Node("#root")
     stack, at, size = [root], 0, len(text)
+    places: dict[str, list[int]] = defaultdict(list)  # where in the stack each tag is open
+    final, tags = text.rfind(">") + 1, _TAG
 
     def close(upto: int) -> None:
+        for node in stack[max(1, upto) :]:
+            places[node.tag].pop()
         del stack[max(1, upto) :]
 
+    def nearest(of: frozenset[str] | set[str]) -> int:
+        return max((places[t][-1] for t in of if places[t]), default=-1)
+
     while at < size:
-        m = _TAG.search(text, at)
-        if m is None:
-            stack[-1].items.append(text[at:])
+        opens = _OPENS.search(text, at)
+        upto = opens.start() if opens else size
+        if upto > at:
+            stack[-1].items.append(text[at:upto])
+        if not opens:
+            break
+        m = tags.match(text, upto)
+        if m is None and upto < final:  # a quote that never ends
+            tags = _TAG_UNQUOTED
+            m = tags.match(text, upto)
+        if m is None:  # cut off by the text's end
             break
-        if m.start() > at:
-            stack[-1].items.append(text[at : m.start()])
         at = m.end()
         if m[2] is None:
             continue
         tag = m[2].lower()
         if m[1]:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == tag:
-                    close(k)
-                    break
-            else:
-                if tag == "br":
-                    stack[-1].items.append(Node("br"))
+            if places[tag]:
+                close(places[tag][-1])
+            elif tag == "br":
+                stack[-1].items.append(Node("br"))
             continue
-        if tag in _BLOCK:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == "p":
-                    close(k)
-                    break
-                if stack[k].tag in _P_BOUNDS:
-                    break
+        if tag in _BLOCK and places["p"] and places["p"][-1] > nearest(_P_BOUNDS):
+            close(places["p"][-1])
         if tag in _ENDS:
             ends, bounds = _ENDS[tag]
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag in ends:
-                    close(k)
-                    break
-                if stack[k].tag in bounds:
-                    break
+            k = nearest(ends)
+            if k > nearest(bounds):
+                close(k)
         node = Node(tag, m[3].strip())
         stack[-1].items.append(node)
         if tag in _RAW and not m[3].endswith("/"):
-            end = _RAW[tag].search(text, at)
+            end = _RAW[tag].search(text, at, final) if at < final else None
             node.items.append(text[at : end.start() if end else size])
             at = end.end() if end else size
         elif tag not in _VOID:
+            places[tag].append(len(stack))
             stack.append(node)
     return root
 
@@ -107,12 +119,13 @@ def _attributes(node: Node) -> dict[str, str]:
 
 
 def _dropped(node: Node) -> bool:
+    """Whether tag, role, class or id say that an element is not main text; articles are judged as well, main and body never."""
     if node.tag in _DROP:
         return True
-    if not node.attrs or node.tag in ("html", "body", "article", "main"):
+    if not node.attrs or node.tag in ("html", "body", "main"):
         return False
     a = _attributes(node)
-    return "hidden" in node.attrs.lower().split() or a.get("aria-hidden") == "true" or a.get("role") in _DROP_ROLE or any(_DROP_NAME.search(a[k]) for k in ("class", "id") if k in a)
+    return "hidden" in a or a.get("aria-hidden") == "true" or a.get("role") in _DROP_ROLE or a.get("itemprop") == "comment" or any(_DROP_NAME.search(a[k]) for k in ("class", "id") if k in a)
 
 
 def _walk(root: Node, out: dict[int, int]) -> None:
@@ -142,14 +155,15 @@ def main_text(root: Node, template: frozenset[int] | set[int] = frozenset()) ->
     hashes = subtree_hashes(root) if template else {}
 
     def find() -> list[Node]:
-        out, todo = [], [root]
+        """The outermost articles and mains: those that are not dropped, or else (a class that misleads) all of them."""
+        out, rest, todo = [], [], [root]
         while todo:
             node = todo.pop()
             if node.tag in ("article", "main"):
-                out.append(node)
+                (rest if _dropped(node) else out).append(node)
             else:
-                todo += [x for x in reversed(node.items) if not isinstance(x, str) and not _dropped(x) and hashes.get(id(x)) not in template]
-        return out
+                todo += [x for x in reversed(node.items) if not isinstance(x, str) and (x.tag == "article" or not _dropped(x)) and hashes.get(id(x)) not in template]
+        return out or rest
 
     blocks: list[str] = []
     buffer: list[str] = []
@@ -188,7 +202,7 @@ def host_of(url):
 
 
 def site_templates(pages: DataFrame, url_col: str = "url", html_col: str = "html", min_pages: int = MIN_PAGES, share: float = SHARE) -> DataFrame:
-    """(host, hashes array<long>): a host's template. As each takes a share of the pages, a host has at most subtrees a page / share of them. Pages of a host that have the same text without templates count once."""
+    """(host, hash) of the subtrees that are a host's template. As each takes a share of the pages, a host has at most subtrees a page / share of them. Pages of a host that have the same text without templates count once."""
     rows = pages.select(host_of(F.col(f"`{url_col}`")).alias("host"), F.col(f"`{html_col}`").cast("string").alias("html"))
 
     def contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -205,26 +219,43 @@ def site_templates(pages: DataFrame, url_col: str = "url", html_col: str = "html
     hashes = F.explode(F.concat(F.array(F.lit(None).cast("long")), "hashes"))  # null stands for the page
     counts = materialize(distinct.select("host", hashes.alias("hash")).groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n")).filter((F.col("n") >= min_pages) | F.col("hash").isNull()), "subtrees")
     total = counts.filter("hash is null").select("host", F.col("n").alias("pages"))
-    often = counts.filter("hash is not null").join(total, "host").filter(F.col("n") >= share * F.col("pages"))
-    return often.groupBy("host").agg(F.sort_array(F.collect_list("hash")).alias("hashes"))
+    return counts.filter("hash is not null").join(total, "host").filter(F.col("n") >= share * F.col("pages")).select("host", "hash")
 
 
-def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_pages: int = MIN_PAGES, share: float = SHARE) -> DataFrame:
+def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_pages: int = MIN_PAGES, share: float = SHARE, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """(id_col, url_col, text, n_chars) of each page; the text is empty if there is none.
 
     A null html is empty; pages without a host (or a null url) are one site. Copies of a page count once for the template. White space
     in a block becomes one space, blocks are joined by a newline. Other columns take no part. Templates are broadcast if
-    they are measured to be below BROADCAST_BYTES, else joined by host, where AQE splits a hot host's pages.
+    they are measured to be below broadcast_bytes; else each host's list is joined to its pages, where AQE splits a hot host's.
     """
+    spark = pages.sparkSession
     templates = materialize(site_templates(pages, url_col, html_col, min_pages, share), "templates")
-    size = templates.agg(F.sum(F.size("hashes") * 8 + F.length("host") + 16)).first()[0] or 0
+    size = templates.agg(F.sum(F.length("host") + 16)).first()[0] or 0
     kind, url_kind = (pages.schema[c].dataType.simpleString() for c in (id_col, url_col))
     rows = pages.select(F.col(f"`{id_col}`").alias("k"), F.col(f"`{url_col}`").alias("u"), F.col(f"`{html_col}`").cast("string").alias("h"), host_of(F.col(f"`{url_col}`")).alias("host"))
-    joined = rows.join(F.broadcast(templates) if size < BROADCAST_BYTES else templates, "host", "left").select("k", "u", "h", "hashes")
+    small = size < broadcast_bytes
+    by_host: dict[str, list[int]] = defaultdict(list)
+    if small:
+        for r in templates.collect():  # below broadcast_bytes
+            by_host[r["host"]].append(r["hash"])
+    shared = spark.sparkContext.broadcast({h: frozenset(x) for h, x in by_host.items()})
+    if not small:
+        rows = rows.join(templates.groupBy("host").agg(F.sort_array(F.collect_list("hash")).alias("hashes")), "host", "left").select("k", "u", "h", "host", "hashes")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, frozenset[int]] = dict(shared.value)
+
+        def of(b: pa.RecordBatch, i: int) -> frozenset[int]:
+            host = b.column(3)[i].as_py()
+            if not small and host not in known:
+                if len(known) >= 64:
+                    known.clear()
+                known[host] = frozenset(b.column(4)[i].as_py() or ())
+            return known.get(host, frozenset())
+
         for b in batches:
-            texts = [main_text(parse(h.as_py()), frozenset(t.as_py() or ())) if h.is_valid else "" for h, t in zip(b.column(2), b.column(3), strict=True)]
+            texts = [main_text(parse(h.as_py()), of(b, i)) if h.is_valid else "" for i, h in enumerate(b.column(2))]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], ["k", "u", "text", "n_chars"])
 
-    return joined.mapInArrow(run, f"k {kind}, u {url_kind}, text string, n_chars long").toDF(id_col, url_col, "text", "n_chars")
+    return arrow_map(rows, run, f"k {kind}, u {url_kind}, text string, n_chars long").toDF(id_col, url_col, "text", "n_chars")
