@@ -1,8 +1,9 @@
 """WARC: writing, reading and revisit resolution.
 
-Archives are WARC/1.1 files of gzip members, one a record, so that a record can be read by its offset. Resolution reads
-headers only, shuffles them by payload digest, joins every record of a digest to the one that stays a response, and writes
-new archives: responses are copied with fresh headers, the others become revisit records that refer to them.
+Archives are WARC/1.1 files of gzip members, one a record, and are read as streams from front to back. Resolution shuffles
+headers only, by payload digest, joins every record of a digest to the one that stays a response, and writes new archives:
+responses are copied with fresh headers, the others become revisit records that name the response's record and page. Of a
+hot digest the shuffle has one short header row a record; AQE splits its partition in that join, which is a left join.
 """
 
 from __future__ import annotations
@@ -37,24 +38,31 @@ def http_block(payload: bytes | None, size: int) -> bytes:
     return f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}\r\n\r\n".encode() + (payload or b"")
 
 
-def read_record(f, offset: int | None = None) -> tuple[dict[str, str], bytes, int] | None:
-    """Headers, block and compressed size of the record at an offset of an open file; None at its end."""
-    d, out, used = zlib.decompressobj(31), [], 0
-    step = 1 << 16
-    f.seek(offset)
-    while not d.eof:
-        data = f.read(step)
+def read_records(f) -> Iterator[tuple[int, int, dict[str, str], bytes]]:
+    """(offset, compressed size, headers, block) of the records of an open stream, read once from front to back."""
+    at, used, data, out = 0, 0, b"", []
+    d = zlib.decompressobj(31)
+    while True:
         if not data:
-            if used:
-                raise EOFError(f"a record is cut off at {offset}")
-            return None
+            data = f.read(1 << 16)
+            if not data:
+                if used:
+                    raise EOFError(f"a record is cut off at {at}")
+                return
         out.append(d.decompress(data))
-        used += len(data)
-    raw = b"".join(out)
-    cut = raw.index(b"\r\n\r\n")
-    headers = dict(line.split(": ", 1) for line in raw[:cut].decode().split("\r\n")[1:])
-    start = cut + 4
-    return headers, raw[start : start + int(headers["Content-Length"])], used - len(d.unused_data)
+        used += len(data) - len(d.unused_data)
+        data = d.unused_data
+        if d.eof:
+            raw = b"".join(out)
+            cut = raw.index(b"\r\n\r\n")
+            headers = dict(line.split(": ", 1) for line in raw[:cut].decode().split("\r\n")[1:])
+            yield at, used, headers, raw[cut + 4 : cut + 4 + int(headers["Content-Length"])]
+            at, used, out, d = at + used, 0, [], zlib.decompressobj(31)
+
+
+def _stream(uri: str):
+    fs, path = open_fs(uri)
+    return fs.open_input_stream(path, compression=None, buffer_size=4 << 20)
 
 
 class Archives:
@@ -111,30 +119,26 @@ def _spread(manifest: DataFrame) -> DataFrame:
 
 
 def read_headers(manifest: DataFrame) -> DataFrame:
-    """(file, at, size, page_id string, record_id, type, digest, payload_bytes, refers) of every record of archives."""
+    """(file, at, size, page_id string, record_id, type, digest, payload_bytes, refers, refers_page) of every record of archives."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for uri in b.column("file").to_pylist():
-                fs, path = open_fs(uri)
-                out: dict[str, list] = {c: [] for c in ("file", "at", "size", "page_id", "record_id", "type", "digest", "payload_bytes", "refers")}
-                with fs.open_input_file(path) as f:
-                    at, end = 0, f.size()
-                    while at < end:
-                        h, block, size = read_record(f, at)
+                out: dict[str, list] = {c: [] for c in schema.names}
+                with _stream(uri) as f:
+                    for at, size, h, block in read_records(f):
                         http = block[: block.index(b"\r\n\r\n")].decode().split("\r\n")
                         length = next(int(x[16:]) for x in http if x.startswith("Content-Length: "))
-                        for c, v in zip(out, (uri, at, size, h.get("X-Page-ID"), h["WARC-Record-ID"], h["WARC-Type"], h["WARC-Payload-Digest"].removeprefix("sha1:"), length, h.get("WARC-Refers-To")), strict=True):
+                        for c, v in zip(out, (uri, at, size, h.get("X-Page-ID"), h["WARC-Record-ID"], h["WARC-Type"], h["WARC-Payload-Digest"].removeprefix("sha1:"), length, h.get("WARC-Refers-To"), h.get("X-Refers-To-Page-ID")), strict=True):
                             out[c].append(v)
-                        at += size
                         if len(out["at"]) >= 10_000:
                             yield pa.RecordBatch.from_pydict(out, schema=schema)
                             out = {c: [] for c in out}
                 yield pa.RecordBatch.from_pydict(out, schema=schema)
 
     text, number = pa.string(), pa.int64()
-    schema = pa.schema([("file", text), ("at", number), ("size", number), ("page_id", text), ("record_id", text), ("type", text), ("digest", text), ("payload_bytes", number), ("refers", text)])
-    return _spread(manifest).mapInArrow(run, "file string, at long, size long, page_id string, record_id string, type string, digest string, payload_bytes long, refers string")
+    schema = pa.schema([("file", text), ("at", number), ("size", number), ("page_id", text), ("record_id", text), ("type", text), ("digest", text), ("payload_bytes", number), ("refers", text), ("refers_page", text)])
+    return _spread(manifest).mapInArrow(run, "file string, at long, size long, page_id string, record_id string, type string, digest string, payload_bytes long, refers string, refers_page string")
 
 
 def resolve_revisits(spark: SparkSession, manifest: DataFrame, min_bytes: int = MIN_BYTES, id_kind: str = "bigint") -> DataFrame:
@@ -152,15 +156,17 @@ def resolve_revisits(spark: SparkSession, manifest: DataFrame, min_bytes: int =
         out, count = Archives(root), {}
         now = datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
         for uri, rows in groups(batches, "file"):
-            fs, path = open_fs(uri)
-            with fs.open_input_file(path) as f:
-                for r in sorted(rows, key=lambda r: r["at"]):
-                    h, block, _ = read_record(f, r["at"])
+            moves = {r["at"]: r for r in rows}
+            with _stream(uri) as f:
+                for at, _, h, block in read_records(f):
+                    r = moves[at]
                     h.pop("Content-Length")
                     head = h | {"WARC-Record-ID": _urn("deduplicated", h["WARC-Record-ID"]), "WARC-Date": now}
                     if r["to_record"] is not None:
                         block = block[: block.index(b"\r\n\r\n") + 4]
                         head |= {"WARC-Type": "revisit", "WARC-Profile": PROFILE, "WARC-Refers-To": _urn("deduplicated", r["to_record"])}
+                        if r["to_page"] is not None:
+                            head["X-Refers-To-Page-ID"] = str(r["to_page"])
                     to, _ = out.add(record(list(head.items()), block))
                     count[to] = count.get(to, 0) + 1
         out.close()
@@ -175,13 +181,9 @@ def warc_round_trip(pages: DataFrame, id_col: str = "page_id", url_col: str = "u
     """(id_col, payload_bytes, payload_digest, record_type, refers_to) as read back from the deduplicated archives.
 
     Every row is a record, repeated rows too. A null html has 0 bytes; a null url is an empty target; null ids stay null and
-    are never preferred to others. An empty table writes no archive. Revisits are joined to the responses that they name.
+    are never preferred to others. An empty table writes no archive. A revisit says itself which page it refers to.
     """
     kind = pages.schema[id_col].dataType.simpleString()
     archives = resolve_revisits(pages.sparkSession, write_archives(pages, id_col, url_col, html_col), min_bytes, kind)
-    heads = materialize(read_headers(archives), "warc-headers")
-    page = F.col("page_id").cast(kind)
-    responses = heads.filter("type = 'response'").select(F.col("record_id").alias("refers"), page.alias("refers_to"))
-    revisits = heads.filter("type = 'revisit'").join(responses, "refers")
-    cols = (page.alias(id_col), "payload_bytes", F.col("digest").alias("payload_digest"), F.col("type").alias("record_type"))
-    return heads.filter("type = 'response'").select(*cols, F.lit(None).cast(kind).alias("refers_to")).union(revisits.select(*cols, "refers_to"))
+    page, to = F.col("page_id").cast(kind), F.col("refers_page").cast(kind)
+    return read_headers(archives).select(page.alias(id_col), "payload_bytes", F.col("digest").alias("payload_digest"), F.col("type").alias("record_type"), to.alias("refers_to"))
