@@ -4,7 +4,8 @@ Documents fall into size partitions by their number of distinct shingles, u; ite
 signature has one hash and many bins (one-permutation MinHash): the least hash of each bin. For each partition and class
 the number of bins is the least power of two at which an item with a share of THRESHOLD of its shingles in a document has
 a common signature entry with it but for MISS of the cases, however long the document. Any common entry makes a candidate.
-The items are read in blocks of bounded size, each broadcast to one pass over the documents; no document is shuffled.
+The items lie in the shared folder in blocks of bounded size, and each block is met by one pass over the documents, whose
+tasks load it themselves: the driver knows the names of blocks only, and no document is shuffled.
 """
 
 from __future__ import annotations
@@ -12,15 +13,16 @@ from __future__ import annotations
 import math
 from collections import defaultdict
 from collections.abc import Iterator
-from functools import reduce
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skein.llm.chunks import arrow_map
+from skein.llm.chunks import arrow_map, read_chunk, write_chunks
 from skein.llm.words import LOWER, PUNCT, all_words, gram_hashes, gram_mask
+from skein.storage import materialize
 
 WIDTH, THRESHOLD, MISS = 5, 0.8, 1e-7
 BLOCK_BYTES = 16 << 20
@@ -60,8 +62,8 @@ def shingle_sets(texts: pa.Array | pa.ChunkedArray, width: int, short: bool) ->
 class ItemIndex:
     """Items of one block by shingle width, and their signatures, made when a document's size first needs them."""
 
-    def __init__(self, items: list[tuple[int, str, int, np.ndarray]], threshold: float):
-        self.items, self.threshold = items, threshold
+    def __init__(self, items: list[tuple[object, str, int, np.ndarray]], threshold: float, kind: pa.DataType | None = None):
+        self.items, self.threshold, self.kind = items, threshold, kind
         self.classes: dict[int, dict[int, list[int]]] = defaultdict(lambda: defaultdict(list))
         for i, (_, _, width, u) in enumerate(items):
             if len(u):
@@ -87,57 +89,102 @@ class ItemIndex:
         return out
 
 
-def contained_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", threshold: float = THRESHOLD, width: int = WIDTH, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def _item_blocks(items: DataFrame, item_col: str, item_text: str, block_bytes: int, min_words: int) -> list[str]:
+    """Names of files of items of at least min_words words; a file has about half of block_bytes of text."""
+    source = items.select(F.col(f"`{item_col}`").alias("i"), F.col(f"`{item_text}`").cast("string").alias("t")).filter("t is not null")
+    size = source.agg(F.sum(F.octet_length("t"))).first()[0] or 0
+
+    def long_enough(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array(all_words(b.column(1), PUNCT, LOWER)[1] >= min_words))
+
+    n = max(1, -(-size * 2 // block_bytes))  # hashes make about the size of the text again
+    kept = arrow_map(source.repartition(n), long_enough, f"i {source.schema['i'].dataType.simpleString()}, t string")
+    return sorted(r["chunk"] for r in write_chunks(kept, "items", max(1, block_bytes // 2)).select("chunk").collect())
+
+
+@lru_cache(maxsize=1)
+def _index(uri: str, threshold: float, width: int) -> ItemIndex:
+    """A block's index, one a Python worker."""
+    table = read_chunk(uri).combine_chunks()
+    counts = all_words(table.column("t"), PUNCT, LOWER)[1]
+    rows = zip(table.column("i").to_pylist(), table.column("t").to_pylist(), np.clip(counts, 1, width).tolist(), shingle_sets(table.column("t"), width, True), strict=True)
+    return ItemIndex(list(rows), threshold, table.schema.field("i").type)
+
+
+def _hits(index: ItemIndex, texts: pa.Array, threshold: float) -> Iterator[tuple]:
+    """(row, item, shingles of the item, shared ones, containment) of all items in texts."""
+    for w in index.classes:
+        for r, u in enumerate(shingle_sets(texts, w, False)):
+            found = sorted(index.candidates(w, u)) if len(u) else []
+            if found:
+                text = shingles(texts[r].as_py(), w)
+                for i in found:
+                    own = shingles(index.items[i][1], w)
+                    n = len(own & text)
+                    if n >= threshold * len(own) - 1e-9:
+                        yield r, index.items[i][0], len(own), n, n / len(own)
+
+
+def contained_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", threshold: float = THRESHOLD, width: int = WIDTH, block_bytes: int = BLOCK_BYTES, min_words: int = 1) -> DataFrame:
     """(id_col, item_col, n_item, n_shared, containment): pairs with at least `threshold` of an item's shingles in a document.
 
     Shingles are sets of `width` words; words are runs of ASCII letters and digits and of other characters, A-Z lower-cased.
-    An item of fewer words has one shingle of all its words, looked for anywhere; one without words, or null, is nowhere. A
-    null text has no shingles. Rows repeated on either side give their pairs again; null ids stay null; other columns take
-    no part. Containment is counted on the words themselves, for each candidate.
+    An item of fewer words has one shingle of all its words, looked for anywhere, so one of a single common word is found in
+    most documents; items below min_words, without words or null are nowhere. A null text has no shingles. Rows repeated on
+    either side give their pairs again; null ids stay null; other columns take no part. Containment is counted on the words
+    themselves, for each candidate. Documents are read once a block of items.
     """
-    spark = docs.sparkSession
-    source = items.select(F.col(f"`{item_col}`").alias("i"), F.col(f"`{item_text}`").cast("string").alias("t")).filter("t is not null")
-    size = source.agg(F.sum(F.octet_length("t"))).first()[0] or 0
-    blocks = max(1, -(-size * 2 // block_bytes))  # hashes make about the size of the text again
     kind, item_kind = docs.schema[id_col].dataType.simpleString(), items.schema[item_col].dataType.simpleString()
     rows = docs.select(F.col(f"`{id_col}`").alias("k"), F.col(f"`{text_col}`").cast("string").alias("t"))
+    schema = f"k {kind}, i {item_kind}, n_item long, n_shared long, containment double"
 
-    def search(shared):
+    def search(uri: str):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            index = ItemIndex(shared.value, threshold)
+            index = _index(uri, threshold, width)
             for big in batches:
                 for at in range(0, big.num_rows, 256):
                     b = big.slice(at, 256)
-                    out: list[tuple] = []
-                    for w in index.classes:
-                        for r, u in enumerate(shingle_sets(b.column(1), w, False)):
-                            found = sorted(index.candidates(w, u)) if len(u) else []
-                            if found:
-                                text = shingles(b.column(1)[r].as_py(), w)
-                                for i in found:
-                                    own = shingles(index.items[i][1], w)
-                                    n = len(own & text)
-                                    if n >= threshold * len(own) - 1e-9:
-                                        out.append((r, index.items[i][0], len(own), n, n / len(own)))
+                    out = list(_hits(index, b.column(1), threshold))
                     if out:
-                        r, *rest = zip(*out, strict=True)
-                        yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(r)), *map(pa.array, rest)], ["k", "i", "n_item", "n_shared", "containment"])
+                        r, i, *rest = zip(*out, strict=True)
+                        yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(r)), pa.array(i, index.kind), *map(pa.array, rest)], ["k", "i", "n_item", "n_shared", "containment"])
 
         return run
 
-    found = []
-    for n in range(blocks):
-        got = source.filter(F.pmod(F.xxhash64("t"), F.lit(blocks)) == n).collect()  # about block_bytes / 2
-        sets, counts = [], []
-        if got:
-            texts = pa.array([r["t"] for r in got], pa.string())
-            sets = shingle_sets(texts, width, True)
-            counts = all_words(texts, PUNCT, LOWER)[1]
-        shared = spark.sparkContext.broadcast([(r["i"], r["t"], int(min(width, max(c, 1))), u) for r, u, c in zip(got, sets, counts, strict=True)])
-        found.append(arrow_map(rows, search(shared), f"k {kind}, i {item_kind}, n_item long, n_shared long, containment double"))
+    blocks = _item_blocks(items, item_col, item_text, block_bytes, min_words)
+    found = [arrow_map(rows, search(uri), schema) for uri in blocks] or [docs.sparkSession.createDataFrame([], schema)]
     return reduce(DataFrame.union, found).toDF(id_col, item_col, "n_item", "n_shared", "containment")
 
 
+def without_items(docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", threshold: float = THRESHOLD, width: int = WIDTH, block_bytes: int = BLOCK_BYTES, min_words: int = WIDTH) -> DataFrame:
+    """The rows of docs that contain no item, by the rule of contained_items; items below min_words are looked for nowhere.
+
+    Rows are judged one by one by their text, so null and repeated ids need no care, and all columns stay as they are. Each
+    block of items takes one pass; between blocks the rows left are written to the shared folder.
+    """
+    names, at = docs.columns, docs.columns.index(text_col)
+    fields = [(f"c{i}", f.dataType.simpleString()) for i, f in enumerate(docs.schema.fields)]
+    left = docs.toDF(*(n for n, _ in fields))
+
+    def keep(uri: str):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            index = _index(uri, threshold, width)
+            for big in batches:
+                for k in range(0, big.num_rows, 256):
+                    b = big.slice(k, 256)
+                    clean = np.ones(b.num_rows, bool)
+                    for hit in _hits(index, b.column(at).cast(pa.string()), threshold):
+                        clean[hit[0]] = False
+                    yield b.filter(pa.array(clean))
+
+        return run
+
+    for n, uri in enumerate(_item_blocks(items, item_col, item_text, block_bytes, min_words)):
+        left = arrow_map(materialize(left, "uncontaminated") if n else left, keep(uri), ", ".join(f"{c} {t}" for c, t in fields))
+    return left.toDF(*names)
+
+
 _TABLE = bytes(0x20 if PUNCT[b] else LOWER[b] for b in range(256))
 
 
