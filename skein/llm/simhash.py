@@ -3,9 +3,10 @@
 Two fingerprints that differ in at most RADIUS bits agree in all bits of at least BLOCKS - RADIUS of BLOCKS bit blocks, so
 each distinct fingerprint is dealt to one bucket for each choice of that many blocks (10 keys of about 26 bits for radius
 3). A bucket above BUCKET fingerprints is cut into parts that meet two at a time, so no task holds an unbounded group.
-Inside a bucket the fingerprints lie as bit planes, a lane each; the distance of a query to 64 lanes a word is counted by
-carry-save bitwise counters, and a block of lanes is abandoned once all of them exceed the radius. A search from one
-fingerprint to all it reaches yields a star of links for each group; connected components over the stars do the rest.
+Fingerprints lie as bit planes, a lane each, which are made once a bucket; distances to 64 lanes a word are counted by
+carry-save bitwise counters, and a block of lanes is abandoned once all of them exceed the radius. In a large bucket a search
+from one fingerprint to all it reaches yields a star of links for each group; small buckets lie side by side in common planes
+and are compared with those shifted by 1, 2, ... lanes. Connected components over the links do the rest.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ from skein.operators.graph import connected_components
 from skein.storage import materialize
 
 RADIUS, BLOCKS, BUCKET = 3, 5, 4096
+#: Lanes of a block, which is abandoned as one; buckets of at most SMALL fingerprints are compared many at a time.
+LANES, SMALL = 512, 24
 ALL = ~np.uint64(0)
 _HASH = xxhash.xxh64_intdigest
 
@@ -46,80 +49,117 @@ def fingerprint(text: str | None, width: int = 3) -> int:
 
 
 def planes(fps: np.ndarray) -> np.ndarray:
-    """64 bit planes of fingerprints, 64 lanes a word."""
-    bits = np.zeros((64, -(-len(fps) // 64) * 64), np.uint8)
+    """64 bit planes of fingerprints, 64 lanes a word, words filled up to whole blocks of lanes."""
+    bits = np.zeros((64, -(-len(fps) // LANES) * LANES), np.uint8)
     bits[:, : len(fps)] = np.unpackbits(fps.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").T
     return np.packbits(bits, axis=1, bitorder="little").view(np.uint64)
 
 
-def near(lanes: np.ndarray, queries: np.ndarray, radius: int) -> np.ndarray:
-    """Lanes, as packed bits, within radius of any of the queries."""
-    found = np.zeros(lanes.shape[1], np.uint64)
-    width = max(1, (1 << 15) // max(1, lanes.shape[1]))
+def _packed(flags: np.ndarray, words: int) -> np.ndarray:
+    bits = np.zeros(words * 64, np.uint8)
+    bits[: len(flags)] = flags
+    return np.packbits(bits, bitorder="little").view(np.uint64)
+
+
+def _lanes(words: np.ndarray, n: int) -> np.ndarray:
+    return np.unpackbits(words.view(np.uint8), bitorder="little")[:n].astype(bool)
+
+
+class Distances:
+    """Carry-save counters of many blocks of lanes, a row a block: planes of differing bits are added one after another."""
+
+    def __init__(self, open_lanes: np.ndarray, radius: int):
+        self.radius, self.over, self.rows = radius, ~open_lanes, np.arange(len(open_lanes))
+        self.counter = [np.zeros_like(open_lanes) for _ in range(radius.bit_length())]
+
+    def add(self, carry: np.ndarray) -> None:
+        for c in self.counter:
+            c ^= carry  # sum bit; what was set in both goes on
+            carry &= ~c
+        self.over |= carry
+
+    def abandon(self) -> bool:
+        """Give up blocks all of whose lanes exceed the radius; whether any is left. `rows` names those left."""
+        alive = (self.over != ALL).any(axis=1)
+        if not alive.all():
+            self.rows, self.over, self.counter = self.rows[alive], self.over[alive], [c[alive] for c in self.counter]
+        return len(self.rows) > 0
+
+    def within(self) -> np.ndarray:
+        """Lanes of the blocks left that are within the radius; counters are compared with it from the high bit down."""
+        more, same = np.zeros_like(self.over), ~np.zeros_like(self.over)
+        for i in reversed(range(len(self.counter))):
+            r = ALL if self.radius >> i & 1 else np.uint64(0)
+            more |= same & self.counter[i] & ~r
+            same &= ~(self.counter[i] ^ r)
+        return ~(self.over | more)
+
+
+def near(lanes: np.ndarray, queries: np.ndarray, radius: int, open_lanes: np.ndarray) -> np.ndarray:
+    """Open lanes, as packed bits, within radius of any of the queries; every query meets every block of lanes."""
+    blocks = lanes.reshape(64, -1, LANES // 64)
+    n = blocks.shape[1]
+    found = np.zeros(blocks.shape[1:], np.uint64)
+    masks = open_lanes.reshape(n, -1)
+    width = max(1, (1 << 12) // n)
     for at in range(0, len(queries), width):
         q = queries[at : at + width]
-        counter = [np.zeros((len(q), lanes.shape[1]), np.uint64) for _ in range((radius).bit_length())]
-        over = np.zeros((len(q), lanes.shape[1]), np.uint64)
+        query, block = np.repeat(np.arange(len(q)), n), np.tile(np.arange(n), len(q))
+        d = Distances(masks[block], radius)
         for bit in range(64):
-            carry = lanes[bit] ^ (np.uint64(0) - ((q >> np.uint64(bit)) & np.uint64(1)))[:, None]
-            for c in counter:
-                c ^= carry  # sum bit; what was set in both goes on
-                carry &= ~c
-            over |= carry
-            if bit % 8 == 7:
-                alive = (~over).any(axis=1)
-                if not alive.all():
-                    q, over, counter = q[alive], over[alive], [c[alive] for c in counter]
-                    if not len(q):
-                        break
-        if len(q):
-            # counters hold 0 .. 2**k - 1; above the radius if greater, compared from the high bit down
-            more, same = np.zeros_like(over), ~np.zeros_like(over)
-            for i in reversed(range(len(counter))):
-                r = ALL if radius >> i & 1 else np.uint64(0)
-                more |= same & counter[i] & ~r
-                same &= ~(counter[i] ^ r)
-            found |= np.bitwise_or.reduce(~(over | more), axis=0)
-    return found
+            flip = np.uint64(0) - ((q >> np.uint64(bit)) & np.uint64(1))
+            d.add(blocks[bit][block[d.rows]] ^ flip[query[d.rows], None])
+            if bit % 8 == 7 and not d.abandon():
+                break
+        if len(d.rows):
+            np.bitwise_or.at(found, block[d.rows], d.within())
+    return found.ravel()
 
 
 def stars(fps: np.ndarray, radius: int) -> list[tuple[int, int]]:
-    """(fingerprint, centre) for each group that links of at most radius bits connect inside one bucket."""
-    out, left = [], fps
-    while len(left) > 1:
-        centre, left = left[0], left[1:]
-        frontier = np.array([centre])
-        while len(frontier) and len(left):
-            hit = np.unpackbits(near(planes(left), frontier, radius).view(np.uint8), bitorder="little")[: len(left)].astype(bool)
-            frontier, left = left[hit], left[~hit]
-            out += [(int(f), int(centre)) for f in frontier]
+    """(fingerprint, centre) for each group that links of at most radius bits connect inside one bucket.
+
+    The bucket's planes are made once; a lane closes when its fingerprint is reached.
+    """
+    out, lanes, left = [], planes(fps), np.ones(len(fps), bool)
+    for c in range(len(fps)):
+        if left[c]:
+            left[c] = False
+            frontier = fps[c : c + 1]
+            while len(frontier) and left.any():
+                hit = _lanes(near(lanes, frontier, radius, _packed(left, lanes.shape[1])), len(fps))
+                left &= ~hit
+                frontier = fps[hit]
+                out += [(int(f), int(fps[c])) for f in frontier]
     return out
 
 
-def pair_links(a: np.ndarray, b: np.ndarray, radius: int) -> np.ndarray:
-    """Which pairs are within radius: the pairs are the lanes, and vertical counters add up the planes of a ^ b."""
-    lanes = planes(a ^ b)
-    counter = [np.zeros(lanes.shape[1], np.uint64) for _ in range(radius.bit_length())]
-    over = np.zeros(lanes.shape[1], np.uint64)
-    for carry in lanes:
-        carry = carry.copy()
-        for c in counter:
-            c ^= carry
-            carry &= ~c
-        over |= carry
-        if not (~over).any():
-            return np.zeros(len(a), bool)
-    more, same = np.zeros_like(over), ~np.zeros_like(over)
-    for i in reversed(range(len(counter))):
-        r = ALL if radius >> i & 1 else np.uint64(0)
-        more |= same & counter[i] & ~r
-        same &= ~(counter[i] ^ r)
-    return np.unpackbits((~(over | more)).view(np.uint8), bitorder="little")[: len(a)].astype(bool)
+def shifted_links(fps: np.ndarray, bucket: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Links (a, b) inside many small buckets that lie one after another: their planes, made once, are held against
+    themselves shifted by 1, 2, ... lanes, so that one step counts the distance of each lane to its n-th successor."""
+    lanes = planes(fps)
+    after = np.concatenate([lanes[:, 1:], np.zeros((64, 1), np.uint64)], axis=1)
+    for by in range(1, SMALL):
+        same = bucket[:-by] == bucket[by:]
+        if not same.any():
+            return
+        shifted = (lanes >> np.uint64(by)) | (after << np.uint64(64 - by))
+        d = Distances(_packed(same, lanes.shape[1]).reshape(-1, LANES // 64), radius)
+        if not d.abandon():
+            continue
+        blocks = (lanes ^ shifted).reshape(64, -1, LANES // 64)
+        for bit in range(64):
+            d.add(blocks[bit][d.rows])
+            if bit % 8 == 7 and not d.abandon():
+                break
+        if len(d.rows):
+            found = np.zeros((blocks.shape[1], LANES // 64), np.uint64)
+            found[d.rows] = d.within()
+            at = np.flatnonzero(_lanes(found.ravel(), len(fps)))
+            yield fps[at], fps[at + by]
 
 
 def _bucket_links(radius: int):
-    small = 24
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(src, dst) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(np.asarray(src, np.uint64).view(np.int64)), pa.array(np.asarray(dst, np.uint64).view(np.int64))], ["src", "dst"])
@@ -127,17 +167,13 @@ def _bucket_links(radius: int):
         for batch in batches:
             lists = batch.column("fps")
             values, offs = np.asarray(lists.flatten()).view(np.uint64), np.diff(np.asarray(lists.offsets))
-            ends = np.r_[0, np.cumsum(offs)]
-            for n in range(2, small + 1):  # all buckets of n at once: their pairs, n * (n - 1) / 2 each, are the lanes
-                at = ends[:-1][offs == n]
-                i, j = np.triu_indices(n, 1)
-                for k in range(0, len(at), (1 << 18) // len(i)):
-                    base = at[k : k + (1 << 18) // len(i), None]
-                    a, b = values[(base + i).ravel()], values[(base + j).ravel()]
-                    ok = pair_links(a, b, radius)
-                    if ok.any():
-                        yield out(a[ok], b[ok])
-            for x in np.flatnonzero(offs > small):
+            ends, owner = np.r_[0, np.cumsum(offs)], np.repeat(np.arange(len(offs)), offs)
+            small = (offs <= SMALL)[owner]
+            for at in range(0, int(small.sum()), 1 << 17):  # a bucket across two of these parts is met twice, by both parts
+                part = slice(max(0, at - SMALL), at + (1 << 17))
+                for a, b in shifted_links(values[small][part], owner[small][part], radius):
+                    yield out(a, b)
+            for x in np.flatnonzero(offs > SMALL):
                 links = stars(values[ends[x] : ends[x + 1]], radius)
                 if links:
                     yield out(*zip(*links, strict=True))
@@ -165,13 +201,37 @@ def link_fingerprints(fps: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS
     return arrow_map(grouped.filter(F.size("fps") > 1).select("fps"), _bucket_links(radius), "src long, dst long")
 
 
+def _prints(docs: DataFrame, text_col: str, name: str) -> DataFrame:
+    """docs with columns c0, c1, ... in place of their names and fp, written to the shared folder."""
+    at = docs.columns.index(text_col)
+    fields = [(f"c{i}", f.dataType.simpleString()) for i, f in enumerate(docs.schema.fields)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            fps = np.fromiter((fingerprint(x.as_py()) for x in b.column(at).cast(pa.string())), np.uint64, b.num_rows)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(fps.view(np.int64))], [*(n for n, _ in fields), "fp"])
+
+    mapped = arrow_map(docs.toDF(*(n for n, _ in fields)), run, ", ".join([*(f"{n} {t}" for n, t in fields), "fp long"]))
+    return materialize(mapped.withColumn("row", F.monotonically_increasing_id()), name)
+
+
+def _components(prints: DataFrame, radius: int) -> DataFrame:
+    """(fp, least): for each fingerprint of prints(k, fp) the least k (nulls last) of its component."""
+    distinct = materialize(prints.groupBy("fp").agg(F.min("k").alias("own")), "simhash-distinct")
+    components = connected_components(link_fingerprints(distinct.select("fp"), radius))
+    named = distinct.join(components.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "own", F.coalesce("component", "fp").alias("c"))
+    return named.join(named.groupBy("c").agg(F.min("own").alias("least")), "c").select("fp", "least")
+
+
 def simhash_near_dups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS) -> DataFrame:
     """(id_col, fp long, fingerprint as 16 hex digits, component_id) of each row.
 
     component_id is the smallest id reachable over links of at most radius differing bits, the row's own included. A null
     or wordless text has fingerprint zero and is linked like any other; texts of one or two words have one shingle. Equal
     rows are linked with one another; null ids are never a component's id unless the component has no other (then null).
+    Rows of a hot fingerprint are folded by min() before any shuffle; they meet its component in a join that AQE may split.
     """
+    rows = docs.select(F.col(f"`{id_col}`").alias("k"), F.col(f"`{text_col}`").cast("string").alias("t"))
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,21 +239,19 @@ def simhash_near_dups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
             fps = np.fromiter((fingerprint(x.as_py()) for x in b.column(1)), np.uint64, b.num_rows)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], ["k", "fp"])
 
-    prints = materialize(arrow_map(docs.select(F.col(f"`{id_col}`").alias("k"), F.col(f"`{text_col}`").cast("string").alias("t")), run, f"k {kind}, fp long"), "simhash")
-    distinct = materialize(prints.groupBy("fp").agg(F.min("k").alias("least")), "simhash-distinct")
-    components = connected_components(link_fingerprints(distinct.select("fp"), radius))
-    named = distinct.join(components.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("component", "fp").alias("c"))
-    least = named.groupBy("c").agg(F.min("least").alias("component_id"))
-    ids = named.join(least, "c").select("fp", "component_id")
-    return prints.join(ids, "fp").select(F.col("k").alias(id_col), "fp", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    prints = materialize(arrow_map(rows, run, f"k {kind}, fp long"), "simhash")
+    ids = _components(prints, radius)
+    return prints.join(ids, "fp").select(F.col("k").alias(id_col), "fp", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), F.col("least").alias("component_id"))
 
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS) -> DataFrame:
-    """docs without near-duplicates: of each component the document of the smallest id stays.
+    """docs without near-duplicates: of each component the row of the smallest id stays, rows without an id coming last.
 
-    Rows of one id count as one document, of which one row stays; rows without an id can't be told apart and all stay.
+    Every row is a document of its own, whatever its id: of unlike texts under one id all stay, of equal rows one. docs is
+    written once with a number for each row, by which rows are told apart.
     """
-    groups = simhash_near_dups(docs, id_col, text_col, radius)
-    chosen = groups.filter(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("_chosen")).distinct()
-    named = docs.filter(F.col(f"`{id_col}`").isNotNull()).join(chosen, F.col(f"`{id_col}`") == F.col("_chosen"), "left_semi").dropDuplicates([id_col])
-    return named.union(docs.filter(F.col(f"`{id_col}`").isNull()))
+    prints = _prints(docs, text_col, "simhash-rows")
+    k = F.col(f"c{docs.columns.index(id_col)}")
+    rank = F.struct(k.isNull().alias("no_id"), k.alias("id"), F.col("row"))
+    chosen = _components(prints.select(rank.alias("k"), "fp"), radius).select(F.col("least.row").alias("chosen")).distinct()
+    return prints.join(chosen, F.col("row") == F.col("chosen"), "left_semi").drop("fp", "row").toDF(*docs.columns)
