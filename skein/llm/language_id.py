@@ -14,13 +14,13 @@ from itertools import product
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skein.llm.chunks import arrow_map
 
-#: The bound of the training sample: about this many rows of each language; at most LANGUAGES languages, the most frequent.
-SAMPLE, LANGUAGES, WIDTH = 500, 200, 1 << 12
+#: The bound of the training sample: at most SAMPLE distinct texts of each language, and at most ROWS in all (at least one a language).
+SAMPLE, ROWS, WIDTH = 500, 1 << 15, 1 << 12
 UND = "und"
 
 
@@ -43,15 +43,21 @@ def features(texts: list[str | None], width: int = WIDTH, piece: int = 1 << 20)
     out, lettered = np.zeros((len(texts), width), np.float32), np.zeros(len(texts), bool)
     for i, text in enumerate(texts):
         total = np.zeros(width, np.int64)
-        for at in range(0, len(text or ""), piece):  # bounded memory; the few n-grams across pieces don't matter
+        last = np.zeros(1, np.uint32)  # what the piece before ended with: two characters, or the gap before the text
+        for at in range(0, len(text or ""), piece):  # bounded memory; n-grams that end in a piece are counted with it
             c = _TABLE[0][np.frombuffer(text[at : at + piece].encode("utf-32-le", "surrogatepass"), np.uint32)]
-            c = np.concatenate(([0], c, [0])).astype(np.uint32)
-            c = c[np.r_[True, (c[1:] != 0) | (c[:-1] != 0)]]  # one gap between words
+            lettered[i] |= bool(c.any())
+            n = len(last)
+            c = np.concatenate((last, c, [0] if at + piece >= len(text) else [])).astype(np.uint32)
+            keep = np.r_[True, (c[1:] != 0) | (c[:-1] != 0)]  # one gap between words
+            n, c = int(keep[:n].sum()), c[keep]
             two = c[:-1] * np.uint32(0x9E3779B1) + c[1:]
-            for h in (c[c != 0] * np.uint32(3), two * np.uint32(0x85EBCA6B), (two[:-1] * np.uint32(0xC2B2AE35)) ^ (c[2:] * np.uint32(0x27D4EB2F))):
+            three = (two[:-1] * np.uint32(0xC2B2AE35)) ^ (c[2:] * np.uint32(0x27D4EB2F))
+            one = c[n:]
+            for h in (one[one != 0] * np.uint32(3), two[n - 1 :] * np.uint32(0x85EBCA6B), three[max(0, n - 2) :]):
                 h = (h ^ (h >> np.uint32(15))) * np.uint32(0x2C1B3C6D)
                 total += np.bincount((h >> np.uint32(20)).astype(np.int64) & (width - 1), minlength=width)
-            lettered[i] |= bool((c != 0).any())
+            last = c[-2:]
         if lettered[i]:
             out[i] = np.sqrt(total)
             out[i] /= np.linalg.norm(out[i])
@@ -111,17 +117,24 @@ def fit(x: np.ndarray, y: list[str], steps: int = 300, rate: float = 20.0, decay
     return EcocModel(languages, code, w, b, trust / trust.sum(axis=1, keepdims=True))
 
 
-def train(docs: DataFrame, predicate: str, text_col: str = "text", lang_col: str = "lang", key: str = "xxhash64(text)", sample: int = SAMPLE) -> EcocModel | None:
-    """Fit on rows for which predicate holds and lang is not null; of each language about `sample` rows, chosen by a hash.
+def train(docs: DataFrame, predicate: str, text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE, most: int = ROWS) -> EcocModel | None:
+    """Fit on rows for which predicate holds and lang is not null, of every language: its `sample` distinct texts of least hash.
 
-    The sample's bound is sample x LANGUAGES rows of WIDTH sparse features; language counts cover all rows.
+    With n languages it is at most max(1, most // n) texts a language, so that at most `most` rows (or one a language) come
+    to the driver, as sparse features of WIDTH. Copies of a text count once, folded before the shuffle; distinct texts are
+    estimated over all rows, and a language of few is taken whole. No rows, or no languages, give None.
     """
-    rows = docs.filter(F.expr(predicate)).filter(F.col(f"`{lang_col}`").isNotNull() & F.col(f"`{text_col}`").isNotNull())
-    counts = {r[0]: r[1] for r in rows.groupBy(F.col(f"`{lang_col}`").cast("string")).count().orderBy(F.desc("count")).limit(LANGUAGES).collect()}
+    lang, text = F.col(f"`{lang_col}`").cast("string").alias("lang"), F.col(f"`{text_col}`").cast("string").alias("t")
+    rows = docs.filter(F.expr(predicate)).select(lang, text).filter("lang is not null and t is not null").withColumn("at", F.xxhash64("t"))
+    counts = {r[0]: r[1] for r in rows.groupBy("lang").agg(F.approx_count_distinct("at")).collect()}
     if not counts:
         return None
-    share = F.create_map(*(F.lit(v) for k, n in sorted(counts.items()) for v in (k, min(1.0, sample / n))))
-    picked = rows.select(F.col(f"`{lang_col}`").cast("string").alias("lang"), F.col(f"`{text_col}`").cast("string").alias("t"), F.pmod(F.expr(key), F.lit(1 << 20)).alias("at")).filter(F.col("at") < share[F.col("lang")] * (1 << 20))
+    sample = max(1, min(sample, most // len(counts)))
+    share = F.create_map(*(F.lit(v) for k, n in sorted(counts.items()) for v in (k, min(1.0, (2 * sample + 64) / (0.8 * n)))))
+    near = rows.filter(F.shiftrightunsigned("at", 34).cast("double") < F.element_at(share, F.col("lang")) * float(1 << 30))
+    folded = near.groupBy("lang", "at").agg(F.min("t").alias("t"))
+    first = Window.partitionBy("lang").orderBy("at")  # some 2 * sample rows a language
+    picked = folded.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= sample).select("lang", "t")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
