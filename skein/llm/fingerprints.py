@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from skein.storage import shuffle_partitions
 
@@ -82,21 +83,27 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
     Repeated rows each have a row, and are each other's next; a single row is its own next. An empty table gives an empty
     result. Other columns take no part.
 
-    Each text and its sketch are shuffled once, into ranges of ids; the row after a range's last comes from a table of one
-    row a range (at most 10,000), whose ids alone are found first.
+    Each text and its sketch are shuffled once, into ranges of ids; the row after a range's last is the first of the next
+    range, whose text is joined by the number of its range. Only ids and numbers of ranges (at most 10,000) meet in one task.
+    Ids are numbers: cast or number others first. Rows of one id are one range.
     """
+    if not isinstance(docs.schema[id_col].dataType, NumericType):
+        raise TypeError(f"{id_col} must be a number, as ranges of ids are cut at quantiles")
     base = docs.select(F.col(f"`{id_col}`").alias("k"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("t"))
     dealt, _ = _ranges(base, "k")
 
     def sketched(df: DataFrame, name: str) -> DataFrame:
         return df.withColumn("h", word_hashes(F.col("t"))).withColumn(name, sketch("h", k, width)).drop("h")
 
-    least = dealt.groupBy("_range").agg(F.min(F.struct(F.col("k").isNotNull().alias("n"), F.col("k").alias("k"))).alias("m")).select("_range", F.col("m.k").alias("hk"))
-    firsts = dealt.join(F.broadcast(least.withColumnRenamed("_range", "hr")), (F.col("_range") == F.col("hr")) & F.col("k").eqNullSafe(F.col("hk")))  # at most 10,000 ids
-    heads = sketched(firsts.groupBy("_range").agg(F.min("t").alias("t")), "s")
-    order = Window.orderBy("_range")  # a row a range
+    least = dealt.groupBy("_range").agg(F.min(F.struct(F.col("k").isNotNull().alias("n"), F.col("k").alias("k"))).alias("m"))
+    order = Window.orderBy("_range")  # a number and an id a range
+    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    before = F.coalesce(F.lag("_range").over(order), F.last("_range").over(whole))
+    numbered = least.select(F.col("_range").alias("hr"), F.col("m.k").alias("hk"), before.alias("before"))
+    firsts = dealt.join(F.broadcast(numbered), (F.col("_range") == F.col("hr")) & F.col("k").eqNullSafe(F.col("hk")))  # at most 10,000 ids
+    heads = sketched(firsts.groupBy("before").agg(F.min("t").alias("t")), "s")
     own = F.struct("t", "s")
-    after = heads.select("_range", F.coalesce(F.lead(own).over(order), F.first(own).over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("head"))
+    after = heads.select(F.col("before").alias("_range"), own.alias("head"))
     w = Window.partitionBy("_range").orderBy(F.col("k").asc_nulls_first(), "t")
     led = sketched(dealt, "s").withColumn("next", F.lead(own).over(w)).join(after, "_range", "left").withColumn("next", F.coalesce("next", "head"))
     n = F.char_length("t")
