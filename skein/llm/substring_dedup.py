@@ -1,10 +1,11 @@
 """Substring dedup: relative Lempel-Ziv parsing of documents against an index of all documents before them.
 
-The reference text is every document of a smaller id. Its index holds each window of `window` words with the smallest id
-that has it, and is cut by hash into reference blocks; each document is looked up in every block. A document is then
-factored greedily: a factor starts at a word whose window is in the index and goes on while the next window is; the words
-in between are literals. As each window is looked up by itself, those that straddle the end of a factor are checked too,
-and the spans are exactly the words in windows that start in an earlier document.
+The reference text is every document of a smaller id. Its index holds each window of `window` words with its source, the
+smallest id that has it, and is cut by hash into reference blocks; each document is looked up in every block. A document is
+then factored greedily from left to right: a factor opens at the first window with a source, and is as long as windows in
+a row have that source; the words in between are literals. Windows that straddle the end of a factor have been looked up
+like all others, so that the boundaries are checked, and factors that overlap or touch become one span: the spans are
+exactly the words in windows that start in an earlier document.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from skein.llm.chunks import arrow_map, groups, map_chunks, read_chunk, write_chunks
 from skein.llm.words import all_words, gram_hashes, gram_mask, pieces, scan, shard
@@ -45,29 +47,45 @@ def _first(H: np.ndarray):
     return by, starts, first
 
 
-def factors(covered: np.ndarray, window: int) -> list[tuple[int, int]]:
-    """Spans (start, end) of words in the factors of a document; covered: for each window, whether the index has it."""
+def factors(covered: np.ndarray, source: np.ndarray, window: int) -> list[tuple[int, int, int]]:
+    """(start, end, source) of a document's factors, in words; covered: for each window, whether the index has it; source: where."""
     at = np.flatnonzero(covered)
     if not len(at):
         return []
-    cut = np.flatnonzero(np.diff(at) > window)  # nearer factors overlap or touch, and their spans become one
-    return [(int(a), int(b) + window) for a, b in zip(at[np.r_[0, cut + 1]], at[np.r_[cut, len(at) - 1]], strict=True)]
+    own = source[at]
+    cut = np.flatnonzero((np.diff(at) > 1) | (own[1:] != own[:-1]))
+    first, last = np.r_[0, cut + 1], np.r_[cut, len(at) - 1]
+    return [(int(a), int(z) + window, int(s)) for a, z, s in zip(at[first], at[last], own[first], strict=True)]
+
+
+def spans_of(found: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """The words of factors as spans (start, end) that neither overlap nor touch."""
+    out: list[tuple[int, int]] = []
+    for a, z, _ in found:
+        if out and a <= out[-1][1]:
+            out[-1] = out[-1][0], max(z, out[-1][1])
+        else:
+            out.append((a, z))
+    return out
 
 
 def relative_lz_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 13, carry: list[str] | None = None) -> DataFrame:
-    """Per row: the carried columns (default: the id), n_words, n_removed, spans (word ranges, half open) and kept_text.
+    """Per row: the carried columns (default: the id), n_words, n_removed, factors (word ranges, half open, and the id of their source) and kept_text.
 
     A null text has no words. A null id counts as larger than every id; equal ids are not earlier than one another, so
     rows repeated under one id keep their text. Very short texts have no window. kept_text joins the kept words by one
     space, or is the unchanged text where nothing goes (null stays null). Other columns take no part; a carried text column becomes
-    kept_text, and result columns whose name is carried get an underscore. docs is read once.
+    kept_text, and result columns whose name is carried get an underscore. docs is read once. Ids are whole numbers of up to 64 bits; others are a TypeError.
     """
     carry = carry or [id_col]
+    if not isinstance(docs.schema[id_col].dataType, IntegralType):
+        raise TypeError(f"{id_col} must be a whole number")
     spark = docs.sparkSession
     names = {c: f"c{i}" for i, c in enumerate(carry)}  # in the chunks, so that no name clashes
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("k"), F.col(f"`{text_col}`").cast("string").alias("t"), *(F.col(f"`{c}`").alias(n) for c, n in names.items() if c != text_col))
     manifest = write_chunks(rows, "rlz")
-    blocks = int(min(65_535, max(shuffle_partitions(spark), plan_bytes(docs) * 4 // BLOCK_BYTES)))
+    blocks = int(max(shuffle_partitions(spark), plan_bytes(docs) * 4 // BLOCK_BYTES))
+    tasks = max(shuffle_partitions(spark), blocks // 4)  # some 128 MB of hashes each
 
     def look_up(uri: str) -> Iterator[pa.RecordBatch]:
         _, ids, counts, H = _windows(uri, window)
@@ -93,36 +111,42 @@ def relative_lz_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
             by = np.argsort(H, kind="stable")
             starts = np.flatnonzero(np.r_[True, H[by][1:] != H[by][:-1]])
             least = np.minimum.reduceat(D[by], starts)
-            hit = np.empty(len(H), bool)
-            hit[by] = D[by] > np.repeat(least, np.diff(np.r_[starts, len(H)]))
+            source = np.empty(len(H), np.int64)
+            source[by] = np.repeat(least, np.diff(np.r_[starts, len(H)]))
+            hit = D > source
             ends = np.cumsum([0, *map(len, h)])
-            yield pa.RecordBatch.from_pydict({"chunk": [r["chunk"] for r in found], "block": pa.array([k] * len(found), pa.int32()), "hits": [np.packbits(hit[a:b]).tobytes() for a, b in zip(ends, ends[1:], strict=False)]})
+            cuts = list(zip(ends, ends[1:], strict=False))
+            yield pa.RecordBatch.from_pydict({"chunk": [r["chunk"] for r in found], "block": pa.array([k] * len(found), pa.int32()), "hits": [np.packbits(hit[a:b]).tobytes() for a, b in cuts], "sources": [zlib.compress(source[a:b][hit[a:b]].tobytes(), 1) for a, b in cuts]})
 
     looked = map_chunks(manifest, look_up, "chunk string, block int, hashes binary, places binary, ids binary")
-    hits = materialize(arrow_map(looked.repartition(shuffle_partitions(spark), "block").sortWithinPartitions("block"), in_block, "chunk string, block int, hits binary"), "rlz-hits")
+    hits = materialize(arrow_map(looked.repartition(tasks, "block").sortWithinPartitions("block"), in_block, "chunk string, block int, hits binary, sources binary"), "rlz-hits")
 
     kinds = {f.name: f.dataType for f in docs.schema.fields}
-    schema = ", ".join([*(f"{n} {kinds[c].simpleString()}" for c, n in names.items() if c != text_col), "n_words long, n_removed long, spans array<struct<start: int, end: int>>, kept_text string"])
+    schema = ", ".join([*(f"{n} {kinds[c].simpleString()}" for c, n in names.items() if c != text_col), "n_words long, n_removed long, factors array<struct<start: int, end: int, source: bigint>>, kept_text string"])
     kept = [n for c, n in names.items() if c != text_col]
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        span_type = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+        factor_type = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("source", pa.int64())]))
         for uri, found in groups(batches, "chunk"):
             table, ids, counts, H = _windows(uri, window)
             by, starts, first = _first(H)
             b = shard(H[first], blocks)
             order = np.argsort(b, kind="stable")
             ends = np.searchsorted(b[order], np.arange(blocks + 1))
-            hit = np.zeros(len(b), bool)
+            hit, place = np.zeros(len(b), bool), np.zeros(len(b), np.int64)
             for r in found:
                 if r["hits"] is not None:
                     part = order[ends[r["block"]] : ends[r["block"] + 1]]
-                    hit[part] = np.unpackbits(np.frombuffer(r["hits"], np.uint8), count=len(part)).astype(bool)
-            covered = np.empty(len(H), bool)
+                    part = part[np.unpackbits(np.frombuffer(r["hits"], np.uint8), count=len(part)).astype(bool)]
+                    hit[part] = True
+                    place[part] = np.frombuffer(zlib.decompress(r["sources"]), np.int64)
+            covered, source = np.empty(len(H), bool), np.empty(len(H), np.int64)
             if len(H):
                 owner = np.repeat(ids, counts)[by]
                 size = np.diff(np.r_[starts, len(H)])
-                covered[by] = np.repeat(hit[np.cumsum(first)[by[starts]] - 1], size) | (owner > np.repeat(owner[starts], size))
+                one = np.cumsum(first)[by[starts]] - 1  # the first of each group of equal windows of the chunk
+                covered[by] = np.repeat(hit[one], size) | (owner > np.repeat(owner[starts], size))
+                source[by] = np.repeat(np.where(hit[one], place[one], owner[starts]), size)
             ends = np.r_[0, np.cumsum(counts)]
             out: dict[str, list] = {"n": [], "r": [], "s": [], "t": []}
             size, since = 0, 0
@@ -130,7 +154,7 @@ def relative_lz_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
             def batch(upto: int) -> pa.RecordBatch:
                 rows = table.slice(since, upto - since).select(kept).combine_chunks()
                 cols = [c.combine_chunks() for c in rows.columns]
-                return pa.RecordBatch.from_arrays([*cols, pa.array(out["n"], pa.int64()), pa.array(out["r"], pa.int64()), pa.array(out["s"], span_type), pa.array(out["t"], pa.string())], [*kept, "n_words", "n_removed", "spans", "kept_text"])
+                return pa.RecordBatch.from_arrays([*cols, pa.array(out["n"], pa.int64()), pa.array(out["r"], pa.int64()), pa.array(out["s"], factor_type), pa.array(out["t"], pa.string())], [*kept, "n_words", "n_removed", "factors", "kept_text"])
 
             for row, buf, offsets in pieces(table.column("t")):
                 w = scan(buf, offsets)
@@ -138,7 +162,9 @@ def relative_lz_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                 for k in range(len(w.counts)):
                     i = row + k
                     text = table.column("t")[i].as_py()
-                    spans = factors(covered[ends[i] : ends[i + 1]], window)
+                    own = slice(ends[i], ends[i + 1])
+                    parsed = factors(covered[own], source[own], window)
+                    spans = spans_of(parsed)
                     if spans:
                         raw = text.encode()
                         zero = int(offsets[k] - offsets[0])
@@ -149,7 +175,7 @@ def relative_lz_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                         text = b" ".join(raw[x:y] for x, y in zip(a.tolist(), z.tolist(), strict=True)).decode()
                     out["n"].append(int(w.counts[k]))
                     out["r"].append(sum(z - a for a, z in spans))
-                    out["s"].append([{"start": a, "end": z} for a, z in spans])
+                    out["s"].append([{"start": a, "end": z, "source": d} for a, z, d in parsed])
                     out["t"].append(text)
                     size += len(text or "")
                     if size > 8 << 20:
@@ -158,9 +184,9 @@ def relative_lz_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
             if out["n"]:
                 yield batch(table.num_rows)
 
-    every = manifest.select("chunk", F.lit(None).cast("int").alias("block"), F.lit(None).cast("binary").alias("hits"))
+    every = manifest.select("chunk", F.lit(None).cast("int").alias("block"), F.lit(None).cast("binary").alias("hits"), F.lit(None).cast("binary").alias("sources"))
     ready = hits.unionByName(every)  # a chunk without any window is parsed as well
-    parsed = arrow_map(ready.repartition(max(1, min(100_000, max(manifest.count(), shuffle_partitions(spark)))), "chunk").sortWithinPartitions("chunk"), parse, schema)
-    result = ["n_words", "n_removed", "spans", "kept_text"]
+    done = arrow_map(ready.repartition(max(1, min(100_000, max(manifest.count(), shuffle_partitions(spark)))), "chunk").sortWithinPartitions("chunk"), parse, schema)
+    result = ["n_words", "n_removed", "factors", "kept_text"]
     free = {c: c + "_" * sum(x.rstrip("_") == c for x in carry) for c in result}
-    return parsed.select(*((F.col("kept_text").alias(c) if c == text_col else F.col(names[c]).alias(c)) for c in carry), *(F.col(c).alias(f) for c, f in free.items()))
+    return done.select(*((F.col("kept_text").alias(c) if c == text_col else F.col(names[c]).alias(c)) for c in carry), *(F.col(c).alias(f) for c, f in free.items()))

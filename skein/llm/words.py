@@ -161,5 +161,5 @@ def all_words(column: pa.ChunkedArray | pa.Array, space: np.ndarray = SPACE, fol
 
 
 def shard(h: np.ndarray, n: int) -> np.ndarray:
-    """Bucket 0..n-1 of each hash, from its high bits; n is at most 65535."""
-    return (((h >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)).astype(np.uint16)
+    """Bucket 0..n-1 of each hash, from its high bits; n is below 2**31."""
+    return (((h >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)).astype(np.uint16 if n <= 1 << 16 else np.uint32)
