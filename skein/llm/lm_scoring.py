@@ -104,7 +104,7 @@ def lm_score(docs: DataFrame, train: DataFrame | str = "true", id_col: str = "do
     """
     spark = docs.sparkSession
     parts = shuffle_partitions(spark)
-    buckets = int(min(65_535, max(parts, plan_bytes(docs) * 2 // (32 << 20))))
+    buckets = int(max(parts, plan_bytes(docs) * 2 // (32 << 20)))
     rows = docs.select(F.col(f"`{id_col}`").alias("k"), F.col(f"`{text_col}`").cast("string").alias("t"), F.coalesce(F.expr(train), F.lit(False)).alias("train"))
     manifest = write_chunks(rows, "lm", CHUNK_BYTES)
 
@@ -135,7 +135,7 @@ def lm_score(docs: DataFrame, train: DataFrame | str = "true", id_col: str = "do
             yield pa.RecordBatch.from_pydict({"chunk": pa.array(chunk, pa.string()), "bucket": pa.array([b] * len(chunk), pa.int32()), "sums": pa.array(sums, pa.binary()), "tokens": pa.array(last(int(c.sum())), pa.int64()), "words": pa.array(last(int((c > 0).sum())), pa.int64()), "hot": pa.array(last(u[top].tobytes()), pa.binary()), "hot_counts": pa.array(last(c[top].tobytes()), pa.binary())})
 
     def dealt(df: DataFrame, key: str, n: int) -> DataFrame:
-        return df.repartition(n, key).sortWithinPartitions(key)
+        return df.repartition(max(n, buckets // 8), key).sortWithinPartitions(key)
 
     words = map_chunks(manifest, count_words, "chunk string, bucket int, hashes binary, counts binary")
     sums = materialize(dealt(words, "bucket", parts).mapInArrow(sum_words, "chunk string, bucket int, sums binary, tokens long, words long, hot binary, hot_counts binary"), "lm-words")

@@ -26,7 +26,7 @@ SEPARATOR, BLOCK_BYTES, FILE_BYTES, GROUP = 50_256, 4 << 20, 256 << 20, 1024
 def write_token_files(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 2, separator: int = SEPARATOR, file_bytes: int = FILE_BYTES, path: str | None = None) -> DataFrame:
     """Encode texts into flat files in the shared folder; (file, ordinal, id_col) says which document is where.
 
-    A null text is a document without tokens. A file's name is new in each attempt; only files named here count.
+    A null text is a document without tokens. Ids that don't fit, or that are the separator, are an error. A file's name is new in each attempt; only files named here count.
     """
     root = make_dir(docs.sparkSession, scratch(docs.sparkSession, "tokens"))
     kind = docs.schema[id_col].dataType.simpleString()
@@ -44,7 +44,10 @@ def write_token_files(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                     uri, size, ordinal = f"{root}/{uuid.uuid4().hex}.tokens", 0, 0
                     fs, at = open_fs(uri)
                     out = fs.open_output_stream(at, buffer_size=1 << 20)
-                ids = np.frombuffer(bpe.packed(x.as_py() or ""), "<u4").astype(f"<u{width}").tobytes()
+                tokens = np.frombuffer(bpe.packed(x.as_py() or ""), "<u4")
+                if len(tokens) and (int(tokens.max()) >> 8 * width or (tokens == separator).any()):
+                    raise ValueError(f"a token is the separator {separator} or needs more than {width} bytes")
+                ids = tokens.astype(f"<u{width}").tobytes()
                 out.write(ids + end)
                 files.append(uri)
                 ordinals.append(ordinal)
