@@ -13,6 +13,7 @@ from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from skein.storage import make_dir, materialize, open_fs, scratch
 
@@ -55,7 +56,7 @@ def arrow_map(df: DataFrame, f: Callable[[Batches], Batches], schema: str) -> Da
 
 
 def write_chunks(df: DataFrame, name: str, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """Manifest (chunk string, rows long) of df's rows. An empty table gives an empty manifest."""
+    """Manifest (chunk string, rows long, bytes long) of df's rows. An empty table gives an empty manifest."""
     root = make_dir(df.sparkSession, scratch(df.sparkSession, name))
 
     def dump(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -68,7 +69,7 @@ def write_chunks(df: DataFrame, name: str, chunk_bytes: int = CHUNK_BYTES) -> Da
             with fs.open_output_stream(path) as out, pa.ipc.new_stream(out, held[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
                 for b in held:
                     w.write_batch(b)
-            return pa.RecordBatch.from_pydict({"chunk": [uri], "rows": [sum(b.num_rows for b in held)]})
+            return pa.RecordBatch.from_pydict({"chunk": [uri], "rows": [sum(b.num_rows for b in held)], "bytes": [sum(b.nbytes for b in held)]})
 
         for batch in batches:
             step = max(1, int(batch.num_rows * min(1.0, chunk_bytes / 4 / max(batch.nbytes, 1))))
@@ -82,7 +83,7 @@ def write_chunks(df: DataFrame, name: str, chunk_bytes: int = CHUNK_BYTES) -> Da
         if size or held:
             yield flush()
 
-    return materialize(arrow_map(df, dump, "chunk string, rows long"), f"{name}-manifest")
+    return materialize(arrow_map(df, dump, "chunk string, rows long, bytes long"), f"{name}-manifest")
 
 
 def spread(manifest: DataFrame, most: int = 100_000) -> DataFrame:
@@ -90,6 +91,11 @@ def spread(manifest: DataFrame, most: int = 100_000) -> DataFrame:
     return manifest.repartitionByRange(max(1, min(most, manifest.count())), "chunk")
 
 
+def total_bytes(manifest: DataFrame) -> int:
+    """Bytes of all rows as Arrow holds them."""
+    return manifest.agg(F.sum("bytes")).first()[0] or 0
+
+
 def read_chunk(uri: str) -> pa.Table:
     fs, path = open_fs(uri)
     with fs.open_input_stream(path) as src, pa.ipc.open_stream(src) as r:

@@ -22,9 +22,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skein.llm.chunks import groups, map_chunks, read_chunk, spread, write_chunks
+from skein.llm.chunks import groups, map_chunks, read_chunk, total_bytes, write_chunks
 from skein.llm.words import LOWER, SPACE, all_words, mix, shard
-from skein.storage import materialize, plan_bytes, shuffle_partitions
+from skein.storage import materialize, shuffle_partitions
 
 BASE = 1.5
 FILTER_BITS = 1 << 27  # of a filter whose size isn't given
@@ -35,6 +35,8 @@ _SECOND = np.uint64(0x9E3779B97F4A7C1B)  # what the second word of a bigram coun
 ADD = 0.1
 #: Text a task holds at a time; its tokens take some thirty times as much while they are scored.
 CHUNK_BYTES = 8 << 20
+#: Text whose words and bigrams share a bucket.
+BUCKET_BYTES = 24 << 20
 
 
 def levels(counts: np.ndarray) -> np.ndarray:
@@ -104,9 +106,9 @@ def lm_score(docs: DataFrame, train: DataFrame | str = "true", id_col: str = "do
     """
     spark = docs.sparkSession
     parts = shuffle_partitions(spark)
-    buckets = int(max(parts, plan_bytes(docs) * 2 // (32 << 20)))
     rows = docs.select(F.col(f"`{id_col}`").alias("k"), F.col(f"`{text_col}`").cast("string").alias("t"), F.coalesce(F.expr(train), F.lit(False)).alias("train"))
     manifest = write_chunks(rows, "lm", CHUNK_BYTES)
+    buckets = max(parts, total_bytes(manifest) // BUCKET_BYTES)
 
     def sorted_words(uri: str):
         table, tok, counts = _tokens(uri)

@@ -19,9 +19,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
-from skein.llm.chunks import arrow_map, groups, map_chunks, read_chunk, write_chunks
+from skein.llm.chunks import arrow_map, groups, map_chunks, read_chunk, total_bytes, write_chunks
 from skein.llm.words import all_words, gram_hashes, gram_mask, pieces, scan, shard
-from skein.storage import materialize, plan_bytes, shuffle_partitions
+from skein.storage import materialize, shuffle_partitions
 
 NONE = np.iinfo(np.int64).max
 BLOCK_BYTES = 32 << 20
@@ -84,7 +84,7 @@ def relative_lz_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     names = {c: f"c{i}" for i, c in enumerate(carry)}  # in the chunks, so that no name clashes
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("k"), F.col(f"`{text_col}`").cast("string").alias("t"), *(F.col(f"`{c}`").alias(n) for c, n in names.items() if c != text_col))
     manifest = write_chunks(rows, "rlz")
-    blocks = int(max(shuffle_partitions(spark), plan_bytes(docs) * 4 // BLOCK_BYTES))
+    blocks = max(shuffle_partitions(spark), total_bytes(manifest) * 2 // BLOCK_BYTES)  # 8 bytes a word make 1.5 times the text
     tasks = max(shuffle_partitions(spark), blocks // 4)  # some 128 MB of hashes each
 
     def look_up(uri: str) -> Iterator[pa.RecordBatch]:

@@ -105,10 +105,48 @@ def test_language_id(spark):
     assert [x.lang_pred for x in got[:3]] == ["und"] * 3 and got[3].lang_pred in model.languages and "score_id" in got[0].asDict()
     assert language_id.train(d.withColumn("lang", F.lit(None).cast("string")), "true") is None
     assert {x.lang_pred for x in language_id.identify(odd, None).collect()} == {"und"}
+    long = "".join(f"{chr(97 + i % 26)}é{i} " for i in range(400))
+    for piece in (1, 2, 3, 7, 100):
+        assert np.array_equal(language_id.features([long, "a", " ", ""], piece=piece)[0], language_id.features([long, "a", " ", ""])[0])
     code = language_id.codewords(30)
     assert min((code[i] != code[j]).sum() for i in range(30) for j in range(i)) > code.shape[1] // 4
 
 
+def test_language_sample(spark):
+    rows = [(f"common text {i % 3}", "aa") for i in range(3000)] + [(f"word {i} other", "bb") for i in range(2000)] + [("rare one", "cc"), (None, "dd"), ("x", None)]
+    d = spark.createDataFrame(rows, "text string, lang string")
+    for sample, most in ((50, 1000), (500, 60)):
+        model = language_id.train(d, "true", sample=sample, most=most)
+        assert model.languages == ["aa", "bb", "cc"]  # few distinct texts, and one, are learned too
+    assert [r.lang_pred for r in language_id.identify(d.filter("lang = 'bb'").limit(5), model).collect()] == ["bb"] * 5
+    assert language_id.train(d.limit(0), "true") is None and language_id.identify(d.limit(0), model).count() == 0
+
+
+def test_fingerprints_want_numbers(spark):
+    with pytest.raises(TypeError):
+        fingerprints.fingerprint_documents(spark.createDataFrame([("a", "b")], "doc_id string, text string"))
+    with pytest.raises(TypeError):
+        substring_dedup.relative_lz_dedup(spark.createDataFrame([("a", "b")], "doc_id string, text string"))
+
+
+def test_token_ids_that_do_not_fit(spark, docs):
+    with pytest.raises(Exception, match="separator"):
+        token_counts.write_token_files(docs, separator=RANKS[b"the"])
+
+
+def test_factors():
+    covered, source = np.array([1, 1, 0, 1, 1, 1, 0, 0], bool), np.array([4, 4, 9, 4, 4, 6, 0, 0])
+    found = substring_dedup.factors(covered, source, 3)
+    assert found == [(0, 4, 4), (3, 7, 4), (5, 8, 6)] and substring_dedup.spans_of(found) == [(0, 8)]
+
+
+def test_factors_name_their_source(spark):
+    a, b = (" ".join(f"{c}{i}" for i in range(30)) for c in "ab")
+    d = spark.createDataFrame([(1, a), (2, b), (3, f"x {b} y {a} z"), (4, f"{a} {b}")], "doc_id long, text string")
+    got = {r.doc_id: (r.kept_text, [tuple(f) for f in r.factors]) for r in substring_dedup.relative_lz_dedup(d).collect()}
+    assert got[3] == ("x y z", [(1, 31, 2), (32, 62, 1)]) and got[4] == ("", [(0, 30, 1), (30, 60, 2)])
+
+
 def test_fingerprints(docs):
     sh = lambda t: (lambda w: {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set())(words(t))
     like = lambda a, b: len(a & b) / len(a | b) if a | b else 1.0
@@ -189,6 +227,39 @@ def test_html_below_depth_200():
     assert html_extract.main_text(box, set(html_extract.subtree_hashes(html_extract.parse("<article><section x=1>box</section></article>")).values())) == "b"
 
 
+def test_html_comment_articles_and_misleading_classes():
+    page = "<article><h1>T</h1><p>x</p><article class='comment'>first!</article></article><article class='comments'>yo</article>"
+    assert html_extract.main_text(html_extract.parse(page)) == "T\nx"
+    assert html_extract.main_text(html_extract.parse("<article class='share'><p>the only one</article>")) == "the only one"
+
+
+@pytest.mark.parametrize("part", ["<a '", "<a '>'", "<!", "<i></b>", "<p><button><i><div>", "<a b", "<script>", "</script ", "<", "<ul><li><b>", "<a x= ", "<!--", "</ "])
+def test_broken_html_takes_linear_time(part):
+    import time
+
+    began = time.time()
+    root = html_extract.parse("<p>start</p>" + part * ((1 << 20) // len(part)))
+    assert html_extract.main_text(root, {1}).startswith("start") and time.time() - began < 30
+
+
+def test_cut_off_markup_goes():
+    assert html_extract.main_text(html_extract.parse("<p>a<p>b</p><a href='x")) == "a\nb"
+    assert html_extract.main_text(html_extract.parse('<p>good</p><a href="x>text</a><p>more</p> 1<2')) == "good\ntext\nmore\n1<2"
+
+
+def test_templates_beyond_the_broadcast(spark):
+    rows = [(i, f"http://h{i % 70}.example/", f"<div class=text><section x=1>site {i % 70}</section><p>page {i}</p></div>") for i in range(700)]
+    d = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = [html_extract.extract_main_text(d, broadcast_bytes=b) for b in (0, 8 << 20)]
+    assert all({r.page_id: r.text for r in g.collect()} == {i: f"page {i}" for i in range(700)} for g in got)
+
+
+def test_warc_long_payload(spark):
+    big = "0123456789abcdef" * 300_000
+    d = spark.createDataFrame([(1, "u", big), (2, "u", big), (3, "u", big + "x")], "page_id long, url string, html string")
+    assert {r.page_id: (r.payload_bytes, r.record_type, r.refers_to) for r in warc.warc_round_trip(d).collect()} == {1: (len(big), "revisit", 2), 2: (len(big), "response", None), 3: (len(big) + 1, "response", None)}
+
+
 def test_warc(spark):
     big, other = "é" * 600, "x" * 1000
     rows = [(1, "u", big), (2, "u v\r\nw", big), (3, None, other), (4, "u", other), (5, "u", other), (6, "u", "small"), (7, "u", "small"), (8, "u", None), (None, "u", big), (9, "u", "x" * 999), (10, "u", "x" * 999)]
@@ -238,6 +309,25 @@ def test_decontaminate(spark, docs):
     assert decontaminate.contained_items(empty(d), items).count() == decontaminate.contained_items(d, items.limit(0)).count() == 0
 
 
+def test_rows_without_items(spark):
+    rows = [(1, "nothing here"), (1, "it has one two three four five six inside"), (None, "ONE two, three four five six"), (None, None), (2, "one two")]
+    d = spark.createDataFrame(rows, "doc_id long, text string").transform(clash)
+    items = spark.createDataFrame([(7, "one two three four five six"), (8, "two"), (9, None)], "item_id long, text string")
+    for block in (decontaminate.BLOCK_BYTES, 8):
+        left = decontaminate.without_items(d, items, block_bytes=block)
+        assert left.columns == d.columns and Counter((r.doc_id, r.text) for r in left.collect()) == Counter([rows[0], rows[3], rows[4]])
+    assert decontaminate.without_items(d, items.limit(0)).count() == 5 and decontaminate.without_items(d.limit(0), items).count() == 0
+
+
+def test_one_row_of_each(spark):
+    a, b = (" ".join(f"{c}{i % 17}{i}" for i in range(60)) for c in "qz")
+    rows = [(1, a), (1, b), (2, a), (None, b), (None, "only this one here"), (3, "only this one here"), (1, a)]
+    d = spark.createDataFrame(rows, "doc_id long, text string").transform(clash)
+    left = simhash.keep_one_of_each(d)
+    assert left.columns == d.columns and Counter((r.doc_id, r.text) for r in left.collect()) == Counter([(1, a), (1, b), (3, "only this one here")])
+    assert simhash.keep_one_of_each(d.limit(0)).count() == 0
+
+
 def brute_fingerprint(t):
     w = (t or "").encode().lower().split()
     s = [b" ".join(w[i : i + 3]) for i in range(max(1, len(w) - 2))] if w else []
@@ -350,22 +440,36 @@ def test_bloom_holds_its_levels():
 
 
 def test_pipeline(spark, tmp_path, docs):
-    d = docs.filter("doc_id is not null").select("doc_id", "text").dropDuplicates(["doc_id"]).withColumn("lang", F.lit("en")).withColumn("source", F.lit("s")).withColumn("n_chars", F.length("text").cast("long"))
+    """With null and clashing ids, repeated rows, clashing columns; against brute force, ids of tokens included."""
+    base = [(i, t) for i, t in pairs(docs) if i is not None]
+    item = next(t for _, t in sorted(base, key=str) if t and len(t) > 200)
+    rows = base + [(None, f"{item} and more"), (None, "a text without an id that nothing else is like at all"), (base[0][0], "another text under an id that is taken by a different one"), base[1]]
+    d = spark.createDataFrame(rows, "doc_id long, text string").withColumn("lang", F.lit("en")).withColumn("source", F.lit("s")).withColumn("n_chars", F.length("text").cast("long")).transform(clash)
     d.write.parquet(f"{tmp_path}/documents.parquet")
-    item = next(t for _, t in sorted(pairs(d.filter("length(text) > 200")), key=str))
-    spark.createDataFrame([(1, " ".join(item.split()[:25]))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
-    rows = sorted((i, t) for i, t in pairs(d) if t and any(ch.isalpha() for ch in t))
-    rows = [(i, t) for (i, t), (_, c) in zip(rows, brute_components(rows), strict=True) if c == i]
+    item = " ".join(item.split()[:25])
+    spark.createDataFrame([(1, item), (2, "the")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    # a document's place: rows without an id come last
+    left = [((i is None, i or 0, n), t) for n, (i, t) in enumerate(rows) if t and any(ch.isalpha() for ch in t)]
+    left = [(k, t) for (k, t), (_, c) in zip(left, brute_components(left), strict=True) if k == c]
+    left = [(k[1] if not k[0] else 1 << 62, t) for k, t in left]
     first = {}
-    for i, t in rows:
+    for i, t in sorted(left, key=lambda x: x[0]):
         for k in range(len(words(t)) - 12):
             first.setdefault(tuple(words(t)[k : k + 13]), i)
-    left = []
-    for i, t in rows:
+    want, q = Counter(), decontaminate.shingles(item, 5)
+    for i, t in left:
         w = words(t)
         gone = {p for k in range(len(w) - 12) if first[tuple(w[k : k + 13])] < i for p in range(k, k + 13)}
-        left.append((i, b" ".join(x for p, x in enumerate(w) if p not in gone).decode() if gone else t))
-    q = decontaminate.shingles(" ".join(item.split()[:25]), 5)
-    want = {(i, len(TIKTOKEN.encode_ordinary(t))) for i, t in left if len(q & decontaminate.shingles(t, 5)) < 0.8 * len(q)}
+        kept = b" ".join(x for p, x in enumerate(w) if p not in gone).decode() if gone else t
+        if len(q & decontaminate.shingles(kept, 5)) < 0.8 * len(q):
+            ids = TIKTOKEN.encode_ordinary(kept)
+            want[i if i < 1 << 62 else None, tuple(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()] += 1
     got = corpus_pipeline.run(spark, str(tmp_path)).collect()
-    assert len(want) < len(left) and {(r.doc_id, r.n_tokens) for r in got} == want and len(got) == len(want)
+    assert Counter((r.doc_id, tuple(r.ids), r.ids_sha256) for r in got) == want and sum(want.values()) < len(left)
+
+
+def test_pipeline_of_nothing(spark, tmp_path, docs):
+    d = docs.select("doc_id", "text", F.lit("en").alias("lang"), F.lit("s").alias("source"), F.lit(0).cast("long").alias("n_chars")).limit(0)
+    d.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
