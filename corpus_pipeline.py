@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skein.llm.bpe import bpe_encode
-from skein.llm.decontaminate import contained_items
+from skein.llm.decontaminate import without_items
 from skein.llm.language_id import UND, identify, train
 from skein.llm.queries import LEARN_LANGUAGE
 from skein.llm.simhash import keep_one_of_each
 from skein.llm.substring_dedup import relative_lz_dedup
-from skein.storage import materialize
+from skein.storage import delete, keep_until_exit, scope, shared_root
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,7 +25,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by SimHash, the one with the smallest id stays."""
+    """Of documents linked by SimHash, the row with the smallest id stays; rows are told apart by number, not by id."""
     return keep_one_of_each(docs)
 
 
@@ -35,13 +36,13 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that contain a benchmark item."""
-    leaks = materialize(contained_items(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(F.col("doc_id").alias("_leak")).distinct(), "leaks")
-    return docs.join(leaks, docs["doc_id"] == leaks["_leak"], "left_anti")
+    """Drops rows whose text contains a benchmark item of five words or more; ids take no part."""
+    return without_items(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return bpe_encode(docs)
+    """doc_id with the token ids, their number and the sums of ids and decoded bytes."""
+    return bpe_encode(docs, keep_ids=True)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
@@ -54,9 +55,17 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """Every stage's output is written once; its scratch tables and the input it no longer needs go after that."""
+    docs, since = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
+        with scope(spark):
+            made = stage(spark, docs, sf_dir)
+            path = f"{shared_root(spark)}/skein-stage-{name}-{uuid.uuid4().hex}"
+            made.write.parquet(path)
+        if since:
+            delete(spark, since)
+        docs, since = spark.read.schema(made.schema).parquet(path), path
+    keep_until_exit(spark, since)
     return docs
 
 
