@@ -46,13 +46,11 @@ def shingle_sets(texts: pa.Array | pa.ChunkedArray, width: int, short: bool) ->
     """Ascending distinct shingle hashes of each text; short: texts of fewer words have one shingle of all of them."""
     h, counts = all_words(texts, PUNCT, LOWER)
     grams = gram_hashes(h, width)[gram_mask(counts, width)]
-    each = np.maximum(counts - (width - 1), 0)
-    doc = np.repeat(np.arange(len(counts)), each)
-    by = np.lexsort((grams, doc))
-    grams, doc = grams[by], doc[by]
-    new = np.r_[True, (grams[1:] != grams[:-1]) | (doc[1:] != doc[:-1])] if len(grams) else np.empty(0, bool)
-    ends = np.searchsorted(doc[new], np.arange(len(counts) + 1))
-    out, word_ends = [grams[new][a:z] for a, z in zip(ends, ends[1:], strict=False)], np.r_[0, np.cumsum(counts)]
+    ends, word_ends = np.r_[0, np.cumsum(np.maximum(counts - (width - 1), 0))], np.r_[0, np.cumsum(counts)]
+    out = []
+    for a, z in zip(ends, ends[1:], strict=False):
+        u = np.sort(grams[a:z])
+        out.append(u[np.r_[True, u[1:] != u[:-1]]] if len(u) else u)
     if short:
         for i in np.flatnonzero((counts > 0) & (counts < width)):
             out[i] = gram_hashes(h[word_ends[i] : word_ends[i + 1]], int(counts[i]))
