@@ -47,3 +47,9 @@ def sharded_digest(df: DataFrame, key: str, *names: str, shards: int = 1024) ->
     rows = F.array_sort(F.collect_list(F.struct(F.col(key).cast("string").alias("k"), F.sha2(canonical_json(*(names or df.columns)), 256).alias("j"))))
     parts = df.groupBy(F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(shards)).alias("shard")).agg(F.sha2(F.array_join(F.transform(rows, lambda r: r.j), "\n"), 256).alias("d"))
     return parts.agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("shard", "d"))), lambda r: r.d), "\n"), 256).alias("digest"))
+
+
+def group_digest(df: DataFrame, key: str, order: list[str], part: Column) -> DataFrame:
+    """(key, digest): the hash of a group's parts in order, joined by newlines. For groups of bounded size, such as a conversation."""
+    rows = F.array_sort(F.collect_list(F.struct(*order, part.alias("part"))))
+    return df.groupBy(key).agg(F.sha2(F.array_join(F.transform(rows, lambda r: r.part), "\n"), 256).alias("digest"))

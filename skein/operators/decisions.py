@@ -7,10 +7,16 @@ from pyspark.sql import functions as F
 
 from skein.functions.identity import sha256, short_id
 from skein.functions.numeric import decimal_equal
-from skein.operators.joins import latest
 
-#: The six checks that publication of external members asks for.
-REVIEW_CHECKS = ("schema_valid", "source_recorded", "messages_complete", "tools_defined", "split_registration", "sensitive_review")
+#: The six checks that publication of external members asks for.
+REVIEW_CHECKS = (
+    "source_identity",
+    "upstream_tool_definition",
+    "message_context",
+    "target_answer_mapping",
+    "split_registration",
+    "sensitive_review",
+)
 ORIGINS = ("PUBLIC_ORIGINAL", "DERIVED")
 
 
@@ -27,11 +33,20 @@ def decide_quality(attempts: DataFrame, verifications: DataFrame, representative
     verifications(attempt_id, status, outcome, position): the last of an attempt counts. representatives(attempt_id,
     representative): an attempt without one is rejected as not its own representative.
     """
-    last = latest(verifications, ["attempt_id"], "position").select("attempt_id", "status", "outcome", F.lit(True).alias("seen"))
-    rows = attempts.join(last, "attempt_id", "left").join(representatives, "attempt_id", "left")
+    last = verifications.groupBy("attempt_id").agg(F.max_by(F.struct("status", "outcome"), "position").alias("v")).select("attempt_id", "v.status", "v.outcome", F.lit(True).alias("seen"))
+    return apply_quality_rule(attempts.join(last, "attempt_id", "left").join(representatives, "attempt_id", "left"), policy)
+
+
+def apply_quality_rule(rows: DataFrame, policy: str) -> DataFrame:
+    """rows(attempt_id, status, outcome, seen, representative) with action, reason_code and decision_id; seen is null without a verification."""
     own = F.col("attempt_id").eqNullSafe(F.col("representative"))
     unsure = (F.col("status") != "VERIFIED") | (F.col("outcome") == "UNKNOWN") | F.col("status").isNull() | F.col("outcome").isNull()
-    rules = [(F.col("seen").isNull(), "QUARANTINE", "MISSING_VERIFICATION"), (unsure, "QUARANTINE", "VERIFICATION_UNKNOWN"), (F.col("outcome") == "FAIL", "REJECT", "VERIFICATION_FAIL"), (~own, "REJECT", "DUPLICATE_NON_REPRESENTATIVE")]
+    rules = [
+        (F.col("seen").isNull(), "QUARANTINE", "MISSING_VERIFICATION"),
+        (unsure, "QUARANTINE", "VERIFICATION_UNKNOWN"),
+        (F.col("outcome") == "FAIL", "REJECT", "VERIFICATION_FAIL"),
+        (~own, "REJECT", "DUPLICATE_NON_REPRESENTATIVE"),
+    ]
     decided = rows.withColumn("action", _first_rule(rules, 1, "ACCEPT")).withColumn("reason_code", _first_rule(rules, 2, "VERIFIED_PASS")).withColumn("policy_version", F.lit(policy))
     return decided.withColumn("decision_id", short_id("decision", "attempt_id", "action", "reason_code", "policy_version")).drop("seen")
 
@@ -92,14 +107,91 @@ def execution_violations(members: DataFrame) -> DataFrame:
     return members.withColumn("violation", _first_rule([(c, r, r) for c, r in rules], 1, None)).filter("violation is not null")
 
 
+def _no_items(name: str) -> Column:
+    return F.coalesce(F.size(name), F.lit(0)) <= 0
+
+
+def review_is_complete(checks: Column) -> Column:
+    """Whether an array of check names has all of REVIEW_CHECKS."""
+    return F.size(F.array_except(F.array(*map(F.lit, REVIEW_CHECKS)), F.coalesce(checks, F.array().cast("array<string>")))) == 0
+
+
+#: What an external member must have.
+EXTERNAL_FIELDS = (
+    "demonstration_id",
+    "source_record_id",
+    "source_record_ids",
+    "usage_scope",
+    "eligibility_decision_id",
+    "eligibility_action",
+    "upstream_message_refs",
+    "source_origin",
+    "replay_capability",
+    "review_checks",
+)
+
+
 def external_violations(members: DataFrame) -> DataFrame:
-    """The same for external members, which are for training and need all review checks."""
-    empty = lambda c: F.coalesce(F.size(c), F.lit(0)) <= 0
-    missing = F.size(F.array_except(F.array(*map(F.lit, REVIEW_CHECKS)), F.coalesce("review_checks", F.array().cast("array<string>")))) > 0
-    rules = [(F.col("demonstration_id").isNull(), "MISSING_FIELD"), (~F.col("usage_scope").eqNullSafe("TRAIN"), "NOT_TRAIN"), (~F.col("eligibility_action").eqNullSafe("ACCEPT"), "NOT_ACCEPTED"), (~F.coalesce(F.col("source_origin").isin(*ORIGINS), F.lit(False)), "ORIGIN"), (empty("source_record_ids") | empty("upstream_message_refs"), "NO_LINEAGE"), (missing, "REVIEW_CHECKS")]
+    """External members that may not be published, with the first reason; a column that is not there is a missing field."""
+    lacks = F.lit(any(c not in members.columns for c in EXTERNAL_FIELDS))
+    for c in set(EXTERNAL_FIELDS) - set(members.columns):
+        members = members.withColumn(c, F.lit(None).cast("array<string>" if c in ("source_record_ids", "upstream_message_refs", "review_checks") else "string"))
+    rules = [
+        (lacks | F.col("demonstration_id").isNull(), "MISSING_FIELD"),
+        (~F.col("usage_scope").eqNullSafe("TRAIN"), "NOT_TRAIN"),
+        (~F.col("eligibility_action").eqNullSafe("ACCEPT"), "NOT_ACCEPTED"),
+        (~F.coalesce(F.col("source_origin").isin(*ORIGINS), F.lit(False)), "ORIGIN"),
+        (_no_items("source_record_ids"), "NO_SOURCE_LINEAGE"),
+        (_no_items("upstream_message_refs"), "NO_MESSAGE_LINEAGE"),
+        (F.coalesce(F.length("eligibility_decision_id"), F.lit(0)) == 0, "NO_DECISION"),
+        (~review_is_complete(F.col("review_checks")), "REVIEW_CHECKS"),
+    ]
     return members.withColumn("violation", _first_rule([(c, r, r) for c, r in rules], 1, None)).filter("violation is not null")
 
 
+def publication_violations(members: DataFrame) -> DataFrame:
+    """The gate of the members' kind: external ones have a demonstration_id. Of a mixed table every row is a violation."""
+    if "demonstration_id" not in members.columns:
+        return execution_violations(members)
+    if "attempt_id" not in members.columns:
+        return external_violations(members)
+    return members.withColumn("violation", F.lit("MIXED_KINDS"))
+
+
+def ingress(members: DataFrame) -> DataFrame:
+    """External members in the order of their ids; an empty id or an origin that may not enter ends the query."""
+    good = (F.coalesce(F.length("demonstration_id"), F.lit(0)) > 0) & F.coalesce(F.col("source_origin").isin(*ORIGINS), F.lit(False))
+    return members.withColumn("demonstration_id", or_raise(good, F.col("demonstration_id"), "no external member")).orderBy("demonstration_id")
+
+
+def or_raise(good: Column, value: Column, what: str) -> Column:
+    """value where good holds; else the query ends. As a value, and no filter, it is not moved below the joins of its rows."""
+    return F.when(good, value).otherwise(F.raise_error(F.concat(F.lit(f"{what}: "), F.coalesce(value.cast("string"), F.lit("null")))).cast("string"))
+
+
+def demote_fixtures(attempts: DataFrame) -> DataFrame:
+    """Scripted fixtures are never for training: their scope TRAIN becomes DEVELOPMENT."""
+    fixture = (F.col("actor_kind") == "SCRIPTED_FIXTURE") & (F.col("usage_scope") == "TRAIN")
+    return attempts.withColumn("usage_scope", F.when(fixture, "DEVELOPMENT").otherwise(F.col("usage_scope")))
+
+
+def repair_decisions(decisions: DataFrame, replacements: DataFrame, policy: str) -> DataFrame:
+    """REPAIR decisions of replacements(subject_id, replacement_subject_id), each pointing at the decision it follows.
+
+    A replacement that is its own subject ends the query.
+    """
+    rows = decisions.join(replacements, "subject_id").select(F.col("decision_id").alias("parent_decision_id"), "subject_id", "replacement_subject_id")
+    own = F.when(F.col("subject_id") == F.col("replacement_subject_id"), F.raise_error(F.lit("a repair needs another subject")).cast("string"))
+    named = rows.select(F.coalesce(own, F.col("replacement_subject_id")).alias("subject_id"), "parent_decision_id", F.lit("REPAIR").alias("action"), F.array(F.lit("REPAIRED")).alias("reason_codes"), F.lit(policy).alias("policy_version"))
+    return named.withColumn("decision_id", short_id("decision", "subject_id", "parent_decision_id", "action", "policy_version"))
+
+
+def task_success(expected_value: Column, expected_unit: Column, documents: Column, value: Column, unit: Column, evidence: Column, valid: Column) -> Column:
+    """An evaluation's answer: value as text, unit and the ordered list of evidence are equal, and no constraint is broken."""
+    same = value.eqNullSafe(expected_value) & unit.eqNullSafe(expected_unit) & evidence.eqNullSafe(documents)
+    return same & F.coalesce(valid, F.lit(True))
+
+
 #: Cross-field rules of each record kind: name and condition under which a row breaks it.
 CHECKS: dict[str, dict[str, str]] = {
     "external_demonstrations": {"parent_needs_rule": "(parent_demonstration_id is null) <> (repair_rule_ref is null)", "own_parent": "parent_demonstration_id = demonstration_id"},

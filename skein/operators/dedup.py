@@ -6,15 +6,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skein.functions.text import word_tokens
+from skein.storage import materialize
 
 
 def representatives(df: DataFrame, id_col: str, projection: list) -> DataFrame:
     """(id, projection_sha256, representative): rows of equal projections are duplicates, the smallest id stands for them.
 
     A merge needs equal projections, whatever the candidate search finds; so min() over the hash is the whole of it. It is
-    pre-aggregated, and joined back, so that a large group is no single task's.
+    pre-aggregated, and joined back, so that a large group is no single task's. Ids and hashes are written once, so that texts
+    are read and hashed once.
     """
-    hashed = df.select(id_col, F.sha2(F.to_json(F.struct(*projection), {"ignoreNullFields": "false"}), 256).alias("projection_sha256"))
+    hashed = materialize(df.select(id_col, F.sha2(F.to_json(F.struct(*projection), {"ignoreNullFields": "false"}), 256).alias("projection_sha256")), "projections")
     least = hashed.groupBy("projection_sha256").agg(F.min(id_col).alias("representative"))
     return hashed.join(least, "projection_sha256").select(id_col, "projection_sha256", "representative")
 
@@ -24,11 +26,11 @@ def token_sets(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def jaccard_pairs(sets: DataFrame, threshold: float) -> DataFrame:
-    """(left, right, jaccard) of all pairs of sets(id, tokens) at or above the threshold, exactly.
+    """(left, right, jaccard) of all pairs of different sets(id, tokens) at or above the threshold, exactly.
 
     Prefix filter: with tokens ordered from rare to frequent, two sets this alike share a token among the first
-    n - ceil(threshold * n) + 1 of each; sizes must be within the threshold too. Equal sets are joined by their first id,
-    and their pairs come from the group, so only different sets are compared.
+    n - ceil(threshold * n) + 1 of each; sizes must be within the threshold too. Equal sets stand under their first id, and
+    set_groups says which ids that is, so that m copies are m rows and no m ** 2 pairs.
     """
     sets = sets.filter(F.size("tokens") > 0)
     groups = sets.groupBy("tokens").agg(F.min("id").alias("g"))
@@ -41,10 +43,14 @@ def jaccard_pairs(sets: DataFrame, threshold: float) -> DataFrame:
     texts = groups.select("g", "tokens")
     both = near.join(texts.toDF("a", "ta"), "a").join(texts.toDF("b", "tb"), "b")
     j = F.size(F.array_intersect("ta", "tb")) / F.size(F.array_union("ta", "tb"))
-    alike = both.withColumn("jaccard", j).filter(F.col("jaccard") >= threshold - 1e-9).select("a", "b", "jaccard").union(groups.select(F.col("g").alias("a"), F.col("g").alias("b"), F.lit(1.0).alias("jaccard")))
-    members = sets.join(groups, "tokens").select("id", "g")
-    pairs = alike.join(members.toDF("x", "a"), "a").join(members.toDF("y", "b"), "b").filter("a <> b or x < y")
-    return pairs.select(F.least("x", "y").alias("left"), F.greatest("x", "y").alias("right"), "jaccard")
+    return both.withColumn("jaccard", j).filter(F.col("jaccard") >= threshold - 1e-9).select(F.col("a").alias("left"), F.col("b").alias("right"), "jaccard")
+
+
+def set_groups(sets: DataFrame) -> DataFrame:
+    """(id, representative) of sets(id, tokens): the first id of equal sets; empty sets have none."""
+    sets = sets.filter(F.size("tokens") > 0).select("id", F.sha2(F.array_join("tokens", " "), 256).alias("s"))
+    least = sets.groupBy("s").agg(F.min("id").alias("representative"))
+    return sets.join(least, "s").select("id", "representative")
 
 
 def minhash_bands(sets: DataFrame, bands: int = 5, rows: int = 11, seed: int = 7) -> DataFrame:
@@ -69,8 +75,10 @@ def minhash_candidates(sets: DataFrame, bands: int = 5, rows: int = 11, seed: in
     return near.union(copies).distinct()
 
 
-def non_candidates(ids: DataFrame, candidates: DataFrame) -> DataFrame:
-    """Pairs left < right of a small, bounded set of ids (a review's tasks) that are no candidates."""
+def non_candidates(ids: DataFrame, candidates: DataFrame, most: int = 10_000) -> DataFrame:
+    """Pairs left < right of a review's ids that are no candidates; more than `most` ids are an error."""
+    if ids.limit(most + 1).count() > most:
+        raise ValueError(f"a review has at most {most} ids")
     a, b = ids.toDF("left"), ids.toDF("right")
     return a.join(F.broadcast(b), F.col("left") < F.col("right")).join(candidates.select("left", "right"), ["left", "right"], "left_anti")
 

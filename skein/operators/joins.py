@@ -18,6 +18,11 @@ def missing(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     return left.join(right, keys, "left_anti")
 
 
+def selection(rows: DataFrame, selected: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows whose keys are selected, once each however often they are."""
+    return rows.join(selected.select(*keys), keys, "left_semi")
+
+
 def strict_join(left: DataFrame, right: DataFrame, keys: list[str], what: str) -> DataFrame:
     """Inner join of which every left row must have a match; one that has none ends the query when it is read."""
     seen = left.join(right.withColumn("_seen", F.lit(True)), keys, "left")
@@ -61,3 +66,35 @@ def matched_pairs(pool: DataFrame, keys: list[str], is_target, order: str) -> Da
     t = ranked.filter("_t").select(*keys, "_n", F.col(order).alias("target"))
     c = ranked.filter("not _t").select(*keys, "_n", F.col(order).alias("control"))
     return t.join(c, [*keys, "_n"]).select(*keys, "target", "control")
+
+
+def in_order(selected: list[str], rows: DataFrame, key: str) -> DataFrame:
+    """Rows of the selected keys in the caller's order; keys that repeat, or that no row has, are an error."""
+    if not selected or len(set(selected)) != len(selected):
+        raise ValueError("a selection has keys, each once")
+    wanted = rows.sparkSession.createDataFrame(list(enumerate(selected)), f"position int, {key} {rows.schema[key].dataType.simpleString()}")
+    return strict_join(wanted, rows, [key], key).orderBy("position").drop("position")
+
+
+def lookup(rows: DataFrame, key: str, value: object) -> dict:
+    """The one row of a key; an error when it is absent."""
+    found = rows.filter(F.col(key) == F.lit(value)).limit(1).collect()
+    if not found:
+        raise KeyError(value)
+    return found[0].asDict()
+
+
+def set_differences(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Rows that one side has more often than the other, with `side`; none if both are the same bag."""
+    return a.exceptAll(b).withColumn("side", F.lit("left")).union(b.exceptAll(a).withColumn("side", F.lit("right")))
+
+
+def uncovered(key: str, **sides: DataFrame) -> DataFrame:
+    """Keys that some of the sides lack, with a boolean a side."""
+    out = None
+    for name, df in sides.items():
+        own = df.select(key).distinct().withColumn(name, F.lit(True))
+        out = own if out is None else out.join(own, key, "full")
+    flags = [F.coalesce(F.col(n), F.lit(False)).alias(n) for n in sides]
+    rows = out.select(key, *flags)
+    return rows.filter(~reduce(lambda x, y: x & y, (F.col(n) for n in sides)))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,13 +26,18 @@ def quality_report(members: DataFrame) -> dict:
 
 
 def findings(records: DataFrame) -> DataFrame:
-    """Per family: failures, successes, failed tasks in order, category and confidence.
+    """Per family with failures: counts of failures and successes, category, confidence and finding_id; finding_tasks names the tasks.
 
     Infrastructure is the category only where every failure is one; confidence is low where any task succeeded.
     """
     failed = ~F.col("task_success")
-    g = records.groupBy("family").agg(F.count_if(failed).alias("failures"), F.count_if("task_success").alias("successes"), F.array_sort(F.collect_list(F.when(failed, F.col("task_id")))).alias("failed_tasks"), F.bool_and(F.when(failed, F.col("unresolved_infrastructure").isNotNull())).alias("infra"))
-    return g.filter("failures > 0").select("family", "failures", "successes", "failed_tasks", F.when(F.col("infra"), "INFRASTRUCTURE").otherwise("CONSTRAINT_FAILURE").alias("category"), F.when(F.col("successes") > 0, "LOW").otherwise("HIGH").alias("confidence"))
+    g = records.groupBy("family").agg(F.count_if(failed).alias("failures"), F.count_if("task_success").alias("successes"), F.bool_and(F.when(failed, F.coalesce(F.length("unresolved_infrastructure"), F.lit(0)) > 0)).alias("infra"))
+    return g.filter("failures > 0").select("family", "failures", "successes", F.when(F.col("infra"), "INFRASTRUCTURE").otherwise("CONSTRAINT_FAILURE").alias("category"), F.when(F.col("successes") > 0, "LOW").otherwise("MEDIUM").alias("confidence"), F.concat(F.lit("finding-"), "family").alias("finding_id"))
+
+
+def finding_tasks(records: DataFrame) -> DataFrame:
+    """(finding_id, task_id) of all failed tasks, a row each, so that no family's list is one row."""
+    return records.filter(~F.col("task_success")).select(F.concat(F.lit("finding-"), "family").alias("finding_id"), "task_id")
 
 
 def evaluation_metrics(records: DataFrame) -> DataFrame:
@@ -40,9 +48,21 @@ def evaluation_metrics(records: DataFrame) -> DataFrame:
     return records.agg(n.alias("tasks"), (F.count_if(ok) / n).alias("task_success_at_1"), (F.count_if(eff) / n).alias("effective_coverage"), F.try_divide(F.count_if(ok & eff), F.count_if(eff)).alias("conditional_success"), share(ok, F.col("recovery_condition")).alias("recovery_success"), share(ok, F.col("unseen_combination")).alias("unseen_success"), F.sum("model_calls").alias("model_calls"), F.sum("completion_tokens").alias("completion_tokens"), F.sum("provider_cost_cny").alias("provider_cost_cny"))
 
 
-def rescore(records: DataFrame) -> DataFrame:
-    """Per terminal class: rows, and how many kept their reward (null equals null)."""
-    return records.groupBy("terminal_class").agg(F.count(F.lit(1)).alias("records"), F.count_if(F.col("new_reward").eqNullSafe(F.col("total_reward"))).alias("same"), F.count_if(~F.col("new_reward").eqNullSafe(F.col("total_reward"))).alias("changed"))
+def rescore(records: DataFrame, least: int | None = None) -> DataFrame:
+    """Per terminal class: rows, and how many kept their reward (null equals null); classes below `least` rows are left out."""
+    kept = F.col("new_reward").eqNullSafe(F.col("total_reward"))
+    out = records.groupBy("terminal_class").agg(F.count(F.lit(1)).alias("records"), F.count_if(kept).alias("same"), F.count_if(~kept).alias("changed"))
+    return out if least is None else out.filter(F.col("records") >= least)
+
+
+#: The classes that a rescoring must cover, and how often each.
+RESCORE_CLASSES, RESCORE_LEAST = ("success", "known_zero", "truncated", "unknown", "error"), 2
+
+
+def rescore_coverage(records: DataFrame, classes: tuple[str, ...] = RESCORE_CLASSES[:4], least: int = RESCORE_LEAST) -> DataFrame:
+    """Required classes that have too few records."""
+    wanted = records.sparkSession.createDataFrame([(c,) for c in classes], "terminal_class string")
+    return wanted.join(rescore(records, least), "terminal_class", "left_anti")
 
 
 def reward_accounting(records: DataFrame) -> DataFrame:
@@ -51,11 +71,17 @@ def reward_accounting(records: DataFrame) -> DataFrame:
     return tasks.agg((F.sum("k") / F.sum("n")).alias("computable_rate"), F.try_divide(F.count_if(F.col("known") & (F.col("best") == 0)), F.count_if("known")).alias("all_zero_rate"))
 
 
-def spend(entries: DataFrame, limits: DataFrame) -> DataFrame:
-    """Per resource: spent, the largest limit, and whether another run is allowed; without a limit it is not."""
+def spend(entries: DataFrame, limits: DataFrame, quotes: DataFrame) -> DataFrame:
+    """Per resource kind of any of the three: spent, the largest stop limit, whether an external run is allowed, and why not.
+
+    A kind needs a quote and an authorisation (limits(resource_kind, stop_limit_fen)), and to have spent less than its limit.
+    """
     used = entries.groupBy("resource_kind").agg(F.sum("cost_cny_fen").alias("spent"))
     most = limits.groupBy("resource_kind").agg(F.max("stop_limit_fen").alias("stop"))
-    return most.join(used, "resource_kind", "full").select("resource_kind", F.coalesce("spent", F.lit(0)).alias("spent"), "stop", F.coalesce(F.coalesce("spent", F.lit(0)) < F.col("stop"), F.lit(False)).alias("allowed"))
+    quoted = quotes.select("resource_kind").distinct().withColumn("quoted", F.lit(True))
+    rows = most.join(used, "resource_kind", "full").join(quoted, "resource_kind", "full").withColumn("spent", F.coalesce("spent", F.lit(0)))
+    reason = F.when(F.col("quoted").isNull(), "missing quote").when(F.col("stop").isNull(), "missing authorization").when(F.col("spent") >= F.col("stop"), "stop limit reached")
+    return rows.select("resource_kind", "spent", "stop", reason.isNull().alias("allowed"), reason.alias("reason"))
 
 
 def coverage(tasks: DataFrame, by: str, least: int) -> DataFrame:
@@ -72,7 +98,75 @@ def assertions(df: DataFrame, **checks: Column) -> DataFrame:
     return row.withColumn("passed", ok)
 
 
-def profile(df: DataFrame, required: list[str]) -> dict:
-    """Rows, columns, missing required fields and column names that look sensitive."""
-    words = ("password", "secret", "token", "api_key", "email", "phone")
-    return {"rows": df.count(), "columns": df.columns, "missing": [c for c in required if c not in df.columns], "sensitive": [c for c in df.columns if any(w in c.lower() for w in words)]}
+#: Column names that are sensitive, and those of free text.
+SENSITIVE, FREE_TEXT = ("email", "phone", "password", "token", "address", "user_id"), ("question", "messages")
+
+
+def profile(df: DataFrame, required: list[str]) -> DataFrame:
+    """One row: record_count, required_field_status and sensitive_check_status, by column names; only the count reads the table."""
+    names = set(df.columns)
+    fields = None if not required else "AVAILABLE" if set(required) <= names else "MISSING"
+    sensitive = "SENSITIVE_FIELD_NAMES_PRESENT" if names & set(SENSITIVE) else "POTENTIAL_FREE_TEXT_REVIEW_REQUIRED" if names & set(FREE_TEXT) else "NO_DECLARED_SENSITIVE_FIELD_NAMES"
+    return df.agg(F.count(F.lit(1)).alias("record_count"), F.lit(fields).cast("string").alias("required_field_status"), F.lit(sensitive).alias("sensitive_check_status"))
+
+
+def tool_names(column: str, df: DataFrame, rows: int = 1000) -> DataFrame:
+    """(name): tool names in a sample, the first `rows` values of a column of JSON text or names joined by commas.
+
+    In JSON, `name` and `tool_name` are names wherever an object has one; objects inside it are not looked at further.
+    """
+
+    def of(value) -> set[str]:
+        if isinstance(value, str):
+            try:
+                return of(json.loads(value))
+            except ValueError:
+                return {n.strip() for n in value.split(",") if n.strip()}
+        if isinstance(value, list):
+            return set().union(*map(of, value))
+        if isinstance(value, dict):
+            own = {value[k].strip() for k in ("name", "tool_name") if isinstance(value.get(k), str) and value[k].strip()}
+            return own or set().union(*map(of, value.values()))
+        return set()
+
+    @F.pandas_udf("array<string>")
+    def names(values: pd.Series) -> pd.Series:
+        return values.map(lambda v: sorted(of(v)))
+
+    return df.select(column).limit(rows).select(F.explode(names(F.col(column).cast("string"))).alias("name")).distinct()
+
+
+def stage_counts(rows: DataFrame, by: str, stages: dict[str, Column]) -> DataFrame:
+    """Per group: rows, rows of each stage, and the last stage's share of all."""
+    n = F.count(F.lit(1))
+    last = list(stages)[-1]
+    return rows.groupBy(by).agg(n.alias("imported"), *(F.count_if(c).alias(s) for s, c in stages.items()), (F.count_if(stages[last]) / n).alias("retention"))
+
+
+def throughput(loss_tokens: int, seconds: list[float], reserve: float = 0.15) -> dict:
+    """Two runs' loss tokens a second (null for no time), and what six runs take, without and with the reserve."""
+    total = sum(seconds)
+    return {"throughput_loss_tokens_per_second": 2 * loss_tokens / total if total else None, "six_run_seconds_prediction": total * 3, "six_run_seconds_with_failure_reserve": total * 3 * (1 + reserve)}
+
+
+def quote_allows(price_per_hour: float, stop: float, seconds: float, reserve: float) -> float:
+    """The predicted cost; an error if price or stop isn't positive, or the cost with its reserve is above the stop."""
+    if price_per_hour <= 0 or stop <= 0:
+        raise ValueError("price and stop must be positive")
+    predicted = price_per_hour * seconds / 3600
+    if predicted * (1 + reserve) > stop:
+        raise ValueError("the stop is below the prediction with its reserve")
+    return predicted
+
+
+def diversity(members: DataFrame) -> DataFrame:
+    """One row: distinct members (demonstrations or tasks) and distinct source records."""
+    external = "demonstration_id" in members.columns
+    unique = F.count_distinct("demonstration_id" if external else "task_id").alias("unique_demonstrations" if external else "unique_tasks")
+    sources = members.select(F.explode("source_record_ids").alias("s")).agg(F.count_distinct("s").alias("source_records"))
+    return members.agg(unique).join(F.broadcast(sources))  # one row each
+
+
+def token_totals(view: DataFrame) -> DataFrame:
+    """One row over a training view: examples, input tokens and loss tokens."""
+    return view.agg(F.count(F.lit(1)).alias("examples"), F.sum(F.size("input_ids")).alias("input_tokens"), F.sum(F.size(F.filter("loss_mask", lambda m: m))).alias("loss_tokens"))

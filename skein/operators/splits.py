@@ -38,3 +38,22 @@ def assign_splits(tasks: DataFrame, frozen: DataFrame) -> tuple[DataFrame, DataF
 def leaks(rows: DataFrame, group: str, scope: str) -> DataFrame:
     """Groups that are in more than one scope."""
     return rows.groupBy(group).agg(F.count_distinct(scope).alias("scopes")).filter("scopes > 1")
+
+
+def registry(assigned: DataFrame, conflicts: DataFrame, frozen: DataFrame, policy: str = "split-v1") -> DataFrame:
+    """Rows of a split registry: (policy_version, kind, task_id, scope, split_group_id), kind FROZEN, NEW, QUARANTINED or INVALIDATED.
+
+    All tasks of a conflict are invalidated. A registry is a table, written and read as one.
+    """
+    none = F.lit(None).cast("string")
+    kind = F.when(F.col("quarantined"), "QUARANTINED").otherwise("NEW")
+    new = assigned.join(frozen.select("task_id"), "task_id", "left_anti").select(kind.alias("kind"), "task_id", "scope", "split_group_id")
+    old = frozen.select(F.lit("FROZEN").alias("kind"), "task_id", "scope", none.alias("split_group_id"))
+    gone = conflicts.select(F.lit("INVALIDATED").alias("kind"), F.explode("tasks").alias("task_id"), none.alias("scope"), none.alias("split_group_id"))
+    return old.union(new).union(gone).select(F.lit(policy).alias("policy_version"), "kind", "task_id", "scope", "split_group_id")
+
+
+def frozen_of(rows: DataFrame, policy: str = "split-v1") -> DataFrame:
+    """(task_id, scope) that a registry has frozen; a registry of another policy, or a row without id or scope, ends the query."""
+    good = (F.col("policy_version") == policy) & F.col("task_id").isNotNull() & F.col("scope").isNotNull()
+    return rows.filter("kind = 'FROZEN'").filter(F.when(good, True).otherwise(F.raise_error(F.lit("no valid split registry")).cast("boolean"))).select("task_id", "scope")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -59,9 +60,14 @@ def pair_in_order(calls: DataFrame, results: DataFrame, keys: list[str], order:
     return c.join(r, [*keys, "n"], "left")
 
 
-def sequence_violations(events: DataFrame, key: str, seq: str) -> DataFrame:
-    """Rows whose place does not lie above that of the row before."""
-    before = F.lag(seq).over(Window.partitionBy(key).orderBy(seq))
+def places(events: DataFrame, key: str, order: str) -> DataFrame:
+    """events with `place`, 1 for a key's first."""
+    return events.withColumn("place", F.row_number().over(Window.partitionBy(key).orderBy(order)))
+
+
+def sequence_violations(events: DataFrame, key: str, seq: str, arrival: str) -> DataFrame:
+    """Events whose number does not lie above that of the one that arrived before: a key without any is strictly increasing."""
+    before = F.lag(seq).over(Window.partitionBy(key).orderBy(arrival))
     return events.withColumn("before", before).filter(F.col(seq) <= F.col("before"))
 
 
@@ -71,13 +77,54 @@ def orphan_links(events: DataFrame) -> DataFrame:
     return events.filter("event_type = 'TOOL_RESULT'").join(calls, ["attempt_id", "tool_call_id"], "left_anti")
 
 
+def edge_violations(events: DataFrame, edges: DataFrame) -> DataFrame:
+    """Edges(attempt_id, from_event_id, to_event_id) an end of which is no event of their attempt."""
+    ids = events.select("attempt_id", "event_id").distinct()
+    ends = edges.withColumn("event_id", F.explode(F.array("from_event_id", "to_event_id")))
+    return ends.join(ids, ["attempt_id", "event_id"], "left_anti").select(*edges.columns).distinct()
+
+
 def within_budget(actions: DataFrame, key: str, order: list[str], limits: dict[str, int]) -> DataFrame:
-    """actions with `allowed`: false from the first on that would exceed a limit's running sum."""
-    w = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    over = F.lit(False)
-    for c, most in limits.items():
-        over = over | (F.sum(c).over(w) > most)
-    return actions.withColumn("allowed", ~over)
+    """actions with `allowed`: whether an action fits into what its key has left of every limit, in order.
+
+    What is refused reserves nothing, so a later and smaller action may be allowed; that is a fold, not a running sum. The
+    rows of a key pass by once, in order, and the task keeps its sums alone; a null cost is 0.
+    """
+    costs = list(limits)
+    names = actions.columns
+    fields = [(f"c{i}", f.dataType.simpleString()) for i, f in enumerate(actions.schema.fields)]
+    at, places, most = names.index(key), [names.index(c) for c in costs], [limits[c] for c in costs]
+
+    def run(batches):
+        last, used = None, [0] * len(most)
+        for b in batches:
+            keys, rows = b.column(at).to_pylist(), list(zip(*(b.column(i).to_pylist() for i in places), strict=True))
+            out = []
+            for k, row in zip(keys, rows, strict=True):
+                if k != last:
+                    last, used = k, [0] * len(most)
+                new = [u + (x or 0) for u, x in zip(used, row, strict=True)]
+                fits = all(n <= m for n, m in zip(new, most, strict=True))
+                if fits:
+                    used = new
+                out.append(fits)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.bool_())], [*(n for n, _ in fields), "allowed"])
+
+    spread = actions.toDF(*(n for n, _ in fields))
+    by = [f"c{at}", *(f"c{names.index(o)}" for o in order)]
+    dealt = spread.repartition(F.col(by[0])).sortWithinPartitions(*by)
+    return dealt.mapInArrow(run, ", ".join([*(f"{n} {t}" for n, t in fields), "allowed boolean"])).toDF(*names, "allowed")
+
+
+def replay_calls(events: DataFrame) -> DataFrame:
+    """The tool calls of recorded events, in order: what a replay runs as a new attempt."""
+    return events.filter("event_type = 'TOOL_CALL'").select(F.concat(F.lit("replay-"), "attempt_id").alias("replay_attempt_id"), F.col("attempt_id").alias("parent_attempt_id"), "seq", "payload").orderBy("parent_attempt_id", "seq")
+
+
+def inspect(events: DataFrame, attempts: DataFrame) -> DataFrame:
+    """Per attempt: how many events it has, and how it ended."""
+    counted = events.groupBy("attempt_id").agg(F.count(F.lit(1)).alias("event_count"))
+    return attempts.select("attempt_id", "end_reason").join(counted, "attempt_id", "left").select("attempt_id", F.coalesce("event_count", F.lit(0)).alias("event_count"), "end_reason")
 
 
 def long_horizon(spark, steps: int, rewrite_at: int, truncate_at: int) -> DataFrame:

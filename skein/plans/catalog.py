@@ -2,29 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skein.functions import identity, numeric, text
 from skein.operators import decisions, dedup, graph, joins, recipes, reports, sft, splits, trajectory
+from skein.plans import builds
+from skein.plans.registry import ORACLES, QUERIES, query
 from skein.session import table
 from skein.sources import generators
+from skein.streaming import ledger
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
-
-
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    def add(f: Query) -> Query:
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLES[f.__name__] = sql
-        return f
-
-    return add
+__all__ = ["ORACLES", "QUERIES"]
 
 
 def _labelled(spark: SparkSession, sf: str) -> DataFrame:
@@ -34,6 +23,25 @@ def _labelled(spark: SparkSession, sf: str) -> DataFrame:
     return d.join(lab, "doc_id", "left").withColumn("outcome", F.when(F.col("quality").isNotNull(), outcome))
 
 
+def _histories(spark: SparkSession, sf: str) -> DataFrame:
+    """conversations as histories of plain messages."""
+    turns = F.array_sort(F.collect_list(F.struct("turn", "role", "text")))
+    none = F.lit(None)
+    message = lambda m: F.struct(m.role.alias("role"), m.text.alias("content"), none.alias("tool_calls"), none.alias("tool_call_id")).cast(trajectory.MESSAGE)
+    return table(spark, sf, "conversations").groupBy(F.col("conv_id").cast("string").alias("id")).agg(F.transform(turns, message).alias("messages"))
+
+
+def _members(spark: SparkSession, sf: str) -> DataFrame:
+    """conversations as accepted members, an assistant's message being a call of a tool named by its first word; every other one has all review checks. The asked text's "the" stands as the phrase that is tagged."""
+    raw = F.concat(F.lit("{'name': '"), F.regexp_extract("text", "^([^ ]*)", 1), F.lit("-tool'}"))
+    said = F.when(F.lower(F.col("text")).contains("the"), F.concat("text", F.lit(" on social media"))).otherwise(F.col("text"))
+    call = F.when(F.col("role") == "assistant", F.struct(raw.alias("raw_content")))
+    turn = F.struct("turn", F.struct("role", said.alias("content"), call.alias("tool_call")).alias("m"))
+    rows = table(spark, sf, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(turn)).alias("t"), F.count_if(F.col("role") == "assistant").alias("calls")).filter("calls > 0")
+    checks = F.array(*map(F.lit, decisions.REVIEW_CHECKS))
+    return rows.select(F.col("conv_id").cast("string").alias("demonstration_id"), F.lit("ACCEPT").alias("eligibility_action"), F.transform("t", lambda x: x.m).alias("messages"), F.when(F.col("conv_id") % 2 == 0, checks).otherwise(F.slice(checks, 1, 4)).alias("review_checks"))
+
+
 _LABELLED = "(SELECT d.doc_id, d.source, quality, toxic, CASE WHEN quality IS NOT NULL THEN CASE WHEN toxic = 1 THEN 'FAIL' WHEN quality = 1 THEN 'PASS' ELSE 'UNKNOWN' END END AS outcome FROM documents d LEFT JOIN labels USING (doc_id))"
 
 
@@ -45,10 +53,11 @@ _LABELLED = "(SELECT d.doc_id, d.source, quality, toxic, CASE WHEN quality IS NO
     SELECT attempt_id, action, reason_code, 'decision-' || sha256('{"action":"' || action || '","attempt_id":"' || attempt_id || '","policy_version":"q1","reason_code":"' || reason_code || '"}')[1:16] AS decision_id FROM b""")
 def quality_decisions(spark, sf):
     rows = _labelled(spark, sf).withColumn("attempt_id", F.col("doc_id").cast("string"))
-    checks = rows.filter("outcome is not null").select("attempt_id", F.lit("VERIFIED").alias("status"), "outcome", F.lit(0).alias("position"))
     least = rows.groupBy("source", "outcome").agg(F.min("doc_id").cast("string").alias("representative"))
-    reps = rows.join(least, rows["source"].eqNullSafe(least["source"]) & rows["outcome"].eqNullSafe(least["outcome"])).select("attempt_id", "representative")
-    return decisions.decide_quality(rows.select("attempt_id"), checks, reps, "q1").select("attempt_id", "action", "reason_code", "decision_id")
+    least = least.toDF("s", "o", "representative")  # a row a source and outcome
+    own = rows.join(least, F.col("source").eqNullSafe(F.col("s")) & F.col("outcome").eqNullSafe(F.col("o")))
+    seen = own.select("attempt_id", "representative", "outcome", F.lit("VERIFIED").alias("status"), F.when(F.col("outcome").isNotNull(), True).alias("seen"))
+    return decisions.apply_quality_rule(seen, "q1").select("attempt_id", "action", "reason_code", "decision_id")
 
 
 _MEMBERS = "(SELECT o_orderkey AS attempt_id, o_custkey AS task_id, CASE o_orderstatus WHEN 'F' THEN 'ACCEPT' WHEN 'O' THEN 'REJECT' ELSE 'QUARANTINE' END AS decision, CASE o_orderstatus WHEN 'F' THEN 'PASS' WHEN 'O' THEN 'UNKNOWN' END AS outcome, CASE o_custkey % 3 WHEN 0 THEN 'TRAIN' WHEN 1 THEN 'DEVELOPMENT' ELSE 'TEST' END AS usage_scope FROM orders)"
@@ -56,8 +65,12 @@ _MEMBERS = "(SELECT o_orderkey AS attempt_id, o_custkey AS task_id, CASE o_order
 
 @query("SELECT count(DISTINCT task_id) AS tasks, count(DISTINCT attempt_id) AS attempts, count(*) FILTER (decision = 'ACCEPT') AS accepted, count(*) FILTER (decision = 'REJECT') AS rejected, count(*) FILTER (decision = 'QUARANTINE') AS quarantined, count(*) FILTER (outcome = 'PASS') AS passed, count(*) FILTER (outcome IS NULL OR outcome = 'UNKNOWN') AS unknown_outcomes, count(*) FILTER (usage_scope = 'TRAIN') AS train, count(*) FILTER (usage_scope = 'DEVELOPMENT') AS development, count(*) FILTER (usage_scope = 'TEST') AS test, NULL::BIGINT AS cost_cny_fen FROM " + _MEMBERS)
 def quality_report_exec(spark, sf):
-    table(spark, sf, "orders").createOrReplaceTempView("orders_for_report")
-    return reports.execution_quality(spark.sql("SELECT * FROM " + _MEMBERS.replace("FROM orders", "FROM orders_for_report")))
+    o, k = table(spark, sf, "orders"), F.col("o_custkey")
+    s = F.col("o_orderstatus")
+    decision = F.when(s == "F", "ACCEPT").when(s == "O", "REJECT").otherwise("QUARANTINE")
+    scope = F.when(k % 3 == 0, "TRAIN").when(k % 3 == 1, "DEVELOPMENT").otherwise("TEST")
+    outcome = F.when(s == "F", "PASS").when(s == "O", "UNKNOWN")
+    return reports.execution_quality(o.select(F.col("o_orderkey").alias("attempt_id"), k.alias("task_id"), decision.alias("decision"), outcome.alias("outcome"), scope.alias("usage_scope")))
 
 
 @query("SELECT count(DISTINCT s_suppkey) AS demonstrations, count(DISTINCT s_nationkey) AS sources, count(*) FILTER (s_acctbal > 0) AS accepted, count(*) FILTER (s_nationkey % 2 = 1) AS derived, count(*) FILTER (s_suppkey % 3 = 0) AS replayable, count(*) FILTER (s_suppkey % 3 <> 0) AS not_replayable FROM supplier")
@@ -72,10 +85,12 @@ def externalise_large_payload(spark, sf):
     return decisions.externalise(e).select("doc_id", "payload", "payload_ref.sha256", "payload_ref.byte_size")
 
 
-@query("SELECT event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS place FROM events")
+@query("""
+    SELECT event_id, CASE WHEN event_type = 'click' AND strlen(props) > 8 THEN NULL ELSE props END AS payload, CASE WHEN event_type = 'click' AND strlen(props) > 8 THEN sha256(props) END AS sha256,
+           row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS place FROM events""")
 def event_total_order(spark, sf):
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    return table(spark, sf, "events").select("event_id", F.row_number().over(w).alias("place"))
+    e = table(spark, sf, "events").select(F.col("user_id").alias("attempt_id"), F.col("event_id").alias("seq"), F.when(F.col("event_type") == "click", "OBSERVATION").otherwise("OTHER").alias("event_type"), F.col("props").alias("payload"))
+    return trajectory.places(builds.process_events(e, 8), "attempt_id", "seq").select(F.col("seq").alias("event_id"), "payload", "payload_ref.sha256", "place")
 
 
 @query("WITH h AS (SELECT doc_id, sha256('{\"tokens\":[' || array_to_string(list_transform(regexp_extract_all(lower(text), '[a-z0-9]+'), lambda x: '\"' || x || '\"'), ',') || ']}') AS projection_sha256 FROM documents) SELECT doc_id, projection_sha256, min(doc_id) OVER (PARTITION BY projection_sha256) AS representative FROM h")
@@ -86,14 +101,17 @@ def dedup_representatives(spark, sf):
 @query("""
     WITH s AS (SELECT doc_id AS id, list_sort(list_distinct(regexp_extract_all(lower(text), '[a-z0-9]+'))) AS t FROM documents),
     g AS (SELECT t, min(id) AS g FROM s WHERE len(t) > 0 GROUP BY t),
-    p AS (SELECT a.g AS a, b.g AS b, len(list_intersect(a.t, b.t)) AS i, len(a.t) + len(b.t) AS n FROM g a JOIN g b ON a.g < b.g AND len(a.t) >= 0.8 * len(b.t) AND len(b.t) >= 0.8 * len(a.t)),
-    k AS (SELECT a, b, i / (n - i) AS jaccard FROM p WHERE i / (n - i) >= 0.8 - 1e-9 UNION ALL SELECT g, g, 1.0 FROM g),
-    m AS (SELECT id, g FROM s JOIN g USING (t))
-    SELECT least(x.id, y.id) AS "left", greatest(x.id, y.id) AS "right", round(jaccard, 9) AS jaccard FROM k JOIN m x ON x.g = a JOIN m y ON y.g = b WHERE a <> b OR x.id < y.id""")
+    p AS (SELECT a.g AS a, b.g AS b, len(list_intersect(a.t, b.t)) AS i, len(a.t) + len(b.t) AS n FROM g a JOIN g b ON a.g < b.g AND len(a.t) >= 0.8 * len(b.t) AND len(b.t) >= 0.8 * len(a.t))
+    SELECT a AS "left", b AS "right", round(i / (n - i), 9) AS jaccard FROM p WHERE i / (n - i) >= 0.8 - 1e-9""")
 def dedup_candidates_jaccard(spark, sf):
     return dedup.jaccard_pairs(dedup.token_sets(table(spark, sf, "documents"), "doc_id", "text"), 0.8).withColumn("jaccard", F.round("jaccard", 9))
 
 
+@query("SELECT s.id, min(s.id) OVER (PARTITION BY t) AS representative FROM (SELECT doc_id AS id, list_sort(list_distinct(regexp_extract_all(lower(text), '[a-z0-9]+'))) AS t FROM documents) s WHERE len(t) > 0")
+def dedup_set_members(spark, sf):
+    return dedup.set_groups(dedup.token_sets(table(spark, sf, "documents"), "doc_id", "text"))
+
+
 @query()
 def dedup_candidates_minhash(spark, sf):
     return dedup.minhash_candidates(dedup.token_sets(table(spark, sf, "documents"), "doc_id", "text"))
@@ -136,19 +154,19 @@ def call_result_pairing(spark, sf):
 
 @query("WITH b AS (SELECT l_orderkey, l_partkey, lag(l_partkey) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS before FROM lineitem) SELECT l_orderkey, l_partkey, before FROM b WHERE l_partkey <= before")
 def sequence_integrity(spark, sf):
-    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey")
-    return table(spark, sf, "lineitem").withColumn("before", F.lag("l_partkey").over(w)).filter("l_partkey <= before").select("l_orderkey", "l_partkey", "before")
+    e = table(spark, sf, "lineitem").withColumn("arrival", F.struct("l_linenumber", "l_partkey", "l_suppkey"))
+    return trajectory.sequence_violations(e, "l_orderkey", "l_partkey", "arrival").select("l_orderkey", "l_partkey", "before")
 
 
 @query("SELECT conv_id, arg_max(text, turn) AS answer FROM conversations WHERE role = 'assistant' GROUP BY conv_id")
 def last_assistant_answer(spark, sf):
-    return table(spark, sf, "conversations").filter("role = 'assistant'").groupBy("conv_id").agg(F.max_by("text", "turn").alias("answer"))
+    answers = trajectory.answer(F.col("messages")).content
+    return _histories(spark, sf).select(F.col("id").cast("long").alias("conv_id"), answers.alias("answer")).filter("answer is not null")
 
 
 @query("SELECT conv_id, sha256(string_agg(role || ':' || text, chr(10) ORDER BY turn, role, text)) AS digest FROM conversations GROUP BY conv_id")
 def conversation_digest(spark, sf):
-    parts = F.array_sort(F.collect_list(F.struct("turn", "role", "text")))
-    return table(spark, sf, "conversations").groupBy("conv_id").agg(F.sha2(F.array_join(F.transform(parts, lambda p: F.concat(p.role, F.lit(":"), p.text)), "\n"), 256).alias("digest"))
+    return identity.group_digest(table(spark, sf, "conversations"), "conv_id", ["turn", "role", "text"], F.concat("role", F.lit(":"), "text"))
 
 
 @query("SELECT sha256(string_agg('{\"n_name\":\"' || n_name || '\",\"n_nationkey\":' || n_nationkey || ',\"n_regionkey\":' || n_regionkey || '}', chr(10) ORDER BY n_nationkey::VARCHAR)) AS digest FROM nation")
@@ -164,9 +182,9 @@ def _records(spark, sf):
     return table(spark, sf, "events").select(i.cast("string").alias("task_id"), F.col("event_type").alias("family"), (F.col("value") > 20).alias("task_success"), (i % 3 != 0).alias("effective_execution"), (i % 5 == 0).alias("recovery_condition"), (i % 7 == 0).alias("unseen_combination"), F.when((F.col("event_type") == "error") | (i % 2 == 0), "down").alias("unresolved_infrastructure"), (i % 4).alias("model_calls"), (i % 4).alias("completion_tokens"), F.when(i % 9 != 0, i % 11).alias("provider_cost_cny"))
 
 
-@query("SELECT family, count(*) FILTER (NOT ok) AS failures, count(*) FILTER (ok) AS successes, sha256(string_agg(task_id, ',' ORDER BY task_id) FILTER (NOT ok)) AS failed_tasks, CASE WHEN bool_and(infra IS NOT NULL) FILTER (NOT ok) THEN 'INFRASTRUCTURE' ELSE 'CONSTRAINT_FAILURE' END AS category, CASE WHEN count(*) FILTER (ok) > 0 THEN 'LOW' ELSE 'HIGH' END AS confidence FROM " + _RECORDS + " GROUP BY family HAVING count(*) FILTER (NOT ok) > 0")
+@query("SELECT family, count(*) FILTER (NOT ok) AS failures, count(*) FILTER (ok) AS successes, 'finding-' || family AS finding_id, CASE WHEN bool_and(infra IS NOT NULL) FILTER (NOT ok) THEN 'INFRASTRUCTURE' ELSE 'CONSTRAINT_FAILURE' END AS category, CASE WHEN count(*) FILTER (ok) > 0 THEN 'LOW' ELSE 'MEDIUM' END AS confidence FROM " + _RECORDS + " GROUP BY family HAVING count(*) FILTER (NOT ok) > 0")
 def findings_by_family(spark, sf):
-    return reports.findings(_records(spark, sf)).withColumn("failed_tasks", F.sha2(F.array_join("failed_tasks", ","), 256))
+    return reports.findings(_records(spark, sf))
 
 
 @query("SELECT count(*) AS tasks, count(*) FILTER (ok) / count(*) AS task_success_at_1, count(*) FILTER (eff) / count(*) AS effective_coverage, count(*) FILTER (ok AND eff) / nullif(count(*) FILTER (eff), 0) AS conditional_success, count(*) FILTER (ok AND rec) / greatest(1, count(*) FILTER (rec)) AS recovery_success, count(*) FILTER (ok AND unseen) / greatest(1, count(*) FILTER (unseen)) AS unseen_success, sum(calls)::BIGINT AS model_calls, sum(calls)::BIGINT AS completion_tokens, sum(cost)::BIGINT AS provider_cost_cny FROM " + _RECORDS)
@@ -174,6 +192,11 @@ def evaluation_metrics(spark, sf):
     return reports.evaluation_metrics(_records(spark, sf))
 
 
+@query("SELECT 'finding-' || family AS finding_id, task_id FROM " + _RECORDS + " WHERE NOT ok")
+def finding_tasks(spark, sf):
+    return reports.finding_tasks(_records(spark, sf))
+
+
 @query("WITH r AS (SELECT CASE WHEN doc_id % 11 = 0 THEN 'truncated' WHEN outcome = 'PASS' THEN 'success' WHEN outcome = 'FAIL' THEN 'known_zero' ELSE 'unknown' END AS terminal_class, CASE WHEN outcome = 'PASS' THEN 1.0 WHEN outcome = 'FAIL' THEN 0.0 END AS new_reward, CASE WHEN quality = 1 THEN 1.0 WHEN quality = 0 AND toxic = 1 THEN 0.0 END AS total_reward FROM " + _LABELLED + ") SELECT terminal_class, count(*) AS records, count(*) FILTER (new_reward IS NOT DISTINCT FROM total_reward) AS same, count(*) FILTER (new_reward IS DISTINCT FROM total_reward) AS changed FROM r GROUP BY 1")
 def reward_rescore(spark, sf):
     r = _labelled(spark, sf).withColumn("outcome", F.coalesce("outcome", F.lit("UNKNOWN")))
@@ -197,7 +220,7 @@ def orphans_anti_join(spark, sf):
 @query("SELECT p_partkey, p_name FROM part WHERE p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_quantity > 49)")
 def semi_join_selection(spark, sf):
     line = table(spark, sf, "lineitem").filter("l_quantity > 49").select(F.col("l_partkey").alias("p_partkey"))
-    return table(spark, sf, "part").select("p_partkey", "p_name").join(line, "p_partkey", "left_semi")
+    return joins.selection(table(spark, sf, "part").select("p_partkey", "p_name"), line, ["p_partkey"])
 
 
 @query("""
@@ -227,16 +250,32 @@ def batch_schedule_cycle(spark, sf):
     return recipes.cycle(table(spark, sf, "nation").select(F.col("n_nationkey").alias("id")), "id", 200)
 
 
-@query("SELECT event_id, sum((value * 100)::BIGINT) OVER w <= 10000 AND count(*) OVER w <= 8 AS allowed FROM (SELECT event_id, user_id, ts, round(value) / 100 AS value FROM events) WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)")
+@query("""
+    WITH RECURSIVE o AS (SELECT event_id, user_id, round(value)::BIGINT AS cost, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events),
+    r AS (SELECT event_id, user_id, n, cost <= 100 AS allowed, CASE WHEN cost <= 100 THEN cost ELSE 0 END AS used, CASE WHEN cost <= 100 THEN 1 ELSE 0 END AS calls FROM o WHERE n = 1
+          UNION ALL
+          SELECT o.event_id, o.user_id, o.n, used + cost <= 100 AND calls < 8, used + CASE WHEN used + cost <= 100 AND calls < 8 THEN cost ELSE 0 END, calls + CASE WHEN used + cost <= 100 AND calls < 8 THEN 1 ELSE 0 END
+          FROM r JOIN o ON o.user_id = r.user_id AND o.n = r.n + 1)
+    SELECT event_id, allowed FROM r""")
 def running_budget(spark, sf):
     e = table(spark, sf, "events").select("event_id", "user_id", "ts", F.round("value").cast("long").alias("cost"), F.lit(1).alias("calls"))
-    return trajectory.within_budget(e, "user_id", ["ts", "event_id"], {"cost": 10000, "calls": 8}).select("event_id", "allowed")
+    return trajectory.within_budget(e, "user_id", ["ts", "event_id"], {"cost": 100, "calls": 8}).select("event_id", "allowed")
 
 
-@query("SELECT conv_id, CASE WHEN count(*) <= 9 THEN 'short' WHEN count(*) <= 15 THEN 'medium' ELSE 'long' END AS length_bin, least(count(*) FILTER (role = 'assistant'), 3) AS depth, bool_or(text LIKE '%the%') AS tagged FROM conversations GROUP BY conv_id")
+_POOL = """(
+    SELECT conv_id::VARCHAR AS demonstration_id, list(CASE WHEN role = 'assistant' THEN regexp_extract(text, '^([^ ]*)') || '-tool' END ORDER BY turn) FILTER (role = 'assistant') AS names, count(*) AS n,
+           contains(lower(coalesce(string_agg(text, ' ' ORDER BY turn) FILTER (role = 'user'), '')), 'the') AS tagged FROM conversations GROUP BY conv_id HAVING count(*) FILTER (role = 'assistant') > 0)"""
+
+
+@query("""
+    SELECT demonstration_id, 'v1' AS candidate_pool_version, split_part(names[1], '-', 1) AS source_id, CASE WHEN len(names) >= 3 THEN 'cross_document_comparison' ELSE 'lookup' END AS task_family,
+           least(len(names), 3)::INT AS dependency_depth, CASE WHEN n <= 9 THEN 'short' WHEN n <= 15 THEN 'medium' ELSE 'long' END AS length_bin,
+           CASE WHEN conv % 2 = 0 THEN 'strong' ELSE 'standard' END AS verification_strength, CASE WHEN len(names) <= 3 THEN 'medium' ELSE 'high' END AS baseline_difficulty,
+           CASE WHEN tagged THEN 'CONSTRAINT_FAILURE' ELSE '' END AS failure_types, len(names)::INT AS tool_call_count, n::INT AS message_count, names[1] AS first_tool
+    FROM (SELECT *, demonstration_id::BIGINT AS conv FROM """ + _POOL + """)""")
 def recipe_profile(spark, sf):
-    c = table(spark, sf, "conversations").groupBy("conv_id").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("role") == "assistant").alias("a"), F.array_join(F.collect_list("text"), "\n").alias("t"))
-    return c.select("conv_id", text.length_bin(F.col("n")).alias("length_bin"), F.least("a", F.lit(3)).alias("depth"), (F.size(text.tags(F.col("t"), {"the": "CONSTRAINT_FAILURE"})) > 0).alias("tagged"))
+    pool = recipes.candidate_pool(_members(spark, sf), "v1")
+    return pool.select("*", "source_observable.*").drop("source_observable").withColumn("failure_types", F.array_join("failure_types", ","))
 
 
 @query("SELECT doc_id FROM documents WHERE lower(text) LIKE '%license%' OR lower(text) LIKE '%token%'")
@@ -285,9 +324,20 @@ def bootstrap_ci(spark, sf):
     return numeric.bootstrap_interval(spark, groups)
 
 
-@query("SELECT 'dev-' || lpad(i::VARCHAR, 3, '0') AS task_id, ['lookup', 'conversion', 'comparison'][i % 3 + 1] AS family, 'dev-group-' || lpad((i % 20)::VARCHAR, 3, '0') AS group_id, i % 19 + 2 AS operand, i % 7 = 0 AS recovery_condition, ((i % 19 + 2) * (i % 5 + 1))::VARCHAR AS expected_value FROM range(200) t(i)")
+@query("""
+    WITH t AS (SELECT i, ['lookup', 'calculation_conversion', 'cross_document_comparison'][i % 3 + 1] AS family, ['cm', 's', 'B'][i % 3 + 1] AS unit, i % 19 + 2 AS v, lpad((i % 20)::VARCHAR, 3, '0') AS g, i < 50 AS unseen FROM range(200) r(i))
+    SELECT 'tooltask-test-' || lpad(i::VARCHAR, 3, '0') AS task_id, 'TEST' AS split, family, 'test-source-template-' || g AS group_id, family || '-template-' || i % 5 AS template_family_id,
+           CASE WHEN unseen THEN 3 WHEN family = 'lookup' THEN 1 ELSE 2 END AS dependency_depth,
+           CASE WHEN unseen THEN 'search_documents,read_document,calculate,convert' WHEN family = 'lookup' THEN 'read_document,calculate' WHEN family = 'calculation_conversion' THEN 'read_document,convert' ELSE 'search_documents,read_document,calculate' END AS tools,
+           unseen AS unseen_combination, i % 7 = 0 AS recovery_condition,
+           CASE WHEN family = 'lookup' THEN 'Read document-' || g || ' and return its recorded value with a document citation.' ELSE 'Read the visible document(s), calculate the requested adjusted value, and cite every visible document.' END AS instruction,
+           'document-' || g || CASE WHEN family = 'cross_document_comparison' THEN ',companion-' || g ELSE '' END AS documents,
+           CASE family WHEN 'lookup' THEN 'Recorded reading: ' || v || ' ' || unit || '.' WHEN 'calculation_conversion' THEN 'Base reading: ' || (v - 1) || ' ' || unit || '. Add one ' || unit || '.' ELSE 'Candidate reading: ' || (v - 1) || ' ' || unit || '.|Adjustment: add 1 ' || unit || '.' END AS texts,
+           v::VARCHAR AS expected_value, unit AS expected_unit FROM t""")
 def generated_suite(spark, sf):
-    return generators.tool_suite(spark, "dev").drop("split")
+    t = generators.tool_suite(spark, "TEST", unseen=50)
+    texts = F.array_join(F.transform("documents", lambda d: d.content), "|")
+    return t.withColumns({"tools": F.array_join("tool_signature", ","), "texts": texts, "documents": F.array_join("document_ids", ",")}).drop("tool_signature", "document_ids")
 
 
 @query("SELECT p_partkey FROM part ORDER BY sha256('7|' || p_partkey), p_partkey LIMIT 100")
@@ -295,10 +345,11 @@ def topk_review_queue(spark, sf):
     return dedup.seeded_sample(table(spark, sf, "part").select("p_partkey"), 100, 7, "p_partkey").select("p_partkey")
 
 
-@query("SELECT 'orders' AS name, count(*) AS n FROM orders UNION ALL SELECT 'lineitem', count(*) FROM lineitem UNION ALL SELECT 'documents', count(*) FROM documents UNION ALL SELECT 'events', count(*) FROM events")
+@query("SELECT 'orders' AS name, count(*) AS record_count, 'AVAILABLE' AS required_field_status, 'NO_DECLARED_SENSITIVE_FIELD_NAMES' AS sensitive_check_status FROM orders UNION ALL SELECT 'events', count(*), 'MISSING', 'SENSITIVE_FIELD_NAMES_PRESENT' FROM events UNION ALL SELECT 'documents', count(*), NULL, 'NO_DECLARED_SENSITIVE_FIELD_NAMES' FROM documents")
 def source_audit_profile(spark, sf):
-    rows = [table(spark, sf, t).agg(F.lit(t).alias("name"), F.count(F.lit(1)).alias("n")) for t in ("orders", "lineitem", "documents", "events")]
-    return rows[0].union(rows[1]).union(rows[2]).union(rows[3])
+    ask = {"orders": ["o_orderkey"], "events": ["event_id", "no_such"], "documents": []}
+    rows = [reports.profile(table(spark, sf, t), need).withColumn("name", F.lit(t)) for t, need in ask.items()]
+    return rows[0].union(rows[1]).union(rows[2])
 
 
 @query("WITH t AS (SELECT source, count(*) AS n, count(quality) AS k, max(quality) AS best FROM " + _LABELLED + " GROUP BY source) SELECT sum(k) / sum(n) AS computable_rate, count(*) FILTER (n = k AND best = 0) / nullif(count(*) FILTER (n = k), 0) AS all_zero_rate FROM t")
@@ -306,10 +357,15 @@ def reward_accounting(spark, sf):
     return reports.reward_accounting(_labelled(spark, sf).select(F.col("source").alias("task_id"), F.col("quality").cast("double").alias("total_reward")))
 
 
-@query("SELECT o_orderpriority AS resource_kind, sum(o_custkey)::BIGINT AS spent, max(o_orderkey)::BIGINT AS stop, sum(o_custkey) < max(o_orderkey) AS allowed FROM orders GROUP BY 1")
+@query("""
+    WITH o AS (SELECT o_orderpriority AS k, o_custkey, o_orderkey FROM orders), l AS (SELECT k, max(o_orderkey)::BIGINT * CASE WHEN k LIKE '1%' THEN 1000000 ELSE 1 END AS stop FROM o WHERE k NOT LIKE '2%' GROUP BY k)
+    SELECT k AS resource_kind, sum(o_custkey)::BIGINT AS spent, any_value(stop) AS stop, k NOT LIKE '3%' AND coalesce(sum(o_custkey) < any_value(stop), false) AS allowed,
+           CASE WHEN k LIKE '3%' THEN 'missing quote' WHEN any_value(stop) IS NULL THEN 'missing authorization' WHEN sum(o_custkey) >= any_value(stop) THEN 'stop limit reached' END AS reason FROM o LEFT JOIN l USING (k) GROUP BY k""")
 def resource_spend(spark, sf):
     o = table(spark, sf, "orders").withColumn("resource_kind", F.col("o_orderpriority"))
-    return reports.spend(o.select("resource_kind", F.col("o_custkey").alias("cost_cny_fen")), o.select("resource_kind", F.col("o_orderkey").alias("stop_limit_fen")))
+    k = F.col("resource_kind")
+    limits = o.filter(~k.startswith("2")).select(k, (F.col("o_orderkey").cast("long") * F.when(k.startswith("1"), 1000000).otherwise(1)).alias("stop_limit_fen"))
+    return reports.spend(o.select(k, F.col("o_custkey").alias("cost_cny_fen")), limits, o.filter(~k.startswith("3")).select(k))
 
 
 @query("SELECT bool_and(o_totalprice > 0) AS positive, bool_and(o_orderstatus IN ('F', 'O', 'P')) AS status, bool_and(o_custkey % 2 = 0) AS even, bool_and(o_totalprice > 0) AND bool_and(o_orderstatus IN ('F', 'O', 'P')) AND bool_and(o_custkey % 2 = 0) AS passed FROM orders")
@@ -325,26 +381,23 @@ def record_violations(spark, sf):
 
 @query("SELECT (date_trunc('hour', ts)) AS start, event_type, count(*) AS events FROM events GROUP BY 1, 2")
 def windowed_event_counts(spark, sf):
-    e = table(spark, sf, "events")
-    return e.groupBy(F.window("ts", "1 hour").alias("w"), "event_type").agg(F.count(F.lit(1)).alias("events")).select(F.col("w.start").alias("start"), "event_type", "events")
+    return ledger.windowed_counts(table(spark, sf, "events"))
 
 
 @query("SELECT source, count(*) AS imported, count(quality) AS reviewed, count(*) FILTER (outcome = 'PASS') AS accepted, count(*) FILTER (outcome = 'PASS') / count(*) AS retention FROM " + _LABELLED + " GROUP BY source")
 def stage_retention(spark, sf):
-    n = F.count(F.lit(1))
-    return _labelled(spark, sf).groupBy("source").agg(n.alias("imported"), F.count("quality").alias("reviewed"), F.count_if(F.col("outcome") == "PASS").alias("accepted"), (F.count_if(F.col("outcome") == "PASS") / n).alias("retention"))
+    return reports.stage_counts(_labelled(spark, sf), "source", {"reviewed": F.col("quality").isNotNull(), "accepted": F.col("outcome") == "PASS"})
 
 
 @query("SELECT conv_id::VARCHAR AS record_id, CASE WHEN count(*) FILTER (role = 'assistant') = 0 THEN 'MISSING_ANSWER' END AS reason, count(*) AS events, count(*) FILTER (role = 'assistant') AS outputs, sha256(arg_max(text, turn) FILTER (role = 'assistant')) AS answer_sha256 FROM conversations GROUP BY conv_id")
 def history_import(spark, sf):
-    turns = F.array_sort(F.collect_list(F.struct("turn", "role", "text")))
-    message = lambda m: F.struct(m.role.alias("role"), m.text.alias("content"), F.lit(None).alias("tool_calls"), F.lit(None).alias("tool_call_id")).cast(trajectory.MESSAGE)
-    h = table(spark, sf, "conversations").groupBy(F.col("conv_id").cast("string").alias("id")).agg(F.transform(turns, message).alias("messages"))
-    done = trajectory.import_histories(h.select("id", F.lit(None).cast("string").alias("uuid"), "messages", F.lit("[]").alias("tools")))
-    return done.select("record_id", "reason", F.size("events").cast("long").alias("events"), F.size(F.filter("events", lambda e: e.event_type == "MODEL_OUTPUT")).cast("long").alias("outputs"), F.sha2(F.col("answer.content"), 256).alias("answer_sha256"))
+    h = _histories(spark, sf).select("id", F.lit(None).cast("string").alias("uuid"), "messages", F.lit("[]").alias("tools"))
+    done = trajectory.import_histories(h)
+    outputs = F.size(F.filter("events", lambda e: e.event_type == "MODEL_OUTPUT")).cast("long")
+    return done.select("record_id", "reason", F.size("events").cast("long").alias("events"), outputs.alias("outputs"), F.sha2(F.col("answer.content"), 256).alias("answer_sha256"))
 
 
-@query("WITH e AS (SELECT p_brand AS recipe, p_size, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) - 1 AS i, count(*) OVER (PARTITION BY p_brand) AS n FROM part WHERE p_size <= 40) SELECT recipe, sum(p_size)::BIGINT AS loss_tokens, count(*) AS slots FROM e JOIN range(64) t(slot) ON slot % n = i GROUP BY recipe")
+@query("WITH e AS (SELECT p_brand AS recipe, p_size, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) - 1 AS i, count(*) OVER (PARTITION BY p_brand) AS n FROM part WHERE p_size <= 40) SELECT recipe, sum(p_size)::BIGINT AS loss_tokens, count(*) AS slots, max(p_size)::INT AS longest FROM e JOIN range(64) t(slot) ON slot % n = i GROUP BY recipe")
 def equal_schedule_totals(spark, sf):
     e = table(spark, sf, "part").select(F.col("p_brand").alias("recipe"), F.col("p_partkey").alias("demonstration_id"), F.array_repeat(F.lit(1), F.col("p_size")).alias("input_ids"), F.array_repeat(F.lit(True), F.col("p_size")).alias("loss_mask"))
     return recipes.schedule_totals(recipes.equal_schedule(e, 8, 8, 40))
@@ -354,3 +407,6 @@ def equal_schedule_totals(spark, sf):
 def orphan_tool_results(spark, sf):
     e = table(spark, sf, "events").select("event_id", F.col("user_id").alias("attempt_id"), (F.col("event_id") % 7).alias("tool_call_id"), F.when(F.col("event_type") == "click", "TOOL_CALL").when(F.col("event_type") == "purchase", "TOOL_RESULT").alias("event_type"))
     return trajectory.orphan_links(e).select("event_id")
+
+
+from skein.plans import governance  # noqa: E402, F401  (registers its queries)

@@ -5,12 +5,84 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skein.operators.joins import strict_join
 
-def tool_suite(spark: SparkSession, split: str, count: int = 200, groups: int = 20) -> DataFrame:
-    """Evaluation tasks by index alone: three families in turn, an operand index % 19 + 2, every seventh with recovery."""
+
+#: The families in turn, the units in turn, and the tools of each family and of unseen combinations.
+FAMILIES = ("lookup", "calculation_conversion", "cross_document_comparison")
+SUITE_UNITS = ("cm", "s", "B")
+SUITE_TOOLS = {
+    "lookup": ("read_document", "calculate"),
+    "calculation_conversion": ("read_document", "convert"),
+    "cross_document_comparison": ("search_documents", "read_document", "calculate"),
+}
+UNSEEN_TOOLS = ("search_documents", "read_document", "calculate", "convert")
+
+
+def tool_suite(spark: SparkSession, split: str, count: int = 200, groups: int = 20, unseen: int = 0) -> DataFrame:
+    """Evaluation tasks of a split (DEVELOPMENT or TEST) by index alone; the first `unseen` have a combination of tools not seen before.
+
+    Less than 20 groups are an error. Values that must be so for right results are fixed above and in the texts below.
+    """
+    if groups < 20:
+        raise ValueError("20 independent source-template groups at least")
     i = F.col("id")
-    family = F.element_at(F.array(*map(F.lit, ("lookup", "conversion", "comparison"))), (i % 3 + 1).cast("int"))
-    return spark.range(count).select(F.concat(F.lit(f"{split}-"), F.lpad(i.cast("string"), 3, "0")).alias("task_id"), F.lit(split).alias("split"), family.alias("family"), F.concat(F.lit(f"{split}-group-"), F.lpad((i % groups).cast("string"), 3, "0")).alias("group_id"), (i % 19 + 2).alias("operand"), (i % 7 == 0).alias("recovery_condition"), ((i % 19 + 2) * (i % 5 + 1)).cast("string").alias("expected_value"))
+    pick = lambda values: F.element_at(F.array(*map(F.lit, values)), (i % len(values) + 1).cast("int"))
+    number = F.lpad((i % groups).cast("string"), 3, "0")
+    rows = spark.range(count).select("id", pick(FAMILIES).alias("family"), pick(SUITE_UNITS).alias("expected_unit"), (i % 19 + 2).alias("v"), F.concat(F.lit("document-"), number).alias("doc"), F.concat(F.lit("companion-"), number).alias("companion"), number.alias("g"))
+    rows = rows.withColumn("unseen_combination", i < unseen)
+    family, unit, less = F.col("family"), F.col("expected_unit"), (F.col("v") - 1).cast("string")
+    look, compare = family == "lookup", family == "cross_document_comparison"
+    names = lambda xs: F.array(*map(F.lit, xs))
+    tools = F.when(F.col("unseen_combination"), names(UNSEEN_TOOLS)).when(look, names(SUITE_TOOLS["lookup"])).when(compare, names(SUITE_TOOLS["cross_document_comparison"])).otherwise(names(SUITE_TOOLS["calculation_conversion"]))
+    text = lambda d, *parts: F.struct(F.col(d).alias("document_id"), F.concat(*parts).alias("content"))
+    s = F.lit
+    documents = (
+        F.when(look, F.array(text("doc", s("Recorded reading: "), F.col("v").cast("string"), s(" "), unit, s("."))))
+        .when(compare, F.array(text("doc", s("Candidate reading: "), less, s(" "), unit, s(".")), text("companion", s("Adjustment: add 1 "), unit, s("."))))
+        .otherwise(F.array(text("doc", s("Base reading: "), less, s(" "), unit, s(". Add one "), unit, s("."))))
+    )
+    asked = F.when(look, F.concat(s("Read "), "doc", s(" and return its recorded value with a document citation."))).otherwise("Read the visible document(s), calculate the requested adjusted value, and cite every visible document.")
+    low = split.lower()
+    return rows.select(
+        F.concat(s(f"tooltask-{low}-"), F.lpad(i.cast("string"), 3, "0")).alias("task_id"),
+        s(split).alias("split"),
+        "family",
+        F.concat(s(f"{low}-source-template-"), "g").alias("group_id"),
+        F.concat(family, s("-template-"), (i % 5).cast("string")).alias("template_family_id"),
+        F.when(F.col("unseen_combination"), 3).when(look, 1).otherwise(2).alias("dependency_depth"),
+        tools.alias("tool_signature"),
+        "unseen_combination",
+        (i % 7 == 0).alias("recovery_condition"),
+        asked.alias("instruction"),
+        F.when(compare, F.array("doc", "companion")).otherwise(F.array("doc")).alias("document_ids"),
+        documents.alias("documents"),
+        F.col("v").cast("string").alias("expected_value"),
+        "expected_unit",
+    )
+
+
+def suite_faults(tasks: DataFrame, least_family: int, least_unseen: int = 0, least: int = 200) -> DataFrame:
+    """(fault) of a split: fewer tasks than `least`, a family below its minimum, too few unseen combinations."""
+    row = tasks.agg(F.count(F.lit(1)).alias("n"), F.count_if("unseen_combination").alias("unseen"), *(F.count_if(F.col("family") == f).alias(f) for f in FAMILIES))
+    faults = [F.when(F.col("n") < least, "TOO_FEW_TASKS"), *(F.when(F.col(f) < least_family, f"FAMILY:{f}") for f in FAMILIES), F.when(F.col("unseen") < least_unseen, "TOO_FEW_UNSEEN")]
+    return row.select(F.explode(F.array_compact(F.array(*faults))).alias("fault"))
+
+
+def load_suite(public: DataFrame, private: DataFrame) -> DataFrame:
+    """Public tasks with their private references(task_id, value, unit, evidence); a task without one ends the query."""
+    rows = strict_join(public, private.select("task_id", F.col("value").alias("expected_value"), F.col("unit").alias("expected_unit"), "evidence"), ["task_id"], "reference")
+    same = F.when(F.col("evidence") == F.col("document_ids"), True).otherwise(F.raise_error(F.lit("evidence differs")).cast("boolean"))
+    return rows.filter(same).drop("evidence")
+
+
+def visible_facts(facts: DataFrame) -> DataFrame:
+    """(document_id, value, unit): facts, and a zero for each companion; an id that occurs twice ends the query."""
+    own = facts.select("document_id", "value", "unit")
+    rows = own.union(facts.filter("companion_document_id is not null").select("companion_document_id", F.lit("0"), "unit"))
+    twice = rows.groupBy("document_id").agg(F.count(F.lit(1)).alias("n"), F.first("value").alias("value"), F.first("unit").alias("unit"))
+    once = F.when(F.col("n") == 1, True).otherwise(F.raise_error(F.concat(F.lit("two facts of "), "document_id")).cast("boolean"))
+    return twice.filter(once).drop("n")
 
 
 def public_tasks(suite: DataFrame) -> DataFrame:

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import json
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skein.storage import make_dir, open_fs
+
 
 def envelope(spark: SparkSession, path: str, field: str, schema: str) -> DataFrame:
     """Rows of {field: [rows]}; items that are no objects are left out."""
@@ -45,3 +50,95 @@ def changed_files(spark: SparkSession, root: str, manifest: DataFrame) -> DataFr
     """Files of a manifest that are missing or differ, and files that it does not list."""
     now = file_manifest(spark, root)
     return manifest.join(now, ["path", "sha256", "byte_size"], "left_anti").select("path").union(now.join(manifest, ["path", "sha256", "byte_size"], "left_anti").select("path")).distinct()
+
+
+def load_config(path: str) -> dict:
+    """A small JSON or YAML mapping, by suffix; YAML asks for its library."""
+    with open(path, encoding="utf-8") as f:
+        if path.endswith((".yaml", ".yml")):
+            import yaml
+
+            value = yaml.safe_load(f)
+        else:
+            value = json.load(f)
+    if not isinstance(value, dict):
+        raise ValueError(f"{path} holds no mapping")
+    return value
+
+
+def safe_relative(root: str, path: object) -> str:
+    """A path below root; absolute ones, steps upwards and what isn't text are an error."""
+    if not isinstance(path, str) or not path or path.startswith("/") or "://" in path or ".." in path.split("/"):
+        raise ValueError(f"not a path below the manifest: {path}")
+    return f"{root.rstrip('/')}/{path}"
+
+
+EXECUTION_INPUTS = ("task_manifests", "attempt_manifests", "verification_manifests")
+EXTERNAL_INPUTS = ("external_demonstration_manifests", "external_material_manifests", "eligibility_manifests")
+
+
+def build_input(spark: SparkSession, path: str) -> dict:
+    """A build's manifest: kind, lists of files by stream, split registry, rule version and the hash of every file.
+
+    External if it names demonstrations or eligibility, else execution; the other kind's streams are not read. A missing
+    list, a path that leaves the folder, a file that isn't there and a missing rule version are errors.
+    """
+    raw, root = load_config(path), path.rsplit("/", 1)[0] if "/" in path else "."
+    kind = "EXTERNAL_DEMONSTRATION" if {"external_demonstration_manifests", "eligibility_manifests"} & raw.keys() else "EXECUTION_ATTEMPT"
+    files: dict[str, list[str]] = {}
+    for name in ("source_manifests", *(EXTERNAL_INPUTS if kind == "EXTERNAL_DEMONSTRATION" else EXECUTION_INPUTS)):
+        if not isinstance(raw.get(name), list) or not raw[name]:
+            raise ValueError(f"{name} must be a list of paths")
+        files[name] = [safe_relative(root, p) for p in raw[name]]
+    files["split_registry"] = [safe_relative(root, raw.get("split_registry_ref"))]
+    if not isinstance(raw.get("rule_version"), str) or not raw["rule_version"]:
+        raise ValueError("rule_version is required")
+    every = sorted({p for ps in files.values() for p in ps})
+    found = spark.read.format("binaryFile").load(every).select("path", F.sha2("content", 256).alias("sha256")).collect()  # a manifest's files
+    hashes = {p: r["sha256"] for p in every for r in found if r["path"].endswith(p.removeprefix("./"))}
+    if len(hashes) != len(every):
+        raise ValueError("a file of the manifest is missing")
+    return {"kind": kind, "files": files, "rule_version": raw["rule_version"], "hashes": {p.removeprefix(f"{root}/"): h for p, h in hashes.items()}}
+
+
+def streams(spark: SparkSession, paths: list[str], field: str, schema: str) -> DataFrame:
+    """Rows of many envelopes, with their place in the order of files and rows."""
+    parts = [envelope(spark, p, field, schema).withColumn("position", F.monotonically_increasing_id() + F.lit(n << 40)) for n, p in enumerate(paths)]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def snapshot_faults(sources: DataFrame, snapshots: DataFrame, files: DataFrame) -> DataFrame:
+    """(source_id, fault) of declared sources(source_id, expected_sha256) whose frozen bytes are not as stated.
+
+    Each needs exactly one snapshot(source_id, path, content_sha256) with a path that stays below its folder, a file(path,
+    sha256) of that hash, and the declared hash, if there is one.
+    """
+    per = snapshots.groupBy("source_id").agg(F.count(F.lit(1)).alias("n"), F.first("path").alias("path"), F.first("content_sha256").alias("want"))
+    rows = sources.join(per, "source_id", "left").join(files.select("path", "sha256"), "path", "left")
+    fault = (
+        F.when(F.coalesce("n", F.lit(0)) != 1, "NO_UNIQUE_RECORD")
+        .when(F.col("path").isNull() | F.col("want").isNull(), "INCOMPLETE")
+        .when(F.col("path").startswith("/") | F.col("path").rlike(r"(^|/)\.\.(/|$)"), "UNSAFE_PATH")
+        .when(F.col("sha256").isNull(), "MISSING_CONTENT")
+        .when(F.col("sha256") != F.col("want"), "DIGEST_MISMATCH")
+        .when(F.col("expected_sha256") != F.col("want"), "DECLARED_DIGEST_MISMATCH")
+    )
+    return rows.select("source_id", fault.alias("fault")).filter("fault is not null")
+
+
+def freeze_files(spark: SparkSession, root: str, destination: str) -> DataFrame:
+    """Copies of a folder's files under the names of their hashes; (path, sha256, byte_size, frozen). For files fetched before."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    named = files.select("path", F.sha2("content", 256).alias("sha256"), F.col("length").alias("byte_size"), "content")
+    target = destination.rstrip("/")
+
+    def put(batches):
+        for b in batches:
+            for digest, content in zip(b["sha256"], b["content"], strict=True):
+                fs, at = open_fs(f"{target}/{digest}")
+                with fs.open_output_stream(at) as out:
+                    out.write(bytes(content))
+            yield b[["path", "sha256", "byte_size"]]
+
+    make_dir(spark, target)
+    return named.mapInPandas(put, "path string, sha256 string, byte_size bigint").withColumn("frozen", F.concat(F.lit(f"{target}/"), "sha256"))

@@ -3,13 +3,28 @@
 from __future__ import annotations
 
 import json
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skein.functions.identity import sharded_digest, table_digest
+from skein.functions.identity import canonical_json, sharded_digest, table_digest
+from skein.operators.decisions import publication_violations
 from skein.operators.joins import duplicated, merge, merge_conflicts
-from skein.operators.reports import quality_report
+from skein.operators.reports import diversity, quality_report
+
+_REF = "struct<uri: string, sha256: string, byte_size: bigint, media_type: string>"
+#: The record kinds that are exported as schemas.
+RECORDS = {
+    "source_records": f"source_record_id string, source_id string, revision string, usage_scope string, raw_ref {_REF}",
+    "external_demonstrations": f"demonstration_id string, source_record_id string, source_origin string, message_refs array<{_REF}>, parent_demonstration_id string, repair_rule_ref string",
+    "eligibility_decisions": f"decision_id string, demonstration_id string, action string, reason_codes array<string>, evidence_refs array<{_REF}>, review_checks array<string>, replay_capability string",
+    "attempts": "attempt_id string, task_id string, actor_kind string, end_reason string, state string",
+    "events": "event_id string, attempt_id string, seq bigint, event_type string, model_call_id string, tool_call_id string, status string",
+    "contexts": f"context_id string, model_call_id string, ordered_message_refs array<{_REF}>, content_hash string",
+    "verifications": "verification_id string, attempt_id string, status string, outcome string",
+    "rewards": "reward_record_id string, attempt_id string, verification_id string, availability string, total_reward double",
+}
 
 
 def _fs(spark: SparkSession, path: str):
@@ -22,14 +37,14 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def _rename(spark: SparkSession, a: str, b: str) -> None:
+def rename(spark: SparkSession, a: str, b: str) -> None:
     fs, p = _fs(spark, a)
     fs.mkdirs(_fs(spark, b)[1].getParent())
     if not fs.rename(p, _fs(spark, b)[1]):
         raise OSError(f"{a} can't become {b}")
 
 
-def _put(spark: SparkSession, path: str, value: dict) -> None:
+def put_json(spark: SparkSession, path: str, value: dict) -> None:
     """Small JSON receipts, by one rename."""
     tmp = f"{path}.tmp"
     fs, p = _fs(spark, tmp)
@@ -37,28 +52,41 @@ def _put(spark: SparkSession, path: str, value: dict) -> None:
     out.write(bytearray(json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False).encode()))
     out.close()
     fs.delete(_fs(spark, path)[1], False)
-    _rename(spark, tmp, path)
+    rename(spark, tmp, path)
 
 
-def _get(spark: SparkSession, path: str) -> dict:
+def get_json(spark: SparkSession, path: str) -> dict:
     return json.loads("".join(r[0] for r in spark.read.text(path).collect()))
 
 
-def commit_build(rows: DataFrame, destination: str, key: str = "task_id", rule_version: str = "v1", fail_at: str | None = None, large: bool = False) -> dict:
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    fs, p = _fs(spark, path)
+    out = fs.create(p, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def commit_build(rows: DataFrame, destination: str, key: str = "task_id", rule_version: str = "v1", fail_at: str | None = None, large: bool = True, identity: dict | None = None) -> dict:
     """Merge rows into the destination's last build by key and publish builds/<digest>; the same rows give the same build.
 
-    Rows of a known key that differ, or another rule version, are an error and change nothing. A failure before the
-    commit leaves no build; one after it leaves the build but not the registry, and the retry finds it. fail_at injects
-    either. large uses the sharded digest.
+    Rows of a known key that differ, or another identity (rule version and what else is given), are an error and change
+    nothing. A failure before the commit leaves no build; one after it leaves the build but not the registry, and the retry
+    finds it. fail_at injects either. The digest is made in shards; large=False takes the ordered one, in one task.
     """
     spark = rows.sparkSession
     registry = f"{destination}/registry.json"
-    known = _get(spark, registry) if exists(spark, registry) else None
+    known = get_json(spark, registry) if exists(spark, registry) else None
+    own = {"rule_version": rule_version, **(identity or {})}
     if not duplicated(rows, [key]).isEmpty():
         raise ValueError(f"{key} is not unique")
     if known:
-        if known["rule_version"] != rule_version:
-            raise ValueError("another rule version")
+        if known["identity"] != own:
+            raise ValueError("another rule version or build identity")
         old = spark.read.parquet(f"{destination}/builds/{known['digest']}")
         if not merge_conflicts(old, rows, key).isEmpty():
             raise ValueError("rows of a committed build have changed")
@@ -70,36 +98,137 @@ def commit_build(rows: DataFrame, destination: str, key: str = "task_id", rule_v
         staging = f"{destination}/staging-{digest}"
         rows.write.mode("overwrite").parquet(staging)
         if fail_at == "precommit":
-            fs, p = _fs(spark, staging)
-            fs.delete(p, True)
+            remove(spark, staging)
             raise RuntimeError("precommit")
-        _rename(spark, staging, final)
+        rename(spark, staging, final)
     if fail_at == "postcommit":
         raise RuntimeError("postcommit")
-    state = {"digest": digest, "rule_version": rule_version, "rows": spark.read.parquet(final).count()}
-    _put(spark, registry, state)
-    return state | {"status": "POSTCOMMIT_RECOVERED" if recovered and (known is None or known["digest"] != digest) else "COMMITTED"}
+    state = {"digest": digest, "identity": own, "key": key, "rows": spark.read.parquet(final).count()}
+    put_json(spark, registry, state)
+    return state | {"path": final, "status": "POSTCOMMIT_RECOVERED" if recovered and (known is None or known["digest"] != digest) else "NEW_COMMIT"}
 
 
-def publish(members: DataFrame, violations: DataFrame, path: str, dataset_id: str, rule_version: str) -> dict:
-    """An immutable release: membership, report, sources. Members that break a gate, or other content at the path, are an error."""
+CARDS = {
+    "EXTERNAL_DEMONSTRATION": "# External demonstrations\n\nAdmitted by eligibility decisions; replay, results and rewards are evidence of their own.\n",
+    "EXECUTION_ATTEMPT": "# Software test\n\nSoftware-validated; not for training.\n",
+}
+
+
+def publish(members: DataFrame, output: str, dataset_id: str, rule_version: str, input_manifest_hash: str = "") -> dict:
+    """An immutable release output/dataset_id: membership, manifest, recipe, quality, diversity and cost reports, lineage, data card.
+
+    Members that break their kind's gate, none at all, or a key that occurs twice are an error. The digest covers whole
+    rows: the same members again give the same release, others at the same place are an error. All is written aside and
+    renamed at the end, so that a crash leaves nothing that looks like a release.
+    """
     spark = members.sparkSession
-    bad = violations.select("violation").distinct().limit(5).collect()
+    bad = publication_violations(members).select("violation").distinct().limit(5).collect()
     if bad:
         raise ValueError(f"not publishable: {sorted(r[0] for r in bad)}")
-    key = "demonstration_id" if "demonstration_id" in members.columns else "attempt_id"
-    digest = table_digest(members.select(key), key).first()[0]
-    manifest = {"dataset_id": dataset_id, "rule_version": rule_version, "digest": digest, "rows": members.count()}
-    if exists(spark, f"{path}/manifest.json"):
-        if {k: v for k, v in _get(spark, f"{path}/manifest.json").items() if k in manifest} != manifest:
+    count = members.count()
+    if not count:
+        raise ValueError("a release has one member at least")
+    external = "demonstration_id" in members.columns
+    key = "demonstration_id" if external else "attempt_id"
+    if not duplicated(members, [key]).isEmpty():
+        raise ValueError(f"{key} is not unique")
+    manifest = {
+        "dataset_id": dataset_id,
+        "status": "PUBLISHED",
+        "evidence_level": "SOFTWARE_VALIDATED",
+        "input_manifest_hash": input_manifest_hash,
+        "rule_version": rule_version,
+        "logical_content_hash": sharded_digest(members, key).first()[0],
+        "member_count": count,
+        "member_kind": "EXTERNAL_DEMONSTRATION" if external else "EXECUTION_ATTEMPT",
+    }
+    final = f"{output}/{dataset_id}"
+    if exists(spark, final):
+        if not exists(spark, f"{final}/dataset_manifest.json") or get_json(spark, f"{final}/dataset_manifest.json") != manifest:
             raise ValueError("the release exists with other content")
         return manifest
-    members.write.parquet(f"{path}/membership.parquet")
-    sources = members.select(F.explode("source_record_ids").alias("s")).distinct()
-    sources.write.parquet(f"{path}/lineage.parquet")
-    _put(spark, f"{path}/manifest.json", manifest | {"report": quality_report(members)})
+    staging = f"{output}/.{dataset_id}-{uuid.uuid4().hex}-staging"
+    try:
+        members.write.parquet(f"{staging}/membership.parquet")
+        written = spark.read.parquet(f"{staging}/membership.parquet")
+        for name, table in lineage_index(written).items():
+            table.write.parquet(f"{staging}/lineage/{name}.parquet")
+        put_json(spark, f"{staging}/recipe.json", {"rule_version": rule_version})
+        put_json(spark, f"{staging}/quality_report.json", quality_report(written))
+        put_json(spark, f"{staging}/diversity_report.json", diversity(written).first().asDict())
+        put_json(spark, f"{staging}/cost_report.json", {"cost_cny_fen": None})
+        put_text(spark, f"{staging}/data_card.md", CARDS[manifest["member_kind"]])
+        put_json(spark, f"{staging}/dataset_manifest.json", manifest)
+        rename(spark, staging, final)
+    except Exception:
+        remove(spark, staging)
+        raise
     return manifest
 
 
+def lineage_index(members: DataFrame) -> dict[str, DataFrame]:
+    """source_records, and members with what they derive from: demonstrations, or attempts and their decisions."""
+    sources = members.select(F.explode("source_record_ids").alias("source_record_id")).distinct()
+    if "demonstration_id" in members.columns:
+        parent = F.col("parent_demonstration_id") if "parent_demonstration_id" in members.columns else F.lit(None).cast("string")
+        own = members.select("demonstration_id", "eligibility_decision_id", parent.alias("parent_demonstration_id"), "source_record_id", "upstream_message_refs")
+        return {"source_records": sources, "external_demonstrations": own}
+    attempts = members.select("attempt_id", "task_id", "quality_decision_id", F.array_sort("source_record_ids").alias("source_record_ids"))
+    return {"source_records": sources, "attempts": attempts, "quality_decisions": members.select("quality_decision_id", "attempt_id")}
+
+
+def write_bundle(spark: SparkSession, path: str, tables: dict[str, DataFrame], receipts: dict[str, dict] | None = None) -> dict[str, str]:
+    """Tables as Parquet and receipts as JSON in a new folder, renamed into place at the end; returns their paths."""
+    if exists(spark, path):
+        raise ValueError(f"{path} exists")
+    staging = f"{path}-{uuid.uuid4().hex}-staging"
+    for name, df in tables.items():
+        df.write.parquet(f"{staging}/{name}.parquet")
+    for name, value in (receipts or {}).items():
+        put_json(spark, f"{staging}/{name}.json", value)
+    rename(spark, staging, path)
+    return {n: f"{path}/{n}.parquet" for n in tables} | {n: f"{path}/{n}.json" for n in receipts or {}}
+
+
+def dedup_evidence(candidates: DataFrame, representatives: DataFrame, path: str) -> dict:
+    """Candidate pairs and representatives in order, with their counts."""
+    counts = {"candidate_pairs": candidates.count(), "representatives": representatives.select("representative").distinct().count(), "members": representatives.count()}
+    write_bundle(candidates.sparkSession, path, {"candidates": candidates.orderBy(*candidates.columns), "representatives": representatives.orderBy(*representatives.columns)}, {"manifest": counts})
+    return counts
+
+
+def quality_ledger(decisions: DataFrame, path: str) -> None:
+    """Decisions as a table and as lines of canonical JSON."""
+    decisions.write.parquet(f"{path}/quality_decisions.parquet")
+    decisions.select(canonical_json(*decisions.columns)).write.text(f"{path}/quality_decisions.json")
+
+
+def asset_ref(name: str, *columns: str) -> Column:
+    """A content-addressed reference to the canonical JSON of columns: uri, hash, size and media type."""
+    body = canonical_json(*columns)
+    digest = F.sha2(body, 256)
+    uri = F.concat(F.lit(f"task-assets/{name}-"), F.substring(digest, 1, 16), F.lit(".json"))
+    return F.struct(uri.alias("uri"), digest.alias("sha256"), F.octet_length(body).cast("long").alias("byte_size"), F.lit("application/json").alias("media_type"))
+
+
+def revocation_entry(source_record_id: str, closure: DataFrame, path: str) -> str:
+    """A ledger entry of what a source's revocation reaches: closure(kind, id). Entries are never rewritten: each has its own name."""
+    spark = closure.sparkSession
+    uri = f"{path}/{source_record_id}-{uuid.uuid4().hex[:12]}"
+    closure.withColumns({"source_record_id": F.lit(source_record_id), "created_at": F.current_timestamp()}).write.parquet(f"{uri}-staging")
+    rename(spark, f"{uri}-staging", uri)
+    return uri
+
+
+def export_schemas(spark: SparkSession, root: str, version: str = "v2") -> list[str]:
+    """The record kinds' schemas as JSON, one file each."""
+    out = []
+    for name, ddl in RECORDS.items():
+        path = f"{root}/{version}/{name}.json"
+        put_json(spark, path, {"name": name, "schema": json.loads(spark.createDataFrame([], ddl).schema.json())})
+        out.append(path)
+    return out
+
+
 def append_ledger(rows: DataFrame, path: str) -> None:
     rows.withColumn("recorded_at", F.current_timestamp()).write.mode("append").parquet(path)

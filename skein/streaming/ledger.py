@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skein.sources.writers import commit_build
+
 
 def unique_events(events: DataFrame, id_col: str = "event_id", time_col: str = "ts", delay: str = "10 minutes") -> DataFrame:
     """Drops repeats of an event within the watermark; state is bounded by it."""
@@ -18,3 +21,38 @@ def windowed_counts(events: DataFrame, window: str = "1 hour", time_col: str = "
 def append_to(events: DataFrame, path: str, checkpoint: str):
     """Runs over what is there and ends; a restart goes on where it ended."""
     return events.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
+
+
+def commit_stream(rows: DataFrame, destination: str, checkpoint: str, key: str = "task_id"):
+    """Every micro-batch is merged into the destination's build by key; a batch that is delivered again changes nothing."""
+
+    def commit(batch: DataFrame, _: int) -> None:
+        if not batch.isEmpty():
+            commit_build(batch.dropDuplicates(), destination, key)
+
+    return rows.writeStream.foreachBatch(commit).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def budget_stream(actions: DataFrame, limits: dict[str, int], key: str = "attempt_id", id_col: str = "event_id", order: str = "seq") -> DataFrame:
+    """(key, id_col, allowed) of a stream of actions: each key's sums are its state, and a refused action reserves nothing.
+
+    Rows of a key are taken in the order of `order` inside a micro-batch, and batches as they come.
+    """
+    costs = list(limits)
+    most = [limits[c] for c in costs]
+    kind, id_kind = (actions.schema[c].dataType.simpleString() for c in (key, id_col))
+
+    def step(k, frames, state):
+        used = list(state.get) if state.exists else [0] * len(costs)
+        for frame in frames:
+            rows = frame.sort_values(order)
+            out = []
+            for values in rows[costs].fillna(0).itertuples(index=False):
+                new = [u + int(v) for u, v in zip(used, values, strict=True)]
+                out.append(all(n <= m for n, m in zip(new, most, strict=True)))
+                used = new if out[-1] else used
+            yield pd.DataFrame({key: rows[key], id_col: rows[id_col], "allowed": out})
+        state.update(tuple(used))
+
+    fields = ", ".join(f"s{i} bigint" for i in range(len(costs)))
+    return actions.groupBy(key).applyInPandasWithState(step, f"{key} {kind}, {id_col} {id_kind}, allowed boolean", fields, "append", "NoTimeout")

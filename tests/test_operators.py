@@ -40,10 +40,19 @@ def test_rewards_and_classes(spark):
     assert got == [("truncated", 1.0), ("known_zero", 0.0), ("unknown", None)]
 
 
+def external(spark, **changes):
+    row = {"demonstration_id": "a", "source_record_id": "s", "source_record_ids": ["s"], "usage_scope": "TRAIN", "eligibility_decision_id": "e", "eligibility_action": "ACCEPT", "upstream_message_refs": ["m"], "source_origin": "DERIVED", "replay_capability": "UNKNOWN", "review_checks": list(decisions.REVIEW_CHECKS)}
+    kinds = {c: "array<string>" if isinstance(v, list) else "string" for c, v in row.items()}
+    rows = [row] + [row | {"demonstration_id": n} | c for n, c in changes.items()]
+    return spark.createDataFrame([tuple(r[c] for c in row) for r in rows], ", ".join(f"{c} {k}" for c, k in kinds.items()))
+
+
 def test_gates_and_record_rules(spark):
     full = list(decisions.REVIEW_CHECKS)
-    m = spark.createDataFrame([("a", "TRAIN", "ACCEPT", "DERIVED", ["s"], ["m"], full), ("b", "TRAIN", "ACCEPT", "PROJECT_SAMPLED", ["s"], ["m"], full), ("c", "TRAIN", "ACCEPT", "DERIVED", ["s"], [], full), ("d", "TRAIN", "ACCEPT", "DERIVED", ["s"], ["m"], full[:4]), ("e", "TEST", "ACCEPT", None, None, None, None)], "demonstration_id string, usage_scope string, eligibility_action string, source_origin string, source_record_ids array<string>, upstream_message_refs array<string>, review_checks array<string>")
-    assert {r.demonstration_id: r.violation for r in decisions.external_violations(m).collect()} == {"b": "ORIGIN", "c": "NO_LINEAGE", "d": "REVIEW_CHECKS", "e": "NOT_TRAIN"}
+    m = external(spark, b={"source_origin": "PROJECT_SAMPLED"}, c={"upstream_message_refs": []}, d={"review_checks": full[:4]}, e={"usage_scope": "TEST", "source_origin": None}, f={"eligibility_decision_id": ""}, g={"source_record_ids": None}, h={"eligibility_action": None})
+    assert {r.demonstration_id: r.violation for r in decisions.external_violations(m).collect()} == {"b": "ORIGIN", "c": "NO_MESSAGE_LINEAGE", "d": "REVIEW_CHECKS", "e": "NOT_TRAIN", "f": "NO_DECISION", "g": "NO_SOURCE_LINEAGE", "h": "NOT_ACCEPTED"}
+    assert {r.violation for r in decisions.publication_violations(m.drop("replay_capability")).collect()} == {"MISSING_FIELD"}
+    assert {r.violation for r in decisions.publication_violations(m.withColumn("attempt_id", F.lit("x"))).collect()} == {"MIXED_KINDS"}
     r = spark.createDataFrame([("KNOWN", None), ("UNKNOWN", 0.0), ("KNOWN", 1.0)], "availability string, total_reward double")
     assert decisions.violations(r, "rewards").count() == 2
 
@@ -121,12 +130,29 @@ def test_jaccard_and_minhash(spark):
     words = [[f"w{rnd.randrange(60)}" for _ in range(rnd.randrange(1, 25))] for _ in range(120)]
     words += [w + ["zz"] for w in words[:40]] + words[:20] + [[]]
     s = dedup.token_sets(spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(words)], "id int, t string"), "id", "t")
-    want = {(i, j) for i in range(len(words)) for j in range(i + 1, len(words)) if words[i] and words[j] and len({*words[i]} & {*words[j]}) >= 0.8 * len({*words[i]} | {*words[j]}) - 1e-9}
-    assert {(r.left, r.right) for r in dedup.jaccard_pairs(s, 0.8).collect()} == want
+    sets = [frozenset(w) for w in words]
+    want = {(i, j) for i in range(len(words)) for j in range(i + 1, len(words)) if sets[i] and sets[j] and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) - 1e-9}
+    first = {r.id: r.representative for r in dedup.set_groups(s).collect()}
+    assert first == {i: sets.index(x) for i, x in enumerate(sets) if x}
+    pairs = {(r.left, r.right) for r in dedup.jaccard_pairs(s, 0.8).collect()}
+    assert pairs == {(i, j) for i, j in want if first[i] == i and first[j] == j and sets[i] != sets[j]}
     near = {(r.left, r.right) for r in dedup.minhash_candidates(s).collect()}
     assert {(i, 160 + i) for i in range(20)} <= near | {(j, 160 + i) for i in range(20) for j in range(160) if (j, 160 + i) in near}
 
 
+def test_minhash_recall_is_what_its_formula_says(spark):
+    """Pairs of likeness 0.8 to 0.9 meet in one of 5 bands of 11 with chance 1 - (1 - t ** 11) ** 5: 0.36 at 0.8, 0.84 at 0.9."""
+    rows, n = [], 300
+    for i in range(n):
+        base = [f"{i}-{k}" for k in range(95)]
+        rows += [(2 * i, base[:90]), (2 * i + 1, base[:80] + base[90:95])]  # 80 of 95 in common
+    s = spark.createDataFrame(rows, "id int, tokens array<string>")
+    got = {(r.left, r.right) for r in dedup.minhash_candidates(s).collect()}
+    share = sum((2 * i, 2 * i + 1) in got for i in range(n)) / n
+    t = 80 / 95
+    assert abs(share - (1 - (1 - t**11) ** 5)) < 0.12 and all(b == a + 1 for a, b in got)
+
+
 def test_minhash_links_all_different_sets_of_a_bucket(spark):
     rows = [(i, [f"w{j}" for j in range(400)] + [f"x{i % 6}"]) for i in range(9)]
     s = spark.createDataFrame(rows + [(20, []), (21, [])], "id int, tokens array<string>")
@@ -159,17 +185,22 @@ def test_joins(spark):
 
 
 def test_budget_and_integrity(spark):
-    d = spark.createDataFrame([("a", i, 4) for i in range(5)], "k string, i int, c int")
-    assert [r.allowed for r in trajectory.within_budget(d, "k", ["i"], {"c": 12}).orderBy("i").collect()] == [True, True, True, False, False]
-    assert trajectory.sequence_violations(spark.createDataFrame([("a", 1), ("a", 1), ("a", 2)], "k string, s int"), "k", "s").count() == 1
+    d = spark.createDataFrame([("a", i, c) for i, c in enumerate([6, 9, 3, 1, None])] + [("b", 0, 11), ("b", 1, 10)], "k string, i int, c int").withColumn("c0", F.lit(1))
+    got = trajectory.within_budget(d, "k", ["i"], {"c": 10})
+    assert got.columns == [*d.columns, "allowed"]
+    assert [r.allowed for r in got.orderBy("k", "i").collect()] == [True, False, True, True, True, False, True]
+    assert trajectory.within_budget(d.limit(0), "k", ["i"], {"c": 10}).count() == 0
+    e = spark.createDataFrame([("a", 1, 3), ("a", 2, 1), ("a", 3, 2), ("b", 1, 1), ("b", 2, 1), ("c", 1, 1), ("c", 2, 5)], "k string, arrival int, s int")
+    assert sorted((r.k, r.arrival) for r in trajectory.sequence_violations(e, "k", "s", "arrival").collect()) == [("a", 2), ("b", 2)]
     assert tuple(trajectory.long_horizon(spark, 32, 16, 8).first())[:4] == (32, 31, 1, 1)
 
 
 def test_findings_and_metrics(spark):
     rows = [("1", "f", False, True, False, False, "down", 1, 2, None), ("2", "f", False, False, False, False, None, 1, 2, 0.5), ("3", "g", False, False, False, False, "down", 1, 2, None), ("4", "h", True, True, True, False, None, 1, 2, 1.0)]
     d = spark.createDataFrame(rows, "task_id string, family string, task_success boolean, effective_execution boolean, recovery_condition boolean, unseen_combination boolean, unresolved_infrastructure string, model_calls int, completion_tokens int, provider_cost_cny double")
-    f = {r.family: (r.category, r.confidence, r.failed_tasks) for r in reports.findings(d).collect()}
-    assert f == {"f": ("CONSTRAINT_FAILURE", "HIGH", ["1", "2"]), "g": ("INFRASTRUCTURE", "HIGH", ["3"])}
+    f = {r.family: (r.category, r.confidence, r.finding_id) for r in reports.findings(d).collect()}
+    assert f == {"f": ("CONSTRAINT_FAILURE", "MEDIUM", "finding-f"), "g": ("INFRASTRUCTURE", "MEDIUM", "finding-g")}
+    assert sorted(map(tuple, reports.finding_tasks(d).collect())) == [("finding-f", "1"), ("finding-f", "2"), ("finding-g", "3")]
     m = reports.evaluation_metrics(d).first()
     assert (m.task_success_at_1, m.conditional_success, m.recovery_success, m.unseen_success, m.provider_cost_cny) == (0.25, 0.5, 1.0, 0.0, 1.5)
     assert reports.evaluation_metrics(d.filter("not effective_execution")).first().conditional_success is None
@@ -183,13 +214,55 @@ def test_sft(spark):
         sft.render(m.withColumn("role", F.lit("system"))).collect()
 
 
+def greedy(actions, pool):
+    """The selection, one action after another, over the pool in order."""
+    used, pairs, out = set(), [], []
+    for a in actions:
+        free = [p for p in pool if p["demonstration_id"] not in used and p["task_family"] == a["task_family"]]
+        target = next((p for p in free if a["failure_type"] in p["failure_types"]), None)
+        key = lambda p: tuple(p[c] for c in recipes.MATCH)
+        control = target and next((p for p in free if key(p) == key(target) and a["failure_type"] not in p["failure_types"]), None)
+        if control:
+            used |= {target["demonstration_id"], control["demonstration_id"]}
+            pairs.append((a["finding_id"], target["demonstration_id"], control["demonstration_id"]))
+        else:
+            out.append((a["finding_id"], "NO_MATCHED_CONTROL" if target else "NO_TARGET_SUPPORT"))
+    return pairs, out
+
+
 def test_recipes(spark):
-    ids = list(range(6))
-    pool = spark.createDataFrame([(f"d{i}", "s", "f", 1, "short", "weak", "easy", ["X"] if i % 2 else []) for i in ids], "demonstration_id string, " + ", ".join(f"{c} string" for c in recipes.MATCH).replace("dependency_depth string", "dependency_depth int") + ", failure_types array<string>")
-    got = recipes.matched_selection([{"action_id": "a", "target_failure": "X"}, {"action_id": "b", "target_failure": "X"}, {"action_id": "c", "target_failure": "Y"}], pool)
-    assert got == [{"action_id": "a", "target": "d1", "control": "d0"}, {"action_id": "b", "target": "d3", "control": "d2"}]
-    ex = spark.createDataFrame([(r, f"{r}{i}", [1, 2], [False, True]) for r in "ab" for i in range(2)], "recipe string, demonstration_id string, input_ids array<int>, loss_mask array<boolean>")
-    assert sorted(map(tuple, recipes.schedule_totals(recipes.equal_schedule(ex, 1, 2, 4)).collect())) == [("a", 2, 2), ("b", 2, 2)]
+    rnd = random.Random(11)
+    pool = [{"demonstration_id": f"d{i:03d}", "source_id": "s", "task_family": rnd.choice("fg"), "dependency_depth": rnd.randrange(2), "length_bin": "short", "verification_strength": rnd.choice(["strong", "standard"]), "baseline_difficulty": "medium", "failure_types": rnd.sample(["X", "Y"], rnd.randrange(3)), "candidate_pool_version": "v"} for i in range(80)]
+    d = spark.createDataFrame([tuple(p.values()) for p in pool], "demonstration_id string, source_id string, task_family string, dependency_depth int, length_bin string, verification_strength string, baseline_difficulty string, failure_types array<string>, candidate_pool_version string")
+    actions = [{"finding_id": f"a{i}", "task_family": rnd.choice("fgh"), "failure_type": rnd.choice("XYZ")} for i in range(25)]
+    pairs, excluded = recipes.matched_selection(actions, d)
+    assert ([(p["finding_id"], p["target"], p["control"]) for p in pairs], [tuple(x.values()) for x in excluded]) == greedy(actions, pool)
+    assert pairs and excluded and recipes.matched_selection([], d) == ([], [])
+    found = spark.createDataFrame([("finding-f", "f", "X")], "finding_id string, family string, category string")
+    assert recipes.data_actions(found, d).first().candidate_pool_version == "v"
+    with pytest.raises(ValueError, match="one frozen pool"):
+        recipes.data_actions(found, d.withColumn("candidate_pool_version", F.col("demonstration_id")))
+    ex = spark.createDataFrame([(r, f"{r}{i}", [1, 2], [False, True]) for r in ("random", "closed_loop") for i in range(2)], "recipe string, demonstration_id string, input_ids array<int>, loss_mask array<boolean>")
+    plan = recipes.equal_schedule(ex, 1, 2, 4)
+    assert sorted(map(tuple, recipes.schedule_totals(plan).collect())) == [("closed_loop", 2, 2, 2), ("random", 2, 2, 2)]
+    assert recipes.schedule_receipt(plan)["effective_loss_tokens"] == 2
+    with pytest.raises(ValueError, match="exactly"):
+        recipes.schedule_receipt(recipes.equal_schedule(ex.withColumn("loss_mask", F.when(F.col("recipe") == "random", F.array(F.lit(True), F.lit(True))).otherwise(F.col("loss_mask"))), 1, 2, 4))
+    assert [tuple(r) for r in recipes.cycle(spark.range(3), "id", 7).orderBy("slot").collect()] == [(i, i % 3) for i in range(7)]
+    assert recipes.cycle(spark.range(5), "id", 2).count() == 2
+
+
+def test_candidate_pool_labels(spark):
+    name = lambda n: {"role": "assistant", "content": None, "tool_call": {"raw_content": f"{{'name': '{n}', 'x': 1}}"}}
+    user = lambda t: {"role": "user", "content": t, "tool_call": None}
+    kind = "demonstration_id string, eligibility_action string, messages array<struct<role: string, content: string, tool_call: struct<raw_content: string>>>, review_checks array<string>"
+    rows = [("a", "ACCEPT", [user("On Social Media"), name("geo-find"), name("b"), name("c"), name("d")], list("123456")), ("b", "ACCEPT", [user("x"), name("solo")] + [user("constraint")] * 9, None), ("c", "REJECT", [], [])]
+    got = {r.demonstration_id: r for r in recipes.candidate_pool(spark.createDataFrame(rows, kind), "v").collect()}
+    a, b = got["a"], got["b"]
+    assert (a.source_id, a.task_family, a.dependency_depth, a.length_bin, a.verification_strength, a.baseline_difficulty, a.failure_types) == ("geo", "cross_document_comparison", 3, "short", "strong", "high", ["CONSTRAINT_FAILURE"])
+    assert (b.source_id, b.task_family, b.dependency_depth, b.length_bin, b.verification_strength, b.baseline_difficulty, b.failure_types) == ("solo", "lookup", 1, "medium", "standard", "medium", []) and set(got) == {"a", "b"}
+    with pytest.raises(Exception, match="no tool call"):
+        recipes.candidate_pool(spark.createDataFrame([("z", "ACCEPT", [user("x")], [])], kind), "v").collect()
 
 
 def test_numbers(spark):
