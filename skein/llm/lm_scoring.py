@@ -29,7 +29,7 @@ from skein.storage import materialize, shuffle_partitions
 BASE = 1.5
 FILTER_BITS = 1 << 27  # of a filter whose size isn't given
 PROBES = 5
-BITS_A_KEY = 8
+BITS_A_KEY = 16
 END = np.uint64(0x0A)  # no word has this hash but by chance
 _SECOND = np.uint64(0x9E3779B97F4A7C1B)  # what the second word of a bigram counts in its key
 ADD = 0.1
