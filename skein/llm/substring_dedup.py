@@ -84,8 +84,10 @@ def relative_lz_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     names = {c: f"c{i}" for i, c in enumerate(carry)}  # in the chunks, so that no name clashes
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("k"), F.col(f"`{text_col}`").cast("string").alias("t"), *(F.col(f"`{c}`").alias(n) for c, n in names.items() if c != text_col))
     manifest = write_chunks(rows, "rlz")
-    blocks = max(shuffle_partitions(spark), total_bytes(manifest) * 2 // BLOCK_BYTES)  # 8 bytes a word make 1.5 times the text
-    tasks = max(shuffle_partitions(spark), blocks // 4)  # some 128 MB of hashes each
+    # 8 bytes a word make 1.5 times the text; a task has as many blocks as any other, some 100 MB in all
+    blocks = max(shuffle_partitions(spark), total_bytes(manifest) * 2 // BLOCK_BYTES)
+    tasks = max(shuffle_partitions(spark), -(-blocks // 4))
+    blocks = tasks * -(-blocks // tasks)
 
     def look_up(uri: str) -> Iterator[pa.RecordBatch]:
         _, ids, counts, H = _windows(uri, window)
@@ -119,7 +121,7 @@ def relative_lz_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
             yield pa.RecordBatch.from_pydict({"chunk": [r["chunk"] for r in found], "block": pa.array([k] * len(found), pa.int32()), "hits": [np.packbits(hit[a:b]).tobytes() for a, b in cuts], "sources": [zlib.compress(source[a:b][hit[a:b]].tobytes(), 1) for a, b in cuts]})
 
     looked = map_chunks(manifest, look_up, "chunk string, block int, hashes binary, places binary, ids binary")
-    hits = materialize(arrow_map(looked.repartition(tasks, "block").sortWithinPartitions("block"), in_block, "chunk string, block int, hits binary, sources binary"), "rlz-hits")
+    hits = materialize(arrow_map(looked.repartitionById(tasks, F.pmod("block", F.lit(tasks))).sortWithinPartitions("block"), in_block, "chunk string, block int, hits binary, sources binary"), "rlz-hits")
 
     kinds = {f.name: f.dataType for f in docs.schema.fields}
     schema = ", ".join([*(f"{n} {kinds[c].simpleString()}" for c, n in names.items() if c != text_col), "n_words long, n_removed long, factors array<struct<start: int, end: int, source: bigint>>, kept_text string"])
