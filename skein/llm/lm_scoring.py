@@ -109,6 +109,8 @@ def lm_score(docs: DataFrame, train: DataFrame | str = "true", id_col: str = "do
     rows = docs.select(F.col(f"`{id_col}`").alias("k"), F.col(f"`{text_col}`").cast("string").alias("t"), F.coalesce(F.expr(train), F.lit(False)).alias("train"))
     manifest = write_chunks(rows, "lm", CHUNK_BYTES)
     buckets = max(parts, total_bytes(manifest) // BUCKET_BYTES)
+    tasks = max(parts, -(-buckets // 4))  # a task has as many buckets as any other
+    buckets = tasks * -(-buckets // tasks)
 
     def sorted_words(uri: str):
         table, tok, counts = _tokens(uri)
@@ -137,10 +139,11 @@ def lm_score(docs: DataFrame, train: DataFrame | str = "true", id_col: str = "do
             yield pa.RecordBatch.from_pydict({"chunk": pa.array(chunk, pa.string()), "bucket": pa.array([b] * len(chunk), pa.int32()), "sums": pa.array(sums, pa.binary()), "tokens": pa.array(last(int(c.sum())), pa.int64()), "words": pa.array(last(int((c > 0).sum())), pa.int64()), "hot": pa.array(last(u[top].tobytes()), pa.binary()), "hot_counts": pa.array(last(c[top].tobytes()), pa.binary())})
 
     def dealt(df: DataFrame, key: str, n: int) -> DataFrame:
-        return df.repartition(max(n, buckets // 8), key).sortWithinPartitions(key)
+        part = df.repartitionById(n, F.pmod("bucket", F.lit(n))) if key == "bucket" else df.repartition(n, key)
+        return part.sortWithinPartitions(key)
 
     words = map_chunks(manifest, count_words, "chunk string, bucket int, hashes binary, counts binary")
-    sums = materialize(dealt(words, "bucket", parts).mapInArrow(sum_words, "chunk string, bucket int, sums binary, tokens long, words long, hot binary, hot_counts binary"), "lm-words")
+    sums = materialize(dealt(words, "bucket", tasks).mapInArrow(sum_words, "chunk string, bucket int, sums binary, tokens long, words long, hot binary, hot_counts binary"), "lm-words")
     per_bucket = sums.filter("chunk is null").select("tokens", "words", "hot", "hot_counts").collect()  # at most 64 words a bucket
     N, V = sum(r["tokens"] for r in per_bucket), sum(r["words"] for r in per_bucket)
     hot_count = np.frombuffer(b"".join(r["hot_counts"] for r in per_bucket), np.int64)
@@ -204,7 +207,7 @@ def lm_score(docs: DataFrame, train: DataFrame | str = "true", id_col: str = "do
             yield pa.RecordBatch.from_pydict({"chunk": pa.array([None], pa.string()), "bucket": pa.array([b], pa.int32()), "levels": pa.array([None], pa.binary()), "kinds": pa.array([None], pa.binary()), "hot_kinds": pa.array([[(int(i), int(n[i])) for i in np.flatnonzero(n)]], of_hot)})
 
     pairs = map_chunks(manifest, count_pairs, "chunk string, bucket int, heads binary, runs binary, keys binary, counts binary")
-    answers = materialize(dealt(pairs, "bucket", parts).mapInArrow(answer_pairs, "chunk string, bucket int, levels binary, kinds binary, hot_kinds map<int,long>"), "lm-bigrams")
+    answers = materialize(dealt(pairs, "bucket", tasks).mapInArrow(answer_pairs, "chunk string, bucket int, levels binary, kinds binary, hot_kinds map<int,long>"), "lm-bigrams")
     #: Fewer hot words than buckets, as each has more than a bucket's share.
     hot_kinds = np.zeros(len(hot), np.int64)
     for r in answers.filter("chunk is null").select(F.explode("hot_kinds").alias("hot", "kinds")).groupBy("hot").agg(F.sum("kinds").alias("n")).collect():
