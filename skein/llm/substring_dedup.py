@@ -188,7 +188,7 @@ def relative_lz_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     every = manifest.select("chunk", F.lit(None).cast("int").alias("block"), F.lit(None).cast("binary").alias("hits"), F.lit(None).cast("binary").alias("sources"))
     ready = hits.unionByName(every)  # a chunk without any window is parsed as well
-    done = arrow_map(ready.repartition(max(1, min(100_000, max(manifest.count(), shuffle_partitions(spark)))), "chunk").sortWithinPartitions("chunk"), parse, schema)
+    done = arrow_map(ready.repartitionByRange(max(1, min(100_000, max(manifest.count(), shuffle_partitions(spark)))), "chunk").sortWithinPartitions("chunk"), parse, schema)
     result = ["n_words", "n_removed", "factors", "kept_text"]
     free = {c: c + "_" * sum(x.rstrip("_") == c for x in carry) for c in result}
     return done.select(*((F.col("kept_text").alias(c) if c == text_col else F.col(names[c]).alias(c)) for c in carry), *(F.col(c).alias(f) for c, f in free.items()))
