@@ -139,7 +139,7 @@ def lm_score(docs: DataFrame, train: DataFrame | str = "true", id_col: str = "do
             yield pa.RecordBatch.from_pydict({"chunk": pa.array(chunk, pa.string()), "bucket": pa.array([b] * len(chunk), pa.int32()), "sums": pa.array(sums, pa.binary()), "tokens": pa.array(last(int(c.sum())), pa.int64()), "words": pa.array(last(int((c > 0).sum())), pa.int64()), "hot": pa.array(last(u[top].tobytes()), pa.binary()), "hot_counts": pa.array(last(c[top].tobytes()), pa.binary())})
 
     def dealt(df: DataFrame, key: str, n: int) -> DataFrame:
-        part = df.repartitionById(n, F.pmod("bucket", F.lit(n))) if key == "bucket" else df.repartition(n, key)
+        part = df.repartitionById(n, F.pmod("bucket", F.lit(n))) if key == "bucket" else df.repartitionByRange(n, key)
         return part.sortWithinPartitions(key)
 
     words = map_chunks(manifest, count_words, "chunk string, bucket int, hashes binary, counts binary")
