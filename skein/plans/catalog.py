@@ -11,6 +11,7 @@ from skein.plans import builds
 from skein.plans.registry import ORACLES, QUERIES, query
 from skein.session import table
 from skein.sources import generators
+from skein.storage import deal_out
 from skein.streaming import ledger
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -23,6 +24,11 @@ def _labelled(spark: SparkSession, sf: str) -> DataFrame:
     return d.join(lab, "doc_id", "left").withColumn("outcome", F.when(F.col("quality").isNotNull(), outcome))
 
 
+def _texts(spark: SparkSession, sf: str) -> DataFrame:
+    """documents, for work on their whole texts."""
+    return deal_out(table(spark, sf, "documents").select("doc_id", "text"))
+
+
 def _histories(spark: SparkSession, sf: str) -> DataFrame:
     """conversations as histories of plain messages."""
     turns = F.array_sort(F.collect_list(F.struct("turn", "role", "text")))
@@ -95,7 +101,7 @@ def event_total_order(spark, sf):
 
 @query("WITH h AS (SELECT doc_id, sha256('{\"tokens\":[' || array_to_string(list_transform(regexp_extract_all(lower(text), '[a-z0-9]+'), lambda x: '\"' || x || '\"'), ',') || ']}') AS projection_sha256 FROM documents) SELECT doc_id, projection_sha256, min(doc_id) OVER (PARTITION BY projection_sha256) AS representative FROM h")
 def dedup_representatives(spark, sf):
-    return dedup.representatives(table(spark, sf, "documents"), "doc_id", [text.word_tokens(F.col("text")).alias("tokens")])
+    return dedup.representatives(_texts(spark, sf), "doc_id", [text.word_tokens(F.col("text")).alias("tokens")])
 
 
 @query("""
@@ -104,17 +110,17 @@ def dedup_representatives(spark, sf):
     p AS (SELECT a.g AS a, b.g AS b, len(list_intersect(a.t, b.t)) AS i, len(a.t) + len(b.t) AS n FROM g a JOIN g b ON a.g < b.g AND len(a.t) >= 0.8 * len(b.t) AND len(b.t) >= 0.8 * len(a.t))
     SELECT a AS "left", b AS "right", round(i / (n - i), 9) AS jaccard FROM p WHERE i / (n - i) >= 0.8 - 1e-9""")
 def dedup_candidates_jaccard(spark, sf):
-    return dedup.jaccard_pairs(dedup.token_sets(table(spark, sf, "documents"), "doc_id", "text"), 0.8).withColumn("jaccard", F.round("jaccard", 9))
+    return dedup.jaccard_pairs(dedup.token_sets(_texts(spark, sf), "doc_id", "text"), 0.8).withColumn("jaccard", F.round("jaccard", 9))
 
 
 @query("SELECT s.id, min(s.id) OVER (PARTITION BY t) AS representative FROM (SELECT doc_id AS id, list_sort(list_distinct(regexp_extract_all(lower(text), '[a-z0-9]+'))) AS t FROM documents) s WHERE len(t) > 0")
 def dedup_set_members(spark, sf):
-    return dedup.set_groups(dedup.token_sets(table(spark, sf, "documents"), "doc_id", "text"))
+    return dedup.set_groups(dedup.token_sets(_texts(spark, sf), "doc_id", "text"))
 
 
 @query()
 def dedup_candidates_minhash(spark, sf):
-    return dedup.minhash_candidates(dedup.token_sets(table(spark, sf, "documents"), "doc_id", "text"))
+    return dedup.minhash_candidates(dedup.token_sets(_texts(spark, sf), "doc_id", "text"))
 
 
 @query("WITH n AS (SELECT n_nationkey AS k, n_regionkey AS r FROM nation) SELECT a.k AS \"left\", b.k AS \"right\" FROM n a JOIN n b ON a.k < b.k AND a.r <> b.r")
