@@ -14,7 +14,7 @@ from skein.llm.language_id import UND, identify, train
 from skein.llm.queries import LEARN_LANGUAGE
 from skein.llm.simhash import keep_one_of_each
 from skein.llm.substring_dedup import relative_lz_dedup
-from skein.storage import delete, keep_until_exit, scope, shared_root
+from skein.storage import deal_out, delete, keep_until_exit, scope, shared_root
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,7 +56,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every stage's output is written once; its scratch tables and the input it no longer needs go after that."""
-    docs, since = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
+    docs, since = deal_out(spark.read.parquet(f"{sf_dir}/documents.parquet")), None
     for name, stage in STAGES:
         with scope(spark):
             made = stage(spark, docs, sf_dir)
