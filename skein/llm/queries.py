@@ -15,13 +15,18 @@ from skein.llm.simhash import simhash_near_dups
 from skein.llm.substring_dedup import relative_lz_dedup
 from skein.llm.token_counts import count_tokens
 from skein.llm.warc import warc_round_trip
+from skein.storage import deal_out
 
 LEARN_LANGUAGE = "crc32(cast(doc_id as string)) % 3 <> 1"
 LEARN_LM = "crc32(cast(doc_id as string)) % 10 <> 0"
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return deal_out(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return deal_out(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,11 +50,11 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return extract_main_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    return extract_main_text(_pages(spark, sf_dir))
 
 
 def op6_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warc_round_trip(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    return warc_round_trip(_pages(spark, sf_dir))
 
 
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
