@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from skein.functions.text import word_tokens
 from skein.storage import materialize
 
+#: Of MinHash: below 2 ** 31, so that products of two values fit into 64 bits.
+PRIME = 2**31 - 1
+
 
 def representatives(df: DataFrame, id_col: str, projection: list) -> DataFrame:
     """(id, projection_sha256, representative): rows of equal projections are duplicates, the smallest id stands for them.
@@ -53,10 +56,26 @@ def set_groups(sets: DataFrame) -> DataFrame:
     return sets.join(least, "s").select("id", "representative")
 
 
+def permutations(n: int, seed: int = 7) -> list[tuple[int, int]]:
+    """n pairs (a, b) of the permutations h -> (a * h + b) modulo PRIME, from the minimal standard generator."""
+    out, x = [], seed
+    for _ in range(n):
+        a = x * 48271 % PRIME
+        x = a * 48271 % PRIME
+        out.append((a, x))
+    return out
+
+
 def minhash_bands(sets: DataFrame, bands: int = 5, rows: int = 11, seed: int = 7) -> DataFrame:
-    """(id, band, key) of MinHash signatures of sets(id, tokens); two sets of likeness t meet with chance 1 - (1 - t^rows)^bands."""
-    least = lambda i: F.array_min(F.transform("tokens", lambda t: F.xxhash64(F.lit(seed * 1000 + i), t)))
-    signed = sets.filter(F.size("tokens") > 0).select("id", F.array(*(least(i) for i in range(bands * rows))).alias("s"))
+    """(id, band, key) of MinHash signatures of sets(id, tokens); two sets of likeness t meet with chance 1 - (1 - t^rows)^bands.
+
+    A token is hashed once, by the first 32 bits of its MD5; each place of a signature is the least value of a permutation of
+    these hashes, so that plain SQL gives the same buckets.
+    """
+    h = F.transform("tokens", lambda t: F.conv(F.substring(F.md5(t), 1, 8), 16, 10).cast("long") % PRIME)
+    hashed = sets.filter(F.size("tokens") > 0).select("id", h.alias("h"))
+    least = ", ".join(f"array_min(transform(h, x -> (x * {a}L + {b}L) % {PRIME}L))" for a, b in permutations(bands * rows, seed))
+    signed = hashed.select("id", F.expr(f"array({least})").alias("s"))  # h is asked for often, so that it is made once
     return signed.select("id", F.posexplode(F.array(*(F.xxhash64(F.slice("s", 1 + b * rows, rows)) for b in range(bands)))).alias("band", "key"))
 
 

@@ -118,7 +118,18 @@ def dedup_set_members(spark, sf):
     return dedup.set_groups(dedup.token_sets(_texts(spark, sf), "doc_id", "text"))
 
 
-@query()
+_A, _B = ([x[k] for x in dedup.permutations(55)] for k in (0, 1))
+
+
+@query(f"""
+    WITH s AS (SELECT doc_id AS id, list_sort(list_distinct(regexp_extract_all(lower(text), '[a-z0-9]+'))) AS t FROM documents),
+    g AS (SELECT t, min(id) AS g FROM s WHERE len(t) > 0 GROUP BY t),
+    h AS (SELECT g, list_transform(t, lambda x: ('0x' || md5(x)[1:8])::BIGINT % {dedup.PRIME}) AS h FROM g),
+    p AS (SELECT generate_subscripts({_A}, 1) AS i, unnest({_A}) AS a, unnest({_B}) AS b),
+    m AS (SELECT g, i, list_min(list_transform(h, lambda x: (x * a + b) % {dedup.PRIME})) AS m FROM h, p),
+    k AS (SELECT g, (i - 1) // 11 AS band, list(m ORDER BY i) AS k FROM m GROUP BY 1, 2)
+    SELECT a.g AS "left", b.g AS "right" FROM k a JOIN k b ON a.band = b.band AND a.k = b.k AND a.g < b.g
+    UNION SELECT g.g, s.id FROM s JOIN g USING (t) WHERE s.id > g.g""")
 def dedup_candidates_minhash(spark, sf):
     return dedup.minhash_candidates(dedup.token_sets(_texts(spark, sf), "doc_id", "text"))
 
