@@ -11,22 +11,22 @@ from skein.llm.fingerprints import fingerprint_documents
 from skein.llm.html_extract import extract_main_text
 from skein.llm.language_id import identify, train
 from skein.llm.lm_scoring import lm_score
+from skein.llm.pieces import piece_encode
 from skein.llm.simhash import simhash_near_dups
 from skein.llm.substring_dedup import relative_lz_dedup
 from skein.llm.token_counts import count_tokens
 from skein.llm.warc import warc_round_trip
-from skein.storage import deal_out
 
 LEARN_LANGUAGE = "crc32(cast(doc_id as string)) % 3 <> 1"
 LEARN_LM = "crc32(cast(doc_id as string)) % 10 <> 0"
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return deal_out(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
 def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return deal_out(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    return spark.read.parquet(f"{sf_dir}/pages.parquet")
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,7 +73,11 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score(_documents(spark, sf_dir), LEARN_LM)
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_language_id, op3_fingerprints, op4_substring_dedup, op5_html_extraction, op6_warc_revisits, op7_byte_bpe, op8_decontamination, op9_simhash, op10_lm_scoring)}
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_encode(_documents(spark, sf_dir))
+
+
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_language_id, op3_fingerprints, op4_substring_dedup, op5_html_extraction, op6_warc_revisits, op7_byte_bpe, op8_decontamination, op9_simhash, op10_lm_scoring, op13_sentencepiece)}
 
 ORACLES = {
     "op4_substring_dedup": r"""
