@@ -11,7 +11,6 @@ from skein.plans import builds
 from skein.plans.registry import ORACLES, QUERIES, query
 from skein.session import table
 from skein.sources import generators
-from skein.storage import deal_out
 from skein.streaming import ledger
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -26,7 +25,7 @@ def _labelled(spark: SparkSession, sf: str) -> DataFrame:
 
 def _texts(spark: SparkSession, sf: str) -> DataFrame:
     """documents, for work on their whole texts."""
-    return deal_out(table(spark, sf, "documents").select("doc_id", "text"))
+    return table(spark, sf, "documents").select("doc_id", "text")
 
 
 def _histories(spark: SparkSession, sf: str) -> DataFrame:

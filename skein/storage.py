@@ -61,8 +61,10 @@ def release(spark: SparkSession, since: int = 0) -> None:
 def scope(spark: SparkSession) -> Iterator[None]:
     """Scratch folders made inside are deleted at its end; what is to stay is written elsewhere before."""
     since = len(_MADE)
-    yield
-    release(spark, since)
+    try:
+        yield
+    finally:
+        release(spark, since)
 
 
 def _sweep() -> None:
@@ -98,26 +100,6 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def plan_bytes(df: DataFrame) -> int:
-    """Catalyst's estimate of df's size, from file sizes; no job runs."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-
-
-def deal_out(df: DataFrame) -> DataFrame:
-    """A scanned table whose files can't keep the cores busy, dealt evenly over them; any other table as it is.
-
-    Spark reads a row group in one task, so that a table of one file leaves all cores but one idle while its texts are
-    worked on. Rows are shuffled only if the table has at most half as many files as there are cores and less than a scan
-    partition for each core, so never in a table of many files or of much data.
-    """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    most = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
-    if plan_bytes(df) >= cores * most or 2 * len(df._jdf.inputFiles()) > cores:
-        return df
-    return df.repartition(cores)
-
-
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

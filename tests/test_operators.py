@@ -320,16 +320,3 @@ def test_stream_appends_once(spark, tmp_path):
     s = ledger.unique_events(spark.readStream.schema(e.schema).parquet(str(src)))
     ledger.append_to(s, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination(60)
     assert spark.read.parquet(str(tmp_path / "out")).count() == 2
-
-
-def test_a_table_of_one_file_is_dealt_over_the_cores(spark, tmp_path):
-    from skein.storage import deal_out
-
-    spark.range(1000).coalesce(1).write.parquet(str(tmp_path / "one"))
-    spark.range(1000).repartition(4).write.parquet(str(tmp_path / "four"))
-    one, four = (deal_out(spark.read.parquet(str(tmp_path / n))) for n in ("one", "four"))
-    sizes = [r[0] for r in one.groupBy(F.spark_partition_id()).count().select("count").collect()]
-    assert len(sizes) == spark.sparkContext.defaultParallelism and sum(sizes) == 1000 and max(sizes) < 500
-    assert "Exchange" not in four._jdf.queryExecution().executedPlan().toString()
-    assert sorted(r.id for r in one.collect()) == sorted(r.id for r in four.collect()) == list(range(1000))
-    assert deal_out(spark.read.schema("id long").parquet(str(tmp_path / "one")).limit(0)).count() == 0
