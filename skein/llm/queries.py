@@ -13,6 +13,7 @@ from skein.llm.language_id import identify, train
 from skein.llm.lm_scoring import lm_score
 from skein.llm.pieces import piece_encode
 from skein.llm.simhash import simhash_near_dups
+from skein.llm.spelling import corpus_words, spelling_variants
 from skein.llm.substring_dedup import relative_lz_dedup
 from skein.llm.token_counts import count_tokens
 from skein.llm.warc import warc_round_trip
@@ -73,11 +74,15 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score(_documents(spark, sf_dir), LEARN_LM)
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(corpus_words(_documents(spark, sf_dir)))
+
+
 def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_encode(_documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_language_id, op3_fingerprints, op4_substring_dedup, op5_html_extraction, op6_warc_revisits, op7_byte_bpe, op8_decontamination, op9_simhash, op10_lm_scoring, op13_sentencepiece)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_language_id, op3_fingerprints, op4_substring_dedup, op5_html_extraction, op6_warc_revisits, op7_byte_bpe, op8_decontamination, op9_simhash, op10_lm_scoring, op11_spelling_variants, op13_sentencepiece)}
 
 ORACLES = {
     "op4_substring_dedup": r"""
