@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  pa.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -55,6 +56,15 @@ def arrow_map(df: DataFrame, f: Callable[[Batches], Batches], schema: str) -> Da
     return df.mapInArrow(run, schema)
 
 
+def row_bytes(batch: pa.RecordBatch) -> int:
+    """Bytes of a batch's values, however its rows are cut into batches: those of strings, and 8 for any other value."""
+    total = 0
+    for c in batch.columns:
+        text = pa.types.is_string(c.type) or pa.types.is_binary(c.type) or pa.types.is_large_string(c.type) or pa.types.is_large_binary(c.type)
+        total += (pa.compute.sum(pa.compute.binary_length(c)).as_py() or 0) if text else 8 * len(c)
+    return total
+
+
 def write_chunks(df: DataFrame, name: str, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """Manifest (chunk string, rows long, bytes long) of df's rows. An empty table gives an empty manifest."""
     root = make_dir(df.sparkSession, scratch(df.sparkSession, name))
@@ -69,7 +79,7 @@ def write_chunks(df: DataFrame, name: str, chunk_bytes: int = CHUNK_BYTES) -> Da
             with fs.open_output_stream(path) as out, pa.ipc.new_stream(out, held[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
                 for b in held:
                     w.write_batch(b)
-            return pa.RecordBatch.from_pydict({"chunk": [uri], "rows": [sum(b.num_rows for b in held)], "bytes": [sum(b.nbytes for b in held)]})
+            return pa.RecordBatch.from_pydict({"chunk": [uri], "rows": [sum(b.num_rows for b in held)], "bytes": [sum(map(row_bytes, held))]})
 
         for batch in batches:
             step = max(1, int(batch.num_rows * min(1.0, chunk_bytes / 4 / max(batch.nbytes, 1))))
@@ -92,7 +102,7 @@ def spread(manifest: DataFrame, most: int = 100_000) -> DataFrame:
 
 
 def total_bytes(manifest: DataFrame) -> int:
-    """Bytes of all rows as Arrow holds them."""
+    """Bytes of all rows by row_bytes; the same for the same rows, whatever the session's settings."""
     return manifest.agg(F.sum("bytes")).first()[0] or 0
 
 

@@ -38,8 +38,11 @@ _VOID = frozenset("area base br col embed hr img input link meta param source tr
 _BLOCK = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table tbody td tfoot th thead tr ul".split())
 _DROP = frozenset("head script style noscript template nav header footer aside form button select option textarea input iframe object svg canvas audio video dialog menu title".split())
 _DROP_ROLE = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
-#: Words of a class or id that mark what is not main text.
-_DROP_NAME = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notice|popup|modal|newsletter|subscribe|sidebar|menu|navbar|nav|navigation|breadcrumbs?|header|footer|masthead|comments?|commentlist|disqus|replies|share|sharing|social|related|widget|pagination|pager)(?:$|[\s_-])", re.I)
+#: Classes and ids, whole names, that mark what is not main text, wherever they stand.
+_DROP_NAME = frozenset("ad ads advert adverts advertisement sponsor sponsored promo promotion cookie cookies consent gdpr popup modal newsletter subscribe navbar breadcrumb breadcrumbs comment comments commentlist disqus replies pagination pager cookie-banner cookie-notice cookie-consent comment-list site-header site-footer".split())
+#: Names that mean it outside an article, and inside only with a second sign: that most of the text is links, or that the host repeats the subtree.
+_WEAK_NAME = frozenset("banner notice sidebar menu nav navigation header footer masthead share sharing social related widget".split())
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 _PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre b i em strong a span br code ul ol li table thead tbody tr td th figure figcaption dl dt dd".split())
 #: Opening one of these ends an open element of the set, up to the nearest of the bounds.
 _ENDS = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "tbody": ({"tbody", "thead", "tfoot"}, {"table"}), "thead": ({"tbody", "thead", "tfoot"}, {"table"}), "tfoot": ({"tbody", "thead", "tfoot"}, {"table"}), "option": ({"option"}, {"select"})}
@@ -118,14 +121,37 @@ def _attributes(node: Node) -> dict[str, str]:
     return {k.lower(): entities.unescape(v.strip("\"'")) for k, v in _ATTR.findall(node.attrs)} if node.attrs else {}
 
 
-def _dropped(node: Node) -> bool:
-    """Whether tag, role, class or id say that an element is not main text; articles are judged as well, main and body never."""
-    if node.tag in _DROP:
+def _link_share(node: Node) -> float:
+    """Share of a subtree's characters, white space aside, that stand in links."""
+    total, linked, todo = 0, 0, [(node, False)]
+    while todo:
+        x, inside = todo.pop()
+        for y in x.items:
+            if isinstance(y, str):
+                n = len("".join(y.split()))
+                total, linked = total + n, linked + n * inside
+            else:
+                todo.append((y, inside or y.tag == "a"))
+    return linked / total if total else 1.0
+
+
+def _dropped(node: Node, inside: bool = False) -> bool:
+    """Whether tag, role, class or id say that an element is not main text; articles are judged as well, main and body never.
+
+    inside: it lies in an article. There a header is the article's own, and a weak name needs a second sign; what the host
+    repeats goes as template. Headings aren't judged by name.
+    """
+    if node.tag in _DROP and not (inside and node.tag == "header"):
         return True
     if not node.attrs or node.tag in ("html", "body", "main"):
         return False
     a = _attributes(node)
-    return "hidden" in a or a.get("aria-hidden") == "true" or a.get("role") in _DROP_ROLE or a.get("itemprop") == "comment" or any(_DROP_NAME.search(a[k]) for k in ("class", "id") if k in a)
+    if "hidden" in a or a.get("aria-hidden") == "true" or a.get("role") in _DROP_ROLE or a.get("itemprop") == "comment":
+        return True
+    if node.tag in _HEADINGS:
+        return False
+    names = {x.lower() for k in ("class", "id") if k in a for x in a[k].split()}
+    return bool(names & _DROP_NAME) or bool(names & _WEAK_NAME) and (not inside or _link_share(node) > 0.5)
 
 
 def _walk(root: Node, out: dict[int, int]) -> None:
@@ -175,6 +201,7 @@ def main_text(root: Node, template: frozenset[int] | set[int] = frozenset()) ->
             blocks.append(line)
 
     def gather(node: Node) -> None:
+        inside = node.tag in ("article", "main")
         todo: list[Node | str | None] = list(reversed(node.items))  # None ends a block
         while todo:
             x = todo.pop()
@@ -184,7 +211,7 @@ def main_text(root: Node, template: frozenset[int] | set[int] = frozenset()) ->
                 buffer.append(x)
             elif x.tag == "br":
                 buffer.append(" ")
-            elif not _dropped(x) and hashes.get(id(x)) not in template:
+            elif not _dropped(x, inside) and hashes.get(id(x)) not in template:
                 if x.tag in _BLOCK:
                     flush()
                     todo.append(None)
@@ -225,7 +252,8 @@ def site_templates(pages: DataFrame, url_col: str = "url", html_col: str = "html
 def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_pages: int = MIN_PAGES, share: float = SHARE, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """(id_col, url_col, text, n_chars) of each page; the text is empty if there is none.
 
-    A null html is empty; pages without a host (or a null url) are one site. Copies of a page count once for the template. White space
+    A null html is empty; an empty table gives an empty one; a very long page is parsed in one task, in linear time; repeated rows
+    and ties need no care. Pages without a host (or a null url) are one site. Copies of a page count once for the template. White space
     in a block becomes one space, blocks are joined by a newline. Other columns take no part. Templates are broadcast if
     they are measured to be below broadcast_bytes; else each host's list is joined to its pages, where AQE splits a hot host's.
     """

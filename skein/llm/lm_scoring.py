@@ -3,7 +3,8 @@
 Counts are quantised to levels, level = 1 + floor(log_BASE(count)); a bigram of level L is put into the filter as the keys
 (bigram, 1) .. (bigram, L). A reader probes level after level until one is missing and takes the least count of the last
 level found. Every bigram of the training rows is in the filter, from level 1 on: bigrams are 64-bit hashes of both words,
-dealt to buckets, and a bucket's segment has BITS_A_KEY bits for each of its measured keys. Chunks send their bigrams to the
+dealt to buckets, and a bucket's segment has BITS_A_KEY bits for each of its measured keys. Number and content of the buckets
+follow from the rows alone, so that a score is the same in any session and however the rows are dealt. Chunks send their bigrams to the
 buckets and get levels back, so that a task holds one segment at a time. Words have their exact counts, which are summed over the
 whole corpus in hash buckets and sent back in the same way.
 
@@ -35,8 +36,8 @@ _SECOND = np.uint64(0x9E3779B97F4A7C1B)  # what the second word of a bigram coun
 ADD = 0.1
 #: Text a task holds at a time; its tokens take some thirty times as much while they are scored.
 CHUNK_BYTES = 8 << 20
-#: Text whose words and bigrams share a bucket.
-BUCKET_BYTES = 24 << 20
+#: Text whose words and bigrams share a bucket, and the least number of buckets. The rows alone settle it, and with it each filter segment.
+BUCKET_BYTES, BUCKETS = 24 << 20, 64
 
 
 def levels(counts: np.ndarray) -> np.ndarray:
@@ -101,16 +102,16 @@ def lm_score(docs: DataFrame, train: DataFrame | str = "true", id_col: str = "do
     train: a SQL predicate; rows for which it is true are learned from, all others (also where it is null) are held out. A
     null text is empty and has the one token END. Rows repeated in the table count as often as they stand there. With no
     training rows, train_tokens is 0 and both scores are those of a vocabulary of the one unknown word. Other columns take
-    no part. Learning gathers counts of all words and of all bigrams. Bigrams are dealt by their first word, those of a word
+    no part. An empty table gives an empty one; a very long text makes a chunk of
+    its own. Learning gathers counts of all words and of all bigrams. Bigrams are dealt by their first word, those of a word
     with more than a bucket's share of the tokens by both words; at most 64 words a bucket come to the driver for that.
     """
     spark = docs.sparkSession
     parts = shuffle_partitions(spark)
     rows = docs.select(F.col(f"`{id_col}`").alias("k"), F.col(f"`{text_col}`").cast("string").alias("t"), F.coalesce(F.expr(train), F.lit(False)).alias("train"))
     manifest = write_chunks(rows, "lm", CHUNK_BYTES)
-    buckets = max(parts, total_bytes(manifest) // BUCKET_BYTES)
-    tasks = max(parts, -(-buckets // 4))  # a task has as many buckets as any other
-    buckets = tasks * -(-buckets // tasks)
+    buckets = max(BUCKETS, total_bytes(manifest) // BUCKET_BYTES)
+    tasks = min(buckets, max(parts, -(-buckets // 4)))
 
     def sorted_words(uri: str):
         table, tok, counts = _tokens(uri)

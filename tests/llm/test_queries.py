@@ -9,7 +9,9 @@ from math import log10
 
 import duckdb
 import numpy as np
+import public_tokenizers
 import pytest
+import sentencepiece
 
 from skein.llm import decontaminate, queries
 from tests.llm.test_llm import TIKTOKEN, brute_components, brute_lm, words
@@ -137,4 +139,12 @@ def test_op10(spark, docs):
         r, w = got[i], tok(t)
         assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held(i), len(w), sum(c[x] > 0 for x in w), n)
         assert abs(r.base_score - sum(log10((c[x] + 0.1) / (n + 0.1 * (v + 1))) for x in w)) < 1e-6 * len(w)
-        assert abs(r.score - score[i]) < 0.02 * abs(score[i]) + 0.01  # one in 700 probes of a missing bigram finds it
+        assert abs(r.score - score[i]) < 1e-6 * len(w)
+
+
+def test_op13(spark, docs):
+    sp = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    got = {r.doc_id: tuple(r)[1:] for r in rows(spark, "op13_sentencepiece")}
+    for i, t, _ in docs:
+        ids = sp.encode(t or "", add_eos=True)
+        assert got[i] == (len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(sp.decode(ids).encode()).hexdigest())
