@@ -35,6 +35,8 @@ BYTES_A_CELL = 8
 #: Cells of a segment, which one task sums at a time.
 SEGMENT = 1 << 22
 CHUNK_BYTES = 8 << 20
+#: Chunks whose survivors one task counts.
+TOGETHER = 8
 _ROW = np.uint64(0xD6E8FEB86659FD93)
 _GROUP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -165,7 +167,9 @@ def frequent_phrases(docs: DataFrame, least: int = 30, group_col: str = "lang",
 
     sketches = map_chunks(manifest, sketch, "chunk string, bucket int, n long, cells binary, counts binary")
     answers = materialize(sketches.repartitionById(buckets, F.pmod("bucket", F.lit(buckets))).sortWithinPartitions("bucket").mapInArrow(merge, "chunk string, bucket int, large binary"), "phrases-cells")
-    tasks = max(1, min(100_000, manifest.count()))
+    chunks = manifest.count()
+    # several chunks a task, so that a phrase's counts are summed over them before they are shuffled
+    tasks = max(1, min(chunks, 2 * docs.sparkSession.sparkContext.defaultParallelism), min(100_000, -(-chunks // TOGETHER)))
     counted = answers.repartitionByRange(tasks, "chunk").sortWithinPartitions("chunk").mapInArrow(survivors, "lang string, phrase string, k int, a long")
     return counted.groupBy("lang", "phrase", "k").agg(F.sum("a").alias("a")).filter((F.col("a") >= least) & (F.col("k") > 0) | (F.col("k") == 0) & (F.col("a") > 0))
 
