@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import random
 from decimal import Decimal, localcontext
 
 import pandas as pd
@@ -43,8 +42,8 @@ def divide_decimals(operands: pd.Series) -> pd.Series:
     return operands.map(one)
 
 
-#: Metres, grams and seconds in a unit.
-UNITS = {"m": ("length", "1"), "km": ("length", "1000"), "cm": ("length", "0.01"), "mm": ("length", "0.001"), "g": ("mass", "1"), "kg": ("mass", "1000"), "mg": ("mass", "0.001"), "s": ("time", "1"), "min": ("time", "60"), "h": ("time", "3600")}
+#: Metres, grams, seconds and bytes in a unit.
+UNITS = {"B": ("size", "1"), "KiB": ("size", "1024"), "m": ("length", "1"), "km": ("length", "1000"), "cm": ("length", "0.01"), "mm": ("length", "0.001"), "g": ("mass", "1"), "kg": ("mass", "1000"), "mg": ("mass", "0.001"), "s": ("time", "1"), "min": ("time", "60"), "h": ("time", "3600")}
 
 
 def convert_units(value: Column, source: Column, target: Column) -> Column:
@@ -54,18 +53,25 @@ def convert_units(value: Column, source: Column, target: Column) -> Column:
     return F.when(F.try_element_at(kind, source) == F.try_element_at(kind, target), (value.try_cast("decimal(20,6)") * F.try_element_at(factor, source) / F.try_element_at(factor, target)).cast(EXACT))
 
 
+def draw_number(seed: int, n: Column, *counters: Column) -> Column:
+    """A number from 0 to n - 1 for a seed and counters: 60 bits of the MD5 of all of them, joined by bars, modulo n. SQL can say the same."""
+    text = F.concat_ws("|", F.lit(str(seed)), *(c.cast("string") for c in counters))
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long") % n
+
+
 def bootstrap_interval(spark: SparkSession, values: DataFrame, draws: int = 2000, seed: int = 7) -> DataFrame:
     """One row, lower and upper: the 95 % percentile interval of the mean of (group, difference) over groups drawn with replacement.
 
-    The random choice is the driver's, seeded; each draw's mean is taken in the cluster. Bounds are those at places
-    int(0.025 * (draws - 1)) and int(0.975 * (draws - 1)) of the ascending means.
+    With n groups numbered in order, place i of draw d takes group draw_number(seed, n, d, i): executors make the
+    draws from the counters alone, and the driver holds none. Bounds are those at places int(0.025 * (draws - 1)) and int(0.975 *
+    (draws - 1)) of the ascending means. A difference that is null counts in no mean. No groups are an error.
     """
     n = values.count()
     if not n:
         raise ValueError("no groups")
-    numbered = values.withColumn("i", F.row_number().over(Window.orderBy("group")) - 1)  # groups of one experiment: few
-    rng = random.Random(seed)
-    drawn = spark.createDataFrame([(d, rng.randrange(n)) for d in range(draws) for _ in range(n)], "draw int, i int")
-    means = drawn.join(F.broadcast(numbered), "i").groupBy("draw").agg(F.avg("difference").alias("mean"))
-    place = means.withColumn("k", F.row_number().over(Window.orderBy("mean")) - 1)
+    numbered = values.select((F.row_number().over(Window.orderBy("group")) - 1).cast("long").alias("i"), "difference")  # groups of one experiment: few
+    places = spark.range(draws * n).select(F.floor(F.col("id") / n).alias("draw"), (F.col("id") % n).alias("place"))
+    drawn = places.select("draw", draw_number(seed, F.lit(n), F.col("draw"), F.col("place")).alias("i"))
+    means = drawn.join(numbered, "i").groupBy("draw").agg(F.avg("difference").alias("mean"))
+    place = means.withColumn("k", F.row_number().over(Window.orderBy("mean")) - 1)  # a row a draw
     return place.agg(F.max(F.when(F.col("k") == int(0.025 * (draws - 1)), F.col("mean"))).alias("lower"), F.max(F.when(F.col("k") == int(0.975 * (draws - 1)), F.col("mean"))).alias("upper"))

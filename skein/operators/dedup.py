@@ -105,15 +105,3 @@ def non_candidates(ids: DataFrame, candidates: DataFrame, most: int = 10_000) ->
 def seeded_sample(df: DataFrame, n: int, seed: int, *keys: str) -> DataFrame:
     """n rows in the order of a hash of seed and keys."""
     return df.withColumn("_o", F.sha2(F.concat_ws("|", F.lit(str(seed)), *keys), 256)).orderBy("_o", *keys).limit(n).drop("_o")
-
-
-def review_queue(candidates: DataFrame, probes: DataFrame, n: int = 100, seed: int = 7) -> DataFrame:
-    """(kind, left, right): the first n candidates and n sampled non-candidates."""
-    first = candidates.select("left", "right").orderBy("left", "right").limit(n).select(F.lit("CANDIDATE").alias("kind"), "left", "right")
-    return first.union(seeded_sample(probes.select("left", "right"), n, seed, "left", "right").select(F.lit("PROBE").alias("kind"), "left", "right"))
-
-
-def review_receipt(queue: DataFrame, submitted: DataFrame) -> DataFrame:
-    """One row of counts; submitted(kind, left, right, decision) must answer every row of the queue, else open > 0."""
-    r = queue.join(submitted, ["kind", "left", "right"], "left")
-    return r.agg(F.count(F.lit(1)).alias("reviewed"), F.count_if(F.col("decision").isNull()).alias("open"), F.count_if((F.col("kind") == "CANDIDATE") & (F.col("decision") == "DUPLICATE")).alias("duplicates"), F.count_if((F.col("kind") == "PROBE") & (F.col("decision") == "DUPLICATE")).alias("missed_duplicates"))

@@ -40,3 +40,24 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     roots = cur.select(F.col("dst").alias("node"), F.col("dst").alias("component")).distinct()
     return cur.select(F.col("src").alias("node"), F.col("dst").alias("component")).union(roots)
+
+
+def reachable(start: DataFrame, links: DataFrame, name: str = "reached") -> DataFrame:
+    """(kind, id, step): all that start(kind, id) leads to over links(src_kind, src, dst_kind, dst), itself included at step 0.
+
+    Each round only what was new in the round before is joined with the links; what is known already is left out, so that cycles
+    end. Each round's find is written once and its plan cut there. A row is found at the least number of steps. Rounds are
+    as many as the longest of the shortest ways; a hot id of the links is split by AQE, as its side of the join is a semi-join's.
+    """
+    text = lambda df: df.select(*(F.col(c).cast("string").alias(c) for c in df.columns))
+    links = text(links.select("src_kind", "src", "dst_kind", "dst"))
+    new = materialize(text(start.select("kind", "id")).distinct().withColumn("step", F.lit(0)), name)
+    found = new
+    step = 0
+    while not new.isEmpty():
+        step += 1
+        frontier = new.select(F.col("kind").alias("src_kind"), F.col("id").alias("src"))
+        ahead = links.join(frontier, ["src_kind", "src"], "left_semi").select(F.col("dst_kind").alias("kind"), F.col("dst").alias("id")).distinct()
+        new = materialize(ahead.join(found, ["kind", "id"], "left_anti").withColumn("step", F.lit(step)), name)
+        found = found.unionByName(new)
+    return found

@@ -1,10 +1,10 @@
-"""Joins with stated semantics for duplicates and missing sides, and the closure of a revocation."""
+"""Joins with stated semantics for duplicates and missing sides, and the links that a revocation follows."""
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -45,18 +45,40 @@ def merge(existing: DataFrame, new: DataFrame, key: str) -> DataFrame:
     return new.unionByName(existing.join(new, key, "left_anti"))
 
 
-def revocation_closure(start: DataFrame, edges: list[tuple[DataFrame, str, str]]) -> DataFrame:
-    """(kind, id) reached from start(id) over a chain of link tables: (links(src, dst), kind of src, kind of dst).
+#: What becomes of a dataset, a run and a claim that a revoked source reaches.
+REVOCATION_ACTIONS = {"dataset": "INVALIDATE_DISTRIBUTION", "run": "INVALIDATE_EVIDENCE", "claim": "INVALIDATE_CLAIM"}
 
-    Each step is a semi-join and a distinct; the alternatives of an OR are steps of their own, put together by union.
+
+def lineage_links(members: DataFrame, runs: DataFrame | None = None, claims: DataFrame | None = None) -> DataFrame:
+    """links(src_kind, src, dst_kind, dst) for graph.reachable: sources to datasets and members, members to decisions, and all four to runs and claims.
+
+    members(dataset_id, source_record_ids, attempt_id or demonstration_id, quality_decision_id or eligibility_decision_id); runs
+    with run_id and claims with claim_id name any of source_record_ids, dataset_id, attempt_id and quality_decision_id. Runs
+    do not lead to claims. Missing columns and nulls are no links.
     """
-    reached, out = {edges[0][1]: start.select("id")}, []
-    for links, src, dst in edges:
-        got = links.join(reached[src].withColumnRenamed("id", "src"), "src", "left_semi").select(F.col("dst").alias("id")).distinct()
-        reached[dst] = reached[dst].union(got).distinct() if dst in reached else got
-    for kind, ids in reached.items():
-        out.append(ids.select(F.lit(kind).alias("kind"), F.col("id").cast("string").alias("id")).distinct())
-    return reduce(DataFrame.union, out)
+
+    def column(df: DataFrame, *names: str) -> Column:
+        return F.coalesce(*(F.col(n) for n in names if n in df.columns), F.lit(None))
+
+    def link(df: DataFrame, src_kind: str, src: Column, dst_kind: str, dst: Column) -> DataFrame:
+        return df.select(F.lit(src_kind).alias("src_kind"), src.cast("string").alias("src"), F.lit(dst_kind).alias("dst_kind"), dst.cast("string").alias("dst")).filter("src is not null and dst is not null")
+
+    each = members.select(F.explode("source_record_ids").alias("source"), column(members, "dataset_id").alias("dataset"), column(members, "attempt_id", "demonstration_id").alias("member"))
+    out = [link(each, "source", F.col("source"), kind, F.col(kind)) for kind in ("dataset", "member")]
+    out.append(link(members, "member", column(members, "attempt_id", "demonstration_id"), "decision", column(members, "quality_decision_id", "eligibility_decision_id")))
+    for df, kind in ((runs, "run"), (claims, "claim")):
+        if df is not None:
+            own = F.col(f"{kind}_id")
+            if "source_record_ids" in df.columns:
+                out.append(link(df.select(own, F.explode("source_record_ids").alias("source")), "source", F.col("source"), kind, own))
+            out += [link(df, src, column(df, name), kind, own) for src, name in (("dataset", "dataset_id"), ("member", "attempt_id"), ("decision", "quality_decision_id"))]
+    return reduce(DataFrame.union, out).distinct()
+
+
+def revocation_effects(reached: DataFrame) -> DataFrame:
+    """(kind, id, action) of what graph.reachable found: datasets, runs and claims, and what becomes of each."""
+    action = F.create_map(*(F.lit(x) for pair in REVOCATION_ACTIONS.items() for x in pair))
+    return reached.filter(F.col("kind").isin(*REVOCATION_ACTIONS)).select("kind", "id", action[F.col("kind")].alias("action"))
 
 
 def matched_pairs(pool: DataFrame, keys: list[str], is_target, order: str) -> DataFrame:
