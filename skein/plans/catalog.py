@@ -176,7 +176,7 @@ def sequence_integrity(spark, sf):
 
 @query("SELECT conv_id, arg_max(text, turn) AS answer FROM conversations WHERE role = 'assistant' GROUP BY conv_id")
 def last_assistant_answer(spark, sf):
-    answers = trajectory.answer(F.col("messages")).content
+    answers = trajectory.answer(trajectory.typed_messages(trajectory.parsed(F.col("messages"), False))).content
     return _histories(spark, sf).select(F.col("id").cast("long").alias("conv_id"), answers.alias("answer")).filter("answer is not null")
 
 
@@ -244,9 +244,10 @@ def semi_join_selection(spark, sf):
     c AS (SELECT DISTINCT o_custkey AS id FROM orders WHERE o_orderkey IN (SELECT id FROM o))
     SELECT 'nation' AS kind, '3' AS id UNION ALL SELECT 'supplier', id::VARCHAR FROM s UNION ALL SELECT 'order', id::VARCHAR FROM o UNION ALL SELECT 'customer', id::VARCHAR FROM c""")
 def revocation_impact(spark, sf):
-    link = lambda t, a, b: table(spark, sf, t).select(F.col(a).alias("src"), F.col(b).alias("dst"))
-    start = table(spark, sf, "nation").filter("n_nationkey = 3").select(F.col("n_nationkey").alias("id"))
-    return joins.revocation_closure(start, [(link("supplier", "s_nationkey", "s_suppkey"), "nation", "supplier"), (link("lineitem", "l_suppkey", "l_orderkey"), "supplier", "order"), (link("orders", "o_orderkey", "o_custkey"), "order", "customer")])
+    link = lambda t, sk, a, dk, b: table(spark, sf, t).select(F.lit(sk).alias("src_kind"), F.col(a).cast("string").alias("src"), F.lit(dk).alias("dst_kind"), F.col(b).cast("string").alias("dst"))
+    links = link("supplier", "nation", "s_nationkey", "supplier", "s_suppkey").union(link("lineitem", "supplier", "l_suppkey", "order", "l_orderkey")).union(link("orders", "order", "o_orderkey", "customer", "o_custkey"))
+    start = table(spark, sf, "nation").filter("n_nationkey = 3").select(F.lit("nation").alias("kind"), F.col("n_nationkey").alias("id"))
+    return graph.reachable(start, links).select("kind", "id")
 
 
 @query("SELECT o_orderkey, o_orderstatus FROM orders")
@@ -334,26 +335,14 @@ def subsequence_span(spark, sf):
     return table(spark, sf, "part").select("p_partkey", text.span_start(hay, F.array(F.lit(1), F.lit(2))).alias("start"))
 
 
-@query()
+@query("""
+    WITH v AS (SELECT row_number() OVER (ORDER BY source) - 1 AS i, avg(quality) - avg(toxic) AS d FROM """ + _LABELLED + """ WHERE quality IS NOT NULL GROUP BY source),
+    n AS (SELECT count(*) AS n FROM v), p AS (SELECT r // n AS draw, ('0x' || md5('7|' || r // n || '|' || r % n)[1:15])::BIGINT % n AS i FROM n, range(2000 * n) t(r)),
+    m AS (SELECT draw, avg(d) AS mean FROM p JOIN v USING (i) GROUP BY draw), k AS (SELECT mean, row_number() OVER (ORDER BY mean) - 1 AS k FROM m)
+    SELECT round(max(mean) FILTER (k = 49), 9) AS lower, round(max(mean) FILTER (k = 1949), 9) AS upper FROM k""")
 def bootstrap_ci(spark, sf):
     groups = _labelled(spark, sf).filter("quality is not null").groupBy(F.col("source").alias("group")).agg((F.avg("quality") - F.avg("toxic")).alias("difference"))
-    return numeric.bootstrap_interval(spark, groups)
-
-
-@query("""
-    WITH t AS (SELECT i, ['lookup', 'calculation_conversion', 'cross_document_comparison'][i % 3 + 1] AS family, ['cm', 's', 'B'][i % 3 + 1] AS unit, i % 19 + 2 AS v, lpad((i % 20)::VARCHAR, 3, '0') AS g, i < 50 AS unseen FROM range(200) r(i))
-    SELECT 'tooltask-test-' || lpad(i::VARCHAR, 3, '0') AS task_id, 'TEST' AS split, family, 'test-source-template-' || g AS group_id, family || '-template-' || i % 5 AS template_family_id,
-           CASE WHEN unseen THEN 3 WHEN family = 'lookup' THEN 1 ELSE 2 END AS dependency_depth,
-           CASE WHEN unseen THEN 'search_documents,read_document,calculate,convert' WHEN family = 'lookup' THEN 'read_document,calculate' WHEN family = 'calculation_conversion' THEN 'read_document,convert' ELSE 'search_documents,read_document,calculate' END AS tools,
-           unseen AS unseen_combination, i % 7 = 0 AS recovery_condition,
-           CASE WHEN family = 'lookup' THEN 'Read document-' || g || ' and return its recorded value with a document citation.' ELSE 'Read the visible document(s), calculate the requested adjusted value, and cite every visible document.' END AS instruction,
-           'document-' || g || CASE WHEN family = 'cross_document_comparison' THEN ',companion-' || g ELSE '' END AS documents,
-           CASE family WHEN 'lookup' THEN 'Recorded reading: ' || v || ' ' || unit || '.' WHEN 'calculation_conversion' THEN 'Base reading: ' || (v - 1) || ' ' || unit || '. Add one ' || unit || '.' ELSE 'Candidate reading: ' || (v - 1) || ' ' || unit || '.|Adjustment: add 1 ' || unit || '.' END AS texts,
-           v::VARCHAR AS expected_value, unit AS expected_unit FROM t""")
-def generated_suite(spark, sf):
-    t = generators.tool_suite(spark, "TEST", unseen=50)
-    texts = F.array_join(F.transform("documents", lambda d: d.content), "|")
-    return t.withColumns({"tools": F.array_join("tool_signature", ","), "texts": texts, "documents": F.array_join("document_ids", ",")}).drop("tool_signature", "document_ids")
+    return numeric.bootstrap_interval(spark, groups).select(F.round("lower", 9).alias("lower"), F.round("upper", 9).alias("upper"))
 
 
 @query("SELECT p_partkey FROM part ORDER BY sha256('7|' || p_partkey), p_partkey LIMIT 100")
@@ -425,4 +414,4 @@ def orphan_tool_results(spark, sf):
     return trajectory.orphan_links(e).select("event_id")
 
 
-from skein.plans import governance  # noqa: E402, F401  (registers its queries)
+from skein.plans import governance, lineage  # noqa: E402, F401  (they register their queries)

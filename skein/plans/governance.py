@@ -228,11 +228,6 @@ def sft_export(spark, sf):
     return view.select("demonstration_id", F.size("input_ids").cast("long").alias("tokens"), F.size(F.filter("loss_mask", lambda x: x)).cast("long").alias("loss"), F.col("control_token_count").alias("controls"), F.size("targets").cast("long").alias("messages"))
 
 
-@query("SELECT 32::BIGINT AS steps, 31::BIGINT AS dependencies, 1::BIGINT AS rewrites, 1::BIGINT AS truncations, 32::BIGINT AS final_value UNION ALL SELECT 128, 127, 1, 1, 128")
-def long_horizon(spark, sf):
-    return trajectory.long_horizon(spark, 32, 16, 8).union(trajectory.long_horizon(spark, 128, 64, 32))
-
-
 _PILOT = """
     (WITH f AS (SELECT 'd' || lpad(n_nationkey::VARCHAR, 2, '0') AS document_id, n_regionkey AS g, row_number() OVER (ORDER BY n_nationkey) - 1 AS f FROM nation),
     t AS (SELECT i, CASE WHEN i < 34 THEN 'lookup' WHEN i < 67 THEN 'calculation_conversion' ELSE 'cross_document_comparison' END AS family, CASE WHEN i < 34 THEN i WHEN i < 67 THEN i - 34 ELSE i - 67 END AS n FROM range(100) r(i))
@@ -255,11 +250,6 @@ def fixed_attempts(spark, sf):
     return generators.fixed_attempts(_pilot(spark, sf)).select("task_id", "attempt_id")
 
 
-@query("SELECT 'FAMILY:cross_document_comparison' AS fault UNION ALL SELECT 'TOO_FEW_UNSEEN'")
-def suite_faults(spark, sf):
-    return generators.suite_faults(generators.tool_suite(spark, "TEST", unseen=49), 67, 50)
-
-
 @query("SELECT count(DISTINCT s_suppkey) AS unique_demonstrations, count(DISTINCT s_nationkey) AS source_records FROM supplier")
 def release_diversity(spark, sf):
     return reports.diversity(table(spark, sf, "supplier").select(_s().alias("demonstration_id"), F.array("s_nationkey").alias("source_record_ids")))
@@ -379,13 +369,3 @@ def attribution_verdicts(spark, sf):
 def repair_decisions(spark, sf):
     s = table(spark, sf, "supplier").select(_s().cast("string").alias("subject_id"), F.concat(F.lit("e-"), _s()).alias("decision_id"), F.concat(F.lit("r-"), _s()).alias("replacement_subject_id"))
     return decisions.repair_decisions(s.select("subject_id", "decision_id"), s.select("subject_id", "replacement_subject_id"), "p1").select("subject_id", "parent_decision_id", "action", "decision_id")
-
-
-@query("""
-    WITH c AS (SELECT p_partkey AS k FROM part WHERE p_partkey <= 40), q AS (SELECT 'CANDIDATE' AS kind, a.k AS "left", b.k AS "right" FROM c a JOIN c b ON a.k < b.k AND a.k % 10 = b.k % 10 ORDER BY 2, 3 LIMIT 20),
-    p AS (SELECT 'PROBE' AS kind, a.k AS "left", b.k AS "right" FROM c a JOIN c b ON a.k < b.k AND a.k % 10 <> b.k % 10 ORDER BY sha256('7|' || a.k || '|' || b.k), 2, 3 LIMIT 20)
-    SELECT * FROM q UNION ALL SELECT * FROM p""")
-def review_queue(spark, sf):
-    c = table(spark, sf, "part").filter("p_partkey <= 40").select(F.col("p_partkey").alias("k"))  # a review's tasks are few
-    near = c.toDF("left").join(c.toDF("right"), (F.col("left") % 10 == F.col("right") % 10) & (F.col("left") < F.col("right")))
-    return dedup.review_queue(near, dedup.non_candidates(c, near), 20)

@@ -28,6 +28,10 @@ def key_hash(key: str) -> Column:
     return F.sha2(F.col(f"`{key}`").cast("string"), 256)
 
 
+def _bucket(hashed: Column, digits: int) -> Column:
+    return F.concat(F.lit("b"), F.substring(hashed, 1, digits))
+
+
 def _chained(name: str, digest: str) -> Column:
     """The hash of a group's digests, each with its name, in the order of the names."""
     pairs = F.array_sort(F.collect_list(F.struct(F.col(name).alias("n"), F.col(digest).alias("d"))))
@@ -90,9 +94,9 @@ def commit(rows: DataFrame, destination: str, key: str, identity: dict | None =
     wanted = digits
     while wanted < GROUP and (total + new.count()) / 16**wanted > bucket_rows:
         wanted += 1
-    bucket = F.substring(key_hash(key), 1, wanted) if wanted else F.lit("")
+    bucket = _bucket(key_hash(key), wanted)
     if known:
-        touched = new.select((F.substring(key_hash(key), 1, digits) if digits else F.lit("")).alias("bucket")).distinct()
+        touched = new.select(_bucket(key_hash(key), digits).alias("bucket")).distinct()
         old = materialize(read_build(spark, destination, None if wanted > digits else touched), "merkle-old")
         if not merge_conflicts(old, new, key).isEmpty():
             raise ValueError("rows of a committed build have changed")
@@ -104,7 +108,7 @@ def commit(rows: DataFrame, destination: str, key: str, identity: dict | None =
         changed = new
     folder = uuid.uuid4().hex
     changed = changed.withColumn("bucket", bucket)
-    grouped = materialize(group_digests(changed, key), "merkle-groups").withColumns({"bucket": F.substring("grp", 1, wanted) if wanted else F.lit(""), "folder": F.lit(folder)})
+    grouped = materialize(group_digests(changed, key), "merkle-groups").withColumns({"bucket": _bucket(F.col("grp"), wanted), "folder": F.lit(folder)})
     manifest = grouped.select("bucket", "folder", "grp", "digest", "rows")
     if known and wanted == digits:
         kept = _manifest(spark, destination, known)

@@ -8,14 +8,14 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skein.sources.json_arrays import BLOCK, json_items
 from skein.storage import make_dir, open_fs
 
 
-def envelope(spark: SparkSession, path: str, field: str, schema: str) -> DataFrame:
-    """Rows of {field: [rows]}; items that are no objects are left out."""
-    raw = spark.read.schema(f"`{field}` array<variant>").option("multiLine", True).json(path)
-    items = raw.select(F.explode(field).alias("v")).select(F.to_json("v").alias("j")).filter("j like '{%'")
-    return items.select(F.from_json("j", schema).alias("r")).select("r.*")
+def envelope(spark: SparkSession, path: str, field: str, schema: str, block: int = BLOCK) -> DataFrame:
+    """Rows of {field: [rows]} with `offset`, where each stands; items that are no objects are left out. A file is read by many tasks, a folder with all below it."""
+    items = json_items(spark, path, field, block).filter("item like '{%'")
+    return items.select("path", "offset", F.from_json("item", schema).alias("r")).select("path", "offset", "r.*")
 
 
 def histories(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
@@ -94,8 +94,12 @@ def build_input(spark: SparkSession, path: str) -> dict:
     if not isinstance(raw.get("rule_version"), str) or not raw["rule_version"]:
         raise ValueError("rule_version is required")
     every = sorted({p for ps in files.values() for p in ps})
-    found = spark.read.format("binaryFile").load(every).select("path", F.sha2("content", 256).alias("sha256")).collect()  # a manifest's files
-    hashes = {p: r["sha256"] for p in every for r in found if r["path"].endswith(p.removeprefix("./"))}
+    listed = F.array(*(F.struct(F.lit(p).alias("p"), F.lit(p.removeprefix("./")).alias("end")) for p in every))
+    at = F.filter(listed, lambda x: F.col("path").endswith(x.end) | F.col("path").contains(F.concat(x.end, F.lit("/"))))
+    files_of = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(every).select(F.explode(at).alias("x"), F.sha2("content", 256).alias("h"))
+    one = F.array_sort(F.collect_list("h"))  # a file's own hash, or that of a folder's files
+    found = files_of.groupBy("x.p").agg(F.when(F.size(one) == 1, F.get(one, F.lit(0))).otherwise(F.sha2(F.array_join(one, "\n"), 256)).alias("sha256")).collect()  # a row a file of the manifest
+    hashes = {r["p"]: r["sha256"] for r in found}
     if len(hashes) != len(every):
         raise ValueError("a file of the manifest is missing")
     return {"kind": kind, "files": files, "rule_version": raw["rule_version"], "hashes": {p.removeprefix(f"{root}/"): h for p, h in hashes.items()}}
@@ -103,7 +107,11 @@ def build_input(spark: SparkSession, path: str) -> dict:
 
 def streams(spark: SparkSession, paths: list[str], field: str, schema: str) -> DataFrame:
     """Rows of many envelopes, with their place in the order of files and rows."""
-    parts = [envelope(spark, p, field, schema).withColumn("position", F.monotonically_increasing_id() + F.lit(n << 40)) for n, p in enumerate(paths)]
+    parts = []
+    for n, p in enumerate(paths):
+        rows = envelope(spark, p, field, schema)
+        file = F.pmod(F.xxhash64("path"), F.lit(1 << 12))  # of a folder's files, whose order says nothing
+        parts.append(rows.withColumn("position", F.lit(n).cast("long") * (1 << 52) + file * (1 << 40) + F.col("offset")).drop("path", "offset"))
     return reduce(DataFrame.unionByName, parts)
 
 

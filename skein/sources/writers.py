@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from skein.functions.identity import canonical_json, sharded_digest, table_digest
 from skein.operators.decisions import publication_violations
-from skein.operators.joins import duplicated, merge, merge_conflicts
+from skein.operators.joins import duplicated, merge, merge_conflicts, set_differences
 from skein.operators.reports import diversity, quality_report
+from skein.sources.json_arrays import write_json_arrays
 
 _REF = "struct<uri: string, sha256: string, byte_size: bigint, media_type: string>"
 #: The record kinds that are exported as schemas.
@@ -177,17 +178,35 @@ def lineage_index(members: DataFrame) -> dict[str, DataFrame]:
     return {"source_records": sources, "attempts": attempts, "quality_decisions": members.select("quality_decision_id", "attempt_id")}
 
 
-def write_bundle(spark: SparkSession, path: str, tables: dict[str, DataFrame], receipts: dict[str, dict] | None = None) -> dict[str, str]:
-    """Tables as Parquet and receipts as JSON in a new folder, renamed into place at the end; returns their paths."""
+def write_bundle(spark: SparkSession, path: str, tables: dict[str, DataFrame], receipts: dict[str, dict] | None = None, envelopes: tuple[str, ...] = ()) -> dict[str, str]:
+    """Tables as Parquet (those in envelopes as folders of JSON as well) and receipts as JSON in a new folder, renamed into place at the end; returns their paths.
+
+    A folder that is there already is left alone if a retry would write the same rows and receipts, and an error otherwise.
+    """
+    paths = {n: f"{path}/{n}.parquet" for n in tables} | {n: f"{path}/{n}.json" for n in receipts or {}}
     if exists(spark, path):
-        raise ValueError(f"{path} exists")
+        for name, df in tables.items():
+            old = spark.read.schema(df.schema).parquet(paths[name]) if exists(spark, paths[name]) else None
+            if old is None or spark.read.parquet(paths[name]).columns != df.columns or not set_differences(old.select(_row(old)), df.select(_row(df))).isEmpty():
+                raise ValueError(f"{path} exists with another {name}")
+        for name, value in (receipts or {}).items():
+            if not exists(spark, paths[name]) or get_json(spark, paths[name]) != json.loads(json.dumps(value)):
+                raise ValueError(f"{path} exists with another {name}")
+        return paths
     staging = f"{path}-{uuid.uuid4().hex}-staging"
     for name, df in tables.items():
         df.write.parquet(f"{staging}/{name}.parquet")
+        if name in envelopes:
+            write_json_arrays(df, f"{staging}/{name}.envelope.json", name)
     for name, value in (receipts or {}).items():
         put_json(spark, f"{staging}/{name}.json", value)
     rename(spark, staging, path)
-    return {n: f"{path}/{n}.parquet" for n in tables} | {n: f"{path}/{n}.json" for n in receipts or {}}
+    return paths
+
+
+def _row(df: DataFrame) -> Column:
+    """A row's hash, in which nests of any kind can be compared."""
+    return F.sha2(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}), 256).alias("row")
 
 
 def dedup_evidence(candidates: DataFrame, representatives: DataFrame, path: str) -> dict:
