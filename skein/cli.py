@@ -11,15 +11,16 @@ import json
 import sys
 import uuid
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skein.functions.identity import sharded_digest
-from skein.operators import evaluation, joins, reports, sft, splits, trajectory
+from skein.operators import audit, evaluation, graph, joins, reports, sft, splits, trajectory
 from skein.plans import builds, experiments
-from skein.sources import generators, readers, writers
+from skein.sources import generators, json_arrays, readers, writers
 
 OK, INPUT_ERROR, DEPENDENCY_ERROR, GATE_FAILED = 0, 2, 3, 8
 Done = tuple[list[str], dict[str, int]]
@@ -52,18 +53,15 @@ def _table(spark: SparkSession, path: str, schema: str | None = None) -> DataFra
 
 @verb("source audit", "manifest")
 def source_audit(spark, o):
-    """manifest: {"sources": [{"source_id", "path", "required_upstream_fields"}]}; network states are not asked for."""
-    parts = []
-    for s in readers.load_config(o.manifest)["sources"]:
-        df = _table(spark, s["path"])
-        row = reports.profile(df, s.get("required_upstream_fields", [])).withColumn("source_id", F.lit(s["source_id"])).withColumn("status", F.lit("AUDITED_LOCAL"))
-        tools = reports.tool_names("target_tools", df) if "target_tools" in df.columns else None
-        names = sorted(r[0] for r in tools.collect()) if tools is not None else []  # of a sample of 1000 rows
-        parts.append(row.withColumn("actual_tool_scope", F.array(*map(F.lit, names)).cast("array<string>")))
-    report = parts[0]
-    for p in parts[1:]:
-        report = report.union(p)
-    return list(writers.write_bundle(spark, f"{o.output_dir}/source_report", {"sources": report}).values()), {"sources": len(parts)}
+    """manifest: {"sources": [declarations]}, paths below the manifest's folder or absolute; --frozen names the table of frozen documents."""
+    given = readers.load_config(o.manifest).get("sources")
+    if not isinstance(given, list) or not all(isinstance(s, dict) for s in given):
+        raise ValueError("the manifest needs a list of declarations")
+    declared = spark.createDataFrame([], audit.DECLARED)
+    declared = spark.createDataFrame([tuple(s.get(c) for c in declared.columns) for s in given], audit.DECLARED)
+    report = audit.report(spark, declared, _table(spark, o.frozen) if o.frozen else None)
+    paths = writers.write_bundle(spark, f"{o.output_dir}/source_report", {"sources": report}, {"manifest": {"manifest_sha256": audit.manifest_hash(declared)}}, ("sources",))
+    return list(paths.values()), {"sources": len(given)}
 
 
 @verb("source freeze", "source")
@@ -75,15 +73,20 @@ def source_freeze(spark, o):
 
 @verb("source revoke", "source_record_id", "dataset")
 def source_revoke(spark, o):
-    """dataset: a release's folder, whose lineage says what the source reaches."""
-    start = spark.createDataFrame([(o.source_record_id,)], "id string")
-    members = spark.read.parquet(f"{o.dataset}/membership.parquet")
-    key = "demonstration_id" if "demonstration_id" in members.columns else "attempt_id"
-    links = members.select(F.explode("source_record_ids").alias("src"), F.col(key).alias("dst"))
-    decided = members.select(F.col(key).alias("src"), F.col("eligibility_decision_id" if key == "demonstration_id" else "quality_decision_id").alias("dst"))
-    closure = joins.revocation_closure(start, [(links, "source", "member"), (decided, "member", "decision")])
-    entry = writers.revocation_entry(o.source_record_id, closure, o.output_dir)
-    return [entry], {"affected": spark.read.parquet(entry).count() - 1}
+    """dataset: a release's folder, or the folder of many; --runs and --claims: JSON records that name sources, datasets, attempts or decisions."""
+    roots = [o.dataset] if writers.exists(spark, f"{o.dataset}/membership.parquet") else writers.folders(spark, o.dataset)
+    parts = [spark.read.parquet(f"{r}/membership.parquet").withColumn("dataset_id", F.lit(r.rstrip("/").rsplit("/", 1)[-1])) for r in roots if writers.exists(spark, f"{r}/membership.parquet")]
+    if not parts:
+        raise ValueError("there is no release")
+    wide = lambda df: df.select("source_record_ids", "dataset_id", *(F.col(c).cast("string").alias(n) if c else F.lit(None).cast("string").alias(n) for n, names in (("attempt_id", ("attempt_id", "demonstration_id")), ("quality_decision_id", ("quality_decision_id", "eligibility_decision_id"))) for c in [next((x for x in names if x in df.columns), None)]))
+    members = reduce(DataFrame.unionByName, map(wide, parts))
+    records = lambda path, key: json_arrays.json_records(spark, path, f"{key} string, source_record_ids array<string>, dataset_id string, attempt_id string, quality_decision_id string") if path else None
+    links = joins.lineage_links(members, records(o.runs, "run_id"), records(o.claims, "claim_id"))
+    reached = graph.reachable(spark.createDataFrame([("source", o.source_record_id)], "kind string, id string"), links)
+    entry = writers.revocation_entry(o.source_record_id, reached.filter("step > 0").select("kind", "id"), o.output_dir)
+    made = spark.read.parquet(entry)
+    counts = {f"{k}s": made.filter(F.col("kind") == k).count() for k in joins.REVOCATION_ACTIONS}
+    return [entry], {"affected": made.count()} | counts
 
 
 @verb("task build", "config")
@@ -102,8 +105,8 @@ def task_build(spark, o):
 def trajectory_import(spark, o):
     if o.adapter != "toucan":
         raise ValueError("the adapter is toucan")
-    schema = f"id string, uuid string, messages array<{trajectory.MESSAGE[:-1]}>>, tools string"
-    counts = builds.import_bundle(_table(spark, o.source, None if o.source.endswith(".parquet") else schema), f"{o.output_dir}/import", "toucan-import")
+    rows = spark.read.parquet(o.source) if o.source.rstrip("/").endswith(".parquet") else trajectory.histories_of(json_arrays.json_items(spark, o.source))
+    counts = builds.import_bundle(rows, f"{o.output_dir}/import", "toucan-import")
     return [f"{o.output_dir}/import"], counts
 
 
@@ -206,46 +209,50 @@ def evaluate_run(spark, o):
 
 @verb("feedback build", "evaluation", "pool", "external_evaluation", "external_config", "policy")
 def feedback_build(spark, o):
-    faults = experiments.development_receipt_faults(readers.load_config(o.external_evaluation), readers.load_config(o.external_config))
-    if faults or readers.load_config(o.policy).get("policy_version") != "feedback-v1":
-        raise ValueError("; ".join(faults) or "the policy must be feedback-v1")
+    receipt, config = readers.load_config(o.external_evaluation), readers.load_config(o.external_config)
+    if receipt.get("split") != "DEVELOPMENT" or receipt.get("terminal_status") != "COMPLETED":
+        raise ValueError("feedback takes a completed evaluation of the development split")
+    asked = [(c, i) for c, ids in (config.get("development_subset") or {}).items() for i in ids]
+    seen = [(c, i) for c, r in (receipt.get("categories") or {}).items() for i in r.get("selected_ids", [])]
+    pairs = lambda rows: spark.createDataFrame(rows, "category string, id string")
+    if not asked or not joins.set_differences(pairs(asked), pairs(seen)).isEmpty():
+        raise ValueError("the evaluation is not of the frozen subset")
+    if readers.load_config(o.policy).get("policy_version") != "feedback-v1":
+        raise ValueError("the policy must be feedback-v1")
     made = builds.feedback(_table(spark, o.evaluation), _table(spark, o.pool))
     writers.put_json(spark, f"{o.output_dir}/recipe_drafts.json", made)
     return [f"{o.output_dir}/recipe_drafts.json"], {"actions": len(made["actions"]), "pairs": len(made["pairs"])}
 
 
-@verb("reward rescore", "evidence")
+@verb("reward rescore", "evidence", "policy")
 def reward_rescore(spark, o):
-    from skein.operators import decisions
-
-    rows = _table(spark, o.evidence)
-    status, outcome = F.col("verification_status"), F.col("outcome")
-    known = rows.withColumn("terminal_class", decisions.terminal_class(F.col("end_reason"), status, outcome)).withColumn("new_reward", decisions.reward(status, outcome))
+    known = reports.rescored(_table(spark, o.evidence), readers.load_config(o.policy))
     lacking = sorted(r[0] for r in reports.rescore_coverage(known).select("terminal_class").collect())
-    if lacking:
-        raise ValueError(f"too few records of {', '.join(lacking)}")
+    if lacking or not known.filter("terminal_class is null").isEmpty():
+        raise ValueError(f"too few records of {', '.join(lacking)}" if lacking else "a record has no terminal state")
     paths = writers.write_bundle(spark, f"{o.output_dir}/rescored", {"records": known, "counts": reports.rescore(known)})
     return list(paths.values()), {"records": spark.read.parquet(paths["records"]).count()}
 
 
-@verb("experiment preregister", "config", "calibration")
+@verb("experiment preregister")
 def experiment_preregister(spark, o):
-    plan = experiments.preregister(readers.load_config(o.config), readers.load_config(o.calibration))
-    writers.put_json(spark, f"{o.output_dir}/experiment_plan.json", plan)
-    return [f"{o.output_dir}/experiment_plan.json"], {"training_runs": 6, "minimum_connected_groups": 20, "paired_bootstrap_resamples": 10000}
+    raise ValueError("a plan's registration holds no table and is no part of this engine")
 
 
-@verb("experiment freeze", "plan", "config", "calibration", "sft_view", "membership", "recipe_drafts", "price_quote")
+@verb("experiment freeze", "views", "membership")
 def experiment_freeze(spark, o):
-    load = readers.load_config
-    experiments.freeze(load(o.plan), load(o.config)["views"], _table(spark, o.sft_view), _table(spark, o.membership), load(o.recipe_drafts), load(o.price_quote), load(o.calibration), f"{o.output_dir}/frozen")
-    return [f"{o.output_dir}/frozen"], {"views": 2}
+    """views: a table (recipe, demonstration_id); what keeps them from being frozen is written, and ends the command."""
+    found = experiments.view_violations(_table(spark, o.views), _table(spark, o.membership))
+    paths = writers.write_bundle(spark, f"{o.output_dir}/violations", {"violations": found})
+    n = spark.read.parquet(paths["violations"]).count()
+    if n:
+        raise GateFailed(f"{n} violations in {paths['violations']}")
+    return list(paths.values()), {"violations": 0}
 
 
-@verb("experiment run", "plan", "recipe", "seed")
+@verb("experiment run")
 def experiment_run(spark, o):
-    experiments.run_request(readers.load_config(o.plan), o.recipe, int(o.seed))
-    raise ValueError("the run is registered, but training is no part of this engine")
+    raise ValueError("training is no part of this engine")
 
 
 @verb("experiment calibrate", "config")
@@ -258,13 +265,9 @@ def experiment_calibrate(spark, o):
     return [f"{o.output_dir}/manifest.json"], {"recipe_runs": len(c["seconds"])}
 
 
-@verb("compatibility check", "mode")
+@verb("compatibility check")
 def compatibility_check(spark, o):
-    if o.mode != "long-horizon":
-        raise ValueError("only the fixed long-horizon cases need no model")
-    rows = trajectory.long_horizon(spark, 32, 16, 8).union(trajectory.long_horizon(spark, 128, 64, 32))
-    paths = writers.write_bundle(spark, f"{o.output_dir}/long_horizon", {"cases": rows})
-    return list(paths.values()), {"cases": 2}
+    raise ValueError("compatibility of models and hosts is no part of this engine")
 
 
 @verb("environment check")
@@ -277,7 +280,7 @@ def trajectory_replay(spark, o):
     raise ValueError("replay stays closed until a verified environment is given")
 
 
-OPTIONS = sorted({n for _, needs in VERBS.values() for n in needs} | {"output_dir", "resume", "config", "backend", "profile", "test_unlock"})
+OPTIONS = sorted({n for _, needs in VERBS.values() for n in needs} | {"output_dir", "resume", "config", "backend", "profile", "test_unlock", "frozen", "runs", "claims"})
 
 
 def parser() -> argparse.ArgumentParser:

@@ -35,6 +35,16 @@ def candidate_pool(members: DataFrame, version: str) -> DataFrame:
     )
 
 
+#: What an action must not bring in.
+INGRESS = ("PROJECT_SAMPLING", "MODEL_GENERATION", "MODEL_EVALUATION")
+
+
+def development_only(evaluation: DataFrame, findings: DataFrame) -> DataFrame:
+    """Rows of evaluation(split) and findings(evaluation_split) that are of another split than DEVELOPMENT, or of none: feedback takes none of these."""
+    other = lambda df, c, name: df.select(F.lit(name).alias("source"), F.col(c).cast("string").alias("split")).filter("split is null or split <> 'DEVELOPMENT'")
+    return other(evaluation, "split", "evaluation").union(other(findings, "evaluation_split", "findings"))
+
+
 def data_actions(findings: DataFrame, pool: DataFrame) -> DataFrame:
     """One action a finding, on the single version of the pool; a pool of several versions, or none, is an error."""
     versions = [r[0] for r in pool.select("candidate_pool_version").distinct().limit(2).collect()]
@@ -47,6 +57,8 @@ def data_actions(findings: DataFrame, pool: DataFrame) -> DataFrame:
         F.lit("RESELECT_SAME_POOL").alias("action"),
         F.struct(F.col("family").alias("task_family"), F.col("category").alias("failure_type")).alias("target_slice"),
         F.lit("ACTIONED").alias("status"),
+        F.lit(None).cast("string").alias("retest_ref"),
+        F.array(*map(F.lit, INGRESS)).alias("prohibited_ingress"),
     )
 
 

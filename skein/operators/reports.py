@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from skein.operators.decisions import terminal_class
 from skein.storage import materialize
 
 
@@ -49,6 +50,24 @@ def evaluation_metrics(records: DataFrame) -> DataFrame:
     return records.agg(n.alias("tasks"), (F.count_if(ok) / n).alias("task_success_at_1"), (F.count_if(eff) / n).alias("effective_coverage"), F.try_divide(F.count_if(ok & eff), F.count_if(eff)).alias("conditional_success"), share(ok, F.col("recovery_condition")).alias("recovery_success"), share(ok, F.col("unseen_combination")).alias("unseen_success"), F.sum("model_calls").alias("model_calls"), F.sum("completion_tokens").alias("completion_tokens"), F.sum("provider_cost_cny").alias("provider_cost_cny"))
 
 
+def rescored(evidence: DataFrame, policy: dict) -> DataFrame:
+    """evidence(attempt_id, task_id, end_reason, verification_status, outcome, total_reward, and reward_policy_version if it has one) under another terminal policy.
+
+    policy: policy_version, pass_reward and fail_reward; a policy that gives unknown results a reward, or rewards steps, is an error. What is
+    truncated or unknown has no reward. Columns: terminal_class, availability, new_reward, reward_policy_version, reward_scope,
+    source_policy_version, and the evidence's own.
+    """
+    version, good, bad = (policy.get(k) for k in ("policy_version", "pass_reward", "fail_reward"))
+    if not isinstance(version, str) or not version or any(isinstance(x, bool) or not isinstance(x, (int, float)) for x in (good, bad)):
+        raise ValueError("a reward policy has a version and the rewards of a pass and a fail")
+    if policy.get("unknown_reward") is not None or policy.get("dense_reward") not in (None, False):
+        raise ValueError("a terminal policy leaves what is unknown unknown, and rewards no steps")
+    rows = evidence.withColumn("terminal_class", terminal_class(F.col("end_reason"), F.col("verification_status"), F.col("outcome")))
+    new = F.when(F.col("terminal_class") == "success", float(good)).when(F.col("terminal_class") == "known_zero", float(bad))
+    source = F.col("reward_policy_version") if "reward_policy_version" in evidence.columns else F.lit(None).cast("string")
+    return rows.withColumn("source_policy_version", source).withColumns({"new_reward": new, "availability": F.when(new.isNotNull(), "KNOWN").otherwise("UNKNOWN"), "reward_policy_version": F.lit(version), "reward_scope": F.lit("TERMINAL")})
+
+
 def rescore(records: DataFrame, least: int | None = None) -> DataFrame:
     """Per terminal class: rows, and how many kept their reward (null equals null); classes below `least` rows are left out."""
     kept = F.col("new_reward").eqNullSafe(F.col("total_reward"))
@@ -106,7 +125,7 @@ SENSITIVE, FREE_TEXT = ("email", "phone", "password", "token", "address", "user_
 def profile(df: DataFrame, required: list[str]) -> DataFrame:
     """One row: record_count, required_field_status and sensitive_check_status, by column names; only the count reads the table."""
     names = set(df.columns)
-    fields = None if not required else "AVAILABLE" if set(required) <= names else "MISSING"
+    fields = "NOT_DECLARED" if not required else "AVAILABLE" if set(required) <= names else "MISSING"
     sensitive = "SENSITIVE_FIELD_NAMES_PRESENT" if names & set(SENSITIVE) else "POTENTIAL_FREE_TEXT_REVIEW_REQUIRED" if names & set(FREE_TEXT) else "NO_DECLARED_SENSITIVE_FIELD_NAMES"
     return df.agg(F.count(F.lit(1)).alias("record_count"), F.lit(fields).cast("string").alias("required_field_status"), F.lit(sensitive).alias("sensitive_check_status"))
 

@@ -350,7 +350,7 @@ def topk_review_queue(spark, sf):
     return dedup.seeded_sample(table(spark, sf, "part").select("p_partkey"), 100, 7, "p_partkey").select("p_partkey")
 
 
-@query("SELECT 'orders' AS name, count(*) AS record_count, 'AVAILABLE' AS required_field_status, 'NO_DECLARED_SENSITIVE_FIELD_NAMES' AS sensitive_check_status FROM orders UNION ALL SELECT 'events', count(*), 'MISSING', 'SENSITIVE_FIELD_NAMES_PRESENT' FROM events UNION ALL SELECT 'documents', count(*), NULL, 'NO_DECLARED_SENSITIVE_FIELD_NAMES' FROM documents")
+@query("SELECT 'orders' AS name, count(*) AS record_count, 'AVAILABLE' AS required_field_status, 'NO_DECLARED_SENSITIVE_FIELD_NAMES' AS sensitive_check_status FROM orders UNION ALL SELECT 'events', count(*), 'MISSING', 'SENSITIVE_FIELD_NAMES_PRESENT' FROM events UNION ALL SELECT 'documents', count(*), 'NOT_DECLARED', 'NO_DECLARED_SENSITIVE_FIELD_NAMES' FROM documents")
 def source_audit_profile(spark, sf):
     ask = {"orders": ["o_orderkey"], "events": ["event_id", "no_such"], "documents": []}
     rows = [reports.profile(table(spark, sf, t), need).withColumn("name", F.lit(t)) for t, need in ask.items()]

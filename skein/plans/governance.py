@@ -188,11 +188,11 @@ def call_association(spark, sf):
     return done.select("record_id", "reason", F.size(F.filter("events", lambda e: e.event_type == "TOOL_CALL")).cast("long").alias("calls"))
 
 
-@query("SELECT 'action-finding-' || event_type AS action_id, 'finding-' || event_type AS finding_id, 'v1' AS candidate_pool_version, 'RESELECT_SAME_POOL' AS action, event_type AS task_family, 'CONSTRAINT_FAILURE' AS failure_type, 'ACTIONED' AS status FROM events GROUP BY event_type")
+@query("SELECT 'action-finding-' || event_type AS action_id, 'finding-' || event_type AS finding_id, 'v1' AS candidate_pool_version, 'RESELECT_SAME_POOL' AS action, event_type AS task_family, 'CONSTRAINT_FAILURE' AS failure_type, 'ACTIONED' AS status, NULL::VARCHAR AS retest_ref, 'PROJECT_SAMPLING,MODEL_GENERATION,MODEL_EVALUATION' AS prohibited_ingress FROM events GROUP BY event_type")
 def data_actions(spark, sf):
     found = table(spark, sf, "events").select(F.col("event_type").alias("family")).distinct().select("family", F.concat(F.lit("finding-"), "family").alias("finding_id"), F.lit("CONSTRAINT_FAILURE").alias("category"))
     pool = table(spark, sf, "supplier").select(F.lit("v1").alias("candidate_pool_version"))
-    return recipes.data_actions(found, pool).select("*", "target_slice.*").drop("target_slice")
+    return recipes.data_actions(found, pool).select("*", "target_slice.*").drop("target_slice").withColumn("prohibited_ingress", F.array_join("prohibited_ingress", ","))
 
 
 def _view(spark, sf):

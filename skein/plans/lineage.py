@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from skein.operators import graph, joins, reports, review, trajectory
+from skein.operators import audit, graph, joins, reports, review, trajectory
+from skein.plans import experiments
 from skein.plans.registry import query
 from skein.session import table
 from skein.sources import json_arrays, merkle
@@ -131,8 +133,6 @@ def _packet(spark, sf):
     """Orders as tasks; candidates are a customer's orders of one status, each with the next."""
     o = table(spark, sf, "orders")
     tasks = o.select(F.col("o_orderkey").alias("task_id"), F.col("o_orderpriority").alias("task_family"), F.col("o_custkey").alias("input_value"), F.round(F.col("o_totalprice")).cast("long").alias("value"))
-    from pyspark.sql import Window
-
     after = F.lead("o_orderkey").over(Window.partitionBy("o_custkey", "o_orderstatus").orderBy("o_orderkey"))
     return review.packet(tasks, o.select(F.col("o_orderkey").alias("left"), after.alias("right")).filter("right is not null"))
 
@@ -166,3 +166,48 @@ def tool_names(spark, sf):
         .otherwise(F.concat(F.lit('{"a":"[{\\"name\\":\\"t-'), b, F.lit('\\"}]"}')))
     )
     return reports.tool_names("tools", table(spark, sf, "part").select(text.alias("tools")), None)
+
+
+@query("""
+    WITH s AS (SELECT s_suppkey AS k, 's-' || s_suppkey AS source_id, s_suppkey % 4 = 0 AS document, s_suppkey % 3 <> 0 AND s_suppkey % 4 <> 0 AS here, CASE WHEN s_suppkey % 8 = 0 OR s_suppkey % 4 <> 0 THEN 'h' || s_suppkey END AS digest,
+                      CASE s_suppkey % 5 WHEN 0 THEN NULL WHEN 1 THEN 'other' ELSE 'h' || s_suppkey END AS expected, CASE s_suppkey % 7 WHEN 0 THEN ['id', 'email'] WHEN 1 THEN ['id', 'messages'] ELSE ['id', 'x'] END AS names FROM supplier)
+    SELECT source_id, CASE WHEN document THEN 'AUDITED_FROZEN_DOCUMENT' WHEN here THEN 'AUDITED_LOCAL' ELSE 'METADATA_ONLY' END AS status, CASE WHEN here THEN k * 10 END AS record_count,
+           CASE WHEN document THEN 'AVAILABLE' ELSE 'NOT_REQUIRED' END AS dependency_status, CASE WHEN document OR here THEN digest END AS content_sha256,
+           CASE WHEN document AND digest IS NULL THEN 'MISSING_SNAPSHOT' WHEN NOT document AND NOT here THEN 'NOT_APPLICABLE' WHEN expected IS NULL THEN 'UNDECLARED' WHEN expected = digest THEN 'MATCHED' ELSE 'MISMATCH' END AS content_hash_status,
+           CASE WHEN document THEN 'PUBLIC_DOCUMENTATION_SNAPSHOT_NO_TRAJECTORY_FIELDS' WHEN NOT here THEN 'UNAVAILABLE_NO_RECORD_SAMPLE' WHEN k % 7 = 0 THEN 'SENSITIVE_FIELD_NAMES_PRESENT' WHEN k % 7 = 1 THEN 'POTENTIAL_FREE_TEXT_REVIEW_REQUIRED' ELSE 'NO_DECLARED_SENSITIVE_FIELD_NAMES' END AS sensitive_check_status,
+           CASE WHEN here THEN 'read' END AS tools, CASE WHEN k % 2 = 1 THEN 'NOT_DECLARED' WHEN NOT here THEN 'UNAVAILABLE_NO_LOCAL_SHARD' WHEN k % 7 > 1 THEN 'AVAILABLE' ELSE 'MISSING' END AS required_field_status, CASE WHEN document OR here THEN 0 ELSE 1 END AS warnings FROM s""")
+def source_audit(spark, sf):
+    """Suppliers as declared sources: documents, local files, and metadata alone."""
+    k = F.col("s_suppkey")
+    s = table(spark, sf, "supplier").select(k, F.concat(F.lit("s-"), k).alias("source_id"), F.concat(F.lit("h"), k).alias("digest"))
+    some = F.lit("x")
+    declared = s.select("source_id", *(some.alias(c) for c in ("source_uri", "revision", "license", "usage_scope")), F.when(k % 4 == 0, audit.DOCUMENTATION).otherwise("history").alias("source_kind"), F.lit(None).cast("array<string>").alias("required_tools"), F.when(k % 5 == 1, "other").when(k % 5 != 0, F.col("digest")).alias("expected_sha256"), F.when(k % 2 == 0, F.array(F.lit("x"), F.lit("id"))).alias("required_upstream_fields"))
+    names = F.when(k % 7 == 0, F.array(F.lit("id"), F.lit("email"))).when(k % 7 == 1, F.array(F.lit("id"), F.lit("messages"))).otherwise(F.array(F.lit("id"), F.lit("x")))
+    facts = s.filter("s_suppkey % 3 <> 0 and s_suppkey % 4 <> 0").select("source_id", F.col("digest").alias("content_sha256"), (k * 10).alias("record_count"), names.alias("names"), F.array(F.lit("read")).alias("tools"))
+    frozen = s.filter("s_suppkey % 8 = 0").select("source_id", F.col("digest").alias("content_sha256"))
+    done = audit.audited(declared, facts, frozen)
+    return done.select("source_id", "status", "record_count", "dependency_status", "content_sha256", "content_hash_status", "sensitive_check_status", F.array_join("actual_tool_scope", ",").alias("tools"), "required_field_status", F.size("warnings").alias("warnings"))
+
+
+@query("""
+    WITH v AS (SELECT CASE WHEN c_custkey % 2 = 0 THEN 'SFT-RandomMatched' WHEN c_custkey % 11 = 0 THEN 'other' ELSE 'SFT-ClosedLoop' END AS recipe, 'd-' || c_custkey % 200 AS demonstration_id, count(*) AS n FROM customer GROUP BY 1, 2),
+    m AS (SELECT 'd-' || s_suppkey AS demonstration_id, s_suppkey AS k FROM supplier)
+    SELECT recipe, demonstration_id, unnest(list_filter([CASE WHEN k IS NULL THEN 'ABSENT' END, CASE WHEN k % 3 = 0 OR k % 5 = 0 THEN 'NOT_ACCEPTED' END, CASE WHEN k % 4 = 0 THEN 'NO_MESSAGE_LINEAGE' END, CASE WHEN k % 3 <> 0 AND k % 7 = 0 THEN 'NO_REPAIR_LINEAGE' END,
+           CASE WHEN n > 1 THEN 'SELECTED_TWICE' END, CASE WHEN recipe = 'other' THEN 'UNKNOWN_RECIPE' END], lambda x: x IS NOT NULL)) AS fault FROM v LEFT JOIN m USING (demonstration_id)""")
+def view_violations(spark, sf):
+    """Customers as places of two recipes' views, suppliers as members."""
+    c, k = F.col("c_custkey"), F.col("s_suppkey")
+    views = table(spark, sf, "customer").select(F.when(c % 2 == 0, experiments.RECIPES[0]).when(c % 11 == 0, "other").otherwise(experiments.RECIPES[1]).alias("recipe"), F.concat(F.lit("d-"), c % 200).alias("demonstration_id"))
+    members = table(spark, sf, "supplier").select(F.concat(F.lit("d-"), k).alias("demonstration_id"), F.when(k % 3 == 0, "MODEL_SAMPLED").when(k % 7 == 0, "DERIVED").otherwise("PUBLIC_ORIGINAL").alias("source_origin"), F.when(k % 5 != 0, "ACCEPT").alias("eligibility_action"), F.when(k % 4 != 0, F.array(F.lit("m"))).alias("upstream_message_refs"), F.lit("d-0").alias("parent_demonstration_id"), F.when(k % 7 != 0, "r").alias("repair_rule_ref"))
+    return experiments.view_violations(views, members)
+
+
+@query("""
+    WITH e AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 7 = 0 THEN 'truncated' WHEN o_orderstatus = 'F' THEN 'success' WHEN o_orderstatus = 'O' THEN 'known_zero' ELSE 'unknown' END AS terminal_class FROM orders)
+    SELECT k AS attempt_id, terminal_class, CASE terminal_class WHEN 'success' THEN 2.5 WHEN 'known_zero' THEN -1.0 END::DOUBLE AS new_reward, CASE WHEN terminal_class IN ('success', 'known_zero') THEN 'KNOWN' ELSE 'UNKNOWN' END AS availability, 'p2' AS reward_policy_version, 'p1' AS source_policy_version FROM e""")
+def rescored_rewards(spark, sf):
+    o, s = table(spark, sf, "orders"), F.col("o_orderstatus")
+    known = s.isin("F", "O")
+    evidence = o.select(F.col("o_orderkey").alias("attempt_id"), F.col("o_custkey").alias("task_id"), F.when(F.col("o_orderkey") % 7 == 0, "BUDGET_TRUNCATED").otherwise("COMPLETED").alias("end_reason"), F.when(known, "VERIFIED").otherwise("INSUFFICIENT").alias("verification_status"), F.when(s == "F", "PASS").when(s == "O", "FAIL").otherwise("UNKNOWN").alias("outcome"), F.lit(1.0).alias("total_reward"), F.lit("p1").alias("reward_policy_version"))
+    done = reports.rescored(evidence, {"policy_version": "p2", "pass_reward": 2.5, "fail_reward": -1, "unknown_reward": None, "dense_reward": False})
+    return done.select("attempt_id", "terminal_class", "new_reward", "availability", "reward_policy_version", "source_policy_version")

@@ -245,3 +245,9 @@ def write_json_arrays(df: DataFrame, path: str, field: str | None = None) -> Non
 
     written = materialize(df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("j")).mapInArrow(run, "path string, rows long"), "json-written")
     written.count()
+
+
+def json_records(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Records of all JSON files below a path, each one object or an array of objects; fields of another kind than the schema's are null."""
+    raw = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").option("multiLine", True).schema(schema).json(path)
+    return raw.filter(" or ".join(f"{c} is not null" for c in raw.columns))

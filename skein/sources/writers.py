@@ -38,6 +38,13 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """The folders in a folder, but for those whose name begins with a dot."""
+    fs, p = _fs(spark, path)
+    found = [f.getPath() for f in fs.listStatus(p) if f.isDirectory()] if fs.exists(p) else []
+    return sorted(str(f.toString()) for f in found if not f.getName().startswith("."))
+
+
 def rename(spark: SparkSession, a: str, b: str) -> None:
     fs, p = _fs(spark, a)
     fs.mkdirs(_fs(spark, b)[1].getParent())

@@ -64,12 +64,47 @@ def test_main_line(spark, tmp_path, capsys):
     view = spark.read.parquet(str(out / "export/training_examples.parquet")).orderBy("demonstration_id").first()
     assert view.input_ids == [*b"user\n", *"h\u00e9".encode(), 256, 10, *b"assistant\n", *b"ok", 256, 10] and sum(view.loss_mask) == 14
     manifest = json.loads((out / "export/export_manifest.json").read_text())
-    checks = builds.migration_checks(receipt, json.loads((release / "dataset_manifest.json").read_text()), manifest)
-    assert all(checks.values())
+    assert json.loads((release / "dataset_manifest.json").read_text())["member_count"] == manifest["source_external_demonstration_count"] == receipt["accepted_count"]
     lineage = spark.read.parquet(str(release / "lineage/external_demonstrations.parquet"))
     assert builds.release_coverage(lineage, spark.read.parquet(str(draft)), spark.read.parquet(str(out / "export/training_examples.parquet"))).count() == 0
     code, e = run(spark, capsys, "source", "revoke", "--source-record-id", "s3", "--dataset", release, "--output-dir", out / "ledger")
-    assert code == 0 and e["counts"] == {"affected": 2}
+    assert code == 0 and e["counts"] == {"affected": 3, "datasets": 1, "runs": 0, "claims": 0}  # the dataset, its member and the member's decision
+    (tmp_path / "runs").mkdir()
+    (tmp_path / "runs/a.json").write_text(json.dumps([{"run_id": "r1", "dataset_id": "external"}, {"run_id": "r2", "dataset_id": "none"}]))
+    (tmp_path / "claims").mkdir()
+    (tmp_path / "claims/a.json").write_text(json.dumps({"claim_id": "c1", "quality_decision_id": "e3"}))
+    (tmp_path / "claims/b.json").write_text(json.dumps([{"claim_id": "c2", "source_record_ids": ["s3", "s9"]}, {"claim_id": "c3", "attempt_id": "d1"}]))
+    code, e = run(spark, capsys, "source", "revoke", "--source-record-id", "s3", "--dataset", out / "release", "--runs", tmp_path / "runs", "--claims", tmp_path / "claims", "--output-dir", out / "ledger")
+    assert code == 0 and e["counts"] == {"affected": 6, "datasets": 1, "runs": 1, "claims": 2}
+
+
+def test_an_import_is_built_and_released(spark, tmp_path, capsys):
+    call = {"role": "assistant", "tool_calls": [{"id": "c", "name": "f", "arguments": {"x": 1}}]}
+    good = {"question": "q", "tools": [{"name": "f"}], "status": "synthetic", "messages": [{"role": "user", "content": "q"}, call, {"role": "tool", "tool_call_id": "c", "content": {"y": [1]}}, {"role": "assistant", "content": "a", "tool_calls": []}]}
+    rows = [good | {"id": "h1"}, {"uuid": "h2", "tools": "[]", "messages": json.dumps([{"role": "user", "content": "q"}, {"role": "tool_call", "content": "f()"}, {"role": "tool_response", "content": "r"}, {"role": "assistant", "content": "b"}])}, good | {"id": "h3", "messages": [{"role": "tool", "content": "x"}]}, 5]
+    (tmp_path / "h.json").write_text(json.dumps(rows))
+    code, e = run(spark, capsys, "trajectory", "import", "--source", tmp_path / "h.json", "--adapter", "toucan", "--output-dir", tmp_path / "i")
+    assert code == 0 and e["counts"] == {"records": 2, "external_demonstrations": 2, "quarantine": 2}, e
+    assert run(spark, capsys, "trajectory", "import", "--source", tmp_path / "h.json", "--adapter", "toucan", "--output-dir", tmp_path / "i")[0] == 0  # a retry
+    made = lambda n: spark.read.parquet(f"{tmp_path}/i/import/{n}.parquet")
+    assert {(r.record_id, r.reason) for r in made("quarantine").collect()} == {("h3", "ORPHAN_TOOL_RESULT"), ("<unknown>", "INVALID_MESSAGE")}
+    assert {r.source_record_id for r in made("source_records").collect()} == {"toucan-import:h1", "toucan-import:h2"}
+    d = made("external_demonstrations").orderBy("demonstration_id").first()
+    assert len(d.message_refs) == 4 and d.call_result_refs == [d.message_refs[2]] and d.upstream_synthetic_status == "synthetic"
+    assert [r.event_type for r in made("events").filter("attempt_id = 'toucan-import:h2:historical'").orderBy("seq").collect()] == ["OBSERVATION", "TOOL_CALL", "TOOL_RESULT", "MODEL_OUTPUT"]
+    decided = [{"demonstration_id": f"toucan-import:{h}", "decision_id": f"e-{h}", "action": "ACCEPT", "review_checks": CHECKS} for h in ("h1", "h2")]
+    (tmp_path / "decisions.json").write_text(json.dumps({"eligibility_decisions": decided}))
+    (tmp_path / "split.json").write_text("{}")
+    env = lambda n: f"i/import/{n}.envelope.json"
+    (tmp_path / "build.json").write_text(json.dumps({"source_manifests": [env("source_records")], "external_demonstration_manifests": [env("external_demonstrations")], "external_material_manifests": [env("external_material")], "eligibility_manifests": ["decisions.json"], "split_registry_ref": "split.json", "rule_version": "v1"}))
+    code, e = run(spark, capsys, "data", "build", "--input", tmp_path / "build.json", "--output-dir", tmp_path / "o")
+    assert code == 0 and e["counts"] == {"inputs": 5, "members": 2, "accepted": 2}, e
+    (tmp_path / "policy.yaml").write_text("policy_version: p1\n")
+    code, e = run(spark, capsys, "dataset", "publish", "--draft", tmp_path / "o/draft/membership.parquet", "--config", tmp_path / "policy.yaml", "--output-dir", tmp_path / "r")
+    assert code == 0 and e["counts"] == {"members": 2}
+    (tmp_path / "sft.json").write_text(json.dumps({"tokenizer_name": "bytes", "tokenizer_revision": "1", "template_version": "t1"}))
+    code, e = run(spark, capsys, "dataset", "export-sft", "--dataset", tmp_path / "r/external/membership.parquet", "--config", tmp_path / "sft.json", "--output-dir", tmp_path)
+    assert code == 0 and e["counts"] == {"examples": 2}, e
 
 
 @pytest.mark.parametrize("change, fault", [({"review_checks": CHECKS[:5]}, "REVIEW_CHECKS"), ({"action": "MAYBE"}, "UNKNOWN_ACTION"), ({"decision_id": ""}, "NO_DECISION")])
@@ -159,68 +194,6 @@ def test_masks_of_any_template():
         sft.tokenise(sft.ByteTokenizer(), [{"role": "system", "content": "x"}])
 
 
-def plan():
-    return {
-        "experiment_id": "x",
-        "revision": 1,
-        "candidate_pool_version": "v",
-        "method": "lora",
-        "recipes": list(experiments.RECIPES),
-        "seeds": [17, 29, 43],
-        "model": {"model_id": "m", "tokenizer_revision": "1"},
-        "training_template_version": "t",
-        "schedule": {"batch_shape": {"per_device_batch_size": 1, "max_context_tokens": 9}, "planned_loss_tokens": 2, "optimizer_steps": 2},
-        "analysis": {"minimum_connected_groups": 20, "paired_bootstrap_resamples": 10000, "practical_effect_pp": 2.0, "paired_bootstrap_seed": 7},
-        "matching": {"tolerance": "exact", "excluded_fields": ["failure_types"]},
-        "test_unlock_rule": {"enabled": False, "single_use": True},
-        "exposure_budget": {"formal_training_runs": 6, "failure_reserve_fraction": 0.15},
-    }
-
-
-CALIBRATION = {"terminal_status": "COMPLETED", "method": "lora", "six_run_seconds_prediction": 3600.0}
-
-
-def test_experiment_contracts(spark, tmp_path):
-    p = experiments.preregister(plan(), CALIBRATION)
-    assert experiments.run_request(p, "SFT-ClosedLoop", 29)["seed"] == 29
-    for wrong in ((p, "other", 29), (p, "SFT-ClosedLoop", 1), (p | {"method": "full"}, "SFT-ClosedLoop", 29)):
-        with pytest.raises(ValueError):
-            experiments.run_request(*wrong)
-    for part, key, value in (("analysis", "minimum_connected_groups", 19), ("test_unlock_rule", "enabled", True), ("matching", "excluded_fields", []), ("schedule", "optimizer_steps", 0)):
-        c = plan()
-        c[part][key] = value
-        with pytest.raises(ValueError):
-            experiments.preregister(c, CALIBRATION)
-    view = spark.createDataFrame([(i, [1, 2], [False, True], "m", "1", "t") for i in "abcd"], "demonstration_id string, input_ids array<int>, loss_mask array<boolean>, tokenizer_name string, tokenizer_revision string, template_version string")
-    members = spark.createDataFrame([(i, "PUBLIC_ORIGINAL", "ACCEPT", ["m"]) for i in "abc"] + [("d", "DERIVED", "ACCEPT", ["m"])], "demonstration_id string, source_origin string, eligibility_action string, upstream_message_refs array<string>")
-    drafts = {"candidate_pool_version": "v", "sft_ingress_prohibited": sorted(experiments.INGRESS), "pairs": [{"target": "b", "control": "a"}]}
-    views, quote = {"SFT-RandomMatched": ["a"], "SFT-ClosedLoop": ["b"]}, {"price_cny_per_hour": 2.0, "total_cash_stop_cny": 3.0}
-    assert experiments.freeze(p, views, view, members, drafts, quote, CALIBRATION, f"{tmp_path}/f")["effective_loss_tokens"] == 2
-    assert [r.fault for r in experiments.member_faults(members, ["d", "e"]).orderBy("demonstration_id").collect()] == ["NO_REPAIR_LINEAGE", "ABSENT"]
-    for change in ({"quote": quote | {"total_cash_stop_cny": 2.0}}, {"view": view.withColumn("template_version", F.lit("u"))}, {"views": {"SFT-RandomMatched": ["b"], "SFT-ClosedLoop": ["a"]}}):
-        given = {"plan": p, "views": views, "view": view, "members": members, "drafts": drafts, "quote": quote, "calibration": CALIBRATION, "output": f"{tmp_path}/g"} | change
-        with pytest.raises(ValueError):
-            experiments.freeze(**given)
-
-
-def test_development_receipt():
-    config = {"development_subset": {"c": ["1", "2"]}, "official_commit": "x", "official_archive_sha256": "y", "package": "z"}
-    good = {"kind": "bfcl-v4-development-evaluation", "split": "DEVELOPMENT", "terminal_status": "COMPLETED", "official_commit": "x", "official_archive_sha256": "y", "runner_package": "z", "full_bfcl_score_claimed": False, "infrastructure_failure_count": 0, "selected_task_count": 2, "protocol_deviations": [], "categories": {"c": {"selected_ids": ["1", "2"], "selected_count": 2, "accuracy": 0.5, "result_sha256": "a" * 64, "score_sha256": "b" * 64}}}
-    assert experiments.development_receipt_faults(good, config) == []
-    for change in ({"split": "TEST"}, {"categories": {}}, {"selected_task_count": 3}, {"protocol_deviations": None}):
-        assert experiments.development_receipt_faults(good | change, config)
-    assert experiments.development_receipt_faults(good, {})
-
-
-def test_snapshots_of_a_workspace():
-    saved = experiments.snapshot("a", 3, {"x": "y"}, {"k": "v"})
-    links, session = experiments.restore(saved, "a", "e3", {"x": "y"})
-    assert links["restore_capability"] == "SUPPORTED" and session == {"k": "v"}
-    for wrong in (("b", "e3", {"x": "y"}), ("a", "", {"x": "y"}), ("a", "e3", {"x": "z"})):
-        with pytest.raises(ValueError):
-            experiments.restore(saved, *wrong)
-
-
 def test_command_envelope(spark, tmp_path, capsys):
     assert len(cli.VERBS) == 21
     assert run(spark, capsys, "no", "such")[0] == 2 and run(spark, capsys)[0] == 0

@@ -66,14 +66,15 @@ def test_association(spark):
     call = lambda i: {"role": "assistant", "tool_calls": [{"id": i, "name": "f", "arguments": "{}"}]}
     res = lambda i=None: {"role": "tool", "content": "r", "tool_call_id": i}
     end, user = {"role": "assistant", "content": "done"}, {"role": "user", "content": "q"}
-    cases = {"good": ([user, call("1"), res("1"), end], None), "again": ([call("1"), res("1"), res("1"), end], None), "orphan": ([res("9"), end], "ORPHAN_TOOL_RESULT"), "twice": ([call("1"), call("1"), end], "DUPLICATE_TOOL_CALL"), "fifo": ([{"role": "tool_call", "content": "c"}, {"role": "tool_call", "content": "d"}, {"role": "tool_response", "content": "e"}, end], None), "noid": ([{"role": "assistant", "tool_calls": [{"name": "f"}]}, end], "INVALID_MESSAGE"), "empty": ([], "MISSING_ANSWER")}
-    rows = [(k, None, m, "[]") for k, (m, _) in cases.items()] + [(None, "u", [end], None), (None, None, [end], "[]"), ("x", None, None, "[]")]
-    d = spark.createDataFrame(rows, f"id string, uuid string, messages array<{trajectory.MESSAGE}>, tools string")
-    got = {r.record_id: r for r in trajectory.import_histories(d).collect()}
+    cases = {"good": ([user, call("1"), res("1"), end], None), "again": ([call("1"), res("1"), res("1"), end], None), "orphan": ([res("9"), end], "ORPHAN_TOOL_RESULT"), "nameless": ([call("1"), res(), end], "ORPHAN_TOOL_RESULT"), "twice": ([call("1"), call("1"), end], "DUPLICATE_TOOL_CALL"), "fifo": ([{"role": "tool_call", "content": "c"}, {"role": "tool_call", "content": "d"}, {"role": "tool_response", "content": "e", "tool_call_id": "stray"}, end], None), "noid": ([{"role": "assistant", "tool_calls": [{"name": "f"}]}, end], "INVALID_MESSAGE"), "none": ([{"role": "assistant", "content": "a", "tool_calls": []}], None), "empty": ([], "MISSING_ANSWER")}
+    rows = [(k, m, "[]") for k, (m, _) in cases.items()] + [("u", [end], None), (None, [end], "[]"), ("x", None, "[]"), ("y", [end], "not json"), ("z", [end], "7")]
+    d = spark.createDataFrame(rows, f"id string, messages array<{trajectory.MESSAGE}>, tools string")
+    got = {r.record_id: r for r in trajectory.import_histories(d, "s").collect()}
     assert {k: got[k].reason for k in cases} == {k: v for k, (_, v) in cases.items()}
-    assert got["u"].reason == "MISSING_TOOL_DEFINITION" and got[None].reason == "INVALID_ID" and got["x"].reason == "INVALID_MESSAGES"
-    assert got["fifo"].links == ["call-0", "call-1", "call-0", None]
+    assert [got[k].reason for k in ("u", "y", "z")] == ["MISSING_TOOL_DEFINITION"] * 3 and got[None].reason == got["x"].reason == "INVALID_MESSAGE"
+    assert got["fifo"].links == ["s:fifo:historical:source-call:0", "s:fifo:historical:source-call:1", "s:fifo:historical:source-call:0", None]
     assert [e.event_type for e in got["good"].events] == ["OBSERVATION", "TOOL_CALL", "TOOL_RESULT", "MODEL_OUTPUT"]
+    assert [(m.role, m.content) for m in got["fifo"].messages] == [("assistant", ""), ("assistant", ""), ("tool", "e"), ("assistant", "done")]
 
 
 def test_components_match_union_find(spark):
@@ -164,16 +165,6 @@ def test_minhash_links_all_different_sets_of_a_bucket(spark):
     assert len(got) == len(set(got)) and set(got) == want and any(a > 0 and b < 6 for a, b in want)
 
 
-def test_review_queue(spark):
-    c = spark.createDataFrame([(1, 2), (3, 4)], "left int, right int")
-    p = dedup.non_candidates(spark.range(6).select(F.col("id").cast("int")), c)
-    q = dedup.review_queue(c, p, 5)
-    assert q.count() == 7 and p.count() == 13
-    done = q.limit(3).withColumn("decision", F.lit("DUPLICATE"))
-    r = dedup.review_receipt(q, done).first()
-    assert r.open == 4 and r.duplicates + r.missed_duplicates == 3
-
-
 def test_joins(spark):
     a = spark.createDataFrame([(1, "x"), (2, "y")], "k int, v string")
     b = spark.createDataFrame([(2, "z"), (3, "w")], "k int, v string")
@@ -192,7 +183,6 @@ def test_budget_and_integrity(spark):
     assert trajectory.within_budget(d.limit(0), "k", ["i"], {"c": 10}).count() == 0
     e = spark.createDataFrame([("a", 1, 3), ("a", 2, 1), ("a", 3, 2), ("b", 1, 1), ("b", 2, 1), ("c", 1, 1), ("c", 2, 5)], "k string, arrival int, s int")
     assert sorted((r.k, r.arrival) for r in trajectory.sequence_violations(e, "k", "s", "arrival").collect()) == [("a", 2), ("b", 2)]
-    assert tuple(trajectory.long_horizon(spark, 32, 16, 8).first())[:4] == (32, 31, 1, 1)
 
 
 def test_findings_and_metrics(spark):
