@@ -17,7 +17,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skein.functions.identity import sharded_digest
+from skein.functions.identity import tree_digest
 from skein.operators import audit, evaluation, graph, joins, reports, sft, splits, trajectory
 from skein.plans import builds, experiments
 from skein.sources import generators, json_arrays, readers, writers
@@ -165,7 +165,7 @@ def dataset_publish(spark, o):
     if external and not o.config or not rule:
         raise ValueError("external members need --config with policy_version")
     key = "demonstration_id" if external else "attempt_id"
-    given = sharded_digest(members, key).first()[0]
+    given = tree_digest(members, key).first()[0]
     name = "external" if external else "software-draft"
     manifest = writers.publish(members, o.output_dir, name, rule, given)
     return [f"{o.output_dir}/{name}/dataset_manifest.json"], {"members": manifest["member_count"]}

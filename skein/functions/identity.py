@@ -36,17 +36,44 @@ def table_digest(df: DataFrame, key: str, *names: str) -> DataFrame:
     """One row, digest: the hash of the rows' canonical JSON in the order of the key as text, joined by newlines.
 
     It depends on neither files, partitions nor row order. All rows' JSON meet in one task: for tables of up to some
-    million rows; use sharded_digest for larger ones.
+    million rows; use tree_digest for larger ones.
     """
     rows = F.array_sort(F.collect_list(F.struct(F.col(key).cast("string").alias("k"), canonical_json(*(names or df.columns)).alias("j"))))
     return df.agg(F.sha2(F.array_join(F.transform(rows, lambda r: r.j), "\n"), 256).alias("digest"))
 
 
-def sharded_digest(df: DataFrame, key: str, *names: str, shards: int = 1024) -> DataFrame:
-    """One row, digest: a hash over the digests of hash shards; as order-free as table_digest, but another value."""
-    rows = F.array_sort(F.collect_list(F.struct(F.col(key).cast("string").alias("k"), F.sha2(canonical_json(*(names or df.columns)), 256).alias("j"))))
-    parts = df.groupBy(F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(shards)).alias("shard")).agg(F.sha2(F.array_join(F.transform(rows, lambda r: r.j), "\n"), 256).alias("d"))
-    return parts.agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("shard", "d"))), lambda r: r.d), "\n"), 256).alias("digest"))
+#: Hex digits of a leaf and of a group: 16 ** 5 leaves, each group with at most 256 of them, the root with at most 4,096 groups.
+LEAF, GROUP = 5, 3
+
+
+def key_hash(key: str) -> Column:
+    return F.sha2(F.col(f"`{key}`").cast("string"), 256)
+
+
+def _chained(name: str, digest: str) -> Column:
+    """The hash of a group's digests, each with its name, in the order of the names."""
+    pairs = F.array_sort(F.collect_list(F.struct(F.col(name).alias("n"), F.col(digest).alias("d"))))
+    return F.sha2(F.array_join(F.transform(pairs, lambda x: F.concat(x.n, F.lit("="), x.d)), "\n"), 256)
+
+
+def group_digests(rows: DataFrame, key: str, *names: str) -> DataFrame:
+    """(grp, digest, rows) of rows, by the first GROUP digits of their key's hash, over the leaves of its first LEAF digits.
+
+    A leaf is some millionth of the table: its rows' hashes in order are hashed in one task.
+    """
+    hashed = rows.select(key_hash(key).alias("k"), F.sha2(canonical_json(*(names or rows.columns)), 256).alias("h"))
+    leaves = hashed.groupBy(F.substring("k", 1, LEAF).alias("leaf")).agg(F.sha2(F.array_join(F.array_sort(F.collect_list("h")), "\n"), 256).alias("d"), F.count("*").alias("n"))
+    return leaves.groupBy(F.substring("leaf", 1, GROUP).alias("grp")).agg(_chained("leaf", "d").alias("digest"), F.sum("n").alias("rows"))
+
+
+def root(groups: DataFrame) -> DataFrame:
+    """One row, digest, of (grp, digest)."""
+    return groups.agg(_chained("grp", "digest").alias("digest"))
+
+
+def tree_digest(rows: DataFrame, key: str, *names: str) -> DataFrame:
+    """One row, digest: the root of a tree of digests by hashes of the key; as order-free as table_digest, but another value. An empty table has one too."""
+    return root(group_digests(rows, key, *names))
 
 
 def group_digest(df: DataFrame, key: str, order: list[str], part: Column) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skein.operators.decisions import event_type, training_role
+from skein.storage import materialize
 
 MESSAGE = "struct<role: string, content: string, tool_calls: array<struct<id: string, name: string, arguments: string>>, tool_call_id: string>"
 
@@ -159,25 +160,57 @@ def edge_violations(events: DataFrame, edges: DataFrame) -> DataFrame:
     return ends.join(ids, ["attempt_id", "event_id"], "left_anti").select(*edges.columns).distinct()
 
 
-def within_budget(actions: DataFrame, key: str, order: list[str], limits: dict[str, int]) -> DataFrame:
+def within_budget(actions: DataFrame, key: str, order: list[str], limits: dict[str, int], most: int = 10_000) -> DataFrame:
     """actions with `allowed`: whether an action fits into what its key has left of every limit, in order.
 
-    What is refused reserves nothing, so a later and smaller action may be allowed; that is a fold, not a running sum. The
-    rows of a key pass by once, in order, and the task keeps its sums alone; a null cost is 0.
+    What is refused reserves nothing, so a later and smaller action may be allowed; that is a fold, not a running sum. A null
+    cost is 0. Keys of at most `most` rows are folded as arrays; the rows of a longer one pass by once, in order, and the task
+    keeps its sums alone.
     """
-    costs = list(limits)
     names = actions.columns
-    fields = [(f"c{i}", f.dataType.simpleString()) for i, f in enumerate(actions.schema.fields)]
-    at, places, most = names.index(key), [names.index(c) for c in costs], [limits[c] for c in costs]
+    spread = actions.toDF(*(f"c{i}" for i in range(len(names))))
+    k = f"c{names.index(key)}"
+    long = materialize(spread.groupBy(k).agg(F.count("*").alias("n")).filter(F.col("n") > most).select(k), "long-keys")
+    if long.isEmpty():
+        return _folded(spread, k, names, order, limits).toDF(*names, "allowed")
+    same = F.col(k).eqNullSafe(F.col("own"))
+    own = long.select(F.col(k).alias("own"))
+    short = _folded(spread.join(own, same, "left_anti"), k, names, order, limits)
+    return short.union(_streamed(spread.join(own, same, "left_semi"), k, names, order, limits)).toDF(*names, "allowed")
+
+
+def _folded(spread: DataFrame, k: str, names: list[str], order: list[str], limits: dict[str, int]) -> DataFrame:
+    """All columns and `allowed`, by a fold over each key's rows."""
+    costs = [f"c{names.index(c)}" for c in limits]
+    by = [F.col(f"c{names.index(o)}").alias(f"o{i}") for i, o in enumerate(order)]
+    rows = F.array_sort(F.collect_list(F.struct(*by, F.struct(*spread.columns).alias("row"))))
+    start = F.struct(*(F.lit(0).cast("long").alias(f"u{i}") for i in range(len(costs))), F.array().cast("array<boolean>").alias("out"))
+
+    def step(s: Column, x: Column) -> Column:
+        new = [s[f"u{i}"] + F.coalesce(x["row"][c].cast("long"), F.lit(0)) for i, c in enumerate(costs)]
+        fits = F.lit(True)
+        for n, limit in zip(new, limits.values(), strict=True):
+            fits = fits & (n <= limit)
+        return F.struct(*(F.when(fits, n).otherwise(s[f"u{i}"]).alias(f"u{i}") for i, n in enumerate(new)), F.concat(s.out, F.array(fits)).alias("out"))
+
+    grouped = spread.groupBy(k).agg(rows.alias("rows")).select("rows", F.aggregate("rows", start, step).out.alias("out"))
+    each = grouped.select(F.explode(F.arrays_zip("rows", "out")).alias("x"))
+    return each.select(*(F.col(f"x.rows.row.{c}").alias(c) for c in spread.columns), F.col("x.out").alias("allowed"))
+
+
+def _streamed(spread: DataFrame, k: str, names: list[str], order: list[str], limits: dict[str, int]) -> DataFrame:
+    """All columns and `allowed`, a key's rows passing by in order."""
+    fields = [(f.name, f.dataType.simpleString()) for f in spread.schema.fields]
+    at, places, most = int(k[1:]), [names.index(c) for c in limits], list(limits.values())
 
     def run(batches):
         last, used = None, [0] * len(most)
         for b in batches:
             keys, rows = b.column(at).to_pylist(), list(zip(*(b.column(i).to_pylist() for i in places), strict=True))
             out = []
-            for k, row in zip(keys, rows, strict=True):
-                if k != last:
-                    last, used = k, [0] * len(most)
+            for key, row in zip(keys, rows, strict=True):
+                if key != last:
+                    last, used = key, [0] * len(most)
                 new = [u + (x or 0) for u, x in zip(used, row, strict=True)]
                 fits = all(n <= m for n, m in zip(new, most, strict=True))
                 if fits:
@@ -185,10 +218,8 @@ def within_budget(actions: DataFrame, key: str, order: list[str], limits: dict[s
                 out.append(fits)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.bool_())], [*(n for n, _ in fields), "allowed"])
 
-    spread = actions.toDF(*(n for n, _ in fields))
-    by = [f"c{at}", *(f"c{names.index(o)}" for o in order)]
-    dealt = spread.repartition(F.col(by[0])).sortWithinPartitions(*by)
-    return dealt.mapInArrow(run, ", ".join([*(f"{n} {t}" for n, t in fields), "allowed boolean"])).toDF(*names, "allowed")
+    by = [k, *(f"c{names.index(o)}" for o in order)]
+    return spread.repartition(F.col(k)).sortWithinPartitions(*by).mapInArrow(run, ", ".join([*(f"{n} {t}" for n, t in fields), "allowed boolean"]))
 
 
 def replay_calls(events: DataFrame) -> DataFrame:

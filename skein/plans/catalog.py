@@ -95,7 +95,7 @@ def externalise_large_payload(spark, sf):
            row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS place FROM events""")
 def event_total_order(spark, sf):
     e = table(spark, sf, "events").select(F.col("user_id").alias("attempt_id"), F.col("event_id").alias("seq"), F.when(F.col("event_type") == "click", "OBSERVATION").otherwise("OTHER").alias("event_type"), F.col("props").alias("payload"))
-    return trajectory.places(builds.process_events(e, 8), "attempt_id", "seq").select(F.col("seq").alias("event_id"), "payload", "payload_ref.sha256", "place")
+    return trajectory.places(builds.process_events(e, 8, ordered=False), "attempt_id", "seq").select(F.col("seq").alias("event_id"), "payload", "payload_ref.sha256", "place")
 
 
 @query("WITH h AS (SELECT doc_id, sha256('{\"tokens\":[' || array_to_string(list_transform(regexp_extract_all(lower(text), '[a-z0-9]+'), lambda x: '\"' || x || '\"'), ',') || ']}') AS projection_sha256 FROM documents) SELECT doc_id, projection_sha256, min(doc_id) OVER (PARTITION BY projection_sha256) AS representative FROM h")

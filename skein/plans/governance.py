@@ -9,7 +9,7 @@ from skein.operators import decisions, dedup, evaluation, joins, recipes, report
 from skein.plans import builds
 from skein.plans.registry import query
 from skein.session import table
-from skein.sources import generators, readers, writers
+from skein.sources import generators, merkle, readers, writers
 from skein.storage import scratch
 
 def _s():
@@ -302,8 +302,9 @@ def merge_conflicts(spark, sf):
 def committed_rows(spark, sf):
     o = table(spark, sf, "orders").select(F.col("o_orderkey").alias("task_id"), "o_orderstatus")
     at = scratch(spark, "commit")
-    writers.commit_build(o.filter("task_id % 2 = 0"), at)
-    return spark.read.parquet(writers.commit_build(o.filter("task_id % 2 = 1"), at)["path"])
+    for c in ("task_id % 2 = 0", "task_id % 2 = 1"):
+        merkle.commit(o.filter(c), at, "task_id")
+    return merkle.read_build(spark, at)
 
 
 @query("SELECT 's-' || s_nationkey AS source_record_id FROM supplier GROUP BY 1")

@@ -1,7 +1,6 @@
 """Incremental commits: rows in buckets of their key's hash, a digest a group of keys, and a tree of digests whose root is the build's.
 
-A row's leaf is the first LEAF hex digits of its key's SHA-256. A leaf's digest is the hash of its rows' hashes in order, a group
-(the first GROUP digits) is hashed from its leaves, the root from its groups. So the root says what the rows are, whatever
+The tree is that of identity.tree_digest: leaves by the first hex digits of a key's SHA-256, groups of leaves, and the root. So the root says what the rows are, whatever
 the order of commits and however many buckets there are. A commit reads and writes the buckets that its rows fall into and no others.
 """
 
@@ -12,50 +11,20 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skein.functions.identity import canonical_json
+from skein.functions.identity import GROUP, group_digests, key_hash, root
 from skein.operators.joins import duplicated, merge, merge_conflicts
 from skein.sources.writers import exists, get_json, put_json, remove, rename
 from skein.storage import materialize
 
-#: Hex digits of a leaf and of a group: 16 ** 5 leaves, each group with at most 256 of them, the root with at most 4,096 groups.
-LEAF, GROUP = 5, 3
 #: Rows of a bucket before the table gets sixteen times as many.
 BUCKET_ROWS = 1_000_000
 MANIFEST = "bucket string, folder string, grp string, digest string, rows long"
 
 
-def key_hash(key: str) -> Column:
-    return F.sha2(F.col(f"`{key}`").cast("string"), 256)
-
-
 def _bucket(hashed: Column, digits: int) -> Column:
     return F.concat(F.lit("b"), F.substring(hashed, 1, digits))
 
 
-def _chained(name: str, digest: str) -> Column:
-    """The hash of a group's digests, each with its name, in the order of the names."""
-    pairs = F.array_sort(F.collect_list(F.struct(F.col(name).alias("n"), F.col(digest).alias("d"))))
-    return F.sha2(F.array_join(F.transform(pairs, lambda x: F.concat(x.n, F.lit("="), x.d)), "\n"), 256)
-
-
-def group_digests(rows: DataFrame, key: str) -> DataFrame:
-    """(grp, digest, rows) of rows, by the first GROUP digits of their key's hash. A leaf is some millionth of the table."""
-    names = [c for c in rows.columns if c != "bucket"]
-    hashed = rows.select(key_hash(key).alias("k"), F.sha2(canonical_json(*names), 256).alias("h"))
-    leaves = hashed.groupBy(F.substring("k", 1, LEAF).alias("leaf")).agg(F.sha2(F.array_join(F.array_sort(F.collect_list("h")), "\n"), 256).alias("d"), F.count("*").alias("n"))
-    return leaves.groupBy(F.substring("leaf", 1, GROUP).alias("grp")).agg(_chained("leaf", "d").alias("digest"), F.sum("n").alias("rows"))
-
-
-def root(groups: DataFrame) -> DataFrame:
-    """One row, digest, of (grp, digest)."""
-    return groups.agg(_chained("grp", "digest").alias("digest"))
-
-
-def tree_digest(rows: DataFrame, key: str) -> DataFrame:
-    """One row, digest: the root of a table's tree, from scratch. An empty table has one too."""
-    return root(group_digests(rows, key))
-
-
 def _manifest(spark: SparkSession, destination: str, state: dict) -> DataFrame:
     return spark.read.schema(MANIFEST).parquet(f"{destination}/manifests/{state['digest']}")
 
@@ -83,7 +52,7 @@ def commit(rows: DataFrame, destination: str, key: str, identity: dict | None =
     registry = f"{destination}/registry.json"
     known = get_json(spark, registry) if exists(spark, registry) else None
     if known and known["identity"] != (identity or {}):
-        raise ValueError("another build identity")
+        raise ValueError("another rule version or build identity")
     if not duplicated(rows, [key]).isEmpty():
         raise ValueError(f"{key} is not unique")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
@@ -108,7 +77,7 @@ def commit(rows: DataFrame, destination: str, key: str, identity: dict | None =
         changed = new
     folder = uuid.uuid4().hex
     changed = changed.withColumn("bucket", bucket)
-    grouped = materialize(group_digests(changed, key), "merkle-groups").withColumns({"bucket": _bucket(F.col("grp"), wanted), "folder": F.lit(folder)})
+    grouped = materialize(group_digests(changed, key, *names), "merkle-groups").withColumns({"bucket": _bucket(F.col("grp"), wanted), "folder": F.lit(folder)})
     manifest = grouped.select("bucket", "folder", "grp", "digest", "rows")
     if known and wanted == digits:
         kept = _manifest(spark, destination, known)

@@ -1,4 +1,4 @@
-"""Sinks: content-addressed builds that are committed once, releases, and an append-only ledger."""
+"""Sinks: releases, bundles, evidence and an append-only ledger; commits are in merkle.py."""
 
 from __future__ import annotations
 
@@ -8,9 +8,9 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skein.functions.identity import canonical_json, sharded_digest, table_digest
+from skein.functions.identity import canonical_json, tree_digest
 from skein.operators.decisions import publication_violations
-from skein.operators.joins import duplicated, merge, merge_conflicts, set_differences
+from skein.operators.joins import duplicated, set_differences
 from skein.operators.reports import diversity, quality_report
 from skein.sources.json_arrays import write_json_arrays
 
@@ -79,43 +79,6 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
-def commit_build(rows: DataFrame, destination: str, key: str = "task_id", rule_version: str = "v1", fail_at: str | None = None, large: bool = True, identity: dict | None = None) -> dict:
-    """Merge rows into the destination's last build by key and publish builds/<digest>; the same rows give the same build.
-
-    Rows of a known key that differ, or another identity (rule version and what else is given), are an error and change
-    nothing. A failure before the commit leaves no build; one after it leaves the build but not the registry, and the retry
-    finds it. fail_at injects either. The digest is made in shards; large=False takes the ordered one, in one task.
-    """
-    spark = rows.sparkSession
-    registry = f"{destination}/registry.json"
-    known = get_json(spark, registry) if exists(spark, registry) else None
-    own = {"rule_version": rule_version, **(identity or {})}
-    if not duplicated(rows, [key]).isEmpty():
-        raise ValueError(f"{key} is not unique")
-    if known:
-        if known["identity"] != own:
-            raise ValueError("another rule version or build identity")
-        old = spark.read.parquet(f"{destination}/builds/{known['digest']}")
-        if not merge_conflicts(old, rows, key).isEmpty():
-            raise ValueError("rows of a committed build have changed")
-        rows = merge(old, rows, key)
-    digest = (sharded_digest if large else table_digest)(rows, key).first()[0]
-    final = f"{destination}/builds/{digest}"
-    recovered = exists(spark, final)
-    if not recovered:
-        staging = f"{destination}/staging-{digest}"
-        rows.write.mode("overwrite").parquet(staging)
-        if fail_at == "precommit":
-            remove(spark, staging)
-            raise RuntimeError("precommit")
-        rename(spark, staging, final)
-    if fail_at == "postcommit":
-        raise RuntimeError("postcommit")
-    state = {"digest": digest, "identity": own, "key": key, "rows": spark.read.parquet(final).count()}
-    put_json(spark, registry, state)
-    return state | {"path": final, "status": "POSTCOMMIT_RECOVERED" if recovered and (known is None or known["digest"] != digest) else "NEW_COMMIT"}
-
-
 CARDS = {
     "EXTERNAL_DEMONSTRATION": "# External demonstrations\n\nAdmitted by eligibility decisions; replay, results and rewards are evidence of their own.\n",
     "EXECUTION_ATTEMPT": "# Software test\n\nSoftware-validated; not for training.\n",
@@ -146,7 +109,7 @@ def publish(members: DataFrame, output: str, dataset_id: str, rule_version: str,
         "evidence_level": "SOFTWARE_VALIDATED",
         "input_manifest_hash": input_manifest_hash,
         "rule_version": rule_version,
-        "logical_content_hash": sharded_digest(members, key).first()[0],
+        "logical_content_hash": tree_digest(members, key).first()[0],
         "member_count": count,
         "member_kind": "EXTERNAL_DEMONSTRATION" if external else "EXECUTION_ATTEMPT",
     }

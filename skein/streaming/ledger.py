@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skein.sources.writers import commit_build
+from skein.sources import merkle
 
 
 def unique_events(events: DataFrame, id_col: str = "event_id", time_col: str = "ts", delay: str = "10 minutes") -> DataFrame:
@@ -24,11 +24,11 @@ def append_to(events: DataFrame, path: str, checkpoint: str):
 
 
 def commit_stream(rows: DataFrame, destination: str, checkpoint: str, key: str = "task_id"):
-    """Every micro-batch is merged into the destination's build by key; a batch that is delivered again changes nothing."""
+    """Every micro-batch is merged into the destination's build by key, in the buckets that it touches; a batch that is delivered again changes nothing."""
 
     def commit(batch: DataFrame, _: int) -> None:
         if not batch.isEmpty():
-            commit_build(batch.dropDuplicates(), destination, key)
+            merkle.commit(batch.dropDuplicates(), destination, key)
 
     return rows.writeStream.foreachBatch(commit).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from skein import cli
 from skein.operators import decisions, evaluation, joins, sft, splits, trajectory
-from skein.plans import builds, experiments
-from skein.sources import generators, readers, writers
+from skein.plans import builds
+from skein.sources import generators, merkle, readers, writers
 from skein.streaming import ledger
 
 CHECKS = list(decisions.REVIEW_CHECKS)
@@ -216,7 +216,7 @@ def test_command_envelope(spark, tmp_path, capsys):
     rows = [{"id": "r1", "messages": [{"role": "user", "content": "q"}, {"role": "assistant", "content": "a"}], "tools": "[]"}, {"id": "r2", "messages": [], "tools": "[]"}]
     (tmp_path / "h.json").write_text(json.dumps(rows))
     code, e = run(spark, capsys, "trajectory", "import", "--source", tmp_path / "h.json", "--adapter", "toucan", "--output-dir", tmp_path / "i")
-    assert code == 0 and e["counts"] == {"records": 2, "external_demonstrations": 1, "quarantine": 1}
+    assert code == 0 and e["counts"] == {"records": 1, "external_demonstrations": 1, "quarantine": 1}
     assert spark.read.parquet(f"{tmp_path}/i/import/quarantine.parquet").first().reason == "MISSING_ANSWER"
     assert len(writers.export_schemas(spark, str(tmp_path / "schemas"))) == 8
 
@@ -247,7 +247,7 @@ def test_streams_commit_and_hold_budgets(spark, tmp_path):
     assert {r.event_id: r.allowed for r in spark.table("budgets").collect()} == {0: True, 1: False, 2: True}
     for n in (1, 2):  # the second stream delivers all again
         ledger.commit_stream(s.select("seq", "cost"), f"{tmp_path}/out", f"{tmp_path}/cp{n}", "seq").awaitTermination(120)
-    assert spark.read.parquet(writers.get_json(spark, f"{tmp_path}/out/registry.json")["digest"].join((f"{tmp_path}/out/builds/", ""))).count() == 3
+    assert merkle.read_build(spark, f"{tmp_path}/out").count() == 3
 
 
 def test_small_joins(spark):
