@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from skein.functions.identity import canonical_json
+
 
 def word_tokens(c: Column) -> Column:
     """Runs of a-z and 0-9 in the lower-cased text."""
@@ -92,3 +94,20 @@ def right_pad(a: Column, n: Column, pad: Column) -> Column:
 def labels(ids: Column, mask: Column) -> Column:
     """Token ids where the mask holds, -100 elsewhere."""
     return F.zip_with(ids, mask, lambda i, m: F.when(m, i).otherwise(-100))
+
+
+def ascii_escaped(c: Column) -> Column:
+    """A JSON text in which every character beyond ASCII is \\uXXXX, two of them for what is beyond the basic plane."""
+    unit = lambda x: F.concat(F.lit("\\u"), F.lpad(F.lower(F.hex(x)), 4, "0"))
+
+    def one(ch: Column) -> Column:
+        code = F.ascii(ch)
+        rest = code - 0x10000
+        return F.when(code < 0x80, ch).when(code < 0x10000, unit(code)).otherwise(F.concat(unit(F.shiftright(rest, 10) + 0xD800), unit(rest.bitwiseAND(F.lit(0x3FF)) + 0xDC00)))
+
+    return F.when(F.octet_length(c) == F.length(c), c).otherwise(F.array_join(F.transform(F.split(c, ""), one), ""))
+
+
+def ascii_json(*names: str) -> Column:
+    """Canonical JSON of columns in ASCII alone."""
+    return ascii_escaped(canonical_json(*names))

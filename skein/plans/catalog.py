@@ -250,10 +250,12 @@ def revocation_impact(spark, sf):
     return graph.reachable(start, links).select("kind", "id")
 
 
-@query("SELECT o_orderkey, o_orderstatus FROM orders")
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 1 OR o_orderkey % 3 = 0 THEN o_orderstatus || '2' ELSE o_orderstatus END AS o_orderstatus FROM orders")
 def incremental_merge(spark, sf):
+    """New rows, a third of which replace others of their key."""
     o = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
-    return joins.merge(o.filter("o_orderkey % 2 = 0 or o_orderkey % 3 = 0"), o.filter("o_orderkey % 2 = 1 or o_orderkey % 3 = 0"), "o_orderkey")
+    new = o.filter("o_orderkey % 2 = 1 or o_orderkey % 3 = 0").withColumn("o_orderstatus", F.concat("o_orderstatus", F.lit("2")))
+    return joins.merge(o.filter("o_orderkey % 2 = 0 or o_orderkey % 3 = 0"), new, "o_orderkey")
 
 
 @query("WITH p AS (SELECT p_brand, p_size // 10 AS size, p_partkey, p_partkey % 2 = 0 AS t, row_number() OVER (PARTITION BY p_brand, p_size // 10, p_partkey % 2 ORDER BY p_partkey) AS n FROM part) SELECT a.p_brand, a.size, a.p_partkey AS target, b.p_partkey AS control FROM p a JOIN p b ON a.p_brand = b.p_brand AND a.size = b.size AND a.n = b.n AND a.t AND NOT b.t")
@@ -378,10 +380,35 @@ def assertion_suite(spark, sf):
     return reports.assertions(table(spark, sf, "orders"), positive=F.col("o_totalprice") > 0, status=F.col("o_orderstatus").isin("F", "O", "P"), even=F.col("o_custkey") % 2 == 0)
 
 
-@query("SELECT e.event_id, 'known_iff_value' AS rule FROM events e WHERE (event_id % 4 = 0) <> (event_id % 3 = 0)")
+@query("""
+    WITH k AS (SELECT event_id AS k FROM events), r AS (
+        SELECT k, 'external_demonstrations' AS entity, [CASE WHEN (k % 3 = 0) <> (k % 2 = 1) THEN 'parent_needs_rule' END, CASE WHEN k % 3 = 2 THEN 'own_parent' END] AS rules FROM k
+        UNION ALL SELECT k, 'eligibility_decisions', [CASE WHEN k % 4 < 2 THEN 'no_reason' END] FROM k
+        UNION ALL SELECT k, 'attempts', [CASE WHEN k % 2 = 0 AND (k % 3 = 0 OR k % 5 = 0) THEN 'sealed_open' END, CASE WHEN k % 14 = 0 THEN 'import_policy' END] FROM k
+        UNION ALL SELECT k, 'events', [CASE WHEN k % 4 < 2 AND k % 3 = 0 THEN 'model_link' END, CASE WHEN k % 4 >= 2 AND k % 5 = 0 THEN 'tool_link' END] FROM k
+        UNION ALL SELECT k, 'checkpoints', [CASE WHEN k % 2 = 0 AND (k % 3 = 0 OR k % 5 = 0) THEN 'fake_restore' END] FROM k
+        UNION ALL SELECT k, 'verifications', [CASE WHEN k % 2 = 1 AND k % 3 <> 0 THEN 'unknown_decides' END] FROM k
+        UNION ALL SELECT k, 'rewards', [CASE WHEN (k % 4 = 0) <> (k % 3 = 0) THEN 'known_iff_value' END] FROM k)
+    SELECT k AS event_id, entity, rule FROM (SELECT k, entity, unnest(rules) AS rule FROM r) WHERE rule IS NOT NULL""")
 def record_violations(spark, sf):
-    e = table(spark, sf, "events").select("event_id", F.when(F.col("event_id") % 4 == 0, "KNOWN").otherwise("UNKNOWN").alias("availability"), F.when(F.col("event_id") % 3 == 0, 1.0).alias("total_reward"))
-    return decisions.violations(e, "rewards").select("event_id", "rule")
+    """Every rule of every record kind, on rows that break some of them."""
+    k = F.col("event_id")
+    e = table(spark, sf, "events").select(k)
+    text_if = lambda c, v="x": F.when(c, v)
+    kinds = {
+        "external_demonstrations": {"demonstration_id": F.concat(F.lit("d"), k), "parent_demonstration_id": F.when(k % 3 == 1, "p").when(k % 3 == 2, F.concat(F.lit("d"), k)), "repair_rule_ref": text_if(k % 2 == 0)},
+        "eligibility_decisions": {"reason_codes": F.when(k % 4 == 1, F.array().cast("array<string>")).when(k % 4 > 1, F.array(F.lit("a")))},
+        "attempts": {"state": F.when(k % 2 == 0, "SEALED").otherwise("OPEN"), "finished_at": text_if(k % 3 != 0), "end_reason": text_if(k % 5 != 0), "actor_kind": text_if(k % 7 == 0, "HISTORICAL_IMPORT"), "policy_ref": text_if(k % 2 == 0)},
+        "events": {"event_type": F.element_at(F.array(*map(F.lit, ("MODEL_REQUEST", "MODEL_OUTPUT", "TOOL_CALL", "TOOL_RESULT"))), (k % 4 + 1).cast("int")), "model_call_id": text_if(k % 3 != 0), "tool_call_id": text_if(k % 5 != 0)},
+        "checkpoints": {"restore": text_if(k % 2 == 0, "SUPPORTED"), "snapshot_ref": text_if(k % 3 != 0), "state_hash": text_if(k % 5 != 0)},
+        "verifications": {"status": F.when(k % 2 == 0, "VERIFIED").otherwise("ERROR"), "outcome": F.when(k % 3 == 0, "UNKNOWN").otherwise("PASS")},
+        "rewards": {"availability": F.when(k % 4 == 0, "KNOWN").otherwise("UNKNOWN"), "total_reward": F.when(k % 3 == 0, 1.0)},
+    }
+    found = [decisions.violations(e.withColumns(cols), kind).select("event_id", F.lit(kind).alias("entity"), "rule") for kind, cols in kinds.items()]
+    out = found[0]
+    for f in found[1:]:
+        out = out.union(f)
+    return out
 
 
 @query("SELECT (date_trunc('hour', ts)) AS start, event_type, count(*) AS events FROM events GROUP BY 1, 2")

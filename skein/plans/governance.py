@@ -307,14 +307,18 @@ def committed_rows(spark, sf):
     return merkle.read_build(spark, at)
 
 
-@query("SELECT 's-' || s_nationkey AS source_record_id FROM supplier GROUP BY 1")
+@query("SELECT 'source_records' AS kind, 's-' || s_nationkey AS id, NULL::VARCHAR AS eligibility_decision_id, NULL::VARCHAR AS source_record_id, NULL::VARCHAR AS refs FROM supplier GROUP BY s_nationkey UNION ALL SELECT 'external_demonstrations', 'd-' || s_suppkey, 'e-' || s_suppkey, 's-' || s_nationkey, 'm' FROM supplier")
 def published_lineage(spark, sf):
     checks = F.array(*map(F.lit, decisions.REVIEW_CHECKS))
     source = F.concat(F.lit("s-"), "s_nationkey")
-    m = table(spark, sf, "supplier").select(F.concat(F.lit("d-"), _s()).alias("demonstration_id"), source.alias("source_record_id"), F.array(source).alias("source_record_ids"), F.lit("TRAIN").alias("usage_scope"), F.lit("e").alias("eligibility_decision_id"), F.lit("ACCEPT").alias("eligibility_action"), F.array(F.lit("m")).alias("upstream_message_refs"), F.lit("DERIVED").alias("source_origin"), F.lit("UNKNOWN").alias("replay_capability"), checks.alias("review_checks"))
+    m = table(spark, sf, "supplier").select(F.concat(F.lit("d-"), _s()).alias("demonstration_id"), source.alias("source_record_id"), F.array(source).alias("source_record_ids"), F.lit("TRAIN").alias("usage_scope"), F.concat(F.lit("e-"), _s()).alias("eligibility_decision_id"), F.lit("ACCEPT").alias("eligibility_action"), F.array(F.lit("m")).alias("upstream_message_refs"), F.lit("DERIVED").alias("source_origin"), F.lit("UNKNOWN").alias("replay_capability"), checks.alias("review_checks"))
     at = scratch(spark, "release")
     writers.publish(m, at, "external", "r1")
-    return spark.read.parquet(f"{at}/external/lineage/source_records.parquet")
+    lineage = lambda name: spark.read.parquet(f"{at}/external/lineage/{name}.parquet")
+    d = lineage("external_demonstrations")
+    none = F.lit(None).cast("string")
+    own = d.select(F.lit("external_demonstrations").alias("kind"), F.col("demonstration_id").alias("id"), "eligibility_decision_id", "source_record_id", F.array_join("upstream_message_refs", ",").alias("refs"))
+    return lineage("source_records").select(F.lit("source_records").alias("kind"), F.col("source_record_id").alias("id"), none.alias("eligibility_decision_id"), none.alias("source_record_id"), none.alias("refs")).union(own)
 
 
 @query("""

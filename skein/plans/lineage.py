@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from skein.operators import audit, graph, joins, reports, review, trajectory
+from skein.functions import text
+from skein.operators import audit, graph, joins, reports, review, splits, trajectory
 from skein.plans import experiments
 from skein.plans.registry import query
 from skein.session import table
@@ -211,3 +212,26 @@ def rescored_rewards(spark, sf):
     evidence = o.select(F.col("o_orderkey").alias("attempt_id"), F.col("o_custkey").alias("task_id"), F.when(F.col("o_orderkey") % 7 == 0, "BUDGET_TRUNCATED").otherwise("COMPLETED").alias("end_reason"), F.when(known, "VERIFIED").otherwise("INSUFFICIENT").alias("verification_status"), F.when(s == "F", "PASS").when(s == "O", "FAIL").otherwise("UNKNOWN").alias("outcome"), F.lit(1.0).alias("total_reward"), F.lit("p1").alias("reward_policy_version"))
     done = reports.rescored(evidence, {"policy_version": "p2", "pass_reward": 2.5, "fail_reward": -1, "unknown_reward": None, "dense_reward": False})
     return done.select("attempt_id", "terminal_class", "new_reward", "availability", "reward_policy_version", "source_policy_version")
+
+
+@query("""
+    WITH RECURSIVE e AS (SELECT 't:' || o_orderkey AS a, 's:c' || o_custkey AS b FROM orders WHERE o_orderkey % 5 <> 0 UNION ALL SELECT 't:' || o_orderkey, 'r:p' || (o_orderkey // 3) FROM orders WHERE o_orderkey % 7 = 0
+                         UNION ALL SELECT 't:' || o_orderkey, 't:' || (o_orderkey + 1) FROM orders WHERE o_orderkey % 11 = 0 AND o_orderkey + 1 IN (SELECT o_orderkey FROM orders)),
+    sym AS (SELECT a, b FROM e UNION SELECT b, a FROM e), r AS (SELECT a AS n, a AS m FROM sym UNION SELECT r.n, sym.b FROM r JOIN sym ON sym.a = r.m), c AS (SELECT n, min(m) AS component FROM r GROUP BY n)
+    SELECT o_orderkey::VARCHAR AS task_id, coalesce(component, 't:' || o_orderkey) AS component FROM orders LEFT JOIN c ON n = 't:' || o_orderkey""")
+def incremental_splits(spark, sf):
+    """Orders as tasks that come in two batches, some of them named before they come."""
+    k = F.col("o_orderkey")
+    none = F.lit(None).cast("string")
+    tasks = table(spark, sf, "orders").select(k, k.cast("string").alias("task_id"), F.when(k % 5 != 0, F.array(F.concat(F.lit("c"), "o_custkey"))).alias("source_groups"), F.when(k % 7 == 0, F.concat(F.lit("p"), F.floor(k / 3))).otherwise(none).alias("template_root"), F.when(k % 11 == 0, F.array((k + 1).cast("string"))).alias("related_task_ids"))
+    forest = splits.empty_forest(spark)
+    for c in ("o_orderkey % 4 < 3", "o_orderkey % 4 = 3"):
+        forest = splits.extend_forest(forest, tasks.filter(c).drop("o_orderkey"))
+    return splits.forest_components(forest)
+
+
+@query(r"""
+    WITH j AS (SELECT conv_id, turn, '{"role":"' || role || '","text":' || to_json(text)::VARCHAR || '}' AS j FROM conversations)
+    SELECT conv_id, turn, sha256(array_to_string(list_transform(string_split(j, ''), lambda x: CASE WHEN unicode(x) < 128 THEN x ELSE '\u' || lpad(lower(to_hex(unicode(x))), 4, '0') END), '')) AS sha256 FROM j""")
+def ascii_json(spark, sf):
+    return table(spark, sf, "conversations").select("conv_id", "turn", F.sha2(text.ascii_json("role", "text"), 256).alias("sha256"))

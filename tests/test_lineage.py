@@ -8,8 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from skein import cli
-from skein.functions import identity, numeric
-from skein.operators import audit, graph, joins, reports, review
+from skein.functions import identity, numeric, text
+from skein.operators import audit, graph, joins, reports, review, splits
 from skein.sources import json_arrays, merkle
 
 NESTED = ["plain", 'q"uote', "back\\slash", "\\\\", '\\"', "[{]},:", "é中😀", "", " ", None, True, -1.5e3, {}, [], {"a": [1, {"b": ['"', "\\"]}]}, [[[]], "]"], {"rows": [9]}, "x" * 300]
@@ -249,3 +249,29 @@ def test_rewards_under_another_policy(spark):
     for change in ({"policy_version": ""}, {"pass_reward": None}, {"unknown_reward": 0}, {"dense_reward": True}, {"fail_reward": True}):
         with pytest.raises(ValueError):
             reports.rescored(e, policy | change)
+
+
+def test_forests_grow_as_if_at_once(spark):
+    rnd = random.Random(11)
+    rows = [(f"t{i}", [f"s{rnd.randint(0, 40)}" for _ in range(rnd.randint(0, 2))] or None, rnd.choice([None, f"r{rnd.randint(0, 30)}"]), [f"t{rnd.randint(0, 70)}" for _ in range(rnd.randint(0, 1))]) for i in range(60)]
+    rnd.shuffle(rows)
+    ddl = "task_id string, source_groups array<string>, template_root string, related_task_ids array<string>"
+    forest, frozen = splits.empty_forest(spark), spark.createDataFrame([("t1", "TRAIN"), ("t2", "TEST")], "task_id string, scope string")
+    for at in (0, 20, 20, 45):
+        batch = rows[at : {0: 20, 20: 45, 45: 60}[at]] if at != 20 or forest.nodes.filter(f"node = 't:{rows[20][0]}'").isEmpty() else []
+        forest = splits.extend_forest(forest, spark.createDataFrame(batch, ddl))
+        done = spark.createDataFrame(rows[: max(20, at + len(batch))] if batch else rows[:45], ddl)
+        want = {tuple(r) for r in splits.split_components(done).collect()}
+        got = [tuple(r) for r in splits.forest_components(forest).collect()]
+        assert set(got) == want and len(got) == len(want)
+    a, b = (x[0].select("task_id", "scope", "quarantined") for x in (splits.place(splits.forest_components(forest), frozen), splits.assign_splits(spark.createDataFrame(rows, ddl), frozen)))
+    assert joins.set_differences(a, b).isEmpty()
+
+
+def test_ascii_json_of_all_planes(spark):
+    values = ["", "plain", "é", "\x7f\x80", "\u2028中", "😀a\U0010ffff", '"\\ü/', "\n\t\x01é", None] + [chr(c) for c in range(0xA0, 0x2FFFF, 977) if not 0xD800 <= c < 0xE000]
+    d = spark.createDataFrame(list(enumerate(values)), "k int, v string")
+    got = {r.k: r.j for r in d.select("k", text.ascii_json("k", "v").alias("j")).collect()}
+    assert all(json.loads(got[i]) == {"k": i, "v": v} and got[i].isascii() for i, v in enumerate(values))
+    plain = [i for i, v in enumerate(values) if v and v.isprintable() and "/" not in v]
+    assert all(got[i] == json.dumps({"k": i, "v": values[i]}, separators=(",", ":")) for i in plain) and len(plain) > 100
