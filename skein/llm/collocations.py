@@ -34,9 +34,9 @@ ROWS = 2
 BYTES_A_CELL = 8
 #: Cells of a segment, which one task sums at a time.
 SEGMENT = 1 << 22
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 5 << 20
 #: Chunks whose survivors one task counts.
-TOGETHER = 8
+TOGETHER = 12
 _ROW = np.uint64(0xD6E8FEB86659FD93)
 _GROUP = np.uint64(0x9E3779B97F4A7C15)
 
