@@ -91,13 +91,21 @@ def source_revoke(spark, o):
 
 @verb("task build", "config")
 def task_build(spark, o):
-    """config: {"facts": [{"document_id", "source_group_id", "companion_source_group_id"}]}."""
-    facts = spark.createDataFrame(readers.load_config(o.config)["facts"], "document_id string, source_group_id string, companion_source_group_id string")
+    """config: {"facts": [facts, in order]}; with labels, values and units the tasks are packages, and what their verifier sees is a table of its own."""
+    given = readers.load_config(o.config)["facts"]
+    names = ("document_id", "source_record_id", "source_group_id", "label", "value", "unit", "companion_document_id", "companion_source_record_id", "companion_source_group_id")
+    rows = [(n, *(None if f.get(c) is None else str(f[c]) for c in names)) for n, f in enumerate(given) if isinstance(f, dict)]
+    facts = spark.createDataFrame(rows, ", ".join(["position int", *(f"{c} string" for c in names)]))
     tasks = generators.pilot_tasks(spark, facts)
     none = spark.createDataFrame([], "task_id string, scope string")
     assigned, conflicts = splits.assign_splits(tasks, none)
-    placed = tasks.join(assigned, "task_id").withColumn("instruction_ref", writers.asset_ref("instruction", "task_id", "task_family", "document_id"))
-    paths = writers.write_bundle(spark, f"{o.output_dir}/tasks", {"task_manifest": placed, "split_registry": splits.registry(assigned, conflicts, none)})
+    placed, tables = tasks.join(assigned, "task_id"), {}
+    if facts.filter("value is not null and label is not null and unit is not null").count() == facts.count():
+        packages = generators.pilot_packages(spark, facts)
+        private = ["input_value", "expected_value", "expected_unit"]
+        placed = placed.join(packages.drop("task_family", *private), "task_id").withColumn("instruction_ref", writers.asset_ref("instruction", "instruction"))
+        tables = {"private_expected_results": packages.select("task_id", "task_family", *private)}
+    paths = writers.write_bundle(spark, f"{o.output_dir}/tasks", {"task_manifest": placed, "split_registry": splits.registry(assigned, conflicts, none), **tables})
     return list(paths.values()), {"tasks": spark.read.parquet(paths["task_manifest"]).count()}
 
 

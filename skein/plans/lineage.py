@@ -10,7 +10,7 @@ from skein.operators import audit, graph, joins, reports, review, splits, trajec
 from skein.plans import experiments
 from skein.plans.registry import query
 from skein.session import table
-from skein.sources import json_arrays, merkle
+from skein.sources import generators, json_arrays, merkle
 from skein.storage import scratch
 
 
@@ -235,3 +235,18 @@ def incremental_splits(spark, sf):
     SELECT conv_id, turn, sha256(array_to_string(list_transform(string_split(j, ''), lambda x: CASE WHEN unicode(x) < 128 THEN x ELSE '\u' || lpad(lower(to_hex(unicode(x))), 4, '0') END), '')) AS sha256 FROM j""")
 def ascii_json(spark, sf):
     return table(spark, sf, "conversations").select("conv_id", "turn", F.sha2(text.ascii_json("role", "text"), 256).alias("sha256"))
+
+
+@query("""
+    WITH f AS (SELECT 'd' || n_nationkey AS d, 'c' || n_nationkey AS c, n_regionkey AS g, n_nationkey * 3 + 1 AS value, row_number() OVER (ORDER BY n_nationkey DESC) - 1 AS f, count(*) OVER () AS n FROM nation),
+    t AS (SELECT k, CASE WHEN k < 34 THEN 'lookup' WHEN k < 67 THEN 'calculation_conversion' ELSE 'cross_document_comparison' END AS family FROM range(100) r(k))
+    SELECT 'pilot-' || lpad((k + 1)::VARCHAR, 3, '0') AS task_id, family AS task_family, CASE WHEN k < 34 THEN 1 ELSE 2 END AS dependency_depth, (k + 1)::INT AS input_value, (value * (k + 1))::BIGINT AS expected_value,
+           CASE WHEN k < 34 THEN 'Read ' || d || ' and calculate ' || k + 1 || ' times size.' WHEN k < 67 THEN 'Read ' || d || ', then convert ' || k + 1 || ' declared base quantities into m.'
+                ELSE 'Read ' || d || ' and ' || c || ', then calculate the difference between ' || k + 1 || ' times size and the companion''s zero value.' END AS instruction,
+           CASE WHEN k < 67 THEN d ELSE d || ',' || c END AS documents, d || ':' || k + 1 AS root FROM t JOIN f ON f.f = k % n""")
+def pilot_packages(spark, sf):
+    """Nations as facts, in an order that is not that of their ids."""
+    k = F.col("n_nationkey")
+    facts = table(spark, sf, "nation").select((-k).alias("position"), *(F.concat(F.lit(x), k).alias(n) for x, n in (("d", "document_id"), ("s", "source_record_id"), ("c", "companion_document_id"), ("cs", "companion_source_record_id"))), F.concat(F.lit("g"), "n_regionkey").alias("source_group_id"), F.lit("cg").alias("companion_source_group_id"), F.lit("size").alias("label"), (k * 3 + 1).alias("value"), F.lit("m").alias("unit"))
+    made = generators.pilot_packages(spark, facts)
+    return made.select("task_id", "task_family", "dependency_depth", "input_value", "expected_value", "instruction", F.array_join("document_ids", ",").alias("documents"), F.element_at("derivation_root_ids", 1).alias("root"))

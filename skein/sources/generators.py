@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skein.operators.joins import strict_join
@@ -93,19 +96,81 @@ def public_tasks(suite: DataFrame) -> DataFrame:
 PILOT_FAMILIES = (("lookup", 34), ("calculation_conversion", 33), ("cross_document_comparison", 33))
 
 
+#: Each family's tools, how deep its steps depend on one another, and its instruction.
+PILOT_TOOLS = {"lookup": ("search_documents", "read_document", "calculate"), "calculation_conversion": ("read_document", "calculate", "convert"), "cross_document_comparison": ("search_documents", "read_document", "calculate")}
+PILOT_DEPTH = {"lookup": 1, "calculation_conversion": 2, "cross_document_comparison": 2}
+PILOT_INSTRUCTIONS = {
+    "lookup": "Read {document_id} and calculate {input_value} times {label}.",
+    "calculation_conversion": "Read {document_id}, then convert {input_value} declared base quantities into {unit}.",
+    "cross_document_comparison": "Read {document_id} and {companion_document_id}, then calculate the difference between {input_value} times {label} and the companion's zero value.",
+}
+PILOT_REVISION, PILOT_BUDGET = "pilot-v1", 3
+
+
+def _by_family(of: Callable[[str], Column]) -> Column:
+    """A column for each family."""
+    return F.coalesce(*(F.when(F.col("task_family") == f, of(f)) for f, _ in PILOT_FAMILIES))
+
+
+def _pilot(spark: SparkSession, facts: DataFrame) -> DataFrame:
+    """Tasks beside their facts: the k-th task takes the k-th fact, over and over, in the order of `position` (of document_id without one)."""
+    order = "position" if "position" in facts.columns else "document_id"
+    ranked = facts.withColumn("f", F.row_number().over(Window.orderBy(order)) - 1).drop("position")  # a config's facts
+    starts = spark.createDataFrame([(name, sum(n for _, n in PILOT_FAMILIES[:k]), n) for k, (name, n) in enumerate(PILOT_FAMILIES)], "task_family string, at int, n int")
+    tasks = starts.select("task_family", "at", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("occurrence")).withColumn("k", F.col("at") + F.col("occurrence"))
+    named = tasks.select("task_family", "occurrence", (F.col("k") + 1).alias("input_value"), (F.col("k") % facts.count()).alias("f"), F.concat(F.lit("pilot-"), F.lpad((F.col("k") + 1).cast("string"), 3, "0")).alias("task_id"))
+    return named.join(F.broadcast(ranked), "f").withColumn("template_root", F.concat(F.col("task_family"), F.lit("-template-"), (F.col("occurrence") % 5).cast("string")))
+
+
+def _both(own: str, companion: str, columns: list[str]) -> Column:
+    """A fact's value, and for comparisons its companion's."""
+    other = F.col(companion) if companion in columns else F.lit(None)
+    return F.array_compact(F.array(F.col(own).cast("string"), F.when(F.col("task_family") == PILOT_FAMILIES[-1][0], other.cast("string"))))
+
+
 def pilot_tasks(spark: SparkSession, facts: DataFrame) -> DataFrame:
-    """The pilot's tasks, family after family: task i takes fact i modulo the facts, the n-th of a family template n modulo 5.
+    """The pilot's tasks for a split: task_id, family, template, source groups, related tasks and document.
 
-    Comparisons belong to the source groups of both facts, the companion's too where facts has it.
+    The n-th task of a family has template n modulo 5. Comparisons belong to the source groups of both facts, the companion's too
+    where facts has it.
     """
-    ranked = facts.selectExpr("*", "row_number() over (order by document_id) - 1 as f")  # a config's facts
-    starts = [sum(n for _, n in PILOT_FAMILIES[:k]) for k in range(len(PILOT_FAMILIES))]
-    family, first = F.lit(PILOT_FAMILIES[0][0]), F.lit(0)
-    for (name, _), at in zip(PILOT_FAMILIES[1:], starts[1:], strict=True):
-        family, first = F.when(F.col("id") >= at, name).otherwise(family), F.when(F.col("id") >= at, at).otherwise(first)
-    base = spark.range(sum(n for _, n in PILOT_FAMILIES)).select(F.concat(F.lit("pilot-"), F.lpad((F.col("id") + 1).cast("string"), 3, "0")).alias("task_id"), family.alias("task_family"), (F.col("id") - first).alias("occurrence"), (F.col("id") % facts.count()).alias("f"))
-    other = F.when(F.col("task_family") == PILOT_FAMILIES[-1][0], F.col("companion_source_group_id") if "companion_source_group_id" in facts.columns else F.lit(None).cast("string"))
-    return base.join(F.broadcast(ranked), "f").select("task_id", "task_family", F.concat(F.col("task_family"), F.lit("-template-"), (F.col("occurrence") % 5).cast("string")).alias("template_root"), F.array_compact(F.array(F.col("source_group_id"), other)).alias("source_groups"), F.array().cast("array<string>").alias("related_task_ids"), "document_id")
+    return _pilot(spark, facts).select("task_id", "task_family", "template_root", _both("source_group_id", "companion_source_group_id", facts.columns).alias("source_groups"), F.array().cast("array<string>").alias("related_task_ids"), "document_id")
+
+
+def pilot_packages(spark: SparkSession, facts: DataFrame) -> DataFrame:
+    """What a task hands out, and what only its verifier sees, of facts(document_id, source_record_id, source_group_id, label, value, unit, and companion_*).
+
+    A task's input is its number, its expected value the fact's value times that. Columns of the model's side: task_id, task_revision, task_family,
+    template_family_id, instruction, document_ids, tool_set, dependency_depth, max_steps, source_record_ids, source_group_ids, derivation_root_ids; of
+    the verifier's: input_value, expected_value, expected_unit. A fact whose value is no whole number, or a comparison without a companion, ends the query.
+    """
+    rows = _pilot(spark, facts)
+    value = F.col("value").try_cast("long")
+    whole = F.when(value.isNotNull(), True).otherwise(F.raise_error(F.concat(F.lit("no whole value: "), "document_id")).cast("boolean"))
+    paired = F.when((F.col("task_family") != PILOT_FAMILIES[-1][0]) | F.col("companion_document_id").isNotNull(), True).otherwise(F.raise_error(F.concat(F.lit("no companion: "), "document_id")).cast("boolean"))
+
+    def filled(family: str) -> Column:
+        parts = re.split(r"\{(\w+)\}", PILOT_INSTRUCTIONS[family])
+        return F.concat(*(F.col(x).cast("string") if i % 2 else F.lit(x) for i, x in enumerate(parts)))
+
+    both = lambda own: _both(own, f"companion_{own}", facts.columns)
+    return rows.filter(whole & paired).select(
+        "task_id",
+        F.lit(PILOT_REVISION).alias("task_revision"),
+        "task_family",
+        F.col("template_root").alias("template_family_id"),
+        _by_family(filled).alias("instruction"),
+        both("document_id").alias("document_ids"),
+        _by_family(lambda f: F.array(*map(F.lit, PILOT_TOOLS[f]))).alias("tool_set"),
+        _by_family(lambda f: F.lit(PILOT_DEPTH[f])).alias("dependency_depth"),
+        F.lit(PILOT_BUDGET).alias("max_steps"),
+        both("source_record_id").alias("source_record_ids"),
+        both("source_group_id").alias("source_group_ids"),
+        F.array(F.concat("document_id", F.lit(":"), F.col("input_value").cast("string"))).alias("derivation_root_ids"),
+        "input_value",
+        (value * F.col("input_value")).alias("expected_value"),
+        F.col("unit").alias("expected_unit"),
+    )
 
 
 def fixed_attempts(tasks: DataFrame, repetitions: int = 2) -> DataFrame:

@@ -207,10 +207,15 @@ def test_command_envelope(spark, tmp_path, capsys):
     (tmp_path / "sft.json").write_text(json.dumps({"tokenizer_name": "hub/x", "tokenizer_revision": "1", "template_version": "t"}))
     spark.range(1).write.parquet(f"{tmp_path}/m.parquet")
     assert run(spark, capsys, "dataset", "export-sft", "--dataset", tmp_path / "m.parquet", "--config", tmp_path / "sft.json", "--output-dir", tmp_path)[0] == 3
-    (tmp_path / "facts.json").write_text(json.dumps({"facts": [{"document_id": f"d{i}", "source_group_id": f"g{i}", "companion_source_group_id": None} for i in range(3)]}))
+    facts = [{"document_id": f"d{9 - i}", "source_record_id": f"s{i}", "source_group_id": f"g{i}", "label": "size", "value": 5 + i, "unit": "m", "companion_document_id": f"c{i}", "companion_source_record_id": f"cs{i}", "companion_source_group_id": None} for i in range(3)]
+    (tmp_path / "facts.json").write_text(json.dumps({"facts": facts}))
     assert run(spark, capsys, "task", "build", "--config", tmp_path / "facts.json", "--output-dir", tmp_path / "t")[1]["counts"] == {"tasks": 100}
     placed = spark.read.parquet(f"{tmp_path}/t/tasks/task_manifest.parquet")
     assert {r.scope for r in placed.select("scope").distinct().collect()} == {"DEVELOPMENT"} and placed.select("instruction_ref.sha256").distinct().count() == 100
+    private = {r.task_id: r for r in spark.read.parquet(f"{tmp_path}/t/tasks/private_expected_results.parquet").collect()}
+    assert (private["pilot-002"].input_value, private["pilot-002"].expected_value) == (2, 12) and "expected_value" not in placed.columns  # the second fact of the config
+    second = placed.filter("task_id = 'pilot-002'").first()
+    assert second.instruction == "Read d8 and calculate 2 times size." and second.tool_set == ["search_documents", "read_document", "calculate"]
     registry = spark.read.parquet(f"{tmp_path}/t/tasks/split_registry.parquet")
     assert registry.count() == 100 and splits.frozen_of(registry).count() == 0
     rows = [{"id": "r1", "messages": [{"role": "user", "content": "q"}, {"role": "assistant", "content": "a"}], "tools": "[]"}, {"id": "r2", "messages": [], "tools": "[]"}]
