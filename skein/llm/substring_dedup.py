@@ -76,7 +76,7 @@ def spans_of(found: list[tuple[int, int, int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def relative_lz_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 13, carry: list[str] | None = None) -> DataFrame:
+def relative_lz_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 13, carry: list[str] | None = None, locate: bool = True) -> DataFrame:
     """Per row: the carried columns (default: the id), n_words, n_removed, factors (word ranges, half open, the id of their source and their first word's place in it) and kept_text.
 
     A null text has no words. A null id counts as larger than every id; equal ids are not earlier than one another, so
@@ -84,6 +84,7 @@ def relative_lz_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     space, or is the unchanged text where nothing goes (null stays null). Other columns take no part; a carried text column becomes
     kept_text, and result columns whose name is carried get an underscore. docs is read once; an empty table gives
     an empty one, and a very long text is a chunk of its own. Ids are whole numbers of up to 64 bits; others are a TypeError.
+    locate=False is for who wants the kept text alone: places are not carried along, and factors are null.
     """
     carry = carry or [id_col]
     if not isinstance(docs.schema[id_col].dataType, IntegralType):
@@ -109,7 +110,7 @@ def relative_lz_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
             part = by[ends[k] : ends[k + 1]]
             own, inverse = np.unique(d[part], return_inverse=True)  # ascending, as part is
             packed = zlib.compress(np.packbits(np.diff(inverse, prepend=0).astype(bool)).tobytes(), 1)  # a bit where the next document begins
-            yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in ((uri, pa.string()), (int(k), pa.int32()), (h[part].tobytes(), pa.binary()), (packed, pa.binary()), (zlib.compress(np.diff(ids[own], prepend=0).tobytes(), 1), pa.binary()), (zlib.compress(np.diff(p[part], prepend=0).astype(np.int32).tobytes(), 1), pa.binary()))], ["chunk", "block", "hashes", "next", "ids", "places"])
+            yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in ((uri, pa.string()), (int(k), pa.int32()), (h[part].tobytes(), pa.binary()), (packed, pa.binary()), (zlib.compress(np.diff(ids[own], prepend=0).tobytes(), 1), pa.binary()), (zlib.compress(np.diff(p[part], prepend=0).astype(np.int32).tobytes(), 1) if locate else None, pa.binary()))], ["chunk", "block", "hashes", "next", "ids", "places"])
 
     def in_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for k, found in groups(batches, "block"):
@@ -119,18 +120,19 @@ def relative_lz_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                 ids = np.cumsum(np.frombuffer(zlib.decompress(r["ids"]), np.int64))
                 d.append(ids[np.cumsum(np.unpackbits(np.frombuffer(zlib.decompress(r["next"]), np.uint8), count=len(r["hashes"]) // 8), dtype=np.int64)])
             H, D = np.concatenate(h), np.concatenate(d)
-            P = np.concatenate([np.cumsum(np.frombuffer(zlib.decompress(r["places"]), np.int32), dtype=np.int32) for r in found])
+            P = np.concatenate([np.cumsum(np.frombuffer(zlib.decompress(r["places"]), np.int32), dtype=np.int32) for r in found]) if locate else None
             by = np.argsort(H, kind="stable")
             starts = np.flatnonzero(np.r_[True, H[by][1:] != H[by][:-1]])
             least = np.minimum.reduceat(D[by], starts)
             size = np.diff(np.r_[starts, len(H)])
             source, place = np.empty(len(H), np.int64), np.empty(len(H), np.int32)
             source[by] = np.repeat(least, size)
-            place[by] = np.repeat(np.minimum.reduceat(np.where(D == source, P, FAR)[by], starts), size)
+            if locate:
+                place[by] = np.repeat(np.minimum.reduceat(np.where(D == source, P, FAR)[by], starts), size)
             hit = D > source
             ends = np.cumsum([0, *map(len, h)])
             cuts = list(zip(ends, ends[1:], strict=False))
-            yield pa.RecordBatch.from_pydict({"chunk": [r["chunk"] for r in found], "block": pa.array([k] * len(found), pa.int32()), "hits": [np.packbits(hit[a:b]).tobytes() for a, b in cuts], "sources": [zlib.compress(source[a:b][hit[a:b]].tobytes(), 1) for a, b in cuts], "places": [zlib.compress(np.diff(place[a:b][hit[a:b]], prepend=np.int32(0)).tobytes(), 1) for a, b in cuts]})
+            yield pa.RecordBatch.from_pydict({"chunk": [r["chunk"] for r in found], "block": pa.array([k] * len(found), pa.int32()), "hits": [np.packbits(hit[a:b]).tobytes() for a, b in cuts], "sources": [zlib.compress(source[a:b][hit[a:b]].tobytes(), 1) for a, b in cuts], "places": pa.array([zlib.compress(np.diff(place[a:b][hit[a:b]], prepend=np.int32(0)).tobytes(), 1) if locate else None for a, b in cuts], pa.binary())})
 
     looked = map_chunks(manifest, look_up, "chunk string, block int, hashes binary, next binary, ids binary, places binary")
     hits = materialize(arrow_map(looked.repartitionById(tasks, F.pmod("block", F.lit(tasks))).sortWithinPartitions("block"), in_block, "chunk string, block int, hits binary, sources binary, places binary"), "rlz-hits")
@@ -154,7 +156,8 @@ def relative_lz_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                     part = part[np.unpackbits(np.frombuffer(r["hits"], np.uint8), count=len(part)).astype(bool)]
                     hit[part] = True
                     of[part] = np.frombuffer(zlib.decompress(r["sources"]), np.int64)
-                    at[part] = np.cumsum(np.frombuffer(zlib.decompress(r["places"]), np.int32), dtype=np.int32)
+                    if locate:
+                        at[part] = np.cumsum(np.frombuffer(zlib.decompress(r["places"]), np.int32), dtype=np.int32)
             covered, source, there = np.empty(len(H), bool), np.empty(len(H), np.int64), np.empty(len(H), np.int32)
             if len(H):
                 owner = np.repeat(ids, counts)[by]
@@ -191,7 +194,7 @@ def relative_lz_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                         text = b" ".join(raw[x:y] for x, y in zip(a.tolist(), z.tolist(), strict=True)).decode()
                     out["n"].append(int(w.counts[k]))
                     out["r"].append(sum(z - a for a, z in spans))
-                    out["s"].append([{"start": a, "end": z, "source": d, "place": p} for a, z, d, p in parsed])
+                    out["s"].append([{"start": a, "end": z, "source": d, "place": p} for a, z, d, p in parsed] if locate else None)
                     out["t"].append(text)
                     size += len(text or "")
                     if size > 8 << 20:

@@ -552,3 +552,9 @@ def test_pipeline_of_nothing(spark, tmp_path, docs):
     d.write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_kept_text_without_places(docs):
+    full, short = (substring_dedup.relative_lz_dedup(docs, locate=x) for x in (True, False))
+    text = lambda df: Counter((r.doc_id, r.n_words, r.n_removed, r.kept_text) for r in df.collect())
+    assert text(full) == text(short) and short.filter("factors is not null").isEmpty() and not full.filter("size(factors) > 0").isEmpty()
