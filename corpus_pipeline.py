@@ -31,7 +31,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes out passages of 13 words or more that an earlier document has; every document stays, if with less text."""
-    cut = relative_lz_dedup(docs, carry=docs.columns)
+    cut = relative_lz_dedup(docs, carry=docs.columns, locate=False)
     return cut.select(*((F.char_length("text").cast("long").alias(c) if c == "n_chars" else F.col(c)) for c in docs.columns))
 
 
