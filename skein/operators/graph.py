@@ -54,10 +54,10 @@ def reachable(start: DataFrame, links: DataFrame, name: str = "reached") -> Data
     new = materialize(text(start.select("kind", "id")).distinct().withColumn("step", F.lit(0)), name)
     found = new
     step = 0
-    while not new.isEmpty():
+    while kinds := [r[0] for r in new.select("kind").distinct().collect()]:  # names of record kinds: few
         step += 1
         frontier = new.select(F.col("kind").alias("src_kind"), F.col("id").alias("src"))
-        ahead = links.join(frontier, ["src_kind", "src"], "left_semi").select(F.col("dst_kind").alias("kind"), F.col("dst").alias("id")).distinct()
+        ahead = links.filter(F.col("src_kind").isin(kinds)).join(frontier, ["src_kind", "src"], "left_semi").select(F.col("dst_kind").alias("kind"), F.col("dst").alias("id")).distinct()
         new = materialize(ahead.join(found, ["kind", "id"], "left_anti").withColumn("step", F.lit(step)), name)
         found = found.unionByName(new)
     return found
