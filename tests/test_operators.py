@@ -1,6 +1,7 @@
 """Behaviour of operators on small hand-made rows."""
 
 import hashlib
+import math
 import random
 
 import pytest
@@ -141,6 +142,34 @@ def test_jaccard_and_minhash(spark):
     assert {(i, 160 + i) for i in range(20)} <= near | {(j, 160 + i) for i in range(20) for j in range(160) if (j, 160 + i) in near}
 
 
+@pytest.mark.parametrize("threshold", [0.8, 0.45, 0.3])
+def test_jaccard_pairs_over_levels(spark, threshold):
+    """Sizes on both sides of 64 and 128, pairs at and beside the threshold, and some of several levels apart."""
+    rnd = random.Random(11)
+    rows = [{f"c{rnd.randrange(400)}" for _ in range(rnd.choice((20, 60, 64, 70, 120, 130, 160)))} for _ in range(60)]
+    for base in list(rows):
+        own = sorted(base)
+        rows.append(set(own[: math.ceil(threshold * len(own))]))
+        rows.append(set(own[: int(0.9 * len(own))]) | {f"x{rnd.randrange(10**6)}" for _ in range(rnd.randrange(12))})
+    rows = [r for n, r in enumerate(rows) if r not in rows[:n]]
+    s = spark.createDataFrame([(i, sorted(r)) for i, r in enumerate(rows)], "id int, tokens array<string>")
+    want = {(i, j): len(a & b) / len(a | b) for i, a in enumerate(rows) for j, b in enumerate(rows) if i < j and len(a & b) >= threshold * len(a | b) - 1e-9}
+    got = {(r.left, r.right): r.jaccard for r in dedup.jaccard_pairs(s, threshold).collect()}
+    assert got == want and len(want) >= 60
+
+
+def test_what_leaves_the_join_of_prefixes_is_the_result(spark, monkeypatch):
+    """300 sets that share a rare token each and little else: hardly a pair of them may be written or meet its texts."""
+    rnd = random.Random(3)
+    rows = [{f"c{rnd.randrange(3000)}" for _ in range(150)} | {f"rare{i % 3}"} for i in range(300)]
+    rows += [r | {f"n{i}"} for i, r in enumerate(rows[:20])]
+    s = spark.createDataFrame([(i, sorted(r)) for i, r in enumerate(rows)], "id int, tokens array<string>")
+    written, keep = {}, dedup.materialize
+    monkeypatch.setattr(dedup, "materialize", lambda df, name: written.setdefault(name, keep(df, name)))
+    assert {(r.left, r.right) for r in dedup.jaccard_pairs(s, 0.8).collect()} == {(i, 300 + i) for i in range(20)}
+    assert written["near"].count() <= 25
+
+
 def test_minhash_recall_is_what_its_formula_says(spark):
     """Pairs of likeness 0.8 to 0.9 meet in one of 5 bands of 11 with chance 1 - (1 - t ** 11) ** 5: 0.36 at 0.8, 0.84 at 0.9."""
     rows, n = [], 300
