@@ -42,6 +42,24 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     return cur.select(F.col("src").alias("node"), F.col("dst").alias("component")).union(roots)
 
 
+def peeled_components(edges: DataFrame) -> DataFrame:
+    """What connected_components gives, for graphs of many nodes that few larger ones name, such as tasks of source groups.
+
+    A node whose neighbours are all smaller is never the smallest of its component: it is taken out at once, its neighbours are
+    linked to the least of them instead, and it gets that one's component at the end. Rounds pass over what is left: nothing, of
+    a node with one neighbour.
+    """
+    edges = materialize(edges.filter("src <> dst").select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst")).distinct(), "peel")
+    below = edges.groupBy("dst").agg(F.lit(True).alias("inner")).withColumnRenamed("dst", "src")
+    low = edges.groupBy("src").agg(F.min("dst").alias("m"))
+    tops = low.join(below, "src", "left_anti")
+    marked = materialize(edges.join(tops, "src", "left"), "peel")
+    core = materialize(connected_components(marked.filter("m is null or dst > m").select(F.when(F.col("m").isNull(), F.col("src")).otherwise(F.col("dst")).alias("src"), F.coalesce("m", "dst").alias("dst"))), "peel")
+    top = marked.filter("dst = m").select(F.col("src").alias("at"), F.col("m").alias("node"))
+    kept = marked.select(F.lit(None).cast(edges.schema["dst"].dataType).alias("at"), F.col("dst").alias("node")).distinct()
+    return kept.union(top).join(core, "node", "left").select(F.coalesce("at", "node").alias("node"), F.coalesce("component", "node").alias("component"))
+
+
 def reachable(start: DataFrame, links: DataFrame, name: str = "reached") -> DataFrame:
     """(kind, id, step): all that start(kind, id) leads to over links(src_kind, src, dst_kind, dst), itself included at step 0.
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skein.functions.identity import group_id, hash_scope
-from skein.operators.graph import connected_components
+from skein.operators.graph import peeled_components
 from skein.storage import materialize
 
 
@@ -57,7 +57,7 @@ def extend_forest(forest: Forest, tasks: DataFrame) -> Forest:
     ends = materialize(ends.select("node", F.coalesce("root", "node").alias("root"), F.col("root").isNull().alias("new")), "forest-ends")
     a, b = (ends.select(F.col("node").alias(x), F.col("root").alias(f"{x}_root")) for x in ("src", "dst"))
     joined = ready.join(a, "src").join(b, "dst").select(F.col("src_root").alias("src"), F.col("dst_root").alias("dst"))
-    moved = materialize(connected_components(joined).filter("node <> component").select(F.col("node").alias("first"), F.col("component").alias("root")), "forest-moved")
+    moved = materialize(peeled_components(joined).filter("node <> component").select(F.col("node").alias("first"), F.col("component").alias("root")), "forest-moved")
     nodes = forest.nodes.union(ends.filter("new").select("node", F.col("node").alias("first")))
     later = moved.select(F.col("first").alias("root"), F.col("root").alias("now"))
     roots = forest.roots.join(later, "root", "left").select("first", F.coalesce("now", "root").alias("root")).union(moved)
@@ -71,7 +71,7 @@ def split_components(tasks: DataFrame) -> DataFrame:
     edges = _edges(tasks)
     known = tasks.select(own.alias("node")).distinct()
     inside = edges.join(known.withColumnRenamed("node", "dst"), "dst", "left_semi").union(edges.filter("dst not like 't:%'").select("dst", "src"))
-    parts = connected_components(inside)
+    parts = peeled_components(inside)
     return tasks.select("task_id", own.alias("node")).join(parts, "node", "left").select("task_id", F.coalesce("component", "node").alias("component"))
 
 
