@@ -12,12 +12,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skein.functions.identity import GROUP, group_digests, key_hash, root
-from skein.operators.joins import duplicated, merge, merge_conflicts
+from skein.operators.joins import duplicated, merge_conflicts
 from skein.sources.writers import exists, get_json, put_json, remove, rename
-from skein.storage import materialize
+from skein.storage import materialize, shuffle_partitions
 
 #: Rows of a bucket before the table gets sixteen times as many.
 BUCKET_ROWS = 1_000_000
+#: Rows that a task writes: into several buckets, where these are smaller, as each task reports to the driver.
+TASK_ROWS = 250_000
 MANIFEST = "bucket string, folder string, grp string, digest string, rows long"
 
 
@@ -67,11 +69,12 @@ def commit(rows: DataFrame, destination: str, key: str, identity: dict | None =
     if known:
         touched = new.select(_bucket(key_hash(key), digits).alias("bucket")).distinct()
         old = materialize(read_build(spark, destination, None if wanted > digits else touched), "merkle-old")
-        if not merge_conflicts(old, new, key).isEmpty():
+        merged = old.hint("merge")  # no side of these joins is sent to all tasks, by way of the driver
+        if not merge_conflicts(merged, new, key).isEmpty():
             raise ValueError("rows of a committed build have changed")
-        added = new.join(old, key, "left_anti").select(*names)
-        own = added.select(bucket.alias("bucket")).distinct()
-        both = merge(old.select(*names), added, key)
+        added = new.join(merged, key, "left_anti").select(*names)
+        own = F.broadcast(added.select(bucket.alias("bucket")).distinct())  # at most 16 ** GROUP
+        both = old.select(*names).unionByName(added)  # no key is in both
         changed = both if wanted > digits else both.withColumn("bucket", bucket).join(own, "bucket", "left_semi").select(*names)
     else:
         changed = new
@@ -84,12 +87,12 @@ def commit(rows: DataFrame, destination: str, key: str, identity: dict | None =
         manifest = manifest.unionByName(kept.join(grouped.select("bucket").distinct(), "bucket", "left_anti"))
     manifest = materialize(manifest, "merkle-manifest")
     digest = root(manifest).first()[0]
-    written = grouped.select("bucket").distinct().count()
+    written, rows_written = grouped.agg(F.count_distinct("bucket"), F.coalesce(F.sum("rows"), F.lit(0))).first()
     place = f"{destination}/manifests/{digest}"
     recovered = exists(spark, place)
     if not recovered:
         staging = f"{destination}/staging-{folder}"
-        parts = max(1, min(written, 16**GROUP))
+        parts = max(1, min(written, max(shuffle_partitions(spark), rows_written // TASK_ROWS)))
         changed.repartition(parts, "bucket").write.partitionBy("bucket").parquet(f"{staging}/rows")
         manifest.coalesce(1).write.parquet(f"{staging}/manifest")  # at most 16 ** GROUP short rows
         if fail_at == "precommit":
