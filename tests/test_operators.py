@@ -213,6 +213,45 @@ def test_an_export_leaves_its_worker_in_bounded_pieces(spark, monkeypatch):
     assert sorted(x for p in pieces for x in p["attempt_id"]) == sorted(f"a{i}" for i in range(50)) and len(whole) == 50
 
 
+@pytest.fixture
+def no_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_pairs_of_near_copies_do_not_carry_their_sets(spark, no_broadcast):
+    """300 near copies of one set of 400 tokens are 44,850 pairs: their sets are shuffled a few times each, not along with each pair."""
+    common = [f"common{i}" for i in range(400)]
+    s = spark.createDataFrame([(i, sorted([*common, f"own{i}"])) for i in range(300)], "id int, tokens array<string>")
+    sc = spark.sparkContext._jsc.sc()
+
+    def shuffled():
+        sc.listenerBus().waitUntilEmpty(10_000)
+        return sc.statusStore().executorList(False).head().totalShuffleWrite()
+
+    before = shuffled()
+    found = dedup.jaccard_pairs(s, 0.8).toArrow().to_pydict()
+    assert len(set(zip(found["left"], found["right"], strict=True))) == len(found["left"]) == 300 * 299 // 2
+    assert all(a < b for a, b in zip(found["left"], found["right"], strict=True)) and set(found["jaccard"]) == {400 / 402}
+    assert shuffled() - before < 10_000_000
+
+
+def test_a_token_of_many_pairs_is_cut_into_squares(spark, monkeypatch):
+    """With units of 50 pairs, one token of 780 pairs is cut, and others share units: the same pairs and likenesses as by brute force."""
+    monkeypatch.setattr(dedup, "TOGETHER", 50)
+    rows = [{f"c{i}" for i in range(100)} | {f"own{i}"} for i in range(40)] + [{f"d{g}-{i}" for i in range(30 + g)} | {f"own{g}-{k}"} for g in range(12) for k in range(4)]
+    s = spark.createDataFrame([(f"id {i}", sorted(r)) for i, r in enumerate(rows)], "id string, tokens array<string>")
+    want = {tuple(sorted((f"id {i}", f"id {j}"))): len(a & b) / len(a | b) for i, a in enumerate(rows) for j, b in enumerate(rows) if i < j and len(a & b) >= 0.8 * len(a | b)}
+    got = [((r.left, r.right), r.jaccard) for r in dedup.jaccard_pairs(s, 0.8).collect()]
+    assert dict(got) == want and len(got) == len(want) == 780 + 12 * 6
+
+
+def test_no_pairs_at_all(spark):
+    s = spark.createDataFrame([(1, ["a", "b"]), (2, ["c", "d"]), (3, [])], "id int, tokens array<string>")
+    assert dedup.jaccard_pairs(s, 0.8).collect() == [] == dedup.jaccard_pairs(s.limit(0), 0.8).collect()
+
+
 def test_minhash_recall_is_what_its_formula_says(spark):
     """Pairs of likeness 0.8 to 0.9 meet in one of 5 bands of 11 with chance 1 - (1 - t ** 11) ** 5: 0.36 at 0.8, 0.84 at 0.9."""
     rows, n = [], 300
