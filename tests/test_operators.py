@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -247,6 +248,17 @@ def test_a_token_of_many_pairs_is_cut_into_squares(spark, monkeypatch):
     assert dict(got) == want and len(got) == len(want) == 780 + 12 * 6
 
 
+def test_prefixes_are_made_of_slices(monkeypatch):
+    """No slice of a batch has many more tokens than AT_ONCE, and each set is in one of them."""
+    monkeypatch.setattr(dedup, "AT_ONCE", 1000)
+    sizes = [1] * 40 + [300] * 20 + [5000] + [10] * 5
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(sizes))), pa.array(sizes, pa.int32())], names=["g", "n"])
+    parts = list(dedup._parts(batch))
+    assert [g for p in parts for g in p["g"].to_pylist()] == list(range(len(sizes)))
+    assert all(sum(p["n"].to_pylist()) <= 1000 + max(p["n"].to_pylist()) for p in parts) and max(p.num_rows for p in parts) <= 1000 // 64 + 1
+    assert sum(p.num_rows for p in dedup._parts(batch.slice(0, 0))) == 0
+
+
 def test_no_pairs_at_all(spark):
     s = spark.createDataFrame([(1, ["a", "b"]), (2, ["c", "d"]), (3, [])], "id int, tokens array<string>")
     assert dedup.jaccard_pairs(s, 0.8).collect() == [] == dedup.jaccard_pairs(s.limit(0), 0.8).collect()
